@@ -115,8 +115,11 @@ def coordinate(text, limit: float) -> Column:
 
 
 def rounded_long(c) -> Column:
-    """Double to bigint by rounding half to even, as the databases do."""
-    return F.rint(col(c)).cast("bigint")
+    """Double to bigint by rounding half to even, as the databases do.
+
+    Six places first, so that the noise of a sum does not decide a half.
+    """
+    return F.rint(F.round(col(c), 6)).cast("bigint")
 
 
 def safe_div(a, b) -> Column:

@@ -226,7 +226,8 @@ def stage_walk(loans: DataFrame, terms: Terms) -> DataFrame:
         for step, days, name in STAGE_STEPS]
     return unpivot_steps(mature.select(
         "customer_id", "sales_order_id", loan_index_label("rank").alias("loan_index"),
-        F.to_date("delivery_at").alias("delivery_on"), "total_amount"), steps, ("step", "stage"))
+        F.to_date("delivery_at").alias("delivery_on"), "total_amount", "days_past_due"),
+        steps, ("step", "stage")).drop("days_past_due")
 
 
 def stage_leads(walk: DataFrame) -> DataFrame:
