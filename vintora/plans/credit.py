@@ -12,6 +12,7 @@ from vintora.functions import (
 )
 from vintora.operators.relational import (
     dates, descending, first_per_key, interval_lookup, islands, match_with_fallback, tail_from,
+    unpivot_steps,
 )
 from vintora.operators.skew import keyed_window
 from vintora.params import (
@@ -164,11 +165,12 @@ def grouped_orders(lines: DataFrame, approvals: DataFrame, payments: DataFrame,
 
 def payment_per_order(payments: DataFrame, order_keys: DataFrame) -> DataFrame:
     """The latest payment of each sales order, found by transaction or else by order id."""
+    latest = [descending("movement_at"), descending("paid_at"), F.col("transaction_id")]
     matched = match_with_fallback(
         payments, order_keys, ("transaction_id", "sales_order_id"),
-        ("marketplace_order_id", "order_id")).withColumnRenamed("matched_key", "sales_order_id")
-    return first_per_key(matched, ["sales_order_id"], [
-        descending("movement_at"), descending("paid_at"), F.col("transaction_id")])
+        ("marketplace_order_id", "order_id"), latest
+    ).withColumnRenamed("matched_key", "sales_order_id")
+    return first_per_key(matched, ["sales_order_id"], latest)
 
 
 def mirror_per_order(mirrors: DataFrame) -> DataFrame:
@@ -452,25 +454,28 @@ def daily_kpis(orders: DataFrame, deliveries: DataFrame, loans: DataFrame, appro
     """One row per day without gaps, with running totals and cumulative ratios.
 
     Each source is reduced to days first; the daily rows are then added up in one aggregate.
+    Orders count by day of creation and by day of delivery from one pass.
     """
     done = F.col("delivery_status") == "COMPLETED"
-    gross = F.when(done, F.col("order_gross_sales"))
     failed = F.col("delivery_status") == "REJECTED"
     # Only customers of the customer table count as activated.
     activated = (orders.filter(F.col("order_status").isin(*ACTIVE_STATES))
                  .groupBy("customer_id").agg(F.min("created_at").alias("at"))
                  .join(customers.select(F.col("netsuiteId").alias("customer_id")), "customer_id"))
-    first_day = orders.agg(F.min(F.to_date("created_at"))).scalar()
-    spine = orders.sparkSession.range(1).select(
-        F.explode(dates(first_day, F.lit(terms.as_of))).alias("date"))
+    marks = unpivot_steps(
+        orders.select("created_at", "delivered_at", "sales_order_id", "order_gross_sales",
+                      done.alias("done")),
+        [(F.to_date("created_at"), F.lit(True)), (F.to_date("delivered_at"), F.lit(False))],
+        ("date", "by_creation"))
+    created, gross = F.col("by_creation"), F.col("order_gross_sales")
     daily = [
-        orders.groupBy(F.to_date("created_at").alias("date")).agg(
-            F.count("sales_order_id").alias("created_orders"),
-            F.count_if(done).alias("completed_by_created"),
-            F.sum(gross).alias("completed_volume_by_created")),
-        orders.groupBy(F.to_date("delivered_at").alias("date")).agg(
-            F.count_if(done).alias("completed_by_delivered"),
-            F.sum(gross).alias("completed_volume_by_delivered")),
+        marks.groupBy("date").agg(
+            F.count(F.when(created, F.col("sales_order_id"))).alias("created_orders"),
+            F.count_if(created & F.col("done")).alias("completed_by_created"),
+            F.sum(F.when(created & F.col("done"), gross)).alias("completed_volume_by_created"),
+            F.count_if(~created & F.col("done")).alias("completed_by_delivered"),
+            F.sum(F.when(~created & F.col("done"), gross)).alias("completed_volume_by_delivered"),
+            F.max(created).alias("has_order")),
         deliveries.groupBy(F.to_date("delivered_at").alias("date")).agg(
             F.count_if(done | failed).alias("expected_deliveries"),
             F.count_if(failed).alias("rejected_orders"),
@@ -484,15 +489,27 @@ def daily_kpis(orders: DataFrame, deliveries: DataFrame, loans: DataFrame, appro
         activated.groupBy(F.to_date("at").alias("date")).agg(
             F.count(F.lit(1)).alias("activations")),
     ]
-    rows = spine.withColumn("in_range", F.lit(1))
-    for part in daily:
+    rows = daily[0]
+    for part in daily[1:]:
         rows = rows.unionByName(part, allowMissingColumns=True)
-    days = (rows.filter(F.col("date").isNotNull()).groupBy("date").agg(
-        F.max("in_range").alias("in_range"),
+    found = rows.filter(F.col("date").isNotNull()).groupBy("date").agg(
+        F.max("has_order").alias("has_order"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in DAILY_COUNTS],
         *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in DAILY_AMOUNTS])
-        .filter("in_range = 1").drop("in_range"))
-    # One row per calendar day: a single-partition window is bounded here.
+    # From here on one row per calendar day: single-partition windows are bounded.
+    whole, in_order = Window.partitionBy(), Window.orderBy("date")
+    last = F.lit(terms.as_of)
+    ranged = (found.withColumn("first", F.min(F.when(F.col("has_order"), F.col("date"))).over(whole))
+              .filter((F.col("date") >= F.col("first")) & (F.col("date") <= last)))
+    # Each day also stands for the empty days up to the next one.
+    until = F.coalesce(F.date_sub(F.lead("date").over(in_order), 1), last)
+    filled = ranged.withColumn("until", until).withColumn(
+        "day", F.explode(dates(F.col("date"), F.col("until"))))
+    own = F.col("day") == F.col("date")
+    days = filled.select(
+        F.col("day").alias("date"),
+        *[F.when(own, F.col(c)).otherwise(0).alias(c) for c in DAILY_COUNTS],
+        *[F.when(own, F.col(c)).otherwise(0.0).alias(c) for c in DAILY_AMOUNTS])
     so_far = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     totals = ("created_orders", "completed_by_created", "completed_by_delivered",
               "completed_volume_by_created", "completed_volume_by_delivered",

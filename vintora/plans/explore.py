@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vintora.functions import clean_text, has_text, rate, safe_div
 from vintora.operators.relational import duplicates, first_per_key
 from vintora.params import ACTIVE_STATES, Terms
+from vintora.plans.measures import with_total
 from vintora.sources.load import union_all
 
 
@@ -239,13 +240,12 @@ def segment_summary(recent: DataFrame, limits: DataFrame, credit_orders: DataFra
     rows = tagged.groupBy(segment.alias("segment")).agg(
         F.count(F.lit(1)).alias("customers"), F.sum("orders").alias("orders"),
         F.sum("amount").alias("amount"))
-    total = rows.agg(F.lit("TOTAL").alias("segment"), *[
-        F.sum(c).alias(c) for c in ("customers", "orders", "amount")])
-    # Three segments.
-    whole = F.sum("customers").over(Window.partitionBy())
-    shared = rows.withColumn("pct_customers", F.col("customers") * 100 / whole).unionByName(
-        total.withColumn("pct_customers", F.lit(100.0)))
-    return shared.withColumn("drop_size", safe_div("amount", "orders"))
+    summed = with_total(rows, "segment", "TOTAL").groupBy("segment").agg(
+        *[F.sum(c).alias(c) for c in ("customers", "orders", "amount")])
+    # Three segments and the total.
+    whole = F.max("customers").over(Window.partitionBy())
+    return summed.withColumns({"pct_customers": F.col("customers") * 100 / whole,
+                               "drop_size": safe_div("amount", "orders")})
 
 
 def line_against_drop_size(limits: DataFrame, recent: DataFrame) -> DataFrame:

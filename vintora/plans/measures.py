@@ -24,6 +24,14 @@ def ordinal(c, table) -> Column:
     return out
 
 
+def with_total(cells: DataFrame, column: str, label: str) -> DataFrame:
+    """Every cell twice, under its own member and under the total member.
+
+    The margin is then one more group of the same aggregate, and the cells are computed once.
+    """
+    return cells.withColumn(column, F.explode(F.array(F.col(column), F.lit(label))))
+
+
 # -- orders ----------------------------------------------------------------
 
 def enrolled_by_cohort(people: DataFrame) -> DataFrame:
@@ -48,11 +56,11 @@ def weighted_survival(orders: DataFrame, people: DataFrame) -> DataFrame:
              .agg(F.count_distinct("customer_id").alias("active"))
              .join(F.broadcast(enrolled_by_cohort(people)), "enrollment_cohort", "left")
              .withColumn("survival", safe_div("active", "enrolled")))
-    total = cells.groupBy("months_since_enrollment").agg(
+    return with_total(cells, "enrollment_cohort", "WAVG").groupBy(
+        "enrollment_cohort", "months_since_enrollment").agg(
         F.sum("active").alias("active"), F.sum("enrolled").alias("enrolled"),
         safe_div(F.sum(F.col("survival") * F.col("enrolled")), F.sum("enrolled"))
-        .alias("survival")).withColumn("enrollment_cohort", F.lit("WAVG"))
-    return cells.unionByName(total)
+        .alias("survival"))
 
 
 def cohort_frequency(orders: DataFrame) -> DataFrame:
@@ -61,9 +69,9 @@ def cohort_frequency(orders: DataFrame) -> DataFrame:
              .agg(F.count_distinct("sales_order_id").alias("orders"),
                   F.count_distinct("customer_id").alias("customers"),
                   F.sum("total_price").alias("amount")))
-    total = cells.agg(*[F.sum(c).alias(c) for c in ("orders", "customers", "amount")]).withColumn(
-        "enrollment_cohort", F.lit("WAVG"))
-    return cells.unionByName(total).withColumns({
+    summed = with_total(cells, "enrollment_cohort", "WAVG").groupBy("enrollment_cohort").agg(
+        *[F.sum(c).alias(c) for c in ("orders", "customers", "amount")])
+    return summed.withColumns({
         "frequency": safe_div("orders", "customers"), "drop_size": safe_div("amount", "orders")})
 
 
@@ -96,12 +104,15 @@ def margin_average(orders: DataFrame) -> DataFrame:
         .alias("orders_per_customer"),
         safe_div(F.sum("order_gross_sales"), F.count_distinct("customer_id"))
         .alias("gross_per_customer"))
-    out = cells.select(F.lit("cell").alias("level"), *cell_keys,
-                       *[F.col(v).cast("double").alias(v) for v in values])
-    for level, kept in (("cohort", cell_keys[:1]), ("month", cell_keys[1:]), ("total", [])):
-        margin = cells.groupBy(*kept).agg(*[F.avg(v).alias(v) for v in values])
-        out = out.unionByName(margin.withColumn("level", F.lit(level)), allowMissingColumns=True)
-    return out
+    cohort, month = (F.col(k) for k in cell_keys)
+    no_cohort, no_month = F.lit(None).cast("string"), F.lit(None).cast("int")
+    levels = [("cell", cohort, month), ("cohort", cohort, no_month),
+              ("month", no_cohort, month), ("total", no_cohort, no_month)]
+    spread = unpivot_steps(cells.withColumnsRenamed({k: f"_{k}" for k in cell_keys}), [
+        (F.lit(level), F.col(f"_{cell_keys[0]}") if a is cohort else a,
+         F.col(f"_{cell_keys[1]}") if b is month else b) for level, a, b in levels],
+        ("level", *cell_keys))
+    return spread.groupBy("level", *cell_keys).agg(*[F.avg(v).alias(v) for v in values])
 
 
 def cumulative_enrolled(people: DataFrame) -> DataFrame:
@@ -200,8 +211,8 @@ def loan_details(loans: DataFrame, grid: DataFrame, cac: DataFrame, pairs: DataF
     par = F.col("par")
     return (loans.withColumn("enrollment_month", F.substring("enrollment_cohort", 6, 2).cast("int"))
             .join(people, "customer_id", "left").join(first, "customer_id", "left")
-            # One row per cohort month, and 132 pairs of calendar months.
-            .join(F.broadcast(cac), "enrollment_cohort", "left")
+            .join(cac, "enrollment_cohort", "left")
+            # 132 pairs of calendar months.
             .join(F.broadcast(season), ["enrollment_month", "months_since_enrollment"], "left")
             .withColumns({
                 "share_of_interest": F.col("interests") * terms.revenue_share,
@@ -231,15 +242,13 @@ def stage_walk(loans: DataFrame, terms: Terms) -> DataFrame:
 
 
 def stage_leads(walk: DataFrame) -> DataFrame:
-    """One row per loan and stage with the stage found one step later.
-
-    A loan has at most seven rows, so its window is small whatever the customer.
-    """
+    """One row per loan and stage with the stage found one step later, by an equi-join."""
     stages = walk.groupBy("customer_id", "sales_order_id", "stage").agg(
         F.max("loan_index").alias("loan_index"), F.max("delivery_on").alias("delivery_on"),
         F.max("total_amount").alias("total_amount"), F.min("step").alias("step"))
-    by_step = Window.partitionBy("sales_order_id").orderBy("step").rangeBetween(1, 1)
-    return stages.withColumn("lead_stage", F.max("stage").over(by_step))
+    later = stages.groupBy("sales_order_id", (F.col("step") - 1).alias("step")).agg(
+        F.max("stage").alias("lead_stage"))
+    return stages.join(later, ["sales_order_id", "step"], "left")
 
 
 def roll_rates(leads: DataFrame) -> DataFrame:
@@ -272,16 +281,16 @@ def charge_off(leads: DataFrame) -> DataFrame:
 
 def vintage_rates(vintage: DataFrame) -> DataFrame:
     """PAR over deployed capital and over activated customers, by months on book and in total."""
-    def rates(keys):
-        return vintage.groupBy(*keys).agg(*[
-            safe_div(F.sum(f"par{d}"), F.sum("deployed_capital")).alias(f"par{d}_by_capital")
-            for d in (30, 60, 90)], *[
-            safe_div(F.sum(f"par{d}_n"), F.sum("ever_activated")).alias(f"par{d}_by_customers")
-            for d in (30, 60, 90)],
-            safe_div(F.sum("par30"), F.sum("outstanding_balance")).alias("par30_by_balance"))
-    by_month = rates(["months_on_book"]).withColumn("level", F.lit("month"))
-    return by_month.unionByName(rates([]).withColumn("level", F.lit("total")),
-                                allowMissingColumns=True)
+    month = F.col("_month")
+    spread = unpivot_steps(vintage.withColumnRenamed("months_on_book", "_month"), [
+        (F.lit("month"), month), (F.lit("total"), F.lit(None).cast("int"))],
+        ("level", "months_on_book"))
+    return spread.groupBy("level", "months_on_book").agg(*[
+        safe_div(F.sum(f"par{d}"), F.sum("deployed_capital")).alias(f"par{d}_by_capital")
+        for d in (30, 60, 90)], *[
+        safe_div(F.sum(f"par{d}_n"), F.sum("ever_activated")).alias(f"par{d}_by_customers")
+        for d in (30, 60, 90)],
+        safe_div(F.sum("par30"), F.sum("outstanding_balance")).alias("par30_by_balance"))
 
 
 def close_shares(snapshot: DataFrame) -> DataFrame:

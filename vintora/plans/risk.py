@@ -21,35 +21,39 @@ def matured(loans: DataFrame, terms: Terms) -> DataFrame:
     return loans.filter(F.col("due_on").cast("timestamp_ntz") < stamp(terms.now))
 
 
-def sales_after_last_due(orders: DataFrame, history: DataFrame, terms: Terms) -> DataFrame:
-    """Sales after a customer's last matured order; NULL channels count for neither side."""
+def last_due_orders(orders: DataFrame, terms: Terms) -> DataFrame:
+    """Creation day of each customer's last matured order."""
     due = F.col("delivery_at") + F.expr(f"INTERVAL {terms.credit_days} DAYS") < stamp(terms.now)
-    last = (orders.filter((F.col("order_status") == "COMPLETED") & due).groupBy("customer_id")
+    return (orders.filter((F.col("order_status") == "COMPLETED") & due).groupBy("customer_id")
             .agg(F.max(F.to_date("created_at")).alias("last_on")))
-    # (customer, sales order) is unique in the history, so orders are counted as rows.
-    after = history.join(last, "customer_id").filter(F.col("created_on") > F.col("last_on"))
-    field, other = F.col("channel") == terms.field_channel, F.col("channel") != terms.field_channel
-    return after.groupBy("customer_id").agg(
-        F.coalesce(F.sum(F.when(field, F.col("amount"))), F.lit(0.0)).alias("gross_field_after"),
-        F.count_if(field).alias("orders_field_after"),
-        F.coalesce(F.sum(F.when(other, F.col("amount"))), F.lit(0.0)).alias("gross_other_after"),
-        F.count_if(other).alias("orders_other_after"))
-
-
-def sales_before_eligible(grid: DataFrame, history: DataFrame) -> DataFrame:
-    """Sales of the 3 and 6 months before eligibility: one date per customer, so no pairs."""
-    start = F.to_date("eligible_at")
-    people = grid.filter(F.col("eligible_at").isNotNull()).select(
-        "customer_id", start.alias("eligible_on"))
-    near = history.join(people, "customer_id").filter(
-        (F.col("created_on") >= F.add_months("eligible_on", -6))
-        & (F.col("created_on") < F.col("eligible_on")))
-    recent = F.col("created_on") >= F.add_months("eligible_on", -3)
+
+
+def eligible_days(grid: DataFrame) -> DataFrame:
+    return grid.filter(F.col("eligible_at").isNotNull()).select(
+        "customer_id", F.to_date("eligible_at").alias("eligible_on"))
+
+
+def sales_around(history: DataFrame, last: DataFrame, eligible: DataFrame, terms: Terms
+                 ) -> DataFrame:
+    """Sales after the last matured order, and in the 3 and 6 months before eligibility.
+
+    Both anchors are one date per customer, so no pairs of sales and orders arise, and the
+    history is read once. (customer, sales order) is unique in it: orders are counted as rows.
+    NULL channels count for neither side of the later sales.
+    """
+    anchors = last.join(eligible, "customer_id", "full")
+    on, amount = F.col("created_on"), F.col("amount")
+    after = on > F.col("last_on")
+    field = after & (F.col("channel") == terms.field_channel)
+    other = after & (F.col("channel") != terms.field_channel)
+    six = (on >= F.add_months("eligible_on", -6)) & (on < F.col("eligible_on"))
+    three = six & (on >= F.add_months("eligible_on", -3))
+    parts = {"field_after": field, "other_after": other, "3m": three, "6m": six}
+    near = history.join(anchors, "customer_id").filter(after | six)
     return near.groupBy("customer_id").agg(
-        F.coalesce(F.sum(F.when(recent, F.col("amount"))), F.lit(0.0)).alias("gross_3m"),
-        F.count_if(recent).alias("orders_3m"),
-        F.coalesce(F.sum("amount"), F.lit(0.0)).alias("gross_6m"),
-        F.count(F.lit(1)).alias("orders_6m"))
+        *[F.coalesce(F.sum(F.when(c, amount)), F.lit(0.0)).alias(f"gross_{n}")
+          for n, c in parts.items()],
+        *[F.count_if(c).alias(f"orders_{n}") for n, c in parts.items()])
 
 
 def distance() -> Column:
@@ -68,9 +72,8 @@ def matured_profile(loans: DataFrame, grid: DataFrame, orders: DataFrame, histor
     zero = ("gross_field_after", "gross_other_after", "gross_3m", "gross_6m")
     none = ("orders_field_after", "orders_other_after", "orders_3m", "orders_6m")
     base = matured(loans, terms).join(person, "customer_id", "left")
-    for side in (sales_after_last_due(orders, history, terms),
-                 sales_before_eligible(grid, history)):
-        base = base.join(side, "customer_id", "left")
+    around = sales_around(history, last_due_orders(orders, terms), eligible_days(grid), terms)
+    base = base.join(around, "customer_id", "left")
     out = base.withColumns({
         **{c: F.coalesce(c, F.lit(0.0)) for c in zero}, **{c: F.coalesce(c, F.lit(0)) for c in none},
         "avg_ticket_3m": F.when(F.col("orders_3m") > 0, rounded_long(

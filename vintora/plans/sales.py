@@ -9,6 +9,7 @@ from vintora.functions import has_text, month_start, months_between, safe_div
 from vintora.operators.relational import months, tail_from
 from vintora.operators.skew import keyed_window
 from vintora.params import ACTIVE_STATES, Terms
+from vintora.session import checkpoint_dir
 
 
 def universe(approvals: DataFrame, orders: DataFrame | None) -> DataFrame:
@@ -49,8 +50,9 @@ def first_credit_months(orders: DataFrame) -> DataFrame:
 def cohort_panel(order_months: DataFrame, first_credit: DataFrame) -> DataFrame:
     """Month x first-purchase cohort x first-credit month, zero-filled, with its period 0.
 
-    Cohort and activity tables have at most months^3 rows; only the customer-month step
-    touches the facts. (customer, order, month) is unique, so orders per month are a count.
+    Only the customer-month step touches the facts. Its result, at most months^3 rows, is used
+    three times, so it is checkpointed. (customer, order, month) is unique, so orders per month
+    are a count.
     """
     cohort = ["first_month", "credit_flag", "first_credit"]
     activity = order_months.groupBy("customer_id", "month").agg(
@@ -64,11 +66,13 @@ def cohort_panel(order_months: DataFrame, first_credit: DataFrame) -> DataFrame:
     cells = tagged.groupBy(*cohort, "month").agg(
         F.count(F.lit(1)).alias("active"), F.sum("orders").alias("orders"),
         F.sum("gross").alias("gross"))
+    checkpoint_dir(cells.sparkSession)
+    cells = cells.checkpoint()
     # Every customer buys in the first month, so cohort sizes are the cells of that month.
     sizes = cells.filter(F.col("month") == F.col("first_month")).select(
         *cohort, F.col("active").alias("cohort_customers"), F.col("orders").alias("orders_base"),
         F.col("gross").alias("gross_base"))
-    all_months = activity.agg(F.sort_array(F.collect_set("month"))).scalar()
+    all_months = cells.agg(F.sort_array(F.collect_set("month"))).scalar()
     panel = sizes.withColumn("month", F.explode(tail_from(all_months, "first_month")))
     right = cells.select(*[F.col(c).alias(f"_{c}") for c in (*cohort, "month")],
                          "active", "orders", "gross")
@@ -94,15 +98,16 @@ def month_seasonality(order_months: DataFrame) -> DataFrame:
 
 def seasonality_pairs(season: DataFrame) -> DataFrame:
     """Every ordered pair of calendar months. The twelve months fit one array per row."""
-    rows = season.agg(F.collect_list(F.struct("calendar_month", "avg_ticket", "avg_volume"))
-                      ).scalar()
-    pair = season.withColumn("to", F.explode(rows)).filter(
-        F.col("calendar_month") != F.col("to.calendar_month"))
-    ticket = F.col("to.avg_ticket") / F.col("avg_ticket")
-    volume = F.col("to.avg_volume") / F.col("avg_volume")
+    every = season.agg(F.collect_list(F.struct("calendar_month", "avg_ticket", "avg_volume"))
+                       .alias("all"))
+    pair = (every.withColumn("from", F.explode("all")).withColumn("to", F.explode("all"))
+            .filter(F.col("from.calendar_month") != F.col("to.calendar_month")))
+    ticket = F.col("to.avg_ticket") / F.col("from.avg_ticket")
+    volume = F.col("to.avg_volume") / F.col("from.avg_volume")
     return pair.select(
-        F.col("calendar_month").alias("from_month"), F.col("to.calendar_month").alias("to_month"),
-        F.col("avg_ticket").alias("from_ticket"), F.col("avg_volume").alias("from_volume"),
+        F.col("from.calendar_month").alias("from_month"),
+        F.col("to.calendar_month").alias("to_month"),
+        F.col("from.avg_ticket").alias("from_ticket"), F.col("from.avg_volume").alias("from_volume"),
         F.col("to.avg_ticket").alias("to_ticket"), F.col("to.avg_volume").alias("to_volume"),
         ticket.alias("ticket_ratio"), (ticket - 1).alias("ticket_delta"),
         volume.alias("volume_ratio"), (volume - 1).alias("volume_delta"))

@@ -134,7 +134,7 @@ def _null_safe(book: Book) -> DataFrame:
 
 
 def _orphans(book: Book) -> DataFrame:
-    known = book.lines.select(F.col("sales_order_id").alias("transaction_id"))
+    known = book.lines.select(F.col("sales_order_id").alias("transaction_id")).distinct()
     done = book.lines.filter(F.col("order_status") == "COMPLETED")
     people = book.source.customers.select(F.col("netsuiteId").alias("customer_id"))
 
@@ -143,8 +143,9 @@ def _orphans(book: Book) -> DataFrame:
 
     return load.union_all([
         count(book.payments.join(known, "transaction_id", "left_anti"), "payment"),
-        count(done.join(book.deliveries, "sales_order_id", "left_anti"), "line"),
-        count(book.approvals.join(people, "customer_id", "left_anti"), "approval")])
+        count(done.join(book.deliveries.select("sales_order_id").distinct(),
+                        "sales_order_id", "left_anti"), "line"),
+        count(book.approvals.join(people.distinct(), "customer_id", "left_anti"), "approval")])
 
 
 def _havings(book: Book) -> DataFrame:
@@ -219,28 +220,49 @@ def _audit(book: Book) -> DataFrame:
         F.col("view").isin(*names, "pub_not_built"))
 
 
+_CHANGES = "id STRING, ts TIMESTAMP_NTZ, changed_at TIMESTAMP_NTZ, status STRING, value DOUBLE"
+
+
+def _changes(book: Book) -> DataFrame:
+    """Events as documents: each opens at ``ts``, and two of three change 1 to 20 days later."""
+    later = F.expr("make_dt_interval(CAST(event_id % 20 + 1 AS INT))")
+    opened = _events(book).select(
+        F.concat(F.lit("E"), "event_id").alias("id"), "ts", F.col("ts").alias("changed_at"),
+        F.lit("open").alias("status"), "value", "event_id")
+    changed = opened.filter("event_id % 3 <> 0").withColumns({
+        "changed_at": F.col("ts") + later, "status": F.lit("done"), "value": F.col("value") * 2})
+    return opened.unionByName(changed).drop("event_id")
+
+
 def _stream_upsert(book: Book) -> DataFrame:
+    """Two runs of the same stream: the second only sees the files written after the first."""
     spark = book.source.spark
-    folder, state = load.scratch(spark, "events-in"), load.scratch(spark, "events-out")
-    _events(book).repartitionByRange(4, "event_id").write.parquet(folder)
-    table = load.VersionedTable(spark, state)
-    query = jobs.upsert_stream(
-        jobs.read_events(spark, folder, files_per_batch=2), table,
-        load.scratch(spark, "events-log"), book.terms, key="user_id", at="ts", version="ts",
-        status="event_type", final=("purchase",))
-    query.awaitTermination()
+    folder, log = load.scratch(spark, "changes-in"), load.scratch(spark, "changes-log")
+    rule = jobs.Mutable("id", "ts", "changed_at", "status", ("done",), days=5)
+    table = jobs.ChangingTable(spark, load.scratch(spark, "changes-out"), rule)
+    half = F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")
+    for part in (F.col("changed_at") < half, F.col("changed_at") >= half):
+        _changes(book).filter(part).write.mode("append").parquet(folder)
+        jobs.upsert_stream(jobs.read_stream(spark, folder, _CHANGES), table, log
+                           ).awaitTermination()
     return table.read()
 
 
 def _stream_lag(book: Book) -> DataFrame:
     spark = book.source.spark
     table = load.VersionedTable(spark, load.scratch(spark, "lag-out"))
-    query = jobs.lag_stream(jobs.read_events(spark, book.source.dir, "events.parquet"), table,
-                            load.scratch(spark, "lag-log"), "event_type", "ts")
+    events = jobs.read_stream(spark, book.source.dir, "event_type STRING, ts TIMESTAMP_NTZ",
+                              "events.parquet")
+    query = jobs.lag_stream(events, table, load.scratch(spark, "lag-log"), "event_type", "ts")
     query.awaitTermination()
     return jobs.lag_status(table, "event_type", dt.datetime(2024, 1, 31, 23, 30))
 
 
+def _around(book: Book) -> DataFrame:
+    return risk.sales_around(book.history, risk.last_due_orders(book.orders, book.terms),
+                             risk.eligible_days(book.grid), book.terms)
+
+
 def _recent(book: Book) -> DataFrame:
     return explore.recent_orders(book.sales, book.terms)
 
@@ -436,15 +458,12 @@ QUERIES = [
     Query("null_safe_join", _null_safe, "channel old:m new:m",
           """SELECT channel, sum(amount) FILTER (WHERE year(created_on) < 1999) AS old,
              sum(amount) FILTER (WHERE year(created_on) >= 1999) AS new FROM slines GROUP BY 1"""),
-    Query("post_event_sales", lambda b: risk.sales_after_last_due(b.orders, b.history, b.terms),
+    Query("post_event_sales", lambda b: _around(b).filter(
+        "orders_field_after + orders_other_after > 0"),
           "customer_id gross_field_after:m orders_field_after:i gross_other_after:m"
           " orders_other_after:i",
-          """SELECT a.* FROM after a JOIN (SELECT customer_id, CAST(max(created_at) AS DATE) AS l
-             FROM gorders WHERE order_status = 'COMPLETED' AND delivery_at + INTERVAL 15 DAY
-             < TIMESTAMP '2001-08-15 12:00:00' GROUP BY 1) u USING (customer_id)
-             WHERE EXISTS (SELECT 1 FROM hist h WHERE h.customer_id = a.customer_id
-                           AND h.created_on > u.l)"""),
-    Query("lookback_windows", lambda b: risk.sales_before_eligible(b.grid, b.history),
+          "SELECT * FROM after WHERE orders_field_after + orders_other_after > 0"),
+    Query("lookback_windows", lambda b: _around(b).filter("orders_6m > 0"),
           "customer_id gross_3m:m orders_3m:i gross_6m:m orders_6m:i",
           "SELECT * FROM before WHERE orders_6m > 0"),
     Query("reach_share", lambda b: explore.reach_share(b.snapshot, risk.matured(b.loans, b.terms)),
@@ -766,9 +785,11 @@ QUERIES = [
               WHERE order_status IN {ACTIVE} GROUP BY 1"""),
 
     # -- streams
-    Query("stream_upsert", _stream_upsert, "user_id:i event_id:i event_type ts:t",
-          """SELECT user_id, event_id, event_type, ts FROM events QUALIFY row_number() OVER (
-             PARTITION BY user_id ORDER BY ts DESC) = 1"""),
+    Query("stream_upsert", _stream_upsert, "id ts:t changed_at:t status value:m",
+          """SELECT 'E' || event_id AS id, ts, CASE WHEN event_id % 3 = 0 THEN ts
+                 ELSE ts + to_days(CAST(event_id % 20 + 1 AS INTEGER)) END AS changed_at,
+             CASE WHEN event_id % 3 = 0 THEN 'open' ELSE 'done' END AS status,
+             CASE WHEN event_id % 3 = 0 THEN value ELSE value * 2 END AS value FROM events"""),
     Query("stream_lag", _stream_lag, "event_type rows:i last_at:t lag_hours:r lamp",
           """SELECT *, CASE WHEN lag_hours >= 48 THEN 'CRIT' WHEN lag_hours >= 24 THEN 'WARN'
                  ELSE 'OK' END AS lamp FROM (SELECT event_type, count(*) AS rows,

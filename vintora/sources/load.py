@@ -179,7 +179,7 @@ def definition_hash(text: str) -> str:
 
 def append_new(log: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
     """The log with the entries it does not have yet; a second call changes nothing."""
-    fresh = entries.dropDuplicates(keys).join(log.select(*keys), keys, "left_anti")
+    fresh = entries.dropDuplicates(keys).join(log.select(*keys).distinct(), keys, "left_anti")
     return log.unionByName(fresh)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,14 +74,19 @@ STAGING = {
 }
 
 
+@cache
 def schema_of(table: str) -> T.StructType:
     return T.StructType.fromDDL(STAGING[table])
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Exactly the columns of the table: missing ones NULL, types cast, others dropped."""
-    have = set(df.columns)
-    return df.select(*[
-        (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have
-         else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema_of(table)])
+    """Exactly the columns of the table: missing ones NULL, types cast, others dropped.
+
+    Text that does not parse becomes NULL; any other type that does not fit is an error.
+    """
+    schema = schema_of(table)
+    parsed = {
+        f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema
+        if f.name in df.columns and isinstance(df.schema[f.name].dataType, T.StringType)
+        and not isinstance(f.dataType, T.StringType)}
+    return (df.withColumns(parsed) if parsed else df).to(schema)

@@ -3,60 +3,90 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from vintora.functions import stamp
 from vintora.operators.relational import descending, first_per_key
-from vintora.params import Terms
 from vintora.sources.load import VersionedTable
 
-EVENTS = """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,
-    props STRING"""
 
-
-def read_events(spark: SparkSession, folder: str, pattern: str = "*.parquet",
+def read_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet",
                 files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", pattern)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(folder)
 
 
-def merge_window(current: DataFrame | None, batch: DataFrame, key: str, at: str, version: str,
-                 status: str, final: tuple[str, ...], days: int) -> DataFrame:
-    """The table after a batch of changes.
+@dataclass(frozen=True)
+class Mutable:
+    """What may change: a row inside the window of ``days``, or one whose status is not final.
 
-    A change replaces the row of its key if that row is inside the window that ends with the
-    newest row, or is not final yet. Closed rows keep their state.
+    ``at`` is the creation time and never changes for a key; ``version`` orders its changes.
     """
-    newest = first_per_key(batch, [key], [descending(version)])
-    if current is None:
-        return newest
-    clock = current.select(F.max(at).alias("m")).unionByName(newest.select(F.max(at).alias("m")))
-    cutoff = clock.agg(F.max("m")).scalar() - F.expr(f"INTERVAL {days} DAYS")
-    frozen = current.filter((F.col(at) < cutoff) & F.col(status).isin(*final))
-    open_rows = current.join(frozen.select(key), key, "left_anti")
-    incoming = newest.join(frozen.select(key), key, "left_anti")
-    changed = open_rows.unionByName(incoming)
-    return frozen.unionByName(first_per_key(changed, [key], [descending(version)]))
-
-
-def upsert_stream(stream: DataFrame, table: VersionedTable, checkpoint: str, terms: Terms,
-                  key: str, at: str, version: str, status: str, final: tuple[str, ...],
-                  days: int | None = None) -> StreamingQuery:
-    """Keep ``table`` at the latest state of each key.
-
-    A batch that is run again after a failure gives the same table, since it keeps the newest
-    version of each key.
+
+    key: str
+    at: str
+    version: str
+    status: str
+    final: tuple[str, ...]
+    days: int
+
+
+class ChangingTable:
+    """A table whose closed rows are only ever appended.
+
+    ``open`` holds the rows that can still change and is rewritten by each batch; rows that can
+    change no more move to ``closed``. A batch therefore costs as much as the open window, and
+    not as much as the history. The marker of the open version commits both parts.
     """
+
+    def __init__(self, spark: SparkSession, path: str, rule: Mutable):
+        self.spark, self.path, self.rule = spark, path.rstrip("/"), rule
+        self.open = VersionedTable(spark, f"{self.path}/open")
+
+    def _closed(self, version: int) -> str:
+        return f"{self.path}/closed/v{version}"
+
+    def read(self) -> DataFrame:
+        df = self.open.read()
+        parts = [self._closed(v) for v in self.open.versions()]
+        return df.unionByName(self.spark.read.schema(df.schema).parquet(*parts))
+
+    def apply(self, batch: DataFrame) -> None:
+        """Merge a batch of changes; the same batch applied twice gives the same table."""
+        rule = self.rule
+        newest_first = [descending(rule.version)]
+        incoming = first_per_key(batch, [rule.key], newest_first).select(*batch.columns)
+        if self.open.exists():
+            current = self.open.read()
+            clock = current.agg(F.max(rule.at).alias("t")).unionByName(
+                incoming.agg(F.max(rule.at).alias("t")))
+            cutoff = clock.agg(F.max("t")).first()[0] - dt.timedelta(days=rule.days)
+            # An old row that is not open is closed already, or was never loaded.
+            known = current.select(rule.key).distinct().withColumn("_known", F.lit(True))
+            accepted = incoming.join(known, rule.key, "left").filter(
+                (F.col(rule.at) >= stamp(cutoff)) | F.col("_known")).drop("_known")
+            merged = first_per_key(current.unionByName(accepted), [rule.key], newest_first)
+        else:
+            newest = incoming.agg(F.max(rule.at)).first()[0]
+            cutoff = newest - dt.timedelta(days=rule.days)
+            merged = incoming
+        merged = merged.select(*batch.columns)
+        done = (F.col(rule.at) < stamp(cutoff)) & F.col(rule.status).isin(*rule.final)
+        version = (self.open.versions() or [0])[-1] + 1
+        merged.filter(done).write.mode("overwrite").parquet(self._closed(version))
+        self.open.replace(merged.filter(~F.coalesce(done, F.lit(False))))
+
+
+def upsert_stream(stream: DataFrame, table: ChangingTable, checkpoint: str) -> StreamingQuery:
     def merge(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        current = table.read() if table.exists() else None
-        table.replace(merge_window(current, batch, key, at, version, status, final,
-                                   days or terms.mutable_days))
+        if not batch.isEmpty():
+            table.apply(batch)
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -80,8 +110,7 @@ def lag_stream(stream: DataFrame, table: VersionedTable, checkpoint: str, source
 
 def lag_status(table: VersionedTable, source: str, now: dt.datetime) -> DataFrame:
     """Lamp per source: 24 hours warn, 48 hours critical."""
-    lag = F.timestamp_diff("SECOND", F.col("last_at"),
-                           F.lit(now).cast("timestamp_ntz")) / 3600
+    lag = F.timestamp_diff("SECOND", F.col("last_at"), stamp(now)) / 3600
     return (table.read().groupBy(source).agg(F.max("last_at").alias("last_at"),
                                              F.sum("rows").alias("rows"))
             .withColumn("lag_hours", lag)
