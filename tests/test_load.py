@@ -4,9 +4,9 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
-from vintora.plans import build, quality
+from vintora.plans import build, nightly, quality
 from vintora.plans.book import Book
-from vintora.sources import load
+from vintora.sources import contracts, intake, load
 from vintora.sources.schemas import STAGING, conform, schema_of
 from vintora.streaming.jobs import ChangingTable, Mutable
 
@@ -15,7 +15,7 @@ def t(day, hour=0):
     return dt.datetime(2024, 1, day, hour)
 
 
-def test_every_schema_parses():
+def test_every_schema_parses(spark):
     assert all(len(schema_of(name)) for name in STAGING)
 
 
@@ -144,6 +144,48 @@ def test_one_bad_view_does_not_stop_the_others(book):
     assert book.source.spark.catalog.tableExists("pub_cohort_cac")
 
 
+def test_night_stops_on_a_critical_source(spark, book, tmp_path):
+    status = spark.createDataFrame([("credit_order", "CRIT"), ("customers", "CRIT")],
+                                   "source STRING, source_lamp STRING")
+    night = nightly.run(book, str(tmp_path), status)
+    assert night.stopped_by == ["credit_order"] and night.exit_code == 1 and not night.log
+
+
+def test_contest_file(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text(",".join(contracts.CONTEST_HEADER) + "\n 12,2500.5,A,R1,O1,SV1\n", "utf-8")
+    row = contracts.read_contest(spark, str(path)).first()
+    assert (row["netsuite_id"], row["netsuite_id_num"], row["linea_nueva"], row["ruta_preventa"],
+            row["supervisor"]) == ("12", 12, 2500.5, "R1", "SV1")
+
+
+def test_clean_combination(spark):
+    df = spark.createDataFrame([("['a b'&'c']",)], "x STRING")
+    assert df.select(contracts.clean_combination("x")).first()[0] == "ab & c"
+
+
+def test_empty_window_keeps_the_table(spark, book, tmp_path):
+    staging = intake.Staging(spark, str(tmp_path))
+    lines = book.source.credit_order
+    terms = book.terms
+    intake.load_all(staging, {"credit_order": lines}, terms)
+    before = staging.credit_order.count()
+    with pytest.raises(load.EmptyLoad):
+        intake.load_all(staging, {"credit_order": lines.limit(0)}, terms)
+    assert staging.credit_order.count() == before
+    with pytest.raises(KeyError):
+        intake.load_all(staging, {}, terms, only=["nope"])
+
+
+def test_partitioned_version_keeps_types(spark, tmp_path):
+    table = load.VersionedTable(spark, str(tmp_path / "p"))
+    df = spark.createDataFrame([("2001-08", 1), ("2001-09", 2)], "month STRING, v INT")
+    table.replace(df, by="month")
+    assert table.read().schema["month"].dataType.simpleString() == "string"
+    assert sorted(map(tuple, table.read().select("month", "v").collect())) == [
+        ("2001-08", 1), ("2001-09", 2)]
+
+
 # -- changing table --------------------------------------------------------
 
 RULE = Mutable("id", "at", "changed", "status", ("done",), days=5)

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-_OFFSET_MS = 6 * 3600 * 1000
+OFFSET_MS = 6 * 3600 * 1000
 # Fixed value: what counts as text starting with an ISO date.
 _ISO_DATE = r"^\d{4}-\d{2}-\d{2}"
 
@@ -18,7 +18,7 @@ def col(c) -> Column:
 
 
 def stamp(moment: dt.datetime) -> Column:
-    return F.expr(f"TIMESTAMP_NTZ'{moment:%Y-%m-%d %H:%M:%S}'")
+    return F.expr(f"TIMESTAMP_NTZ'{moment:%Y-%m-%d %H:%M:%S.%f}'")
 
 
 def day(value: dt.date) -> Column:
@@ -30,12 +30,12 @@ def day(value: dt.date) -> Column:
 def epoch_ms_to_local(ms) -> Column:
     """Epoch milliseconds to local time; NULL, zero and negative give NULL."""
     ms = col(ms)
-    shifted = F.timestamp_add("MILLISECOND", ms.cast("bigint") - _OFFSET_MS, F.expr(_EPOCH))
+    shifted = F.timestamp_add("MILLISECOND", ms.cast("bigint") - OFFSET_MS, F.expr(_EPOCH))
     return F.when(ms > 0, shifted)
 
 
 def local_to_epoch_ms(ts) -> Column:
-    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH), col(ts)) + _OFFSET_MS
+    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH), col(ts)) + OFFSET_MS
 
 
 def iso_to_local(text) -> Column:

@@ -10,7 +10,7 @@ ACTIVE_STATES = ("COMPLETED", "CREATED", "IN_DELIVERY")
 # Both spellings of a cancelled order.
 CANCELLED_STATES = ("CANCELED", "CANCELLED")
 # Order states that no longer change.
-FINAL_STATES = ("COMPLETED", "CANCELED", "CANCELLED", "REJECTED")
+FINAL_STATES = ("COMPLETED", "REJECTED", "CANCELLED", "NO_VISITED")
 # Delinquency buckets from 30 / 60 / 90 days on.
 PAR30 = ("DQ 30-59", "DQ 60-89", "DQ 90+")
 PAR60 = ("DQ 60-89", "DQ 90+")

@@ -74,7 +74,9 @@ class Book:
 
     @cached_property
     def routes(self) -> DataFrame:
-        return credit.current_routes(self.source.commercial_structure, self.source.route_mapping)
+        return credit.current_routes(
+            normalise.known(self.source.commercial_structure, "netsuite_id"),
+            normalise.known(self.source.route_mapping, "ruta"))
 
     # -- credit
 

@@ -16,11 +16,11 @@ from vintora.operators.relational import (
 )
 from vintora.operators.skew import keyed_window, number_rows
 from vintora.params import FINAL_STATES, STAGE_ORDER
-from vintora.plans import build, contest, credit, explore, measures, quality, risk
+from vintora.plans import build, consumers, contest, credit, explore, measures, quality, risk
 from vintora.plans.book import Book
 from vintora.registry.core import Query
 from vintora.registry.views import ACTIVE, AS_OF, bucket, monday
-from vintora.sources import load, normalise
+from vintora.sources import contracts, intake, load, normalise
 from vintora.streaming import jobs
 
 _EVENT_CUT = dt.datetime(2024, 1, 21)
@@ -99,6 +99,35 @@ def _header_contract(book: Book) -> DataFrame:
                              "customer_id", ["line"])
 
 
+def _file_contract(book: Book) -> DataFrame:
+    """The recomputed pairs as the file people hand in, read back under its contract."""
+    spark = book.source.spark
+    path = load.scratch(spark, "pair_odds.csv")
+    load.export_csv(consumers.published_pair_odds(book.pairs).withColumn(
+        "br", F.col("bad_rate")), path)
+    rows = contracts.read_file(spark, "pair_odds", path)
+    raw = F.concat(F.lit("['"), "atr1", F.lit("'&'"), "atr2", F.lit("']"))
+    return rows.withColumn("combo_id", contracts.combination_id(
+        "loan_disbursement_index_range", "flag", contracts.clean_combination(raw)))
+
+
+def _intake(book: Book) -> DataFrame:
+    """A first load without the open orders' last state, then a windowed load a day later."""
+    spark, source = book.source.spark, book.source
+    staging = intake.Staging(spark, load.scratch(spark, "staging"))
+    terms = book.terms.at(now=dt.datetime(2001, 7, 1))
+    stale = source.credit_order.withColumn("orderStatus", F.when(
+        F.col("orderStatus") == "IN_DELIVERY", "CREATED").otherwise(F.col("orderStatus")))
+    intake.load_all(staging, {"credit_order": stale, "customers": source.customers}, terms)
+    intake.load_all(staging, {"credit_order": source.credit_order}, terms.at(
+        now=terms.now + dt.timedelta(days=1)))
+    runs = staging.log().select("table_name", "mode", "rows").collect()
+    if sorted((r[0], r[1]) for r in runs) != [
+            ("credit_order", "full"), ("credit_order", "window"), ("customers", "full")]:
+        raise RuntimeError(f"unexpected loads {runs}")
+    return staging.credit_order
+
+
 def _csv_export(book: Book) -> DataFrame:
     spark = book.source.spark
     path = load.scratch(spark, "detail.csv")
@@ -338,7 +367,7 @@ QUERIES = [
               WHERE created_at >= {AS_OF} - 60 OR sales_order_id IN (
                   SELECT sales_order_id FROM lines WHERE created_at < {AS_OF} - 60
                   AND trim(sales_order_id) <> '' AND (order_status IS NULL OR order_status NOT IN
-                  ('COMPLETED', 'CANCELED', 'CANCELLED', 'REJECTED')))"""),
+                  ('COMPLETED', 'REJECTED', 'CANCELLED', 'NO_VISITED')))"""),
     Query("flatten_json", _flatten, "event_id:i props_k:i who_id:i who_detail tags",
           """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k,
              user_id AS who_id,
@@ -375,6 +404,16 @@ QUERIES = [
           """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_acctbal + 2000 AS line,
              CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS class,
              'R' || c_custkey % 9 AS route FROM customer WHERE c_custkey % 3 = 1"""),
+    Query("file_contract", _file_contract,
+          "combo_id atr1_rank atr2_rank events:i good:i bad:i br:r woe:r iv:r",
+          """SELECT loan_range || '_' || flag || '_' || atr1 || ' & ' || atr2 AS combo_id,
+             atr1_rank, atr2_rank, events, good, bad, bad_rate AS br, woe, iv FROM pairs"""),
+    Query("windowed_intake", _intake,
+          "salesOrderId orderId productId orderStatus quantity:m",
+          """SELECT sales_order_id AS "salesOrderId", order_id AS "orderId",
+             product_id AS "productId", CASE WHEN trim(sales_order_id) = ''
+                 AND order_status = 'IN_DELIVERY' AND created_at < DATE '2001-05-03'
+                 THEN 'CREATED' ELSE order_status END AS "orderStatus", quantity FROM lines"""),
     Query("csv_export", _csv_export,
           "customer_id sales_order_id created_on:t amount:m credit_line:m is_credit_order:i",
           """SELECT r.customer_id, r.sales_order_id, created_on, amount, credit_line,

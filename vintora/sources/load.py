@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -116,7 +118,10 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 class VersionedTable:
     """Parquet versions below one folder. A version counts once its marker file exists, so a
-    reader sees either the old or the new table, and a lost job leaves the old one."""
+    reader sees either the old or the new table, and a lost job leaves the old one.
+
+    The marker holds the schema: opening a version reads no file footer and infers nothing.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -124,6 +129,9 @@ class VersionedTable:
         self._fs = self._files.Path(self.path).getFileSystem(
             spark._jsc.hadoopConfiguration())
 
+    def _marker(self, version: int):
+        return self._files.Path(f"{self.path}/v{version}.ok")
+
     def versions(self) -> list[int]:
         root = self._files.Path(self.path)
         if not self._fs.exists(root):
@@ -134,19 +142,35 @@ class VersionedTable:
     def exists(self) -> bool:
         return bool(self.versions())
 
+    def schema(self, version: int) -> T.StructType:
+        stream = self._fs.open(self._marker(version))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return T.StructType.fromJson(json.loads(text))
+
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/v{self.versions()[-1]}")
+        version = self.versions()[-1]
+        return self.spark.read.schema(self.schema(version)).parquet(f"{self.path}/v{version}")
+
+    def replace(self, df: DataFrame, by: str | None = None) -> int:
+        """Write a new version and make it current; no rows means no change.
 
-    def replace(self, df: DataFrame) -> int:
-        """Write a new version and make it current; no rows means no change."""
+        With ``by`` the version is partitioned by that column. The rebalance gives each value as
+        many files as its size asks for, so neither small files nor one huge writer arise.
+        """
         version = (self.versions() or [0])[-1] + 1
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").parquet(f"{self.path}/v{version}")
+        writer = (counted.hint("rebalance", by).write.partitionBy(by) if by else counted.write)
+        writer.mode("overwrite").parquet(f"{self.path}/v{version}")
         rows = seen.get["rows"]
         if rows == 0:
             raise EmptyLoad(f"{self.path}: the load has no rows")
-        self._fs.create(self._files.Path(f"{self.path}/v{version}.ok")).close()
+        stream = self._fs.create(self._marker(version))
+        stream.write(bytearray(df.schema.json().encode()))
+        stream.close()
         return rows
 
 
@@ -194,5 +218,4 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder next to the checkpoints, reachable by all executors."""
-    import uuid
     return f"{checkpoint_dir(spark).rstrip('/')}/vintora/{name}-{uuid.uuid4().hex}"

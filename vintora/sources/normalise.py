@@ -89,6 +89,11 @@ def route_days(df: DataFrame) -> DataFrame:
         F.col("tipo_cliente").alias("customer_type"), "status")
 
 
+def known(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a warehouse table that have their key."""
+    return df.filter(F.col(key).isNotNull())
+
+
 def yearly_sales(old: list[DataFrame], new: list[DataFrame], terms: Terms) -> DataFrame:
     """Union of the yearly tables with one amount definition per generation.
 

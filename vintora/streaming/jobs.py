@@ -62,22 +62,21 @@ class ChangingTable:
         rule = self.rule
         newest_first = [descending(rule.version)]
         incoming = first_per_key(batch, [rule.key], newest_first).select(*batch.columns)
+        window = dt.timedelta(days=rule.days)
+        newest = incoming.agg(F.max(rule.at)).first()[0]
+        merged = incoming
         if self.open.exists():
             current = self.open.read()
-            clock = current.agg(F.max(rule.at).alias("t")).unionByName(
-                incoming.agg(F.max(rule.at).alias("t")))
-            cutoff = clock.agg(F.max("t")).first()[0] - dt.timedelta(days=rule.days)
-            # An old row that is not open is closed already, or was never loaded.
+            # The newest row is always open, so the open part knows the clock of the last batch.
+            before = current.agg(F.max(rule.at)).first()[0]
+            newest = max(newest, before)
+            # A row from before the last window is open, or closed, or was never to be loaded.
             known = current.select(rule.key).distinct().withColumn("_known", F.lit(True))
             accepted = incoming.join(known, rule.key, "left").filter(
-                (F.col(rule.at) >= stamp(cutoff)) | F.col("_known")).drop("_known")
+                (F.col(rule.at) >= stamp(before - window)) | F.col("_known")).drop("_known")
             merged = first_per_key(current.unionByName(accepted), [rule.key], newest_first)
-        else:
-            newest = incoming.agg(F.max(rule.at)).first()[0]
-            cutoff = newest - dt.timedelta(days=rule.days)
-            merged = incoming
         merged = merged.select(*batch.columns)
-        done = (F.col(rule.at) < stamp(cutoff)) & F.col(rule.status).isin(*rule.final)
+        done = (F.col(rule.at) < stamp(newest - window)) & F.col(rule.status).isin(*rule.final)
         version = (self.open.versions() or [0])[-1] + 1
         merged.filter(done).write.mode("overwrite").parquet(self._closed(version))
         self.open.replace(merged.filter(~F.coalesce(done, F.lit(False))))
