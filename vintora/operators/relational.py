@@ -30,22 +30,18 @@ def descending(c) -> Column:
 
 
 def match_with_fallback(left: DataFrame, right: DataFrame, first: tuple[str, str],
-                        second: tuple[str, str], best: list[Column] | None = None) -> DataFrame:
+                        second: tuple[str, str]) -> DataFrame:
     """Rows of ``left`` with a partner by the first key, else by the second; others dropped.
 
-    The first key is unique on the right. The second may repeat on both sides: with ``best`` only
-    the first row by that order stays per second key, before the join, so that a key with many
-    rows and many partners does not multiply.
+    ``right`` holds distinct pairs of both keys, and the first one is unique in it once reduced.
+    Rows without a first key never reach its join, so they cannot gather in one partition.
     """
-    by_first = left.join(right.filter(has_text(first[1])).dropDuplicates(
-        [first[1]]).select(F.col(first[1]).alias("_key")),
-        F.col(first[0]) == F.col("_key"), "left")
-    hit = by_first.filter(F.col("_key").isNotNull()).withColumnRenamed("_key", "matched_key")
-    missed = by_first.filter(F.col("_key").isNull() & has_text(second[0])).drop("_key")
-    if best:
-        missed = first_per_key(missed, [second[0]], best)
-    partners = right.select(F.col(second[1]).alias("_key"), F.col(first[1]).alias("matched_key")
-                            ).dropDuplicates()
+    named = left.filter(has_text(first[0]))
+    keys = right.select(F.col(first[1]).alias("matched_key")).distinct()
+    hit = named.join(keys, F.col(first[0]) == F.col("matched_key"))
+    missed = left.filter(has_text(second[0])).join(
+        right.select(F.col(first[1]).alias("_key")), F.col(first[0]) == F.col("_key"), "left_anti")
+    partners = right.select(F.col(second[1]).alias("_key"), F.col(first[1]).alias("matched_key"))
     rescued = missed.join(partners, F.col(second[0]) == F.col("_key")).drop("_key")
     return hit.unionByName(rescued)
 

@@ -11,7 +11,7 @@ from vintora.functions import (
     text_to_date, to_monday,
 )
 from vintora.operators.relational import (
-    dates, descending, first_per_key, interval_lookup, islands, match_with_fallback, tail_from,
+    dates, descending, first_per_key, interval_lookup, islands, tail_from,
     unpivot_steps,
 )
 from vintora.operators.skew import keyed_window
@@ -164,13 +164,21 @@ def grouped_orders(lines: DataFrame, approvals: DataFrame, payments: DataFrame,
 # -- loans -----------------------------------------------------------------
 
 def payment_per_order(payments: DataFrame, order_keys: DataFrame) -> DataFrame:
-    """The latest payment of each sales order, found by transaction or else by order id."""
+    """The latest payment of each sales order, found by transaction or else by order id.
+
+    The transaction id of a payment is the sales order itself in the normal case, so it needs no
+    lookup: a row whose transaction is no sales order finds no loan later. Only payments outside
+    the order keys take the second way, reduced to one per order id before the join.
+    """
     latest = [descending("movement_at"), descending("paid_at"), F.col("transaction_id")]
-    matched = match_with_fallback(
-        payments, order_keys, ("transaction_id", "sales_order_id"),
-        ("marketplace_order_id", "order_id"), latest
-    ).withColumnRenamed("matched_key", "sales_order_id")
-    return first_per_key(matched, ["sales_order_id"], latest)
+    direct = payments.filter(has_text("transaction_id")).withColumn(
+        "sales_order_id", F.col("transaction_id"))
+    known = order_keys.select(F.col("sales_order_id").alias("transaction_id"))
+    lost = (payments.filter(has_text("marketplace_order_id"))
+            .join(known, "transaction_id", "left_anti"))
+    rescued = first_per_key(lost, ["marketplace_order_id"], latest).join(
+        order_keys.withColumnRenamed("order_id", "marketplace_order_id"), "marketplace_order_id")
+    return first_per_key(direct.unionByName(rescued), ["sales_order_id"], latest)
 
 
 def mirror_per_order(mirrors: DataFrame) -> DataFrame:

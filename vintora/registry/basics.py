@@ -551,7 +551,8 @@ QUERIES = [
         credit.collapse_lines(b.lines), b.source.order_census),
           "customer_id sales_order_id order_status attempt_index:i completed_index:i"
           " activated_at:t", "indexed"),
-    Query("latest_payment", lambda b: credit.payment_per_order(b.payments, b.order_keys),
+    Query("latest_payment", lambda b: credit.payment_per_order(b.payments, b.order_keys).join(
+        b.order_keys.select("sales_order_id"), "sales_order_id", "left_semi"),
           "sales_order_id transaction_id movement_at:t paid_at:t", "plast"),
     Query("first_approval", lambda b: credit.first_approvals(b.approvals),
           "customer_id enrolled_at:t enrollment_cohort enrolled_limit:m", "enrolled"),
