@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vintora.operators.relational import (
-    assert_unique, broadcast_up_to, dates, descending, first_per_key, interval_lookup, islands,
+    assert_unique, dates, descending, first_per_key, interval_lookup, islands,
     match_with_fallback, months, tail_from,
 )
 from vintora.operators.skew import hot_keys, keyed_window, number_rows
@@ -122,12 +122,3 @@ def test_assert_unique(spark):
     assert_unique(df, ["k", "v"], "t")
     with pytest.raises(ValueError, match="not unique"):
         assert_unique(df, ["k"], "t")
-
-
-def test_broadcast_only_after_a_count(spark):
-    df = spark.range(100)
-
-    def hinted(x):
-        return "broadcast" in x._jdf.queryExecution().logical().toString().lower()
-
-    assert hinted(broadcast_up_to(df, 100)) and not hinted(broadcast_up_to(df, 99))

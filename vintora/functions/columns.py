@@ -122,12 +122,13 @@ def rounded_long(c) -> Column:
     return F.rint(F.round(col(c), 6)).cast("bigint")
 
 
-def safe_div(a, b) -> Column:
-    return col(a) / F.nullif(col(b), F.lit(0))
+def cents(c) -> Column:
+    """Rounded to cents; six places first, so that the noise of a product decides no half."""
+    return F.round(F.round(col(c), 6), 2)
 
 
-def money(c) -> Column:
-    return F.round(col(c), 2)
+def safe_div(a, b) -> Column:
+    return col(a) / F.nullif(col(b), F.lit(0))
 
 
 def rate(c) -> Column:

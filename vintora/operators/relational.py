@@ -110,8 +110,3 @@ def assert_unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     if sample:
         raise ValueError(f"{name}: {keys} is not unique, e.g. {sample[0].asDict()}")
     return df
-
-
-def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast only if the table has been counted and is small enough."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

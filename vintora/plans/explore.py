@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vintora.functions import clean_text, has_text, rate, safe_div
+from vintora.functions import cents, clean_text, has_text, rate, safe_div
 from vintora.operators.relational import duplicates, first_per_key
 from vintora.params import ACTIVE_STATES, Terms
 from vintora.plans.measures import with_total
@@ -105,7 +105,7 @@ def agreement(payments: DataFrame, mirrors: DataFrame) -> DataFrame:
         F.col(f).alias(f"a_{f}") for f in fields]).join(
         b.select(F.col("sales_order_id").alias("key"), *[F.col(f).alias(f"b_{f}") for f in fields]),
         "key")
-    same = {f: F.coalesce(F.round(f"a_{f}", 2) == F.round(f"b_{f}", 2), F.lit(False))
+    same = {f: F.coalesce(cents(f"a_{f}") == cents(f"b_{f}"), F.lit(False))
             for f in fields}
     counted = both.agg(F.count(F.lit(1)).alias("keys"), *[
         F.count_if(same[f]).alias(f) for f in fields])
@@ -134,12 +134,12 @@ def orphan_years(payments: DataFrame, order_keys: DataFrame) -> DataFrame:
 
 def amount_hypotheses(payments: DataFrame, terms: Terms) -> DataFrame:
     """Which relation between the amounts holds, and on how many payments with interest."""
-    spread = F.round(F.col("total_to_pay") - F.col("total_amount"), 2)
+    spread = cents(F.col("total_to_pay") - F.col("total_amount"))
     tests = {
         "commission = interest with tax":
-            F.round("commission_due", 2) == F.round(F.col("interests") * terms.tax, 2),
-        "spread = commission": spread == F.round("commission_due", 2),
-        "spread = interest": spread == F.round("interests", 2)}
+            cents("commission_due") == cents(F.col("interests") * terms.tax),
+        "spread = commission": spread == cents("commission_due"),
+        "spread = interest": spread == cents("interests")}
     base = payments.filter(F.col("interests") > 0)
     counted = base.agg(F.count(F.lit(1)).alias("rows"), *[
         F.count_if(c).alias(f"t{i}") for i, c in enumerate(tests.values())])

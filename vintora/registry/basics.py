@@ -308,6 +308,10 @@ def _percentile_sql(label: str, expr: str, table: str, extra: str = "") -> str:
             f" FROM (SELECT {v} AS v FROM {table}) t WHERE v IS NOT NULL {extra}")
 
 
+def _cents(x: str) -> str:
+    return f"round(CAST(round({x}, 6) AS DECIMAL(18, 6)), 2)"
+
+
 _CHECK_SQL = """
     SELECT *, CASE WHEN rows = 0 THEN 'OK' ELSE 'ALERT' END AS result FROM (
     SELECT 'blank_sales_order' AS check_name, 'order_lines' AS table_name, 'CRIT' AS severity,
@@ -687,13 +691,13 @@ QUERIES = [
              (SELECT count(*) FROM m WHERE t NOT IN (SELECT t FROM p)) AS only_right"""),
     Query("x04_agreement", lambda b: explore.agreement(b.payments, b.mirrors),
           "field keys:i equal:i share:r",
-          """WITH p AS (SELECT * FROM pay QUALIFY row_number() OVER (PARTITION BY transaction_id
+          f"""WITH p AS (SELECT * FROM pay QUALIFY row_number() OVER (PARTITION BY transaction_id
                  ORDER BY movement_at, total_amount) = 1),
              m AS (SELECT * FROM mir QUALIFY row_number() OVER (PARTITION BY sales_order_id
                  ORDER BY mirror_id) = 1),
-             j AS (SELECT round(p.total_amount, 2) = round(m.total_amount, 2) AS a,
-                 round(p.total_to_pay, 2) = round(m.total_to_pay, 2) AS b,
-                 round(p.interests, 2) = round(m.interests, 2) AS c
+             j AS (SELECT {_cents('p.total_amount')} = {_cents('m.total_amount')} AS a,
+                 {_cents('p.total_to_pay')} = {_cents('m.total_to_pay')} AS b,
+                 {_cents('p.interests')} = {_cents('m.interests')} AS c
                  FROM p JOIN m ON p.transaction_id = m.sales_order_id),
              t AS (SELECT count(*) AS n, count(*) FILTER (WHERE a) AS a,
                  count(*) FILTER (WHERE b) AS b, count(*) FILTER (WHERE c) AS c FROM j)
@@ -721,12 +725,12 @@ QUERIES = [
              ORDER BY movement_at DESC, transaction_id LIMIT 8"""),
     Query("x05_amount_hypotheses", lambda b: explore.amount_hypotheses(b.payments, b.terms),
           "hypothesis rows:i hits:i share:r",
-          """WITH t AS (SELECT count(*) AS n,
-                 count(*) FILTER (WHERE round(commission_due, 2) = round(interests * 1.16, 2)) AS a,
-                 count(*) FILTER (WHERE round(total_to_pay - total_amount, 2)
-                     = round(commission_due, 2)) AS b,
-                 count(*) FILTER (WHERE round(total_to_pay - total_amount, 2)
-                     = round(interests, 2)) AS c FROM pay WHERE interests > 0)
+          f"""WITH t AS (SELECT count(*) AS n,
+                 count(*) FILTER (WHERE {_cents('commission_due')} = {_cents('interests * 1.16')}) AS a,
+                 count(*) FILTER (WHERE {_cents('total_to_pay - total_amount')}
+                     = {_cents('commission_due')}) AS b,
+                 count(*) FILTER (WHERE {_cents('total_to_pay - total_amount')}
+                     = {_cents('interests')}) AS c FROM pay WHERE interests > 0)
              SELECT 'commission = interest with tax' AS hypothesis, n AS rows, a AS hits,
                  a / n AS share FROM t
              UNION ALL SELECT 'spread = commission', n, b, b / n FROM t
