@@ -16,7 +16,7 @@ from vintora.session import checkpoint_dir
 KEY_LIMIT = "spark.vintora.hotKeyRows"
 RANGE_ROWS = "spark.vintora.rangeRows"
 _DEFAULT_LIMIT = 2_000_000
-_MAX_HOT_KEYS = 100_000
+_MAX_HOT_KEYS = 10_000
 
 
 def _setting(df: DataFrame, name: str) -> int:
