@@ -7,11 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import sharding, vector_search
+from vintora.llm import packing, sharding, vector_search
 from vintora.llm.common import read
 from vintora.session import prepare
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(prepare(spark), sf_dir, "documents"), tokenizer_path())
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = vector_search.integer_vectors(read(prepare(spark), sf_dir, "embeddings"),
                                             "vec_id", "embedding")
@@ -24,7 +33,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_exact_topk, op7_sharding)}
+    f.__name__: f for f in (op1_best_fit_packing, op6_exact_topk, op7_sharding)}
 
 ORACLE: dict[str, str] = {
     "op6_exact_topk": """
