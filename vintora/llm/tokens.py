@@ -11,7 +11,7 @@ import re
 import struct
 
 # The characters with Unicode's White_Space property.
-SPACES = "\t-\r \x85\xa0  -     　"
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # How the tokenizer splits lower-case words, for ASCII and Latin-1 letters.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+"
 CACHE_WORDS = 300_000
