@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import near_duplicates, packing, sharding, vector_search
+from vintora.llm import language_id, near_duplicates, packing, sharding, vector_search
 from vintora.llm.common import read
 from vintora.session import prepare
 
@@ -32,12 +32,16 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(prepare(spark), sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(prepare(spark), sf_dir, "documents"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read(prepare(spark), sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op6_exact_topk, op7_sharding,
+    f.__name__: f for f in (op1_best_fit_packing, op6_exact_topk, op7_sharding, op9_language_id,
                                  op10_minhash_dedup)}
 
 ORACLE: dict[str, str] = {
