@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import language_id, near_duplicates, packing, sharding, vector_search
+from vintora.llm import (language_id, near_duplicates, packing, sharding, substring_dedup,
+                         url_filter, vector_search)
 from vintora.llm.common import read
 from vintora.session import prepare
 
@@ -21,6 +22,19 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(prepare(spark), sf_dir, "documents"), tokenizer_path())
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.deduplicated(docs)
+
+
+URL_RULES = [url_filter.Rule("net/", "block"), url_filter.Rule("example.net/en/", "allow"),
+             url_filter.Rule("example.com/de/", "block"), url_filter.Rule("org/fr/", "allow")]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(prepare(spark), sf_dir, "pages"), URL_RULES)
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = vector_search.integer_vectors(read(prepare(spark), sf_dir, "embeddings"),
                                             "vec_id", "embedding")
@@ -41,7 +55,8 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op6_exact_topk, op7_sharding, op9_language_id,
+    f.__name__: f for f in (op1_best_fit_packing, op3_substring_dedup, op4_url_filter,
+                                 op6_exact_topk, op7_sharding, op9_language_id,
                                  op10_minhash_dedup)}
 
 ORACLE: dict[str, str] = {
