@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import (language_id, near_duplicates, packing, sharding, substring_dedup,
-                         url_filter, vector_search)
+from vintora.llm import (decontamination, language_id, near_duplicates, packing, sharding,
+                         substring_dedup, url_filter, vector_search)
 from vintora.llm.common import read
 from vintora.session import prepare
 
@@ -35,6 +35,12 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(prepare(spark), sf_dir, "pages"), URL_RULES)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return decontamination.contaminated(read(spark, sf_dir, "documents"),
+                                        read(spark, sf_dir, "benchmark"))
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = vector_search.integer_vectors(read(prepare(spark), sf_dir, "embeddings"),
                                             "vec_id", "embedding")
@@ -56,7 +62,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_best_fit_packing, op3_substring_dedup, op4_url_filter,
-                                 op6_exact_topk, op7_sharding, op9_language_id,
+                                 op5_decontamination, op6_exact_topk, op7_sharding, op9_language_id,
                                  op10_minhash_dedup)}
 
 ORACLE: dict[str, str] = {
