@@ -200,41 +200,49 @@ def learn(docs: DataFrame) -> Net:
     return train(words)
 
 
-def predict(docs: DataFrame, net: Net, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, lang_pred, score) of every whole text."""
-    id_type = docs.schema[id_col].dataType.simpleString()
-
+class Scorer:
+    """(language, score) of whole texts; keeps the sums of the words it has seen, up to a limit."""
+
+    def __init__(self, net: Net):
+        self.net = net
+        self.place: dict[bytes, int] = {}
+        self.table = np.zeros((0, len(net.languages) + 1))
+
+    def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        flat: list[bytes] = []
+        ends = []
+        for text in texts:
+            if self.net.languages and has_letter(text):
+                flat += sequences(text)
+            ends.append(len(flat))
+        new = list(set(flat).difference(self.place))
+        self.place.update(zip(new, range(len(self.table), len(self.table) + len(new))))
+        self.table = np.concatenate([self.table, word_sums(self.net, new)])
+        at = np.fromiter(map(self.place.__getitem__, flat), dtype=np.int64, count=len(flat))
+        out = []
+        for first, end in zip([0, *ends], ends):
+            if end == first:
+                out.append(("und", 0.0))
+                continue
+            pooled = self.table[at[first:end]].sum(axis=0)
+            pooled = pooled[:-1] / pooled[-1]
+            out.append((self.net.languages[int(pooled.argmax())], float(min(1.0, pooled.max()))))
+        if len(self.place) > CACHE_WORDS:
+            self.place, self.table = {}, self.table[:0]
+        return out
+
+
+def predict(docs: DataFrame, net: Net) -> DataFrame:
+    """(doc_id, lang_pred, score) of every whole text; ``doc_id`` is text."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place: dict[bytes, int] = {}
-        table = np.zeros((0, len(net.languages) + 1))
+        scorer = Scorer(net)
         for pdf in batches:
-            texts = pdf["text"].tolist()
-            flat: list[bytes] = []
-            ends = []
-            for text in texts:
-                if net.languages and has_letter(text):
-                    flat += sequences(text)
-                ends.append(len(flat))
-            new = list(set(flat).difference(place))
-            place.update(zip(new, range(len(table), len(table) + len(new))))
-            table = np.concatenate([table, word_sums(net, new)])
-            at = np.fromiter(map(place.__getitem__, flat), dtype=np.int64, count=len(flat))
-            names, scores = [], []
-            for first, end in zip([0, *ends], ends):
-                pooled = table[at[first:end]].sum(axis=0)
-                if end == first:
-                    names.append("und")
-                    scores.append(0.0)
-                    continue
-                pooled = pooled[:-1] / pooled[-1]
-                names.append(net.languages[int(pooled.argmax())])
-                scores.append(float(min(1.0, pooled.max())))
-            if len(place) > CACHE_WORDS:
-                place, table = {}, table[:0]
-            yield pd.DataFrame({id_col: pdf[id_col], "lang_pred": names, "score": scores})
-
-    return docs.select(id_col, "text").mapInPandas(
-        run, f"{id_col} {id_type}, lang_pred string, score double")
+            found = scorer(pdf["text"].tolist())
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang_pred": [f[0] for f in found],
+                                "score": [f[1] for f in found]})
+
+    return docs.select("doc_id", "text").mapInPandas(
+        run, "doc_id string, lang_pred string, score double")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -245,3 +253,22 @@ def identify(docs: DataFrame) -> DataFrame:
     out = predict(ids, learn(docs))
     return out.select(F.col("doc_id").cast(kind).alias("doc_id"),
                       held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def recognised(docs: DataFrame, least: float) -> DataFrame:
+    """The rows whose text is in a learned language with at least this score; all columns, no
+    shuffle. If no language could be learned, only texts without a letter go."""
+    net = learn(docs)
+    return docs.filter(_fits(net, least)("text"))
+
+
+def _fits(net: Net, least: float):
+    @F.pandas_udf("boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(net)
+        for text in batches:
+            if net.languages:
+                yield pd.Series([score >= least for _, score in scorer(text.tolist())], dtype=bool)
+            else:
+                yield pd.Series([has_letter(t) for t in text], dtype=bool)
+    return run
