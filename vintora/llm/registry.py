@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import (decontamination, language_id, near_duplicates, packing, sharding,
-                         substring_dedup, url_filter, vector_search)
+from vintora.llm import (decontamination, language_id, license_scan, near_duplicates, packing,
+                         quality_cotraining, sharding, substring_dedup, url_filter, vector_search)
 from vintora.llm.common import read
 from vintora.session import prepare
 
@@ -22,6 +22,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(prepare(spark), sf_dir, "documents"), tokenizer_path())
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(read(prepare(spark), sf_dir, "documents"))
+    return found.select("doc_id", F.concat_ws(" ", "licences").alias("licences"), "spans",
+                        F.concat_ws(" ", "unmatched").alias("unmatched"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(prepare(spark), sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.deduplicated(docs)
@@ -52,6 +58,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(prepare(spark), sf_dir, "documents"))
 
 
+def op8_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(prepare(spark), sf_dir, "documents")
+    model = quality_cotraining.learn(docs, read(spark, sf_dir, "labels"))
+    return quality_cotraining.score(docs, model)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read(prepare(spark), sf_dir, "documents"))
 
@@ -60,10 +72,10 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read(prepare(spark), sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op3_substring_dedup, op4_url_filter,
-                                 op5_decontamination, op6_exact_topk, op7_sharding, op9_language_id,
-                                 op10_minhash_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_best_fit_packing, op2_license_scan, op3_substring_dedup, op4_url_filter,
+    op5_decontamination, op6_exact_topk, op7_sharding, op8_quality_cotraining, op9_language_id,
+    op10_minhash_dedup)}
 
 ORACLE: dict[str, str] = {
     "op6_exact_topk": """
