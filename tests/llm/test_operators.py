@@ -1,0 +1,517 @@
+"""Each operator on small tables against a brute-force version, and on awkward rows."""
+
+import collections
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from vintora.llm import (decontamination, language_id, license_scan, near_duplicates, packing,
+                         quality_cotraining, sharding, substring_dedup, url_filter, vector_search)
+from vintora.llm.registry import URL_RULES, tokenizer_path
+
+SHAPE = ("doc_id long, text string, lang string, source string, n_chars long, id long, `size` long, "
+         "component string, digest string, unit int, removed string, units string, score string, "
+         "row string, crc int, n int, length int, shard int")
+LONG = " ".join(f"w{i * 7919 % 999983}x" for i in range(60_000))
+
+
+def table(spark, rows):
+    """Documents with extra columns whose names clash with inner ones."""
+    full = [(i, t, "en", "s", None if t is None else len(t), 1, 2, "c", "d", 3, "r", "u", "z", "o",
+             4, 5, 6, 7) for i, t in rows]
+    return spark.createDataFrame(full, SHAPE)
+
+
+AWKWARD = [(1, None), (2, ""), (3, " \n\t "), (4, "Ein Wort"), (5, LONG), (6, LONG + " end"),
+           (7, "a b c d e f g"), (7, "a b c d e f g"), (8, "a b c d e f g"), (None, "no id here"),
+           (None, None), (9, "…—¿"), (10, "Ünïcode \U0001F600 text"), (-3, "a b c d e f g")]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return table(spark, AWKWARD)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return table(spark, [])
+
+
+def made_up(n, seed=1):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(900)]
+    return [[rng.choice(words) for _ in range(rng.randint(1, 120))] for _ in range(n)]
+
+
+# ---------------------------------------------------------------- packing
+
+def check_packed(rows, texts, length):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    expected = collections.Counter()
+    for doc_id, text in texts:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        for piece, at in enumerate(range(0, len(ids), length)):
+            part = ids[at:at + length]
+            expected[doc_id, piece, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
+                               for r in rows) == expected
+    places = collections.defaultdict(list)
+    for r in rows:
+        places[r.sequence_id].append((r.offset, r.length))
+    for spans in places.values():
+        at = 0
+        for offset, size in sorted(spans):
+            assert offset == at
+            at += size
+        assert at <= length
+    return len(places)
+
+
+def test_packing(spark, awkward, empty):
+    rows = packing.pack_documents(awkward, tokenizer_path()).collect()
+    check_packed(rows, AWKWARD, 2048)
+    texts = [(i, " ".join(w)) for i, w in enumerate(made_up(150))]
+    rows = packing.pack_documents(table(spark, texts), tokenizer_path(), 256).collect()
+    used = check_packed(rows, texts, 256)
+    assert used <= 1.02 * sum(r.length for r in rows) / 256 + 1
+    assert packing.pack_documents(empty, tokenizer_path()).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_plan_places_everything_once(seed):
+    rng = random.Random(seed)
+    counts = {rng.randint(1, 512): rng.randint(1, 60) for _ in range(rng.randint(1, 80))}
+    total, runs = packing.best_plan(counts, 512)
+    room = collections.defaultdict(list)
+    seen = collections.Counter()
+    for r in runs:
+        for k in range(r.count):
+            seen[r.length, r.number + k] += 1
+            room[r.sequence + k // r.per].append((r.offset + k % r.per * r.length, r.length))
+    assert set(seen.values()) <= {1} and len(seen) == sum(counts.values())
+    assert sorted(room) == list(range(total))
+    for spans in room.values():
+        at = 0
+        for offset, size in sorted(spans):
+            assert offset == at
+            at += size
+        assert at <= 512
+
+
+def test_linear_groups_have_equal_cardinality():
+    groups = packing.linear_groups([(9, 5), (8, 1), (7, 14)], 4)
+    assert [sum(n for *_, n in g) for g in groups] == [5, 5, 5, 5]
+    assert packing.fullest([60, 40, 30], [1, 1, 2], 100) == [1, 1, 0]
+
+
+# ---------------------------------------------------------------- licences
+
+def test_licences(awkward, empty, spark):
+    assert all(not r.licences and not r.spans and not r.unmatched
+               for r in license_scan.scan(awkward).collect())
+    assert license_scan.scan(empty).collect() == []
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           " * of this software. The above copyright notice and this permission notice shall be "
+           "included in all copies. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY "
+           "KIND, EXPRESS OR IMPLIED. ")
+    bsd = ("Redistribution and use in source and binary forms, with or without modification, are "
+           "permitted. Redistributions of source code must retain the above copyright notice. "
+           "Redistributions in binary form must reproduce the above copyright notice. ")
+    end = "This software is provided by the copyright holders and contributors \"as is\"."
+    texts = {1: mit, 2: bsd + "Neither the name of X may be used. " + end, 3: bsd + end, 4: bsd,
+             5: "Foo\nLicensed under the Apache License, Version 2.0.\nMore. " + mit,
+             6: "Licensed under CC BY-NC 4.0. Or under CC BY 4.0.", 7: "a licence to kill"}
+    rows = {r.doc_id: r for r in license_scan.scan(table(spark, texts.items())).collect()}
+    assert [rows[i].licences for i in range(1, 8)] == [
+        ["MIT"], ["BSD-3-Clause"], ["BSD-2-Clause"], [], ["Apache-2.0", "MIT"],
+        ["CC-BY-4.0", "CC-BY-NC-4.0"], []]
+    assert rows[4].unmatched == ["BSD-grant", "BSD-source", "BSD-binary"]
+    span = rows[6].spans[0]
+    assert texts[6][span.first:span.last].strip() == "Licensed under CC BY-NC 4.0."
+
+
+# ---------------------------------------------------------------- repeated passages
+
+def cut_by_hand(rows):
+    powers, best = substring_dedup.Powers(), {}
+    for doc_id, text in rows:
+        if doc_id is not None and text is not None:
+            for digest, first, *_ in zip(*substring_dedup.units(text, powers)):
+                best[digest] = min(best.get(digest, (doc_id, first)), (doc_id, first))
+    out = []
+    for doc_id, text in rows:
+        if doc_id is None or text is None:
+            out.append((doc_id, text))
+            continue
+        found = [(k, a, b, n) for k, (d, a, b, n) in
+                 enumerate(zip(*substring_dedup.units(text, powers))) if best[d] != (doc_id, a)]
+        out.append((doc_id, substring_dedup.without(text, substring_dedup.runs(found, 20))))
+    return collections.Counter(out)
+
+
+def test_repeated_passages(spark, awkward, empty):
+    passage = " ".join(f"p{k * 7919 % 997}" for k in range(80))
+    texts = [(i, " ".join(w)) for i, w in enumerate(made_up(40, 6))]
+    texts += [(100 + i, f"{a} {passage} {b}\nline {i} é") for i, (a, b) in
+              enumerate((texts[2 * k][1], texts[2 * k + 1][1] + " ünique") for k in range(4))]
+    # Parts of earlier documents come back, so only what is new may stay.
+    done = substring_dedup.deduplicated(table(spark, texts)).select("doc_id", "text", "removed").collect()
+    assert collections.Counter((r.doc_id, r.text) for r in done) == cut_by_hand(texts)
+    original = dict(texts)
+    for r in done:
+        assert substring_dedup.without(original[r.doc_id], [tuple(s) for s in r.removed]) == r.text
+    inner = " ".join(passage.split()[13:-13])
+    assert [r.doc_id for r in done if inner in " ".join(r.text.split())] == [100]
+    rows = substring_dedup.deduplicated(awkward, spans_as=None).collect()
+    assert set(rows[0].asDict()) == set(awkward.columns)
+    assert collections.Counter((r.doc_id, r.text) for r in rows) == cut_by_hand(AWKWARD)
+    assert next(r.text for r in rows if r.doc_id == 5) == LONG
+    assert len(next(r.text for r in rows if r.doc_id == 6)) < 100
+    assert substring_dedup.deduplicated(empty).collect() == []
+
+
+def test_units_cover_words_and_sync():
+    powers = substring_dedup.Powers()
+    a, b, c = (" ".join(w) for w in made_up(3, 8))
+    own = set(substring_dedup.units(c, powers)[0].tolist())
+    inside = set(substring_dedup.units(f"{a} é {c} {b}", powers)[0].tolist())
+    assert len(own - inside) <= 4
+    for text in (a, "x", "ß " * 50, "one\ntwo three\n\nfour", "same " * 40):
+        digest, first, last, n = substring_dedup.units(text, powers)
+        assert n.sum() == len(text.split())
+        assert "".join("".join(text[f:l].split()) for f, l in zip(first, last)) == "".join(text.split())
+
+
+# ---------------------------------------------------------------- URLs
+
+def judged_by_hand(url):
+    if url is None or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    host = rest
+    for mark in "/?#":
+        host = host.split(mark)[0]
+    path = rest[len(host):]
+    path = path.split("?")[0].split("#")[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [r for r in URL_RULES if (host == r.host or host.endswith("." + r.host))
+            and path.startswith(r.path)]
+    return host, path, max(fits, key=lambda r: len(r.text)).text if fits else None
+
+
+URLS = [None, "", "no scheme", "http://", "http://NET/", "http://a.NET/x?y=/en/#z", "http://net",
+        "http://xnet/", "https://example.net/en/1", "https://a.example.net/en/", "x://example.net/en",
+        "http://example.com/de/9", "http://example.com/DE/9", "http://fr.org/fr/", "http://a.org?q=/fr/",
+        "http://ÄB.org/fr/", "http://a\nb.net/\nx", "http://u@h.net:80/", "a://b://c.net/", "#?://x.net/",
+        "http://q.com/" + "z" * 200_000]
+
+
+def test_urls(spark, empty):
+    rng = random.Random(2)
+    urls = URLS + [f"http://{rng.choice('abc')}.{rng.choice(['net', 'org', 'com', 'example.com'])}/"
+                   f"{rng.choice(['en', 'fr', 'de'])}/{rng.randint(0, 99)}" for _ in range(400)]
+    pages = spark.createDataFrame([(i, u, "r", "h") for i, u in enumerate([*urls, urls[30]])],
+                                  "page_id long, url string, rule string, host string")
+    rows = {r.page_id: r for r in url_filter.judge(pages, URL_RULES).collect()}
+    assert len(rows) == len(urls) + 1
+    verdicts = {r.text: r.verdict for r in URL_RULES}
+    for i, url in enumerate(urls):
+        host, path, rule = judged_by_hand(url)
+        assert (rows[i].host, rows[i].path, rows[i].rule) == (host, path, rule), url
+        assert rows[i].verdict == (verdicts[rule] if rule else
+                                   "block" if rows[i].block_score > 0.5 else "allow")
+    # What the rules teach: the trees agree with them on nearly all URLs that they decide.
+    ruled = [r for r in rows.values() if r.rule]
+    agree = sum((r.block_score > 0.5) == (r.verdict == "block") for r in ruled)
+    assert agree > 0.95 * len(ruled)
+    none = url_filter.judge(pages.filter("page_id < 0"), URL_RULES)
+    assert none.collect() == []
+    alone = url_filter.judge(pages.filter("page_id = 0"), URL_RULES).collect()
+    assert [(r.rule, r.verdict) for r in alone] == [(None, "allow")]
+
+
+def test_trees_learn():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(3000, 4))
+    y = ((x[:, 0] > 0.3) ^ (x[:, 2] < -0.5)).astype(float)
+    trees = url_filter.fit(x[:2000], y[:2000])
+    assert ((trees.margin(x[2000:]) > 0) == (y[2000:] > 0.5)).mean() > 0.95
+    assert (url_filter.fit(x[:50], np.ones(50)).margin(x) > 0).all()
+
+
+# ---------------------------------------------------------------- decontamination
+
+def test_decontamination(spark, awkward, empty):
+    texts = [" ".join(w) for w in made_up(60, 11)]
+    items = [f"Item {' '.join(w)}. The answer is {w[0]} {w[-1]}." for w in made_up(12, 12) if len(w) > 15]
+    bench = spark.createDataFrame([*enumerate(items), (50, None), (51, ""), (None, "x y z"),
+                                   (0, items[0])], "item_id long, text string")
+    rng = random.Random(3)
+    rows, planted = [], set()
+    for i, text in enumerate(texts):
+        if i % 4 == 0:
+            k = i % len(items)
+            copy = items[k].split()
+            if i % 8 == 0:      # some words replaced
+                for _ in range(len(copy) // 10):
+                    copy[rng.randrange(len(copy) - 5)] = "other"
+            half = text.split()
+            text = " ".join(half[:20] + copy + half[20:])
+            planted.add((i, k))
+        rows.append((i, text))
+    found = decontamination.contaminated(table(spark, rows), bench)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == planted
+    left = decontamination.clean(table(spark, rows), bench).collect()
+    assert {r.doc_id for r in left} == {i for i, _ in rows} - {i for i, _ in planted}
+    assert set(left[0].asDict()) == set(awkward.columns)
+    assert decontamination.contaminated(awkward, bench).collect() == []
+    assert decontamination.clean(awkward, bench).count() == len(AWKWARD)
+    assert decontamination.clean(awkward, bench.limit(0)).count() == len(AWKWARD)
+    assert decontamination.contaminated(empty, bench).collect() == []
+
+
+def test_common_subsequence():
+    def by_hand(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+    rng = random.Random(4)
+    for _ in range(50):
+        a, b = ([bytes([rng.randrange(5)]) for _ in range(rng.randrange(30))] for _ in "ab")
+        assert decontamination.common_subsequence(a, b) == by_hand(a, b)
+
+
+# ---------------------------------------------------------------- vectors
+
+def nearest_by_hand(rows, k):
+    vecs = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows
+            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = set()
+    for q in {i for i, _ in vecs if i % 50 == 0}:
+        v = min(v for i, v in vecs if i == q)
+        scores = sorted({(-sum(a * b for a, b in zip(v, w)), i) for i, w in vecs
+                         if i != q and len(w) == len(v)})[:k]
+        out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)}
+    return out
+
+
+def test_vectors(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(i), [float(x) for x in rng.normal(size=6).astype(np.float32)]) for i in range(400)]
+    rows += [(1000 + i, rows[50][1]) for i in range(60)] + [(1050, [0.0] * 6)]
+    rows += [(600, None), (650, [1.0, None]), (700, [float("nan")] * 6), (None, [1.0] * 6),
+             (750, [float("inf")] * 6), (800, []), (801, []), (850, [1.0, 2.0]), (803, [0.5, -1.0]),
+             (900, [1e12] * 6), (100, rows[100][1])]
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows],
+                               "vec_id long, embedding array<float>, id int, v string")
+    vectors = vector_search.integer_vectors(df, "vec_id", "embedding")
+    found = vector_search.top_k(vectors, vectors.filter(F.col("id") % 50 == 0), 5).collect()
+    rows = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v])
+            for i, v in rows]
+    limit = 2 ** 63 - 1
+    assert {(r.query_id, r.rank, r.vec_id, r.score) for r in found} == {
+        (q, n, i, min(s, limit)) for q, n, i, s in nearest_by_hand(rows, 5)}
+    none = vectors.limit(0)
+    assert vector_search.top_k(none, none, 5).collect() == []
+
+
+# ---------------------------------------------------------------- shards
+
+def test_shards(spark, awkward, empty):
+    texts = AWKWARD + [(100 + i, " ".join(w)) for i, w in enumerate(made_up(300, 13))]
+    rows = sharding.shard_documents(table(spark, texts), 4).collect()
+    assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == collections.Counter(
+        (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in texts)
+    slots = collections.defaultdict(list)
+    shard_of = collections.defaultdict(set)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        shard_of[r.size, r.text_crc32].add(r.shard)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(s) == 1 for s in shard_of.values())
+    sums = collections.Counter()
+    for r in rows:
+        sums[r.shard] += r.size
+    # Two long texts fill a shard each, the others share the rest evenly.
+    small = [sums[s] for s in range(4) if sums[s] < 100_000]
+    assert set(sums) == {0, 1, 2, 3} and max(small) - min(small) <= 0.02 * max(small)
+    assert sharding.shard_documents(empty).collect() == []
+
+
+def test_best_fit_decreasing():
+    rng = random.Random(5)
+    for _ in range(20):
+        sizes = [rng.randint(1, 100) for _ in range(rng.randint(1, 200))]
+        where = sharding.best_fit_decreasing(sizes, 120)
+        loads = collections.Counter()
+        for s, b in zip(sizes, where):
+            loads[b] += s
+        assert max(loads.values()) <= 120 and len(loads) <= 11 / 9 * (sum(sizes) / 120 + 1) + 4
+        # By hand: the tightest bin, the oldest among equals.
+        rooms = []
+        for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+            fits = [(r, b) for b, r in enumerate(rooms) if r >= sizes[i]]
+            b = min(fits)[1] if fits else len(rooms)
+            if not fits:
+                rooms.append(120)
+            rooms[b] -= sizes[i]
+            assert where[i] == b
+    items = [700] + [10] * 90
+    loads = collections.Counter()
+    for s, b in zip(items, sharding.level(items, 4)):
+        loads[b] += s
+    assert sorted(loads.values()) == [300, 300, 300, 700]
+
+
+# ---------------------------------------------------------------- quality
+
+def test_quality(spark, awkward, empty):
+    good = [" ".join(w) + "." for w in made_up(240, 14)]
+    bad = [" | ".join(w).upper() + " $$$ ###" for w in made_up(160, 15)]
+    docs = table(spark, list(enumerate(good + bad)) + [(1000 + i, t) for i, t in AWKWARD if i])
+    labels = spark.createDataFrame(
+        [(i, int(i < 240), None) for i in range(400) if i % 2] + [(2, None, 1), (None, 1, 0)],
+        "doc_id long, quality int, toxic int")
+    model = quality_cotraining.learn(docs, labels)
+    rows = {r.doc_id: r for r in quality_cotraining.score(docs, model).collect()}
+    right = sum(rows[i].keep == (i < 240) for i in range(0, 400, 2))
+    assert right >= 190
+    assert all(0 <= r.score <= 1 for r in rows.values())
+    assert quality_cotraining.score(awkward, model).count() == len(AWKWARD)
+    blank = quality_cotraining.learn(empty, labels.limit(0))
+    assert {r.score for r in quality_cotraining.score(awkward, blank).collect()} == {0.5}
+    assert quality_cotraining.score(empty, model).collect() == []
+
+
+# ---------------------------------------------------------------- language
+
+@pytest.fixture(scope="module")
+def speech(spark):
+    rng = random.Random(7)
+    vocab = {"aa": "tra bla kru schna".split(), "bb": "lio mei ano eia".split(), "cc": "öß äu üg".split()}
+    rows = []
+    for i in range(240):
+        lang = "abc"[i % 3] * 2
+        text = " ".join("".join(rng.choice(vocab[lang]) for _ in range(rng.randint(1, 3)))
+                        for _ in range(rng.randint(3, 60)))
+        rows.append((i, text, lang if i % 10 else None))
+    return rows
+
+
+def test_language(spark, speech, awkward, empty):
+    docs = spark.createDataFrame(speech + [(i, t, "aa") for i, t in AWKWARD[:4]],
+                                 "doc_id long, text string, lang string")
+    net = language_id.learn(docs)
+    truth = {i: "abc"[i % 3] * 2 for i, *_ in speech}
+    rows = language_id.identify(docs).collect()
+    held = [r for r in rows if r.held_out and r.doc_id in truth and r.lang_pred != "und"]
+    assert held and sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.95 * len(held)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    out = {(r.doc_id, r.lang_pred, r.score) for r in language_id.predict(
+        awkward.select(F.col("doc_id").cast("string"), "text"), net).collect()}
+    assert {("1", "und", 0.0), ("2", "und", 0.0), ("3", "und", 0.0), (None, "und", 0.0),
+            ("9", "und", 0.0)} <= out
+    assert all(0 <= s <= 1 for *_, s in out) and len({x for x in out if x[0] == "7"}) == 1
+    nothing = language_id.identify(empty)
+    assert nothing.collect() == [] and nothing.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    unlabelled = language_id.identify(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {(r.lang_pred, r.score) for r in unlabelled.collect()} == {("und", 0.0)}
+
+
+def test_gradients_match_differences():
+    rng = np.random.default_rng(1)
+    net = language_id.train({"a": [b"xy"], "b": [b"zw"]})
+    net = net._replace(**{k: getattr(net, k).astype(np.float64) for k in "xuboc"})
+    codes = rng.integers(97, 101, (4, 3))
+    live = np.array([[1, 1, 1], [1, 1, 1], [1, 1, 0], [1, 0, 0]], dtype=bool)
+    labels = np.array([0, 1, 1])
+
+    def loss():
+        states = np.concatenate([language_id._steps(net, w, codes, live, None) for w in (0, 1)], axis=2)
+        p = language_id._softmax(states.astype(np.float64) @ net.o + net.c)
+        picked = np.take_along_axis(p, np.broadcast_to(labels[None, :, None], (4, 3, 1)), axis=2)[..., 0]
+        return -(np.log(picked) * live).sum() / live.sum()
+
+    grads = language_id._gradients(net, codes, live, labels)
+    for param, grad in zip(net[1:], grads):
+        at = np.unravel_index(np.abs(grad).argmax(), grad.shape)
+        old, step = param[at], 1e-2
+        param[at] = old + step
+        up = loss()
+        param[at] = old - step
+        down = loss()
+        param[at] = old
+        assert abs((up - down) / (2 * step) - grad[at]) < 2e-2 * max(1e-2, abs(grad[at]))
+
+
+# ---------------------------------------------------------------- near duplicates
+
+def components_by_hand(rows):
+    def shingles(text):
+        w = (text or "").encode().lower().split()
+        return frozenset([tuple(w)] if 0 < len(w) < 5 else
+                         [tuple(w[k:k + 5]) for k in range(len(w) - 4)])
+    sets = [(i, shingles(t)) for i, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, (i, s) in enumerate(sets):
+        for b, (j, t) in enumerate(sets[:a]):
+            if i is not None and j is not None and s and t and \
+                    100 * len(s & t) >= 75 * len(s | t):
+                parent[find(a)] = find(b)
+    least = {}
+    for a, (i, _) in enumerate(sets):
+        if i is not None:
+            least[find(a)] = min(least.get(find(a), i), i)
+    return collections.Counter((i, len(s), None if i is None else least[find(a)])
+                               for a, (i, s) in enumerate(sets))
+
+
+def test_near_duplicates(spark, awkward, empty):
+    rng = random.Random(8)
+    rows = [(i, " ".join(w)) for i, w in enumerate(made_up(60, 9))]
+    base = [f"b{rng.randrange(300)}" for _ in range(220)]
+    for i in range(80):     # chains and clusters around the limit
+        if i % 4 == 0:
+            base = [f"b{rng.randrange(3000)}" for _ in range(220)]
+        copy = list(base)
+        for _ in range(rng.randint(0, 9)):
+            copy[rng.randrange(len(copy))] = f"n{rng.randrange(10 ** 6)}"
+        rows.append((1000 - i, " ".join(copy).upper() if i % 3 else "  ".join(copy)))
+        if i % 2:
+            base = copy
+    out = near_duplicates.near_duplicates(table(spark, rows)).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == \
+        components_by_hand(rows)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in out)
+    assert len({r.component_id for r in out}) < len(rows) - 20
+    out = near_duplicates.near_duplicates(awkward).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == \
+        components_by_hand(AWKWARD)
+    assert all(r.kept for r in out if r.doc_id is None)
+    assert near_duplicates.near_duplicates(empty).collect() == []
+
+
+def test_registers_merge_and_estimate():
+    rng = np.random.default_rng(2)
+    pool = rng.integers(0, 2 ** 63, 3000, dtype=np.uint64)
+    a, b = np.unique(pool[:2000]), np.unique(pool[1000:])
+    ra, rb, both = near_duplicates.registers([a, b, np.union1d(a, b)])
+    assert (np.maximum(ra, rb) == both).all()
+    sims = []
+    for n in range(40):
+        x = rng.integers(0, 2 ** 63, 1250, dtype=np.uint64)
+        u, v = near_duplicates.registers([x[:1100], x[100:]])
+        sims.append(near_duplicates.likely_similarity(
+            np.array([1100.0]), np.array([1150.0]), u[None], v[None])[0])
+    assert abs(np.mean(sims) - 1000 / 1250) < 0.02 and np.std(sims) < 0.06
