@@ -30,11 +30,9 @@ def book(spark):
     return Book.open(spark, SF)
 
 
-@pytest.fixture
-def small_groups(spark):
-    """Make every key with more than 20 rows hot, in ranges of about 10 rows."""
-    spark.conf.set("spark.vintora.hotKeyRows", "20")
-    spark.conf.set("spark.vintora.rangeRows", "10")
-    yield
-    spark.conf.unset("spark.vintora.hotKeyRows")
-    spark.conf.unset("spark.vintora.rangeRows")
+@pytest.fixture(params=[2, 40])
+def ranges(request, spark):
+    """Few and many ranges for the windows over keys of any size."""
+    spark.conf.set("spark.vintora.ranges", str(request.param))
+    yield request.param
+    spark.conf.unset("spark.vintora.ranges")

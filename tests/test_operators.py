@@ -8,7 +8,7 @@ from vintora.operators.relational import (
     assert_unique, dates, descending, first_per_key, interval_lookup, islands,
     match_with_fallback, months, tail_from,
 )
-from vintora.operators.skew import hot_keys, keyed_window, number_rows
+from vintora.operators.skew import keyed_window, number_rows
 
 
 def d(text):
@@ -17,54 +17,58 @@ def d(text):
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """A third of the rows on one key, a NULL key, and ties in the order column."""
-    rows = [("hot" if i % 3 == 0 else None if i % 7 == 0 else f"c{i % 40}", i // 5, i, i % 4)
-            for i in range(600)]
+    """Nine of ten rows on one key, a NULL key, and ties in the order column."""
+    rows = [(None if i % 30 == 0 else f"c{i % 40}" if i % 10 == 0 else "hot", i // 5, i, i % 4)
+            for i in range(900)]
     return spark.createDataFrame(rows, "k STRING, at INT, id INT, v INT")
 
 
-def test_hot_keys_are_found(small_groups, skewed):
-    assert set(hot_keys(skewed, "k")) == {"hot", None}
+def same(left, right):
+    return sorted(map(tuple, left.collect()), key=str) == sorted(map(tuple, right.collect()), key=str)
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_keyed_window_equals_plain_window(request, spark, skewed, hot):
-    if hot:
-        request.getfixturevalue("small_groups")
-    out = keyed_window(skewed, "k", [F.col("at").desc(), F.col("id")],
+def test_keyed_window_equals_plain_window(ranges, skewed):
+    out = keyed_window(skewed, ["k"], ["-at", "id"],
                        {"n": F.lit(1), "odd": F.when(F.col("v") % 2 == 1, F.col("v"))},
-                       {"top": F.max("id")})
+                       {"top": ("max", F.col("id")), "low": ("min", F.when(F.col("v") > 1, F.col("id")))})
     w = Window.partitionBy("k").orderBy(F.col("at").desc(), "id")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    expected = skewed.withColumns({
+    whole = Window.partitionBy("k")
+    assert same(out, skewed.withColumns({
         "n": F.row_number().over(w).cast("bigint"),
         "odd": F.coalesce(F.sum(F.when(F.col("v") % 2 == 1, F.col("v"))).over(run), F.lit(0)),
-        "top": F.max("id").over(Window.partitionBy("k"))})
-    assert sorted(map(tuple, out.collect()), key=str) == sorted(
-        map(tuple, expected.collect()), key=str)
+        "top": F.max("id").over(whole),
+        "low": F.min(F.when(F.col("v") > 1, F.col("id"))).over(whole)}))
 
 
-def test_keyed_window_with_more_keys(small_groups, skewed):
-    out = keyed_window(skewed, "k", [F.col("id")], {"n": F.lit(1)}, also=["v"])
+def test_keyed_window_with_more_keys(ranges, skewed):
+    out = keyed_window(skewed, ["k", "v"], ["id"], {"n": F.lit(1)})
     w = Window.partitionBy("k", "v").orderBy("id")
-    expected = skewed.withColumn("n", F.row_number().over(w).cast("bigint"))
-    assert sorted(map(tuple, out.collect()), key=str) == sorted(
-        map(tuple, expected.collect()), key=str)
-
-
-def test_hot_rows_are_split(small_groups, skewed):
-    """No task of the ranged part holds the whole hot key."""
-    placed = skewed.filter("k = 'hot'").repartitionByRange(20, "k", "at", "id")
+    assert same(out, skewed.withColumn("n", F.row_number().over(w).cast("bigint")))
+
+
+def test_window_plan(spark, skewed):
+    """One range exchange read twice, no task with a whole hot key, no job while building."""
+    spark.conf.set("spark.vintora.ranges", "40")
+    group = "built"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = keyed_window(skewed, ["k"], ["at", "id"], {"n": F.lit(1)})
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        spark.conf.unset("spark.vintora.ranges")
+    out.collect()
+    text = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in text and text.count("REPARTITION_BY_NUM") == 2
+    placed = skewed.repartitionByRange(40, "k", "at", "id")
     sizes = placed.groupBy(F.spark_partition_id()).count().collect()
-    assert len(sizes) > 5 and max(r["count"] for r in sizes) < 100
+    assert max(r["count"] for r in sizes) < 90
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_number_rows(request, skewed, hot):
-    if hot:
-        request.getfixturevalue("small_groups")
-    got = {r["id"]: r["n"] for r in number_rows(skewed, [F.col("id")], "n").collect()}
-    assert got == {i: i + 1 for i in range(600)}
+def test_number_rows(ranges, skewed):
+    got = {r["id"]: r["n"] for r in number_rows(skewed, ["id"], "n").collect()}
+    assert got == {i: i + 1 for i in range(900)}
 
 
 def test_first_per_key_puts_null_last(spark):

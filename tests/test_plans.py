@@ -137,18 +137,13 @@ def test_calendar_has_no_gaps(book):
     assert row["n"] == row["d"] == row["span"] + 1
 
 
-def test_hot_customers_give_the_same_orders(spark, book, small_groups):
-    """The order indices do not change when most customers are treated as hot."""
+def test_orders_do_not_depend_on_the_ranges(spark, book, ranges):
     from vintora.plans.book import Book
-    spark.conf.set("spark.vintora.hotKeyRows", "3")
-    try:
-        hot = Book(book.source, book.terms).orders
-        columns = ["customer_id", "sales_order_id", "order_status", "attempt_index",
-                   "completed_index", "activated_at", "route"]
-        got = sorted(map(str, hot.select(*columns).collect()))
-    finally:
-        spark.conf.set("spark.vintora.hotKeyRows", "2000000")
-    assert got == sorted(map(str, book.orders.select(*columns).collect()))
+    columns = ["customer_id", "sales_order_id", "order_status", "attempt_index",
+               "completed_index", "activated_at", "route"]
+    got = sorted(map(str, Book(book.source, book.terms).orders.select(*columns).collect()))
+    spark.conf.set("spark.vintora.ranges", "7")
+    assert got == sorted(map(str, Book(book.source, book.terms).orders.select(*columns).collect()))
 
 
 def test_contest_windows_have_equal_length(book):

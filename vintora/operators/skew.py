@@ -1,9 +1,10 @@
 """Windows over keys of any size.
 
-A plain window sends all rows of a key to one task. Keys beyond a row limit are
-instead split by a range partitioning of (key, order): totals run inside each
-range, and the sum of the ranges before is added. A cold key never exceeds the
-limit, so no task receives an unbounded group either way.
+A plain window sends all rows of a key to one task. Here the rows are range-partitioned by (key,
+order), so a range holds about as many rows as any other whatever the keys are. Running sums and
+aggregates are taken inside each range; a key that spans ranges gets what its other ranges add. A
+boundary splits one key at most, so this correction has at most two rows per range, and that bound
+is what allows it to be broadcast. The same plan serves every size, and building it starts no job.
 """
 
 from __future__ import annotations
@@ -11,106 +12,71 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vintora.session import checkpoint_dir
+RANGES = "spark.vintora.ranges"
+_MERGE = {"min": F.min, "max": F.max}
 
-KEY_LIMIT = "spark.vintora.hotKeyRows"
-RANGE_ROWS = "spark.vintora.rangeRows"
-_DEFAULT_LIMIT = 2_000_000
-_MAX_HOT_KEYS = 10_000
 
+def _ranges(df: DataFrame) -> int:
+    """As many ranges as other shuffles have partitions, unless set."""
+    conf = df.sparkSession.conf
+    return max(2, int(conf.get(RANGES, conf.get("spark.sql.shuffle.partitions"))))
 
-def _setting(df: DataFrame, name: str) -> int:
-    return int(df.sparkSession.conf.get(name, str(_DEFAULT_LIMIT)))
 
+def _sorted(names: list[str], parent: str = "") -> list[Column]:
+    return [F.col(f"{parent}`{n[1:]}`").desc_nulls_last() if n.startswith("-")
+            else F.col(f"{parent}`{n}`").asc_nulls_last() for n in names]
 
-def row_limit(census: DataFrame) -> tuple[int, int]:
-    """(rows, rows above which a key is hot). At most ``_MAX_HOT_KEYS`` keys can be hot."""
-    total = census.count()
-    return total, max(_setting(census, KEY_LIMIT), -(-total // _MAX_HOT_KEYS))
 
+def keyed_window(df: DataFrame, keys: list[str], order: list[str], running: dict[str, Column],
+                 overall: dict[str, tuple[str, Column]] | None = None) -> DataFrame:
+    """Running sums (ROWS up to the current row) and whole-group ``min`` or ``max`` per key.
 
-def hot_keys(census: DataFrame, key: str) -> list:
-    """Keys with more rows than the limit; their number is bounded by the limit itself."""
-    total, limit = row_limit(census)
-    if total <= limit:
-        return []
-    sizes = census.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return [row[0] for row in sizes.filter(F.col("n") > limit).select(key).collect()]
-
-
-def _is_hot(key: str, hot: list) -> Column:
-    named = [k for k in hot if k is not None]
-    match = F.coalesce(F.col(key).isin(named), F.lit(False)) if named else F.lit(False)
-    return match | F.col(key).isNull() if None in hot else match
-
-
-def _by_range(df: DataFrame, keys: list[str], order: list[Column], rows: int,
-              running: dict[str, Column]) -> DataFrame:
-    ranges = max(2, -(-rows // _setting(df, RANGE_ROWS)))
-    checkpoint_dir(df.sparkSession)
-    inputs = {f"_in_{name}": value for name, value in running.items()}
-    placed = (df.withColumns(inputs)
-              .repartitionByRange(ranges, *[F.col(k) for k in keys], *order)
-              .withColumn("_range", F.spark_partition_id())
-              # The range of a row must not change between the two reads below.
-              .checkpoint())
-    inside = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per key and range: at most (hot keys + ranges) rows.
-    sums = placed.groupBy("_range", *keys).agg(
-        *[F.sum(f"_in_{name}").alias(f"_sum_{name}") for name in running])
-    offsets = sums.select(
-        F.col("_range").alias("_at"), *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *[F.coalesce(F.sum(f"_sum_{name}").over(before), F.lit(0)).alias(f"_off_{name}")
-          for name in running])
-    on = F.col("_range") == F.col("_at")
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    local = placed.withColumns(
-        {f"_run_{name}": F.sum(f"_in_{name}").over(inside) for name in running})
-    out = local.join(F.broadcast(offsets), on)
-    totals = {name: F.coalesce(F.col(f"_run_{name}"), F.lit(0)) + F.col(f"_off_{name}")
-              for name in running}
-    return out.withColumns(totals).select(*df.columns, *running)
-
-
-def keyed_window(df: DataFrame, key: str, order: list[Column], running: dict[str, Column],
-                 overall: dict[str, Column] | None = None,
-                 census: DataFrame | None = None, also: list[str] | None = None) -> DataFrame:
-    """Running sums (ROWS up to the current row) and whole-group aggregates per ``key``.
-
-    ``census`` is a cheap table with at least as many rows per key as ``df``; it decides which
-    keys are hot without running ``df`` twice. ``order`` must be a total order within the key.
-    ``also`` are further partitioning columns.
+    ``order`` names columns, descending with a leading ``-``, nulls last; with the keys it must be
+    a total order. Without keys the whole table is one group.
     """
     overall = overall or {}
-    keys = [key, *(also or [])]
-    hot = hot_keys((df if census is None else census).select(key), key)
-    frame = Window.partitionBy(*keys)
-    rows = frame.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    plain = {**{n: F.coalesce(F.sum(v).over(rows), F.lit(0)) for n, v in running.items()},
-             **{n: v.over(frame) for n, v in overall.items()}}
-    if not hot:
-        return df.withColumns(plain)
-    flag = _is_hot(key, hot)
-    cold = df.filter(~flag).withColumns(plain)
-    rows_hot = (df if census is None else census).filter(flag).count()
-    warm = _by_range(df.filter(flag), keys, order, rows_hot, running)
-    if overall:
-        totals = df.filter(flag).groupBy(*keys).agg(*[v.alias(n) for n, v in overall.items()])
-        totals = totals.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *overall)
-        on = F.lit(True)
-        for k in keys:
-            on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-        warm = warm.join(totals, on, "left").drop(*[f"_k_{k}" for k in keys])
-    return cold.unionByName(warm)
-
-
-def number_rows(df: DataFrame, order: list[Column], out: str, census: DataFrame | None = None
-                ) -> DataFrame:
+    inputs = [*[v.alias(f"_in_{n}") for n, v in running.items()],
+              *[v.alias(f"_in_{n}") for n, (_, v) in overall.items()]]
+    # The rows travel as one column that the optimiser takes for indivisible, because one field is
+    # not deterministic. So both readers below ask for the very same exchange, which Spark then
+    # runs once, and they see the same ranges. The count at the end would stop a disagreement.
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns], *inputs,
+                     F.monotonically_increasing_id().alias("_at"))
+    placed = (df.select(whole.alias("_row"))
+              .repartitionByRange(_ranges(df), *_sorted(keys + order, "_row."))
+              .withColumn("_range", F.spark_partition_id()))
+    group = [F.col(f"_row.`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    parts = placed.select("_range", *group, "_row").groupBy("_range", *names).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(f"_row._in_{n}").alias(f"_part_{n}") for n in running],
+        *[_MERGE[how](f"_row._in_{n}").alias(f"_part_{n}") for n, (how, _) in overall.items()])
+    # One row per key and range from here on: what is sorted are ranges, not rows.
+    every = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))
+    before = every.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    spanning = parts.select(
+        F.col("_range").alias("_r"), *names, "_n", F.count(F.lit(1)).over(every).alias("_spans"),
+        *[F.coalesce(F.sum(f"_part_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in running],
+        *[_MERGE[how](f"_part_{n}").over(every).alias(f"_off_{n}")
+          for n, (how, _) in overall.items()]).filter("_spans > 1").drop("_spans")
+    here = Window.partitionBy("_range", *names)
+    rows = here.orderBy(*_sorted(order, "_row.")).rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.select("_range", *group, "_row").withColumns(
+        {f"_run_{n}": F.coalesce(F.sum(f"_row._in_{n}").over(rows), F.lit(0)) for n in running}
+        | {f"_all_{n}": _MERGE[how](f"_row._in_{n}").over(here) for n, (how, _) in overall.items()}
+        | {"_here": F.count(F.lit(1)).over(here)})
+    on = F.col("_range") == F.col("_r")
+    for name in names:
+        on = on & local[name].eqNullSafe(spanning[name])
+    out = local.join(F.broadcast(spanning), on, "left").filter(
+        F.when(F.col("_n") != F.col("_here"), F.raise_error(F.lit("ranges differ between readers"))
+               .cast("boolean")).otherwise(F.lit(True)))
+    return out.select(
+        *[F.col(f"_row.`{c}`").alias(c) for c in df.columns if c not in {*running, *overall}],
+        *[(F.col(f"_run_{n}") + F.coalesce(f"_off_{n}", F.lit(0))).alias(n) for n in running],
+        *[F.coalesce(f"_off_{n}", f"_all_{n}").alias(n) for n in overall])
+
+
+def number_rows(df: DataFrame, order: list[str], out: str) -> DataFrame:
     """Global row number by ``order`` (a total order) without a one-task sort."""
-    total, limit = row_limit(df if census is None else census)
-    if total <= limit:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
-    return _by_range(df, [], order, total, {out: F.lit(1)})
+    return keyed_window(df, [], order, {out: F.lit(1)})

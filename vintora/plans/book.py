@@ -83,7 +83,7 @@ class Book:
     @cached_property
     def orders(self) -> DataFrame:
         return credit.grouped_orders(self.lines, self.approvals, self.payments, self.deliveries,
-                                     self.spans, self.source.order_census)
+                                     self.spans)
 
     @cached_property
     def valid_lines(self) -> DataFrame:
@@ -164,8 +164,7 @@ class Book:
 
     @cached_property
     def pre_post(self) -> DataFrame:
-        return sales.pre_post(self.history, self.members, self.valid_lines, self.terms,
-                              self.source.sales_census)
+        return sales.pre_post(self.history, self.members, self.valid_lines, self.terms)
 
     @cached_property
     def members(self) -> DataFrame:
@@ -180,8 +179,7 @@ class Book:
 
     @cached_property
     def profile(self) -> DataFrame:
-        return risk.matured_profile(self.loans, self.grid, self.orders, self.history, self.terms,
-                                    self.source.order_census)
+        return risk.matured_profile(self.loans, self.grid, self.orders, self.history, self.terms)
 
     @cached_property
     def odds(self) -> DataFrame:
@@ -193,5 +191,4 @@ class Book:
 
     @cached_property
     def contest(self) -> DataFrame:
-        return contest.contest(self.orders, self.grid, self.routes, self.terms,
-                               self.source.order_census)
+        return contest.contest(self.orders, self.grid, self.routes, self.terms)

@@ -43,8 +43,8 @@ def order_state(orders: DataFrame) -> DataFrame:
         ever(status == "REJECTED").alias("is_rejected"))
 
 
-def contest(orders: DataFrame, grid: DataFrame, routes: DataFrame, terms: Terms,
-            census: DataFrame | None = None) -> DataFrame:
+def contest(orders: DataFrame, grid: DataFrame, routes: DataFrame, terms: Terms
+            ) -> DataFrame:
     start, stop = terms.contest_from, terms.contest_to
     prior, _ = previous_window(terms)
     state = order_state(orders)
@@ -60,10 +60,8 @@ def contest(orders: DataFrame, grid: DataFrame, routes: DataFrame, terms: Terms,
         "day_in_window": F.datediff(day, F.when(day >= F.lit(start), F.lit(start))
                                     .otherwise(F.lit(prior))) + 1})
     marked = keyed_window(
-        inside, "customer_id",
-        [F.col("created_at").asc_nulls_last(), F.col("sales_order_id").asc_nulls_last()],
-        running={"delivered_index": F.lit(1)}, census=census,
-        also=["in_contest", "is_delivered"])
+        inside, ["customer_id", "in_contest", "is_delivered"], ["created_at", "sales_order_id"],
+        running={"delivered_index": F.lit(1)})
     person = grid.select("customer_id", "shop_name", "shop_town", "shop_state", "enrolled_at",
                          "enrollment_cohort", "enrollment_channel")
     now = routes.select("customer_id", *[F.col(c).alias(f"current_{c}") for c in

@@ -116,32 +116,29 @@ def cohort_sizes(enrolled: DataFrame) -> DataFrame:
         F.sum("enrolled_limit").alias("cohort_credit_limit"))
 
 
-def order_indices(orders: DataFrame, census: DataFrame | None = None) -> DataFrame:
+def order_indices(orders: DataFrame) -> DataFrame:
     """Attempt number, completed number and first activation of each customer."""
-    order = [F.col(c).asc_nulls_last() for c in
-             ("created_at", "sales_order_id", "order_id", "order_status", "sales_channel")]
+    order = ["created_at", "sales_order_id", "order_id", "order_status", "sales_channel"]
     done = F.col("order_status") == "COMPLETED"
     active = F.col("order_status").isin(*ACTIVE_STATES)
     indexed = keyed_window(
-        orders, "customer_id", order,
+        orders, ["customer_id"], order,
         running={"attempt_index": F.lit(1), "completed_index": F.when(done, 1)},
-        overall={"activated_at": F.min(F.when(active, F.col("created_at")))}, census=census)
+        overall={"activated_at": ("min", F.when(active, F.col("created_at")))})
     return indexed.withColumn("completed_index", F.when(done, F.col("completed_index")))
 
 
 def grouped_orders(lines: DataFrame, approvals: DataFrame, payments: DataFrame,
-                   deliveries: DataFrame, spans: DataFrame, census: DataFrame | None = None
-                   ) -> DataFrame:
+                   deliveries: DataFrame, spans: DataFrame) -> DataFrame:
     """One row per (customer, sales order, order, status, channel), not per sales order.
 
-    Joins on the customer come first, so they reuse the partitioning of the indices; the two
-    joins on the sales order share one more shuffle.
+    The joins on the customer share one shuffle, the two on the sales order one more.
     """
     enrolled = first_approvals(approvals)
     # One row per month of the product's life.
     sizes = F.broadcast(cohort_sizes(enrolled))
     entry = enrolled.join(sizes, "enrollment_cohort", "left").drop("enrolled_limit")
-    indexed = order_indices(collapse_lines(lines), census).join(entry, "customer_id", "left")
+    indexed = order_indices(collapse_lines(lines)).join(entry, "customer_id", "left")
     routed = interval_lookup(
         indexed, spans, "customer_id", F.to_date("created_at"), "valid_from", "valid_to",
         ["route", "supervisor", "office", "region", "customer_type", "seen_from"])

@@ -61,8 +61,7 @@ def distance() -> Column:
 
 
 def matured_profile(loans: DataFrame, grid: DataFrame, orders: DataFrame, history: DataFrame,
-                    terms: Terms, census: DataFrame | None = None, numbered: bool = True
-                    ) -> DataFrame:
+                    terms: Terms, numbered: bool = True) -> DataFrame:
     """One row per matured loan with the customer's surroundings."""
     person = grid.select(
         "customer_id", "eligible_at", "business_category", "shop_neighborhood", "shop_zip",
@@ -83,8 +82,7 @@ def matured_profile(loans: DataFrame, grid: DataFrame, orders: DataFrame, histor
         "flag_30": F.when(F.col("days_past_due") >= 30, 1).otherwise(0),
         "zip_code": digits_key("shop_zip"), "distance": distance()})
     if numbered:
-        out = number_rows(out, [F.col("customer_id").asc_nulls_last(),
-                                F.col("sales_order_id").asc_nulls_last()], "row_id", census)
+        out = number_rows(out, ["customer_id", "sales_order_id"], "row_id")
     return out
 
 

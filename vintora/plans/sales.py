@@ -150,8 +150,8 @@ def lifecycle(orders: DataFrame, terms: Terms) -> DataFrame:
                  F.coalesce(F.sum("orders"), F.lit(0)).alias("orders")))
 
 
-def pre_post(history: DataFrame, grid: DataFrame, orders: DataFrame, terms: Terms,
-             census: DataFrame | None = None) -> DataFrame:
+def pre_post(history: DataFrame, grid: DataFrame, orders: DataFrame, terms: Terms
+             ) -> DataFrame:
     """Sales of enrolled customers, split by the exact enrolment date."""
     members = grid.filter(F.col("enrolled_at").isNotNull()).select(
         "customer_id", "enrolled_at", "enrollment_cohort", "route", "supervisor", "office",
@@ -163,10 +163,9 @@ def pre_post(history: DataFrame, grid: DataFrame, orders: DataFrame, terms: Term
                 "months": months_between("enrolled_at", "created_on"),
                 "is_post": F.col("created_on") >= F.to_date("enrolled_at")}))
     ranked = keyed_window(
-        base, "customer_id", [F.col("created_on").desc_nulls_last(), F.col("sales_order_id")],
+        base, ["customer_id"], ["-created_on", "sales_order_id"],
         running={"recency": F.lit(1)},
-        overall={"max_month_post": F.max(F.when(F.col("is_post"), F.col("months")))},
-        census=census)
+        overall={"max_month_post": ("max", F.when(F.col("is_post"), F.col("months")))})
     return ranked.select(
         "customer_id", "sales_order_id", "order_status", "created_on", "months",
         F.col("amount").alias("gross_sales"), F.col("amount").alias("final_price"), "skus",

@@ -552,7 +552,7 @@ QUERIES = [
 
     # -- windows
     Query("order_indices", lambda b: credit.order_indices(
-        credit.collapse_lines(b.lines), b.source.order_census),
+        credit.collapse_lines(b.lines)),
           "customer_id sales_order_id order_status attempt_index:i completed_index:i"
           " activated_at:t", "indexed"),
     Query("latest_payment", lambda b: credit.payment_per_order(b.payments, b.order_keys).join(
@@ -573,14 +573,13 @@ QUERIES = [
              SELECT user_id, state, max(n) AS n, min(day) AS valid_from, max(day) AS valid_to,
              count(*) AS days FROM g GROUP BY user_id, state, run"""),
     Query("global_rownum", lambda b: number_rows(
-        b.source.order_heads, [F.col("netsuiteId"), F.col("salesOrderId")], "n",
-        b.source.order_census), "n:i netsuiteId salesOrderId",
+        b.source.order_heads, ["netsuiteId", "salesOrderId"], "n"), "n:i netsuiteId salesOrderId",
           """SELECT row_number() OVER (ORDER BY customer_id, sales_order_id) AS n,
              customer_id AS "netsuiteId", sales_order_id AS "salesOrderId" FROM heads"""),
     Query("event_sequence", lambda b: keyed_window(
-        _events(b), "event_type", [F.col("ts"), F.col("event_id")],
+        _events(b), ["event_type"], ["ts", "event_id"],
         {"n": F.lit(1), "clicks": F.when(F.col("value") > 50, 1)},
-        {"top": F.max("value")}), "event_id:i n:i clicks:i top:m",
+        {"top": ("max", F.col("value"))}), "event_id:i n:i clicks:i top:m",
           """SELECT event_id, row_number() OVER w AS n,
              coalesce(sum(CASE WHEN value > 50 THEN 1 END) OVER w, 0) AS clicks,
              max(value) OVER (PARTITION BY event_type) AS top FROM events

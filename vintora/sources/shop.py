@@ -46,7 +46,10 @@ _TABLES = {
     "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
         value DOUBLE, props STRING""",
 }
-_CREDIT = "o_orderdate >= TIMESTAMP_NTZ'1997-01-01 00:00:00' AND o_orderkey % 3 <> 0"
+_CREDIT = "o_orderkey % 3 <> 0"
+# Half of the customers take up credit some time after their first order, so that there are sales
+# before and after it.
+_LAG = "CAST(IF(o_custkey % 2 = 0, (o_custkey * 7) % 720, 0) AS INT)"
 
 
 class Shop:
@@ -62,7 +65,7 @@ class Shop:
 
     @cached_property
     def order_heads(self) -> DataFrame:
-        """One row per order bought on credit: two of three orders since the launch in 1997."""
+        """One row per order bought on credit: two of three orders."""
         return self.table("orders").filter(_CREDIT).selectExpr(
             "o_orderkey AS k", "CAST(o_custkey AS STRING) AS netsuiteId",
             "concat('SO', o_orderkey) AS salesOrderId", "concat('M', o_orderkey) AS orderId",
@@ -88,12 +91,6 @@ class Shop:
             " AS orderStatus", "salesChannel")
         return conform(df, "credit_order")
 
-    @cached_property
-    def order_census(self) -> DataFrame:
-        """Orders per customer from two columns of one table; it only decides which keys are hot."""
-        return (self.table("orders").filter(_CREDIT)
-                .selectExpr("CAST(o_custkey AS STRING) AS customer_id"))
-
     @cached_property
     def payment_report(self) -> DataFrame:
         paid_on = ("date_add(delivered_on, CAST(CASE WHEN k % 4 = 0 THEN (k * 7) % 130"
@@ -152,10 +149,10 @@ class Shop:
 
     @cached_property
     def first_orders(self) -> DataFrame:
-        """First order since the launch: it anchors approvals and eligibility."""
-        return (self.table("orders").filter("o_orderdate >= TIMESTAMP_NTZ'1997-01-01 00:00:00'")
-                .groupBy(F.col("o_custkey").alias("n"))
-                .agg(F.min("o_orderdate").cast("date").alias("first_on")))
+        """Where approvals and eligibility start: the first order, or some time after it."""
+        first = F.expr(f"date_add(CAST(min(o_orderdate) AS DATE), any_value({_LAG}))")
+        return self.table("orders").groupBy("o_custkey").agg(first.alias("first_on")) \
+            .withColumnRenamed("o_custkey", "n")
 
     @cached_property
     def credit_approval(self) -> DataFrame:
@@ -301,10 +298,6 @@ class Shop:
             "IF(l_linestatus = 'F', NULL, a) AS amount_in_progress")
         return conform(df, "orders_new")
 
-    @cached_property
-    def sales_census(self) -> DataFrame:
-        return self.table("orders").selectExpr("CAST(o_custkey AS STRING) AS customer_id")
-
     @cached_property
     def service_profile(self) -> DataFrame:
         df = self.table("customer").filter("c_custkey % 2 = 1").selectExpr(
