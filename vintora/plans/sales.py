@@ -146,7 +146,7 @@ def lifecycle(orders: DataFrame, terms: Terms) -> DataFrame:
     return (flags.withColumn("state", state).filter(F.col("state").isNotNull())
             .groupBy("month", "state")
             .agg(F.coalesce(F.sum("gross"), F.lit(0.0)).alias("gross_sales"),
-                 F.count(F.lit(1)).alias("customers"),
+                 F.count("customer_id").alias("customers"),
                  F.coalesce(F.sum("orders"), F.lit(0)).alias("orders")))
 
 

@@ -2,10 +2,11 @@
 
 A query is a builder over a ``Book``, the columns it publishes, and the SQL that checks it. The
 column list drives both sides, so names and roundings cannot drift apart. Marks: ``:m`` amount
-(cents), ``:r`` ratio (6 places), ``:t`` date or time as text, ``:i`` whole number.
+(rounded to 5 places, the finest that products of cents and rates have), ``:r`` ratio (6 places),
+``:t`` date or time as text, ``:i`` whole number.
 
-Amounts and ratios are cut and not rounded, with a small guard below the cut. An exact half would
-fall on either side when the same sum is added up in another order.
+Rounding is half up; what lies within a ten-thousandth of a last place below a half counts as the
+half, since sums added up in another order may fall on either side of it.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ class Query:
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(Book.open(spark, sf_dir))
-        shape = {"m": lambda c: F.floor(c.cast("double") * 1e2 + 0.0321) / 1e2,
-                 "r": lambda c: F.floor(c.cast("double") * 1e6 + 0.0321) / 1e6,
+        shape = {"m": lambda c: F.floor(c.cast("double") * 1e5 + 0.5001) / 1e5,
+                 "r": lambda c: F.floor(c.cast("double") * 1e6 + 0.5001) / 1e6,
                  "t": lambda c: c.cast("string"), "i": lambda c: c.cast("bigint"),
                  "": lambda c: c}
         return df.select(*[shape[mark](F.col(f"`{name}`")).alias(name)
@@ -42,8 +43,8 @@ class Query:
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        shape = {"m": "floor(CAST({} AS DOUBLE) * 1e2 + 0.0321) / 1e2",
-                 "r": "floor(CAST({} AS DOUBLE) * 1e6 + 0.0321) / 1e6", "t": "CAST({} AS VARCHAR)", "i": "CAST({} AS BIGINT)", "": "{}"}
+        shape = {"m": "floor(CAST({} AS DOUBLE) * 1e5 + 0.5001) / 1e5",
+                 "r": "floor(CAST({} AS DOUBLE) * 1e6 + 0.5001) / 1e6", "t": "CAST({} AS VARCHAR)", "i": "CAST({} AS BIGINT)", "": "{}"}
         fields = ", ".join(f'{shape[mark].format(f"{chr(34)}{name}{chr(34)}")} AS "{name}"'
                            for name, mark in self._fields())
         body = self.sql if self.sql.lstrip().upper().startswith(("SELECT", "WITH")) \
