@@ -8,6 +8,7 @@ from vintora.plans import build, nightly, quality
 from vintora.plans.book import Book
 from vintora.sources import contracts, intake, load
 from vintora.sources.schemas import STAGING, conform, schema_of
+from vintora.streaming import jobs
 from vintora.streaming.jobs import ChangingTable, Mutable
 
 
@@ -48,6 +49,13 @@ def test_ordered_header(spark, tmp_path):
     rows = load.read_ordered(spark, str(path), ["id", "Ruta", "ruta"], ["id", "first", "second"],
                              "id", ["id"]).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [(1.0, None, "R1"), (2.0, None, "R2")]
+    path.write_text("id,v\n1,0\n2,nan\n3,7\n")
+    rows = load.read_ordered(spark, str(path), ["id", "v"], ["id", "v"], "id", ["v"]).collect()
+    assert [(r["id"], r["v"] == 0, r["v"]) for r in rows if r["id"] != "2"] == [
+        ("1", True, 0.0), ("3", False, 7.0)]
+    path.write_text("id,v\nx1,0\n")
+    with pytest.raises(load.BrokenContract, match="no number"):
+        load.read_ordered(spark, str(path), ["id", "v"], ["id", "v"], "id", ["id"])
     with pytest.raises(load.BrokenContract, match="header"):
         load.read_ordered(spark, str(path), ["id", "ruta", "Ruta"], ["a", "b", "c"], "a", [])
     path.write_text("id,v\n1,x\n1,y\n")
@@ -69,6 +77,15 @@ def test_replace_is_all_or_nothing(spark, tmp_path):
     table.replace(table.read().filter("id < 2"))
     assert table.read().count() == 2 and reader.count() == 5
 
+    def refuse(df):
+        raise ValueError(df.count())
+    with pytest.raises(ValueError, match="3"):
+        table.replace(spark.range(3), check=refuse)
+    assert table.read().count() == 2
+    for n in range(4, 8):
+        table.replace(spark.range(n), keep=2)
+    assert len(table.versions()) == 2 and table.read().count() == 7
+
 
 def test_window_replace(spark):
     schema = "k STRING, at TIMESTAMP_NTZ, s STRING, v INT"
@@ -164,6 +181,38 @@ def test_clean_combination(spark):
     assert df.select(contracts.clean_combination("x")).first()[0] == "ab & c"
 
 
+def test_loads_are_logged_one_by_one(spark, book, tmp_path):
+    staging = intake.Staging(spark, str(tmp_path))
+    sources = {"credit_order": book.source.credit_order,
+               "payment_report": book.source.payment_report.limit(0)}
+    with pytest.raises(load.EmptyLoad):
+        intake.load_all(staging, sources, book.terms)
+    assert [r["table_name"] for r in staging.log().collect()] == ["credit_order"]
+
+
+def test_unmeasurable_identity_counts_as_broken(spark):
+    rows = spark.range(3)
+
+    def missing():
+        raise AttributeError("no such table")
+    results = quality.identities([("a", rows, rows, 1, 0, "CRIT"), ("b", rows, missing, 1, 0, "CRIT"),
+                                  ("c", rows, missing, 1, 0, "WARN")])
+    assert quality.broken(results) == ["b"]
+
+
+def test_lag_state_is_one_row_per_source(spark, tmp_path):
+    folder, log = str(tmp_path / "in"), str(tmp_path / "log")
+    table = load.VersionedTable(spark, str(tmp_path / "state"))
+    for n in range(3):
+        spark.createDataFrame([("a", t(n + 1)), ("b" if n else "c", t(9 - n))],
+                              "s STRING, at TIMESTAMP_NTZ").write.mode("append").parquet(folder)
+        jobs.lag_stream(jobs.read_stream(spark, folder, "s STRING, at TIMESTAMP_NTZ"), table, log,
+                        "s", "at").awaitTermination()
+    got = {r["s"]: (r["last_at"], r["rows"]) for r in table.read().collect()}
+    assert got == {"a": (t(3), 3), "b": (t(8), 2), "c": (t(9), 1)}
+    assert len(table.versions()) == 2
+
+
 def test_empty_window_keeps_the_table(spark, book, tmp_path):
     staging = intake.Staging(spark, str(tmp_path))
     lines = book.source.credit_order
@@ -184,6 +233,9 @@ def test_partitioned_version_keeps_types(spark, tmp_path):
     assert table.read().schema["month"].dataType.simpleString() == "string"
     assert sorted(map(tuple, table.read().select("month", "v").collect())) == [
         ("2001-08", 1), ("2001-09", 2)]
+    one = table.read().filter("month = '2001-08'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and one.count() == 1
 
 
 # -- changing table --------------------------------------------------------
@@ -213,3 +265,13 @@ def test_closed_rows_are_frozen_and_open_rows_change(spark, tmp_path):
     assert state(table) == expected
     closed = [p.name for p in pathlib.Path(tmp_path, "closed").iterdir()]
     assert len(closed) == 3
+
+
+def test_closed_parts_are_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ChangingTable, "COMPACT", 3)
+    table = ChangingTable(spark, str(tmp_path), RULE)
+    for n in range(9):
+        table.apply(spark.createDataFrame([(f"k{n}", t(3 * n + 1), t(3 * n + 1), "done")], SCHEMA))
+        assert [k for k, *_ in state(table)] == [f"k{i}" for i in range(n + 1)]
+    current = table.open.versions()[-1]
+    assert current - table._base(current) < 3 and len(table.open.versions()) == 2

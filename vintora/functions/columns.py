@@ -28,10 +28,10 @@ def day(value: dt.date) -> Column:
 # -- time ------------------------------------------------------------------
 
 def epoch_ms_to_local(ms) -> Column:
-    """Epoch milliseconds to local time; NULL, zero and negative give NULL."""
+    """Epoch milliseconds to local time; NULL, zero, negative and beyond 2100 give NULL."""
     ms = col(ms)
     shifted = F.timestamp_add("MILLISECOND", ms.cast("bigint") - OFFSET_MS, F.expr(_EPOCH))
-    return F.when(ms > 0, shifted)
+    return F.when((ms > 0) & (ms < 4102444800000), shifted)
 
 
 def local_to_epoch_ms(ts) -> Column:
@@ -39,10 +39,12 @@ def local_to_epoch_ms(ts) -> Column:
 
 
 def iso_to_local(text) -> Column:
-    """ISO text to local time; text that is no date gives NULL. Needs a UTC session."""
+    """ISO text to local time; text that is no date from 1900 to 2100 gives NULL. Needs a UTC
+    session."""
     text = col(text)
     parsed = text.try_cast("timestamp").cast("timestamp_ntz")
-    return F.when(text.rlike(_ISO_DATE), parsed - F.expr("INTERVAL 6 HOURS"))
+    inside = parsed.between(stamp(dt.datetime(1900, 1, 1)), stamp(dt.datetime(2100, 1, 1)))
+    return F.when(text.rlike(_ISO_DATE) & inside, parsed - F.expr("INTERVAL 6 HOURS"))
 
 
 def text_to_date(text) -> Column:

@@ -92,7 +92,8 @@ def _header_contract(book: Book) -> DataFrame:
     path = load.scratch(spark, "contest.csv")
     header = ["id", "linea", "clase", "ruta preventa"]
     load.export_csv(book.source.contest_customers.select(
-        F.col("netsuite_id").alias("id"), F.col("linea_nueva").alias("linea"),
+        F.col("netsuite_id").alias("id"),
+        F.when(F.col("netsuite_id_num") % 5 == 0, 0).otherwise(F.col("linea_nueva")).alias("linea"),
         F.when(F.col("netsuite_id_num") % 7 == 0, "nan").otherwise(F.col("clasificacion"))
         .alias("clase"), F.col("ruta_preventa").alias("ruta preventa")), path)
     return load.read_ordered(spark, path, header, ["customer_id", "line", "class", "route"],
@@ -338,7 +339,9 @@ _CHECK_SQL = """
 _COUNTS = (("routes", "routes"), ("tranches", "tranches"), ("spans", "spans"),
            ("orders", "gorders"), ("loans", "loans"), ("snapshot", "snap"), ("vintage", "vint"),
            ("revenue", "loans"), ("grid", "grid"), ("daily", "daily"), ("history", "hist"),
-           ("panel", "panel"), ("season", "season"))
+           ("panel", "panel"), ("season", "season"), ("cut_lines", "cut"),
+           ("cut_orders", """(SELECT DISTINCT customer_id, route, supervisor, office, region,
+               customer_type, sales_order_id, order_id, order_status, sales_channel FROM cut)"""))
 _IDENTITIES = (
     ("orders", "CRIT", "gorders", 1, "0"), ("loans", "CRIT", "loans", 1, "0"),
     ("revenue", "CRIT", "loans", 1, "0"), ("par", "CRIT", "snap", 1, "0"),
@@ -405,7 +408,8 @@ QUERIES = [
              WHEN 1 THEN '02-Mixed' ELSE '03-Mostly Fraud' END AS profile
              FROM customer WHERE c_custkey % 2 = 1"""),
     Query("header_contract", _header_contract, "customer_id line:m class route",
-          """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_acctbal + 2000 AS line,
+          """SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+             CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE c_acctbal + 2000 END AS line,
              CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS class,
              'R' || c_custkey % 9 AS route FROM customer WHERE c_custkey % 3 = 1"""),
     Query("file_contract", _file_contract,

@@ -15,6 +15,7 @@ from vintora.params import FINAL_STATES, Terms
 from vintora.sources import load
 from vintora.sources.schemas import conform
 
+KEEP = 3
 LOG_SCHEMA = """started_at TIMESTAMP_NTZ, table_name STRING, mode STRING, rows BIGINT,
     seconds DOUBLE, definition STRING"""
 
@@ -65,7 +66,8 @@ class Staging:
 
     def record(self, entries: list[tuple]) -> None:
         rows = self.spark.createDataFrame(entries, LOG_SCHEMA)
-        self._log.replace(load.append_new(self.log(), rows, ["started_at", "table_name"]))
+        self._log.replace(load.append_new(self.log(), rows, ["started_at", "table_name"]),
+                          keep=KEEP)
 
     def last_full(self, table: str) -> dt.datetime | None:
         """One value per table of a short log."""
@@ -82,7 +84,7 @@ def load_table(staging: Staging, source: DataFrame, rule: Rule, terms: Terms, fu
                           staging.last_full(rule.table), terms.now, terms.full_reload_days)
     flat = load.flatten(source)
     if mode == "full":
-        rows = stored.replace(conform(flat, rule.table))
+        rows = stored.replace(conform(flat, rule.table), keep=KEEP)
     else:
         edge = terms.now - dt.timedelta(days=terms.mutable_days)
         # The documents hold UTC.
@@ -91,22 +93,28 @@ def load_table(staging: Staging, source: DataFrame, rule: Rule, terms: Terms, fu
         refresh = load.refresh_keys(current, rule.key, rule.status, rule.final, rule.at, cutoff)
         incoming = conform(load.window_or_keys(flat, rule.at, cutoff, rule.key, refresh),
                            rule.table)
-        if incoming.isEmpty():
-            raise load.EmptyLoad(f"{rule.table}: the window has no rows")
+        # The source is read once: what is counted is what is merged.
+        extract = load.VersionedTable(staging.spark, load.scratch(staging.spark, rule.table))
+        extract.replace(incoming)
         rows = stored.replace(load.window_replace(
-            current, incoming, rule.at, cutoff, rule.key, refresh))
+            current, extract.read(), rule.at, cutoff, rule.key, refresh), keep=KEEP)
     return (terms.now, rule.table, mode, rows, time.time() - begun,
             load.definition_hash(repr(rule)))
 
 
 def load_all(staging: Staging, sources: Mapping[str, DataFrame], terms: Terms, full: bool = False,
              only: list[str] | None = None) -> list[tuple]:
-    """Load the tables in order; unknown names are an error."""
+    """Load the tables in order; unknown names are an error.
+
+    Each load is logged when it is done, so one that fails later does not hide it.
+    """
     known = {r.table: r for r in RULES}
     unknown = [n for n in only or [] if n not in known]
     if unknown:
         raise KeyError(f"unknown tables {unknown}; known are {list(known)}")
-    entries = [load_table(staging, sources[name], rule, terms, full)
-               for name, rule in known.items() if name in sources and (not only or name in only)]
-    staging.record(entries)
+    entries = []
+    for name, rule in known.items():
+        if name in sources and (not only or name in only):
+            entries.append(load_table(staging, sources[name], rule, terms, full))
+            staging.record(entries[-1:])
     return entries

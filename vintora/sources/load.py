@@ -6,6 +6,7 @@ import datetime as dt
 import hashlib
 import json
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -87,10 +88,15 @@ def read_ordered(spark: SparkSession, path: str, header: list[str], names: list[
         raise BrokenContract(f"{path}: header {found} is not {header}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     rows = spark.read.schema(schema).csv(path, header=True, enforceSchema=True)
-    # Texts that stand for no value.
+    # Texts that stand for no value. In a number a 0 is a 0.
     empty = ("", "0", "nan", "None")
     clean = rows.select(*[
-        F.when(~F.trim(n).isin(*empty), F.trim(n)).alias(n) for n in names])
+        F.trim(n).alias(n) if n in numeric
+        else F.when(~F.trim(n).isin(*empty), F.trim(n)).alias(n) for n in names])
+    if key in numeric:
+        unread = clean.filter(has_text(key) & F.col(key).try_cast("double").isNull()).take(3)
+        if unread:
+            raise BrokenContract(f"{path}: {key} is no number in {[r[key] for r in unread]}")
     repeated = duplicates(clean.filter(F.col(key).isNotNull()), [key]).take(3)
     if repeated:
         raise BrokenContract(f"{path}: repeated {key}, e.g. {[r[0] for r in repeated]}")
@@ -154,9 +160,13 @@ class VersionedTable:
         version = self.versions()[-1]
         return self.spark.read.schema(self.schema(version)).parquet(f"{self.path}/v{version}")
 
-    def replace(self, df: DataFrame, by: str | None = None) -> int:
+    def replace(self, df: DataFrame, by: str | None = None, keep: int | None = None,
+                check: Callable[[DataFrame], object] | None = None) -> int:
         """Write a new version and make it current; no rows means no change.
 
+        ``check`` sees the written version before it becomes current and may raise. With ``keep``
+        only so many versions stay; give readers of older ones time to end.
+
         With ``by`` the version is partitioned by that column. The rebalance gives each value as
         many files as its size asks for, so neither small files nor one huge writer arise.
         """
@@ -168,9 +178,15 @@ class VersionedTable:
         rows = seen.get["rows"]
         if rows == 0:
             raise EmptyLoad(f"{self.path}: the load has no rows")
+        if check is not None:
+            check(self.spark.read.schema(df.schema).parquet(f"{self.path}/v{version}"))
         stream = self._fs.create(self._marker(version))
         stream.write(bytearray(df.schema.json().encode()))
         stream.close()
+        if keep:
+            for old in self.versions()[:-keep]:
+                self._fs.delete(self._marker(old), False)
+                self._fs.delete(self._files.Path(f"{self.path}/v{old}"), True)
         return rows
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vintora.functions import stamp
 from vintora.operators.relational import descending, first_per_key
+from vintora.session import checkpoint_dir
 from vintora.sources.load import VersionedTable
 
 
@@ -42,9 +43,12 @@ class ChangingTable:
 
     ``open`` holds the rows that can still change and is rewritten by each batch; rows that can
     change no more move to ``closed``. A batch therefore costs as much as the open window, and
-    not as much as the history. The marker of the open version commits both parts.
+    not as much as the history. The marker of the open version commits both parts. Every
+    ``COMPACT`` batches the closed parts are written into one, and reading starts from it.
     """
 
+    COMPACT = 16
+
     def __init__(self, spark: SparkSession, path: str, rule: Mutable):
         self.spark, self.path, self.rule = spark, path.rstrip("/"), rule
         self.open = VersionedTable(spark, f"{self.path}/open")
@@ -52,10 +56,22 @@ class ChangingTable:
     def _closed(self, version: int) -> str:
         return f"{self.path}/closed/v{version}"
 
+    def _base(self, current: int) -> int:
+        """The part that reading starts from: the last compacted one that is committed."""
+        files = self.spark._jvm.org.apache.hadoop.fs
+        found = self.open._fs.listStatus(files.Path(f"{self.path}/closed"))
+        names = [s.getPath().getName() for s in found]
+        bases = [int(n[1:-5]) for n in names if n.endswith(".base")]
+        return max((b for b in bases if b <= current), default=1)
+
+    def _closed_rows(self, schema) -> DataFrame:
+        current = self.open.versions()[-1]
+        parts = [self._closed(v) for v in range(self._base(current), current + 1)]
+        return self.spark.read.schema(schema).parquet(*parts)
+
     def read(self) -> DataFrame:
         df = self.open.read()
-        parts = [self._closed(v) for v in self.open.versions()]
-        return df.unionByName(self.spark.read.schema(df.schema).parquet(*parts))
+        return df.unionByName(self._closed_rows(df.schema))
 
     def apply(self, batch: DataFrame) -> None:
         """Merge a batch of changes; the same batch applied twice gives the same table."""
@@ -75,11 +91,20 @@ class ChangingTable:
             accepted = incoming.join(known, rule.key, "left").filter(
                 (F.col(rule.at) >= stamp(before - window)) | F.col("_known")).drop("_known")
             merged = first_per_key(current.unionByName(accepted), [rule.key], newest_first)
-        merged = merged.select(*batch.columns)
+        # Written once, for both parts and for the batch's clock.
+        checkpoint_dir(self.spark)
+        merged = merged.select(*batch.columns).checkpoint()
         done = (F.col(rule.at) < stamp(newest - window)) & F.col(rule.status).isin(*rule.final)
         version = (self.open.versions() or [0])[-1] + 1
-        merged.filter(done).write.mode("overwrite").parquet(self._closed(version))
-        self.open.replace(merged.filter(~F.coalesce(done, F.lit(False))))
+        closing = merged.filter(done)
+        compact = version > 1 and version - self._base(version - 1) >= self.COMPACT
+        if compact:
+            closing = closing.unionByName(self._closed_rows(merged.schema))
+        closing.write.mode("overwrite").parquet(self._closed(version))
+        if compact:
+            files = self.spark._jvm.org.apache.hadoop.fs
+            self.open._fs.create(files.Path(f"{self._closed(version)}.base")).close()
+        self.open.replace(merged.filter(~F.coalesce(done, F.lit(False))), keep=2)
 
 
 def upsert_stream(stream: DataFrame, table: ChangingTable, checkpoint: str) -> StreamingQuery:
@@ -93,15 +118,39 @@ def upsert_stream(stream: DataFrame, table: ChangingTable, checkpoint: str) -> S
 
 def lag_stream(stream: DataFrame, table: VersionedTable, checkpoint: str, source: str, at: str
                ) -> StreamingQuery:
-    """Keep the last event time and row count of each source; one small row per source."""
+    """Keep the last event time and row count of each source; one small row per source.
+
+    The row also keeps its last batch and its values before that, so a repeated batch replaces
+    what it added the first time.
+    """
     def fold(batch: DataFrame, batch_id: int) -> None:
-        part = batch.groupBy(source).agg(F.max(at).alias("last_at"), F.count(F.lit(1)).alias("rows"))
-        part = part.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        if batch.isEmpty():
+            return
+        part = batch.groupBy(F.col(source).alias("_s")).agg(
+            F.max(at).alias("_at"), F.count(F.lit(1)).alias("_n"))
+        this = F.lit(batch_id).cast("bigint")
         if table.exists():
-            # The batch id makes a repeated batch replace its own rows.
-            part = table.read().filter(F.col("batch_id") != batch_id).unionByName(part)
-        if not batch.isEmpty():
-            table.replace(part)
+            old = table.read()
+            both = old.join(part, old[source].eqNullSafe(part["_s"]), "full")
+            again = F.col("batch_id") == this
+            at_before = F.when(again, F.col("at_before")).otherwise(F.col("last_at"))
+            rows_before = F.when(again, F.col("rows_before")).otherwise(F.col("rows"))
+            new = F.col("_n").isNotNull()
+            state = both.select(
+                F.coalesce(source, "_s").alias(source),
+                F.when(new, F.greatest(at_before, F.col("_at"))).otherwise(F.col("last_at"))
+                .alias("last_at"),
+                F.when(new, F.coalesce(rows_before, F.lit(0)) + F.col("_n"))
+                .otherwise(F.col("rows")).alias("rows"),
+                F.when(new, this).otherwise(F.col("batch_id")).alias("batch_id"),
+                F.when(new, at_before).otherwise(F.col("at_before")).alias("at_before"),
+                F.when(new, rows_before).otherwise(F.col("rows_before")).alias("rows_before"))
+        else:
+            state = part.select(
+                F.col("_s").alias(source), F.col("_at").alias("last_at"), F.col("_n").alias("rows"),
+                this.alias("batch_id"), F.lit(None).cast(part.schema["_at"].dataType)
+                .alias("at_before"), F.lit(None).cast("bigint").alias("rows_before"))
+        table.replace(state, keep=2)
 
     return (stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -110,7 +159,6 @@ def lag_stream(stream: DataFrame, table: VersionedTable, checkpoint: str, source
 def lag_status(table: VersionedTable, source: str, now: dt.datetime) -> DataFrame:
     """Lamp per source: 24 hours warn, 48 hours critical."""
     lag = F.timestamp_diff("SECOND", F.col("last_at"), stamp(now)) / 3600
-    return (table.read().groupBy(source).agg(F.max("last_at").alias("last_at"),
-                                             F.sum("rows").alias("rows"))
+    return (table.read().select(source, "last_at", "rows")
             .withColumn("lag_hours", lag)
             .withColumn("lamp", F.when(lag >= 48, "CRIT").when(lag >= 24, "WARN").otherwise("OK")))
