@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import xxhash
@@ -23,6 +26,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fewer(df: DataFrame) -> DataFrame:
+    """Some neighbouring shuffle partitions per task, where a task's own cost would prevail."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions")) // 4
+    return df.coalesce(max(4 * spark.sparkContext.defaultParallelism, n))
+
+
 def numbered(df: DataFrame, keys: list[str], out: str, name: str) -> DataFrame:
     """Gapless numbers from 0 within ``keys`` (no nulls in them), for keys of any size.
 
@@ -41,6 +51,14 @@ def numbered(df: DataFrame, keys: list[str], out: str, name: str) -> DataFrame:
             .drop("_part", "_at", "_rn", "_off"))
 
 
+def kept_in_worker(name: str, make: Callable[[], Any]) -> Any:
+    """An object that this Python worker keeps for its later tasks. Only for caches."""
+    place = sys.modules.setdefault("_worker_caches", types.ModuleType("_worker_caches"))
+    if not hasattr(place, name):
+        setattr(place, name, make())
+    return getattr(place, name)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -1,8 +1,8 @@
 """Token ids of whole texts with the public lower-case word BPE, as little-endian uint32 bytes.
 
 That tokenizer drops white space and never joins text across it, so a text's ids are the ids of its
-white-space-separated words in order. Words repeat; a bounded cache of each word's ids as bytes
-turns most of the work into look-ups and a join of bytes.
+white-space-separated words in order. Words repeat, so most of the work is to look up pieces of words
+in a bounded cache of their ids as bytes, which the worker keeps from task to task.
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ import struct
 
 # The characters with Unicode's White_Space property.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# How the tokenizer splits lower-case words, for ASCII and Latin-1 letters.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+"
-CACHE_WORDS = 300_000
+# How the tokenizer splits lower-case text of ASCII and Latin-1 letters.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+"
+CACHE_PIECES = 800_000
+_PLAIN = bytes([*range(0x09, 0x0E), *range(0x20, 0x7F), *range(0xC0, 0x100)])
 
 
 def byte_letters() -> list[str]:
@@ -24,43 +25,44 @@ def byte_letters() -> list[str]:
     return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
-class WordIds(dict):
-    """word -> its ids as bytes, filled on demand."""
+def plain(text: str) -> bool:
+    """ASCII and Latin-1 letters only: already in normal form, and lower case is letter by letter."""
+    try:
+        return not text.encode("latin-1").translate(None, _PLAIN) and "<|" not in text
+    except UnicodeEncodeError:
+        return False
+
+
+class Ids(dict):
+    """The ids, as bytes, of each lower-case piece of plain text, filled on demand."""
 
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.letters = byte_letters()
-        self.plain = re.compile("[\x21-\x7e\xc0-\xff]*").fullmatch
         self.split = re.compile(PIECES).findall
-        self.spaces = re.compile(f"[{SPACES}]+")
-        self.odd = re.compile("[\x1c-\x1f]").search
-
-    def __missing__(self, word: str) -> bytes:
-        if self.plain(word) and "<|" not in word:
-            # Composed Latin letters are already in normal form.
-            out = b"".join([self.pieces.get(p) or self._piece(p) for p in self.split(word.lower())])
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            out = struct.pack(f"<{len(ids)}I", *ids)
-        self[word] = out
-        return out
+        self.spaces = re.compile(f"[{SPACES}]+").split
 
-    def _piece(self, piece: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
         spelled = piece if piece.isascii() else \
             "".join([self.letters[b] for b in piece.encode()])
         ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-        out = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        out = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+    def _word(self, word: str) -> bytes:
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        out = self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
         return out
 
     def text(self, text: str) -> bytes:
-        # str.split also cuts at four control characters that are no white space here.
-        parts = self.spaces.split(text) if self.odd(text) else text.split()
-        return b"".join(map(self.__getitem__, parts))
+        if plain(text):
+            return b"".join(map(self.__getitem__, self.split(text.lower())))
+        return b"".join([self.words.get(w) or self._word(w) for w in self.spaces(text) if w])
 
     def trim(self) -> None:
-        for cache in (self, self.pieces):
-            if len(cache) > CACHE_WORDS:
+        for cache in (self, self.words):
+            if len(cache) > CACHE_PIECES:
                 cache.clear()
