@@ -477,7 +477,10 @@ def components_by_hand(rows):
                                for a, (i, s) in enumerate(sets))
 
 
-def test_near_duplicates(spark, awkward, empty):
+@pytest.mark.parametrize("large", [0, 10_000])
+def test_near_duplicates(spark, awkward, empty, large, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "LARGE", large)
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8 if large == 0 else 512)
     rng = random.Random(8)
     rows = [(i, " ".join(w)) for i, w in enumerate(made_up(60, 9))]
     base = [f"b{rng.randrange(300)}" for _ in range(220)]

@@ -1,6 +1,6 @@
 """Licence scan by sentence rules.
 
-Texts are cut into sentences, sentences are normalised (lower case, comment marks, quotes and white
+Texts are cut into sentences, sentences are normalised (lower case, no quotes, comment marks and white
 space between words taken as one space) and mapped to the identifiers of known licence sentences.
 The identifiers of a document, in order, are then matched against an ordered list of rules: a rule
 is a sequence of identifiers and names a licence; longer sequences stand before shorter ones, so
@@ -97,8 +97,9 @@ RULES = [
 # A text without any of these holds no known sentence.
 KEYWORDS = ("licen", "permission", "redistribut", "copyright", "warrant", "neither the name",
             "advertising", "disclaim", "public domain", "as is", "cc by", "cc0", "hope that")
-# White space, comment marks and quotes between words.
-_GAP = re.compile(r"[\s*#/\"'`|()]+")
+# White space and comment marks between words; quotes are dropped.
+_GAP = re.compile(r"[\s*#/|()]+")
+_QUOTES = str.maketrans("", "", "\"'`\u201c\u201d\u2018\u2019")
 _END = re.compile(r"[.!?](?=\s|$)|\n\s*\n")
 
 
@@ -126,7 +127,7 @@ def patterns() -> dict[str, re.Pattern]:
 
 
 def _tidy(text: str) -> str:
-    return _GAP.sub(" ", text.lower().replace(";", ","))
+    return _GAP.sub(" ", text.lower().translate(_QUOTES).replace(";", ","))
 
 
 def sentences(text: str) -> Iterator[tuple[int, int]]:
@@ -198,4 +199,4 @@ def scan(docs: DataFrame) -> DataFrame:
                 "licences": [sorted({x.licence for x in licences}) for licences, _ in rows],
                 "spans": [[x._asdict() for x in licences] for licences, _ in rows],
                 "unmatched": [rest for _, rest in rows]})
-    return docs.withColumn("_found", run("text")).select("doc_id", "_found.*")
+    return docs.select("doc_id", run("text").alias("_found")).select("doc_id", "_found.*")

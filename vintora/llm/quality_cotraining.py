@@ -173,8 +173,8 @@ def _described(docs: DataFrame, *more: str) -> DataFrame:
         return pd.DataFrame({
             "x": [content(t).tobytes() for t in text],
             "m": [metadata(s, l, c).tobytes() for s, l, c in zip(source, lang, n)]})
-    return docs.withColumn("_v", run("text", F.col("source").cast("string"), F.col("lang").cast("string"),
-                                     F.col("n_chars").cast("double"))).select("_v.*", *more)
+    return docs.select(run("text", F.col("source").cast("string"), F.col("lang").cast("string"),
+                           F.col("n_chars").cast("double")).alias("_v"), *more).select("_v.*", *more)
 
 
 def _rows(collected: list) -> tuple[np.ndarray, np.ndarray]:
@@ -185,6 +185,7 @@ def _rows(collected: list) -> tuple[np.ndarray, np.ndarray]:
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     graded = (labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
               .agg((F.avg("quality") >= 0.5).cast("int").alias("good")))
+    docs = docs.select("doc_id", "text", "source", "lang", "n_chars")
     ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = (ids.join(graded, "doc_id").orderBy(*order).limit(LABELLED).unionByName(
@@ -212,6 +213,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             m = np.stack([metadata(*r) for r in zip(source[part], lang[part], n[part])])
             out.append(model.score(x.astype(np.float64), m.astype(np.float64)))
         return pd.Series(np.concatenate(out))
-    scored = docs.withColumn("score", run("text", F.col("source").cast("string"),
-                                          F.col("lang").cast("string"), F.col("n_chars").cast("double")))
+    scored = docs.select("doc_id", run("text", F.col("source").cast("string"),
+                                       F.col("lang").cast("string"),
+                                       F.col("n_chars").cast("double")).alias("score"))
     return scored.select("doc_id", "score", (F.col("score") >= 0.5).alias("keep"))

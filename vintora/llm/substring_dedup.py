@@ -145,19 +145,20 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(kept) + text[at:] if spans else text
 
 
-def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All rows and columns of ``docs``, ``text`` without later repeats, and ``removed``: the spans
-    (first, last) taken out, in characters of the original text."""
-    keyed = docs.withColumn("_crc", F.crc32(F.col("text").cast("binary")))
-    marked = keyed.join(
-        repeated(docs).select(F.col("doc_id").alias("_id"), F.col("crc").alias("_c"),
-                              F.col("units").alias("_units")),
-        (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_crc") == F.col("_c")),
-        "left").drop("_id", "_c", "_crc")
+def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS,
+                 spans_as: str | None = "removed") -> DataFrame:
+    """All rows and columns of ``docs``, ``text`` without later repeats. A column ``spans_as`` (in
+    place of one of that name) has the spans (first, last) taken out, in characters of the
+    original text."""
+    whole = docs.select(F.struct("*").alias("row"))
+    keyed = whole.select("row", F.col("row.doc_id").cast("long").alias("doc_id"),
+                         F.crc32(F.col("row.text").cast("binary")).alias("crc"))
+    marked = keyed.join(repeated(docs), ["doc_id", "crc"], "left")
     udf = F.pandas_udf(_cut(min_words), "text string, removed array<struct<first int, last int>>")
-    done = marked.withColumn("_new", udf("text", "_units"))
-    return done.select(*[F.col(f"`{c}`") if c != "text" else F.col("_new.text").alias("text")
-                         for c in docs.columns], F.col("_new.removed").alias("removed"))
+    done = marked.select("row", udf("row.text", "units").alias("new"))
+    kept = [F.col(f"row.`{c}`") if c != "text" else F.col("new.text")
+            for c in docs.columns if c != spans_as]
+    return done.select(*kept, *([F.col("new.removed").alias(spans_as)] if spans_as else []))
 
 
 def _cut(min_words: int):
