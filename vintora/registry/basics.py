@@ -339,9 +339,13 @@ _CHECK_SQL = """
 _COUNTS = (("routes", "routes"), ("tranches", "tranches"), ("spans", "spans"),
            ("orders", "gorders"), ("loans", "loans"), ("snapshot", "snap"), ("vintage", "vint"),
            ("revenue", "loans"), ("grid", "grid"), ("daily", "daily"), ("history", "hist"),
-           ("panel", "panel"), ("season", "season"), ("cut_lines", "cut"),
-           ("cut_orders", """(SELECT DISTINCT customer_id, route, supervisor, office, region,
-               customer_type, sales_order_id, order_id, order_status, sales_channel FROM cut)"""))
+           ("panel", "panel"), ("season", "season"), 
+           # The Thursday before the business day of the book, less eight days.
+           ("cut_lines", """(SELECT * FROM vlines
+               WHERE CAST(created_at AS DATE) >= DATE '2001-08-09' - 8) c"""),
+           ("cut_orders", """(SELECT DISTINCT customer_id, sales_order_id, order_id, order_status,
+               coalesce(sales_channel, 'MARKETPLACE') FROM vlines
+               WHERE CAST(created_at AS DATE) >= DATE '2001-08-09' - 8) c"""))
 _IDENTITIES = (
     ("orders", "CRIT", "gorders", 1, "0"), ("loans", "CRIT", "loans", 1, "0"),
     ("revenue", "CRIT", "loans", 1, "0"), ("par", "CRIT", "snap", 1, "0"),
