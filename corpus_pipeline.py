@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vintora.llm import (decontamination, language_id, near_duplicates, packing, substring_dedup)
@@ -33,20 +33,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id.
 
-    Rows without an id stay. Of rows that repeat an id and are kept, equal ones are one.
+    Rows without an id stay. Rows that repeat both id and text are one.
     """
     prepare(spark)
-    judged = near_duplicates.near_duplicates(docs)
-    gone = judged.filter(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    keyed = kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return keyed.unionByName(kept.filter(F.col("doc_id").isNull()))
+    gone = (near_duplicates.near_duplicates(docs).filter(~F.col("kept"))
+            .select("doc_id", F.col("text_hash").alias("h")).distinct())
+    whole = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("h"))
+    kept = whole.join(gone, ["doc_id", "h"], "left_anti")
+    first = Window.partitionBy("doc_id", "h").orderBy("doc_id")
+    once = (kept.filter(F.col("doc_id").isNotNull())
+            .withColumn("n", F.row_number().over(first)).filter("n = 1").select("row.*"))
+    return once.unionByName(kept.filter(F.col("doc_id").isNull()).select("row.*"))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of repeated passages are cut out; ``n_chars`` follows the text."""
     prepare(spark)
-    cut = substring_dedup.deduplicated(docs).drop("removed")
+    cut = substring_dedup.deduplicated(docs, spans_as=None)
     if "n_chars" in cut.columns:
         kind = docs.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))

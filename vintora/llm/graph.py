@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintora.llm.common import stored
+from vintora.llm.common import fewer, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,29 +15,27 @@ def components(edges: DataFrame) -> DataFrame:
     on the smallest of them; it ends when the edges form stars. Rounds grow with the logarithm of
     the longest path. Every round is written to the shared folder.
     """
-    pair = edges.filter(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct()
-    now, mark = _written(pair)
-    while True:
-        before = mark
+    now = stored(fewer(edges.filter(F.col("a") != F.col("b")).select(
+        F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct()), "edges")
+    while not _stars(now):
         both = now.select(F.col("high").alias("u"), F.col("low").alias("v")).unionByName(
             now.select(F.col("low").alias("u"), F.col("high").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (both.join(least, "u").filter(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("high"), F.least("u", "m").alias("low")).distinct())
+                 .select(F.col("v").alias("high"), F.least("u", "m").alias("low")))
         least = large.groupBy("high").agg(F.min("low").alias("m"))
         small = (large.join(least, "high").filter(F.col("low") != F.col("m"))
                  .select(F.col("low").alias("high"), F.col("m").alias("low"))
                  .unionByName(least.select("high", F.col("m").alias("low"))).distinct())
-        now, mark = _written(small)
-        if mark == before:
-            break
+        now = stored(fewer(small), "edges")
     return (now.select(F.col("high").alias("id"), F.col("low").alias("component"))
             .unionByName(now.select(F.col("low").alias("id"), F.col("low").alias("component")))
             .distinct())
 
 
-def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    table = stored(edges, "edges")
-    # Equal tables have equal marks; a round that changes an edge changes the sum of its hashes.
-    return table, tuple(table.agg(F.count(F.lit(1)), F.sum(F.xxhash64("high", "low").cast("decimal(20)"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Every high end has one low end, and no low end is a high one."""
+    ends = (edges.select(F.col("high").alias("id"), F.lit(1).alias("up"))
+            .unionByName(edges.select(F.col("low").alias("id"), F.lit(0).alias("up")))
+            .groupBy("id").agg(F.sum("up").alias("up"), F.count(F.lit(1)).alias("n")))
+    return ends.filter("up > 1 OR (up = 1 AND n > 1)").isEmpty()

@@ -7,12 +7,14 @@ minima merge by maximum of registers and agree for two sets about as often as th
 1. Equal sets are one node, the smallest document id stands for it.
 2. Four registers in a row are a band; documents that agree in one of 32 bands share a bucket. Two
    documents at the limit of 0.75 share none with a probability of (1 - 0.75^4)^32 = 5e-6.
-3. Every member of a bucket is held against one leader. Pairs with a likely similarity far below
-   the limit, by the joint likelihood of the two sketches and the known set sizes, are dropped
-   (six standard deviations); the others are verified on the full sets. Links give components.
-4. What is left are members of one bucket in different components. They are found by meeting those
-   outside the bucket's largest component with the rest of the bucket, and treated in the same way.
-   Within a component no pair needs a look, so a large group of copies costs one pass, not a square.
+3. Every member of a bucket is held against one leader, the member that shares most buckets with
+   others. Pairs with a likely similarity far below the limit, by the joint likelihood of the two
+   sketches and the known set sizes, are dropped (six standard deviations); the others are
+   verified on the full sets. Links give components, and within one no further pair needs a look.
+4. What is left are members of one bucket in different components. Those outside the bucket's
+   largest component ask the rest. Buckets with the same largest component form one cluster; in a
+   small cluster the pairs are estimated and verified as before. In a large one, askers and members
+   meet in blocks with their full sets, and only links leave a task, never pairs.
 
 Defined results: a text that is null or has no word has no shingles, links with nothing and is
 kept. A row without an id is its own document: component null, kept. Rows that repeat an id are
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintora.llm.common import mixed, stored, word_hashes, words
+from vintora.llm.common import fewer, mixed, stored, word_hashes, words
 from vintora.llm.graph import components
 
 SHINGLE = 5
@@ -40,6 +42,9 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 2 ** 16 - 1
 # Six standard deviations of 128 registers below the limit.
 LIKELY = 0.5
+# Clusters with more pairs than this are compared in blocks of so many documents; both ways find
+# the same links.
+LARGE, BLOCK = 10_000, 512
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(0, 2 ** 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _SHIFTS = _rng.integers(0, 2 ** 32, REGISTERS, dtype=np.uint32)
@@ -100,7 +105,7 @@ def _shifted(x: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands): ``bands`` are the registers, four in a long."""
+    """(doc_id, text_hash, n_shingles, digest, bands): the registers, four in a long."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sets = [shingles(t) for t in pdf["text"]]
@@ -116,11 +121,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                         bands[j] = row.view("<i8")
                     block = []
             yield pd.DataFrame({
-                "doc_id": pdf["doc_id"].astype("Int64"), "n_shingles": [len(s) for s in sets],
+                "doc_id": pdf["doc_id"].astype("Int64"), "text_hash": pdf["text_hash"],
+                "n_shingles": [len(s) for s in sets],
                 "digest": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                 "bands": bands})
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
-        run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    hashed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    return hashed.mapInPandas(run, "doc_id long, text_hash long, n_shingles long, digest binary, "
+                                   "bands array<long>")
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -136,7 +143,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                           F.col("bands").alias(f"bands_{s}")) for s in "ab"]
     # Sizes alone rule some out: the smaller over the larger bounds the similarity.
     fits = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
-    return (pairs.join(sides[0], "a").join(sides[1], "b").filter(fits)
+    return (fewer(pairs.join(sides[0], "a").join(sides[1], "b").filter(fits))
             .mapInPandas(run, "a long, b long"))
 
 
@@ -148,7 +155,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     for x, y in zip(pdf["set_a"], pdf["set_b"])]
             yield pdf.loc[np.array(keep, dtype=bool), ["a", "b"]]
     sides = [sets.select(F.col("id").alias(s), F.col("shingles").alias(f"set_{s}")) for s in "ab"]
-    return pairs.join(sides[0], "a").join(sides[1], "b").mapInPandas(run, "a long, b long")
+    return fewer(pairs.join(sides[0], "a").join(sides[1], "b")).mapInPandas(run, "a long, b long")
 
 
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
@@ -164,51 +171,111 @@ def _full_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
             yield pd.DataFrame({"id": pdf["id"],
                                 "shingles": [shingles(t).tobytes() for t in pdf["text"]]})
     text = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    return text.join(needed, "id", "left_semi").mapInPandas(run, "id long, shingles binary")
+    return fewer(text.join(needed, "id", "left_semi")).mapInPandas(run, "id long, shingles binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document."""
+    """(doc_id, text_hash, n_shingles, component_id, kept) of every document."""
     rows = stored(sketches(docs), "sketches")
     known = rows.filter(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
-    nodes = stored(known.groupBy("digest").agg(
+    nodes = stored(fewer(known.groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.max("n_shingles").alias("n_shingles"),
-        F.first("bands").alias("bands")), "nodes")
+        F.first("bands").alias("bands"))), "nodes")
     bucket = ["band", "key"]
     members = nodes.select("id", F.posexplode("bands").alias("band", "key"))
-    # Leaders by the order of a hash, so that they do not depend on how ids were given out.
-    leaders = (members.groupBy(*bucket)
-               .agg(F.min(F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("id"))).alias("l"),
-                    F.count(F.lit(1)).alias("n"))
-               .filter("n > 1").select(*bucket, F.col("l.id").alias("leader")))
-    shared = stored(members.join(leaders, bucket), "buckets")
-    stars = shared.filter("id != leader").select(
-        F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-    likely = stored(_estimated(stars, nodes), "likely")
+    counts = members.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = stored(fewer(members.join(counts, bucket)), "buckets")
+    degrees = shared.groupBy("id").agg(F.sum("n").alias("degree"))
+    leaders = (shared.join(degrees, "id").groupBy(*bucket)
+               .agg(F.max(F.struct("degree", F.xxhash64("id").alias("h"), "id")).alias("l"))
+               .select(*bucket, F.col("l.id").alias("leader")))
+    stars = (shared.join(leaders, bucket).filter("id != leader")
+             .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
+             .distinct())
+    stars = stored(fewer(stars), "stars")
     sets = stored(_full_sets(docs, shared.select("id").distinct()), "sets")
-    links = stored(_verified(likely, sets), "links")
-    found = components(links)
-    part = F.coalesce("component", "id")
-    placed = stored(shared.drop("leader").join(found, "id", "left").withColumn("part", part)
-                    .select(*bucket, "id", "part"), "placed")
-    # Per bucket, the component with most members; only the others ask.
-    sizes = placed.groupBy(*bucket, "part").agg(F.count(F.lit(1)).alias("n"))
-    main = (sizes.groupBy(*bucket).agg(F.max(F.struct("n", "part")).alias("m"),
-                                       F.count(F.lit(1)).alias("parts"))
-            .filter("parts > 1").select(*bucket, F.col("m.part").alias("main")))
-    mixed_buckets = placed.join(main, bucket)
-    asking = mixed_buckets.filter("part != main").select(
-        *bucket, F.col("id").alias("x"), F.col("part").alias("part_x"))
-    across = (asking.join(mixed_buckets, bucket)
-              .filter("part_x != part AND (part = main OR x < id)")
-              .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-              .join(stars, ["a", "b"], "left_anti"))
-    more = _verified(_estimated(across, nodes), sets)
-    final = components(links.unionByName(more))
-    classes = nodes.join(final, "id", "left").select(
+    links = stored(_verified(_estimated(stars, nodes), sets), "links")
+    found = stored(fewer(components(links)), "components")
+    more = stored(_across(shared, found, stars, nodes, sets), "more")
+    if not more.isEmpty():
+        # Later links join whole components.
+        ends = [found.select(F.col("id").alias(s), F.col("component").alias(f"c_{s}")) for s in "ab"]
+        joined = components(more.join(ends[0], "a", "left").join(ends[1], "b", "left").select(
+            F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")))
+        top = joined.withColumnRenamed("id", "c").withColumnRenamed("component", "top")
+        inside = found.join(top, found["component"] == top["c"], "left").select(
+            "id", F.coalesce("top", "component").alias("component"))
+        # Documents that had no link before come from the later ones.
+        found = inside.unionByName(joined.join(found, "id", "left_anti").select("id", "component"))
+    classes = nodes.join(found, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component"))
     return (rows.drop("bands").join(classes, "digest", "left")
             .withColumn("component_id", F.when(
                 F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
-            .select("doc_id", "n_shingles", "component_id",
+            .select("doc_id", "text_hash", "n_shingles", "component_id",
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
+
+
+def _across(shared: DataFrame, found: DataFrame, stars: DataFrame, nodes: DataFrame,
+            sets: DataFrame) -> DataFrame:
+    """Links (a, b) between members of one bucket that are in different components so far."""
+    bucket = ["band", "key"]
+    placed = stored(fewer(shared.drop("n").join(found, "id", "left").withColumn(
+        "part", F.coalesce("component", "id")).select(*bucket, "id", "part")), "placed")
+    sizes = placed.groupBy(*bucket, "part").agg(F.count(F.lit(1)).alias("n"))
+    main = (sizes.groupBy(*bucket).agg(F.max(F.struct("n", "part")).alias("m"),
+                                       F.count(F.lit(1)).alias("parts"))
+            .filter("parts > 1").select(*bucket, F.col("m.part").alias("main")))
+    # Of each cluster its members, and who among them asks.
+    within = (placed.join(main, bucket).select("main", "id", "part").distinct()
+              .withColumn("asks", F.col("part") != F.col("main")))
+    extent = within.groupBy("main").agg(F.count(F.lit(1)).alias("members"),
+                                        F.count_if("asks").alias("asking"))
+    clusters = stored(fewer(within.join(extent, "main")), "clusters")
+    large = F.col("members") * F.col("asking") > LARGE
+    few = clusters.filter(~large)
+    asking = few.filter("asks").select("main", F.col("id").alias("x"), F.col("part").alias("part_x"))
+    pairs = (asking.join(few, "main").filter("part_x != part AND (NOT asks OR x < id)")
+             .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+             .join(stars, ["a", "b"], "left_anti"))
+    return _verified(_estimated(pairs, nodes), sets).unionByName(
+        _in_blocks(clusters.filter(large), sets))
+
+
+def _in_blocks(clusters: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between askers and members of large clusters, block by block."""
+    block = F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / BLOCK)).cast("int")
+    rows = (clusters.withColumn("block", block).join(sets, "id")
+            .withColumn("row", F.struct("id", "part", "shingles")))
+    sides = {s: df.groupBy("main", "members", "block").agg(F.collect_list("row").alias(s))
+             for s, df in (("asking", rows.filter("asks")), ("held", rows))}
+    every = F.sequence(F.lit(0), F.ceil(F.col("members") / BLOCK).cast("int") - 1)
+    spread = sides["asking"].select("main", "asking", F.explode(every).alias("block"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for asking, held in zip(pdf["asking"], pdf["held"]):
+                yield pd.DataFrame(list(block_links(
+                    [(r["id"], r["part"], np.frombuffer(r["shingles"], "<u8")) for r in asking],
+                    [(r["id"], r["part"], np.frombuffer(r["shingles"], "<u8")) for r in held])),
+                    columns=["a", "b"], dtype="int64")
+
+    met = spread.join(sides["held"].select("main", "block", "held"), ["main", "block"])
+    return fewer(met.select("asking", "held")).mapInPandas(run, "a long, b long").distinct()
+
+
+def block_links(asking: list[tuple], held: list[tuple]) -> Iterator[tuple[int, int]]:
+    """Links between two blocks of (id, component, sorted shingles), across components."""
+    ids, parts = (np.array(c, dtype=np.int64) for c in list(zip(*held))[:2])
+    sizes = np.array([len(h[2]) for h in held])
+    every = np.concatenate([h[2] for h in held])
+    order = np.argsort(every, kind="stable")
+    owner, every = np.repeat(np.arange(len(held)), sizes)[order], every[order]
+    for name, part, own in asking:
+        first, last = np.searchsorted(every, own), np.searchsorted(every, own, side="right")
+        length = last - first
+        at = np.repeat(first - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
+        both = np.bincount(owner[at], minlength=len(held))
+        fits = 100 * both >= PERCENT * (len(own) + sizes - both)
+        for k in np.flatnonzero(fits & (parts != part)):
+            yield min(int(name), int(ids[k])), max(int(name), int(ids[k]))

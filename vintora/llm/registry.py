@@ -69,7 +69,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.near_duplicates(read(prepare(spark), sf_dir, "documents"))
+    return near_duplicates.near_duplicates(
+        read(prepare(spark), sf_dir, "documents")).drop("text_hash")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
