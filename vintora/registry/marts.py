@@ -10,6 +10,7 @@ from vintora.plans import consumers, contest, credit, measures, risk, sales
 from vintora.plans.book import Book
 from vintora.registry.core import Query
 from vintora.registry.views import AS_OF, DISTANCE, band
+from vintora.sources import intake, load
 
 _WEEK = dt.date(2001, 7, 20)
 
@@ -18,6 +19,16 @@ def _week(book: Book) -> Book:
     return Book(book.source, book.terms.at(as_of=_WEEK))
 
 
+def _staged(book: Book) -> Book:
+    """The same book over tables that were loaded into a scratch staging area first."""
+    spark = book.source.spark
+    staging = intake.Staging(spark, load.scratch(spark, "staging"))
+    sources = {r.table: getattr(book.source, r.table) for r in intake.RULES
+               if hasattr(book.source, r.table)}
+    intake.load_all(staging, sources, book.terms, full=True)
+    return Book(staging, book.terms)
+
+
 ORDER = """customer_id sales_order_id order_id order_status delivery_status sales_channel
     created_ms:i created_at:t order_gross_sales:m total_price:m credit_limit:m skus:i quantity:m
     delivery_at:t delivered_at:t attempt_index:i completed_index:i enrolled_at:t enrollment_cohort
@@ -111,6 +122,9 @@ QUERIES = [
     Query("m05_loss_rates", lambda b: b.loans, LOAN, "loans"),
     Query("m06_par_snapshot", lambda b: b.snapshot, SNAPSHOT, "snap"),
     Query("m07_vintage_analysis", lambda b: b.vintage, VINTAGE, "vint"),
+    Query("staged_vintage", lambda b: _staged(b).vintage, VINTAGE, "vint"),
+    Query("staged_history", lambda b: _staged(b).history,
+          "customer_id sales_order_id created_on:t amount:m", "hist"),
     Query("m08_customer_grid", lambda b: b.grid, "customer_id " + GRID, "grid"),
     Query("m09_kpis_daily", lambda b: b.daily, DAILY, "daily"),
     Query("m10_revenue_commission", lambda b: b.revenue,

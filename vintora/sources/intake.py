@@ -1,4 +1,7 @@
-"""Loads of the document tables: full, or the window of recent and still open rows."""
+"""Loads of the staging tables: full, or the window of recent and still open rows.
+
+With all tables loaded a ``Book`` over the ``Staging`` computes what it does over the sources.
+"""
 
 from __future__ import annotations
 
@@ -37,6 +40,11 @@ RULES = (
     Rule("payment_report"), Rule("state_of_delivery"), Rule("customers"), Rule("credit_request"),
     Rule("credit_approval"), Rule("pre_authorization"), Rule("revenue_orders"),
     Rule("mirror_transaction"), Rule("credit_limit_history"),
+    # From the warehouse.
+    Rule("commercial_structure"), Rule("route_mapping"), Rule("route_days"), Rule("orders_old"),
+    Rule("orders_new"),
+    # From files.
+    Rule("service_profile"), Rule("cohort_cac"), Rule("contest_customers"),
 )
 
 
