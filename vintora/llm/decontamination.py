@@ -2,19 +2,21 @@
 
 1. Benchmark items are cut into passages of at most ``PASSAGE`` words. Their terms are the
    vocabulary; its document frequencies are counted over the whole corpus. Terms in more than one
-   document of ``COMMON`` carry no weight.
+   document of ``COMMON`` carry no weight. The same pass sets aside the documents that hold
+   ``SHARED`` of the terms of any passage, not counting those in many passages; in the others no
+   passage can be found half.
 2. The TF-IDF matrix of the passages is reduced by a randomised SVD: Spark multiplies the matrix and
    its transpose with a narrow random matrix, partition by partition, and only the narrow products
    meet on the driver. The right singular vectors span the latent space.
-3. Every window of every whole document that holds enough weight of the vocabulary is projected and
-   compared with all passages by cosine. A window without such terms projects to zero, so nothing
-   is lost by skipping it.
+3. Of each passage of which a whole document holds enough weight, the windows that do so as well are
+   projected and compared with it by cosine. Documents and windows without that weight could not
+   pass the next step, so the search skips them.
 4. A candidate is verified around its window by the longest common subsequence of words. It is a
    leak if that covers ``VERBATIM`` of the passage, or ``PARAPHRASE`` of it and ``ANSWER`` of the
    item's answer, which is its last sentence.
 
 The benchmark is treated in blocks of ``BLOCK`` passages, so what goes to the executors has a fixed
-size; the corpus is read twice per block, never shuffled. Words are lower-cased, ASCII punctuation
+size; the corpus is read once per block, never shuffled. Words are lower-cased, ASCII punctuation
 separates them.
 
 Defined results: null and empty texts, on either side, match nothing; nor do items without an id.
@@ -34,13 +36,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vintora.llm.common import stored
+
 PASSAGE = 64
 BLOCK = 20_000
 RANK = 128
 OVERSAMPLE = 10
 COMMON = 20
 WINDOW, STRIDE, AROUND = 64, 16, 24
-MASS = 0.3
+SHARED = 0.4
+MASS = 0.35
 COSINE = 0.35
 VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.5, 0.6
 _TO_SPACE = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -91,30 +96,63 @@ class Index(NamedTuple):
     weights: np.ndarray
     latent: np.ndarray          # weighted terms x rank
     vectors: np.ndarray         # passages x rank, of length one
-    mass: float                 # least weight a window must hold
+    masses: np.ndarray          # weight of the distinct terms of each passage
+    first: np.ndarray           # per term, where its passages begin in ``holders``
+    holders: np.ndarray
     passages: list[Passage]
 
 
-def document_frequencies(docs: DataFrame, vocabulary: list[bytes]) -> tuple[int, np.ndarray]:
-    """(documents, documents with each term) over the whole corpus."""
+def _holders(sets: list[set[int]], n_terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """Passages by term: where each term's begin, and all of them in a row."""
+    pairs = sorted((t, p) for p, terms in enumerate(sets) for t in terms)
+    first = np.searchsorted([t for t, _ in pairs], np.arange(n_terms + 1))
+    return first, np.array([p for _, p in pairs], dtype=np.int64)
+
+
+def _sums(found: np.ndarray, weights: np.ndarray, first: np.ndarray, holders: np.ndarray,
+          n: int) -> np.ndarray:
+    """Per passage, the summed weights of the found terms that it holds."""
+    length = first[found + 1] - first[found]
+    begin = np.repeat(first[found] - np.concatenate([[0], np.cumsum(length)[:-1]]), length)
+    return np.bincount(holders[begin + np.arange(length.sum())],
+                       np.repeat(weights[found], length), minlength=n)
+
+
+def first_pass(docs: DataFrame, block: list[Passage], vocabulary: list[bytes],
+               texts: bool) -> DataFrame:
+    """(term, n) rows with document counts (``n`` of all documents under -1), and, if ``texts``,
+    (doc_id, text) rows of the documents worth a search. One pass over the whole corpus."""
     known = {w: i for i, w in enumerate(vocabulary)}
+    sets = [{known[w] for w in p.words} for p in block]
+    held = Counter(t for s in sets for t in s)
+    telling = np.array([float(held[t] * COMMON <= max(len(block), COMMON))
+                        for t in range(len(vocabulary))])
+    first, holders = _holders(sets, len(vocabulary))
+    least = SHARED * np.array([sum(telling[t] for t in s) for s in sets])
+    # A passage of common terms only: look at every document.
+    least[least == 0] = -1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(len(known) + 1, dtype=np.int64)
+        seen = np.zeros(len(known), dtype=np.int64)
+        total = 0
         for pdf in batches:
-            for text in pdf["text"]:
-                found = known.keys() & set(plain_words(text))
-                seen[[known[w] for w in found]] += 1
-                seen[-1] += 1
+            keep = []
+            for k, text in enumerate(pdf["text"]):
+                found = np.array([known[w] for w in known.keys() & set(plain_words(text))], np.int64)
+                seen[found] += 1
+                if texts and (_sums(found, telling, first, holders, len(block)) >= least).any():
+                    keep.append(k)
+            total += len(pdf)
+            if texts:
+                some = pdf.iloc[keep]
+                yield pd.DataFrame({"term": None, "n": None, "doc_id": some["doc_id"],
+                                    "text": some["text"]})
         term = np.flatnonzero(seen)
-        yield pd.DataFrame({"term": term, "n": seen[term]})
+        yield pd.DataFrame({"term": [-1, *term], "n": [total, *seen[term]], "doc_id": None,
+                            "text": None})
 
-    counts = (docs.filter(F.col("text").isNotNull()).select("text")
-              .mapInPandas(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")))
-    out = np.zeros(len(known) + 1, dtype=np.int64)
-    for row in counts.collect():
-        out[row["term"]] = row["n"]
-    return int(out[-1]), out[:-1]
+    return (docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("string"), "text")
+            .mapInPandas(run, "term long, n long, doc_id string, text string"))
 
 
 def _tf_idf(words: list[bytes], terms: dict[bytes, int], weights: np.ndarray):
@@ -144,8 +182,8 @@ def latent_space(parts: DataFrame, terms: dict[bytes, int], weights: np.ndarray,
                   .select("term", F.posexplode("row").alias("k", "x"))
                   .groupBy("term", "k").agg(F.sum("x").alias("x")))
         out = np.zeros_like(block)
-        pdf = summed.toPandas()
-        out[pdf["term"].to_numpy(np.int64), pdf["k"].to_numpy(np.int64)] = pdf["x"]
+        cells = summed.toArrow()
+        out[cells["term"].to_numpy(), cells["k"].to_numpy()] = cells["x"].to_numpy()
         return out
 
     width = min(len(terms), rank + OVERSAMPLE)
@@ -157,59 +195,72 @@ def latent_space(parts: DataFrame, terms: dict[bytes, int], weights: np.ndarray,
     return basis @ rotation[:, np.argsort(-values)[:rank]]
 
 
-def build_index(docs: DataFrame, block: list[Passage]) -> Index:
+def build_index(docs: DataFrame, block: list[Passage], texts: bool = False
+                ) -> tuple[Index, DataFrame]:
+    """The index of a block, and with ``texts`` the (doc_id, text) of documents worth a search."""
     vocabulary = sorted({w for p in block for w in p.words})
-    n_docs, frequency = document_frequencies(docs, vocabulary)
+    passed = stored(first_pass(docs, block, vocabulary, texts), "first-pass")
+    frequency, n_docs = np.zeros(len(vocabulary), dtype=np.int64), 0
+    # At most one row per term of the block.
+    for row in passed.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        if row["term"] < 0:
+            n_docs = row["n"]
+        else:
+            frequency[row["term"]] = row["n"]
     rare = np.flatnonzero(frequency * COMMON <= max(n_docs, COMMON))
     terms = {vocabulary[i]: k for k, i in enumerate(rare)}
     weights = np.log((1.0 + n_docs) / (1.0 + frequency[rare])) + 1.0
-    spark = docs.sparkSession
-    rows = spark.createDataFrame([([bytes(w) for w in p.words],) for p in block], "words array<binary>")
+    rows = docs.sparkSession.createDataFrame([([bytes(w) for w in p.words],) for p in block],
+                                             "words array<binary>")
     latent = latent_space(rows, terms, weights, RANK) if terms else np.zeros((0, 1))
-    vectors, masses = np.zeros((len(block), latent.shape[1])), []
+    vectors = np.zeros((len(block), latent.shape[1]))
+    sets = [{terms[w] for w in p.words if w in terms} for p in block]
     for i, p in enumerate(block):
         at, value = _tf_idf(p.words, terms, weights)
         vectors[i] = value @ latent[at] if len(at) else 0
-        masses.append(sum(weights[terms[w]] for w in p.words if w in terms))
     vectors /= np.maximum(1e-12, np.linalg.norm(vectors, axis=1, keepdims=True))
-    positive = [m for m in masses if m]
-    return Index(terms, weights, latent, vectors, MASS * min(positive, default=1.0), block)
+    masses = np.array([weights[list(s)].sum() if s else np.inf for s in sets])
+    index = Index(terms, weights, latent, vectors, masses, *_holders(sets, len(terms)), block)
+    return index, passed.filter("text IS NOT NULL").select("doc_id", "text")
 
 
 def leaks(text: str | None, index: Index) -> list[tuple[int, float, float, bool]]:
     """(item, cosine, share of the passage, answer found) of the leaks in one whole text."""
     words = plain_words(text or "")
-    hits = [(i, index.terms[w]) for i, w in enumerate(words) if w in index.terms]
+    hits = [(i, t) for i, t in enumerate(map(index.terms.get, words)) if t is not None]
     if not hits:
         return []
     where, term = (np.array(c, dtype=np.int64) for c in zip(*hits))
-    starts = np.unique(np.concatenate([where // STRIDE - k for k in range(WINDOW // STRIDE)]))
-    starts = starts[starts >= 0] * STRIDE
-    first, last = np.searchsorted(where, starts), np.searchsorted(where, starts + WINDOW)
-    mass = np.concatenate([[0.0], np.cumsum(index.weights[term])])
-    full = mass[last] - mass[first] >= index.mass
-    if not full.any():
-        return []
-    starts, first, last = starts[full], first[full], last[full]
+    held = _sums(np.unique(term), index.weights, index.first, index.holders, len(index.passages))
     best: dict[int, tuple[int, float, float, bool]] = {}
-    for at in range(0, len(starts), 512):
-        windows = np.stack([(index.weights[term[a:b], None] * index.latent[term[a:b]]).sum(axis=0)
-                            for a, b in zip(first[at:at + 512], last[at:at + 512])])
-        windows /= np.maximum(1e-12, np.linalg.norm(windows, axis=1, keepdims=True))
-        cosine = windows @ index.vectors.T
-        for w, p in zip(*np.nonzero(cosine >= COSINE)):
-            passage, begin = index.passages[p], int(starts[at + w])
-            have = best.get(passage.item_id)
-            if have is not None and have[2] >= 0.999:
+    for p in np.flatnonzero(held >= MASS * index.masses):
+        passage = index.passages[p]
+        own = np.isin(term, [index.terms[w] for w in passage.words if w in index.terms])
+        starts = np.unique(np.concatenate(
+            [where[own] // STRIDE - k for k in range(WINDOW // STRIDE)])) * STRIDE
+        starts = starts[starts >= 0]
+        mass = np.concatenate([[0.0], np.cumsum(np.where(own, index.weights[term], 0))])
+        first, last = np.searchsorted(where, starts), np.searchsorted(where, starts + WINDOW)
+        weight = mass[last] - mass[first]
+        full = weight >= MASS * index.masses[p]
+        for w in np.flatnonzero(full)[np.argsort(-weight[full], kind="stable")]:
+            inside = term[first[w]:last[w]]
+            window = index.weights[inside] @ index.latent[inside]
+            cosine = window @ index.vectors[p] / max(1e-12, np.linalg.norm(window))
+            if cosine < COSINE:
                 continue
+            begin = int(starts[w])
             region = words[max(0, begin - AROUND):begin + WINDOW + AROUND]
             share = common_subsequence(passage.words, region) / len(passage.words)
             if share < PARAPHRASE:
                 continue
             wide = words[max(0, begin - WINDOW):begin + 2 * WINDOW]
             answer = common_subsequence(passage.answer, wide) >= ANSWER * len(passage.answer)
+            have = best.get(passage.item_id)
             if (share >= VERBATIM or answer) and (have is None or share > have[2]):
-                best[passage.item_id] = (passage.item_id, float(cosine[w, p]), share, answer)
+                best[passage.item_id] = (passage.item_id, float(cosine), share, answer)
+            if share >= VERBATIM:
+                break
     return sorted(best.values())
 
 
@@ -232,9 +283,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType
     shape = "doc_id string, item_id long, cosine double, share double, answer boolean"
     found = docs.sparkSession.createDataFrame([], shape)
-    texts = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("string"), "text")
     for block in _blocks(benchmark):
-        index = build_index(docs, block)
+        index, texts = build_index(docs, block, texts=True)
 
         def run(batches: Iterator[pd.DataFrame], index: Index = index) -> Iterator[pd.DataFrame]:
             for pdf in batches:
@@ -254,7 +304,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold a leak; all columns, no shuffle."""
     kept = docs
     for block in _blocks(benchmark):
-        index = build_index(docs, block)
+        index, _ = build_index(docs, block)
         kept = kept.filter(~_leaked(index)("text"))
     return kept
 
