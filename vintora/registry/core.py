@@ -2,8 +2,9 @@
 
 A query is a builder over a ``Book``, the columns it publishes, and the SQL that checks it. The
 column list drives both sides, so names and roundings cannot drift apart. Marks: ``:m`` amount
-(rounded to 5 places, the finest that products of cents and rates have), ``:r`` ratio (6 places),
-``:t`` date or time as text, ``:i`` whole number.
+(rounded to 5 places, the finest that products of cents and rates have; from ten million on to
+cents, as a double holds no more of a long sum), ``:r`` ratio (6 places), ``:t`` date or time as
+text, ``:i`` whole number.
 
 Rounding is half up; what lies within a ten-thousandth of a last place below a half counts as the
 half, since sums added up in another order may fall on either side of it.
@@ -14,13 +15,24 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintora.plans.book import Book
 from vintora.registry.views import with_views
 
 
+_AMOUNT_SQL = ("CASE WHEN abs(CAST({0} AS DOUBLE)) >= 1e7"
+               " THEN floor(CAST({0} AS DOUBLE) * 1e2 + 0.5005) / 1e2"
+               " ELSE floor(CAST({0} AS DOUBLE) * 1e5 + 0.5001) / 1e5 END")
+
+
+def _amount(c: Column) -> Column:
+    x = c.cast("double")
+    return F.when(F.abs(x) >= 1e7, F.floor(x * 1e2 + 0.5005) / 1e2).otherwise(
+        F.floor(x * 1e5 + 0.5001) / 1e5)
+
+
 @dataclass(frozen=True)
 class Query:
     name: str
@@ -33,7 +45,7 @@ class Query:
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(Book.open(spark, sf_dir))
-        shape = {"m": lambda c: F.floor(c.cast("double") * 1e5 + 0.5001) / 1e5,
+        shape = {"m": _amount,
                  "r": lambda c: F.floor(c.cast("double") * 1e6 + 0.5001) / 1e6,
                  "t": lambda c: c.cast("string"), "i": lambda c: c.cast("bigint"),
                  "": lambda c: c}
@@ -43,7 +55,7 @@ class Query:
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        shape = {"m": "floor(CAST({} AS DOUBLE) * 1e5 + 0.5001) / 1e5",
+        shape = {"m": _AMOUNT_SQL,
                  "r": "floor(CAST({} AS DOUBLE) * 1e6 + 0.5001) / 1e6", "t": "CAST({} AS VARCHAR)", "i": "CAST({} AS BIGINT)", "": "{}"}
         fields = ", ".join(f'{shape[mark].format(f"{chr(34)}{name}{chr(34)}")} AS "{name}"'
                            for name, mark in self._fields())
