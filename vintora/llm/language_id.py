@@ -33,7 +33,8 @@ STRETCH = 32
 HIDDEN = 16
 STEPS = 400
 BATCH = 256
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
+CHUNK = 2_000_000       # characters whose words are held at a time
 _TO_SPACE = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 
 
@@ -209,6 +210,15 @@ class Scorer:
         self.table = np.zeros((0, len(net.languages) + 1))
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        out, begin, size = [], 0, 0
+        for end, text in enumerate(texts, 1):
+            size += len(text or "")
+            if size > CHUNK or end == len(texts):
+                out += self._chunk(texts[begin:end])
+                begin, size = end, 0
+        return out
+
+    def _chunk(self, texts: list[str | None]) -> list[tuple[str, float]]:
         flat: list[bytes] = []
         ends = []
         for text in texts:
