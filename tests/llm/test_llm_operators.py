@@ -110,6 +110,13 @@ def test_linear_groups_have_equal_cardinality():
 
 # ---------------------------------------------------------------- licences
 
+def test_every_licence_sentence_is_found():
+    known = license_scan.patterns()
+    for name, sentence in license_scan.SENTENCES.items():
+        text = "Foo bar.\n" + sentence.replace("{version}", "2.0").title() + ". More."
+        assert [f.name for f in license_scan.identified(text, known)] == [name]
+
+
 def test_licences(awkward, empty, spark):
     assert all(not r.licences and not r.spans and not r.unmatched
                for r in license_scan.scan(awkward).collect())

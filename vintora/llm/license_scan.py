@@ -94,13 +94,15 @@ RULES = [
     ("CC0-{version}", "CC0-mention"),
 ]
 
-# A text without any of these holds no known sentence.
-KEYWORDS = ("licen", "permission", "redistribut", "copyright", "warrant", "neither the name",
-            "advertising", "disclaim", "public domain", "as is", "cc by", "cc0", "hope that")
+# Every known sentence holds one of these or begins a Creative Commons name.
+KEYWORDS = ("licen", "permission", "redistribut", "copyright", "warrant", "neither", "advertising",
+            "hope", "unencumbered")
+_COMMONS = re.compile(r"(?<![a-z])cc[\s0]")
 # White space and comment marks between words; quotes are dropped.
 _GAP = re.compile(r"[\s*#/|()]+")
 _QUOTES = str.maketrans("", "", "\"'`\u201c\u201d\u2018\u2019")
-_END = re.compile(r"[.!?](?=\s|$)|\n\s*\n")
+# The point of "v. 2.0" ends no sentence.
+_END = re.compile(r"(?<!\s[vV])[.!?](?=\s|$)|\n\s*\n")
 
 
 class Found(NamedTuple):
@@ -140,17 +142,20 @@ def sentences(text: str) -> Iterator[tuple[int, int]]:
         yield at, len(text)
 
 
+def _candidate(low: str) -> bool:
+    return any(word in low for word in KEYWORDS) or ("cc" in low and bool(_COMMONS.search(low)))
+
+
 def identified(text: str, known: dict[str, re.Pattern]) -> list[Found]:
     """The known sentences of a text, in order."""
-    low = text.lower()
-    if not any(word in low for word in KEYWORDS) and not any(
-            word in _tidy(low) for word in KEYWORDS if " " in word):
+    if not _candidate(text.lower()):
         return []
     out = []
     for first, last in sentences(text):
-        plain = _tidy(text[first:last])
-        if not any(word in plain for word in KEYWORDS):
+        part = text[first:last].lower()
+        if not _candidate(part):
             continue
+        plain = _tidy(part)
         hits = sorted((m.start(), -m.end(), name, m.groupdict().get("version") or "")
                       for name, pattern in known.items() for m in [pattern.search(plain)] if m)
         till = -1
