@@ -281,6 +281,19 @@ def test_decontamination(spark, awkward, empty):
     assert decontamination.contaminated(empty, bench).collect() == []
 
 
+def test_a_passage_leaked_into_half_of_the_documents_is_found(spark):
+    item = " ".join(f"leaked{k}" for k in range(30)) + ". The answer."
+    others = [" ".join(f"other{i}w{k}" for k in range(30)) for i in range(39)]
+    bench = spark.createDataFrame([*enumerate([item] + others)], "item_id long, text string")
+    rows = [(i, " ".join(w) + (" " + item if i % 2 else "")) for i, w in enumerate(made_up(60, 14))]
+    odd = {i for i, _ in rows if i % 2}
+    found = decontamination.contaminated(table(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, 0) for i in odd}
+    assert all(r.share == 1.0 for r in found)
+    left = decontamination.clean(table(spark, rows), bench).collect()
+    assert {r.doc_id for r in left} == {i for i, _ in rows} - odd
+
+
 def test_common_subsequence():
     def by_hand(a, b):
         best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]

@@ -1,8 +1,9 @@
 """Benchmark decontamination: latent semantic retrieval, then subsequence and answer checks.
 
 1. Benchmark items are cut into passages of at most ``PASSAGE`` words. Their terms are the
-   vocabulary; its document frequencies are counted over the whole corpus. Terms in more than one
-   document of ``COMMON`` carry no weight. The same pass sets aside the documents that hold
+   vocabulary; its document frequencies are counted over the whole corpus. Every term carries
+   weight, common ones little, so that a passage leaked into most documents still has its own. The
+   same pass sets aside the documents that hold
    ``SHARED`` of the terms of any passage, not counting those in many passages; in the others no
    passage can be found half.
 2. The TF-IDF matrix of the passages is reduced by a randomised SVD: Spark multiplies the matrix and
@@ -92,9 +93,9 @@ def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
 class Index(NamedTuple):
     """What a task needs to search: the vocabulary, its latent rows, the passages in it."""
 
-    terms: dict[bytes, int]     # terms that carry weight
+    terms: dict[bytes, int]
     weights: np.ndarray
-    latent: np.ndarray          # weighted terms x rank
+    latent: np.ndarray          # terms x rank
     vectors: np.ndarray         # passages x rank, of length one
     masses: np.ndarray          # weight of the distinct terms of each passage
     first: np.ndarray           # per term, where its passages begin in ``holders``
@@ -156,7 +157,7 @@ def first_pass(docs: DataFrame, block: list[Passage], vocabulary: list[bytes],
 
 
 def _tf_idf(words: list[bytes], terms: dict[bytes, int], weights: np.ndarray):
-    counts = Counter(w for w in words if w in terms)
+    counts = Counter(words)
     at = np.array([terms[w] for w in counts], dtype=np.int64)
     value = np.array(list(counts.values()), dtype=np.float64) * weights[at]
     norm = np.linalg.norm(value)
@@ -207,19 +208,19 @@ def build_index(docs: DataFrame, block: list[Passage], texts: bool = False
             n_docs = row["n"]
         else:
             frequency[row["term"]] = row["n"]
-    rare = np.flatnonzero(frequency * COMMON <= max(n_docs, COMMON))
-    terms = {vocabulary[i]: k for k, i in enumerate(rare)}
-    weights = np.log((1.0 + n_docs) / (1.0 + frequency[rare])) + 1.0
+    terms = {w: i for i, w in enumerate(vocabulary)}
+    # At least 1, for a term of every document.
+    weights = np.log((1.0 + n_docs) / (1.0 + frequency)) + 1.0
     rows = docs.sparkSession.createDataFrame([([bytes(w) for w in p.words],) for p in block],
                                              "words array<binary>")
-    latent = latent_space(rows, terms, weights, RANK) if terms else np.zeros((0, 1))
+    latent = latent_space(rows, terms, weights, RANK)
     vectors = np.zeros((len(block), latent.shape[1]))
-    sets = [{terms[w] for w in p.words if w in terms} for p in block]
+    sets = [{terms[w] for w in p.words} for p in block]
     for i, p in enumerate(block):
         at, value = _tf_idf(p.words, terms, weights)
-        vectors[i] = value @ latent[at] if len(at) else 0
+        vectors[i] = value @ latent[at]
     vectors /= np.maximum(1e-12, np.linalg.norm(vectors, axis=1, keepdims=True))
-    masses = np.array([weights[list(s)].sum() if s else np.inf for s in sets])
+    masses = np.array([weights[list(s)].sum() for s in sets])
     index = Index(terms, weights, latent, vectors, masses, *_holders(sets, len(terms)), block)
     return index, passed.filter("text IS NOT NULL").select("doc_id", "text")
 
@@ -235,7 +236,7 @@ def leaks(text: str | None, index: Index) -> list[tuple[int, float, float, bool]
     best: dict[int, tuple[int, float, float, bool]] = {}
     for p in np.flatnonzero(held >= MASS * index.masses):
         passage = index.passages[p]
-        own = np.isin(term, [index.terms[w] for w in passage.words if w in index.terms])
+        own = np.isin(term, [index.terms[w] for w in passage.words])
         starts = np.unique(np.concatenate(
             [where[own] // STRIDE - k for k in range(WINDOW // STRIDE)])) * STRIDE
         starts = starts[starts >= 0]
