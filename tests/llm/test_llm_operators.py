@@ -294,6 +294,49 @@ def test_a_passage_leaked_into_half_of_the_documents_is_found(spark):
     assert {r.doc_id for r in left} == {i for i, _ in rows} - odd
 
 
+def leaks_by_hand(text, items):
+    """Items accepted by the rule of subsequences in any region."""
+    words, out = decontamination.plain_words(text), set()
+    for p in decontamination.passages([*enumerate(items)]):
+        for at in range(0, len(words), 16):
+            share = decontamination.common_subsequence(
+                p.words, words[max(0, at - 24):at + 88]) / len(p.words)
+            answer = decontamination.common_subsequence(
+                p.answer, words[max(0, at - 64):at + 128]) >= 0.6 * len(p.answer)
+            if share >= 0.75 or share >= 0.5 and answer:
+                out.add(p.item_id)
+    return out
+
+
+def test_paraphrases_without_the_rare_words_are_found(spark):
+    rng = random.Random(15)
+    common = [f"c{k}" for k in range(80)]
+
+    def prose(n, name):
+        return [rng.choice(common) if rng.random() < 0.5 else f"{name}r{k}" for k in range(n)]
+
+    items = [prose(rng.randint(24, 50), f"i{i}") for i in range(30)]
+    texts = [f"{' '.join(w)}. {' '.join(prose(6, f'a{i}'))}." for i, w in enumerate(items)]
+    rows = []
+    for i, text in enumerate(texts):
+        words = text.split()
+        rare = [k for k, w in enumerate(words[:-6]) if w[0] != "c"]
+        rest = [k for k, w in enumerate(words[:-6]) if w[0] == "c"]
+        for share in (0.77, 0.6, 0.52, 0.4):
+            gone = (rare + rest)[:int((1 - share) * len(words))]
+            copy = [f"n{k}" if k in gone else w for k, w in enumerate(words)]
+            rows.append((len(rows), " ".join(prose(30, "x") + copy + prose(200, "y"))))
+    rows += [(1000 + i, " ".join(prose(300, "z"))) for i in range(100)]
+    rows.append((2000, " ".join(prose(20_000, "l") + texts[3].split())))
+    by_hand = {(i, item) for i, text in rows for item in leaks_by_hand(text, texts)}
+    assert len(by_hand) >= 90 and (2000, 3) in by_hand
+    bench = spark.createDataFrame([*enumerate(texts)], "item_id long, text string")
+    found = decontamination.contaminated(table(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == by_hand
+    left = decontamination.clean(table(spark, rows), bench).collect()
+    assert {r.doc_id for r in left} == {i for i, _ in rows} - {i for i, _ in by_hand}
+
+
 def test_common_subsequence():
     def by_hand(a, b):
         best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]

@@ -2,19 +2,19 @@
 
 1. Benchmark items are cut into passages of at most ``PASSAGE`` words. Their terms are the
    vocabulary; its document frequencies are counted over the whole corpus. Every term carries
-   weight, common ones little, so that a passage leaked into most documents still has its own. The
-   same pass sets aside the documents that hold
-   ``SHARED`` of the terms of any passage, not counting those in many passages; in the others no
-   passage can be found half.
+   weight, common ones little, so that a passage leaked into most documents still has its own.
 2. The TF-IDF matrix of the passages is reduced by a randomised SVD: Spark multiplies the matrix and
    its transpose with a narrow random matrix, partition by partition, and only the narrow products
    meet on the driver. The right singular vectors span the latent space.
-3. Of each passage of which a whole document holds enough weight, the windows that do so as well are
-   projected and compared with it by cosine. Documents and windows without that weight could not
-   pass the next step, so the search skips them.
-4. A candidate is verified around its window by the longest common subsequence of words. It is a
-   leak if that covers ``VERBATIM`` of the passage, or ``PARAPHRASE`` of it and ``ANSWER`` of the
-   item's answer, which is its last sentence.
+3. Every ``STRIDE`` words a region of ``REGION`` words begins. Verified are those in which the terms
+   present make up ``PARAPHRASE`` of the words of a passage, common ones and repeats included. No
+   common subsequence is longer than that, so nothing is left out that would be accepted.
+4. The longest common subsequence of words has to cover ``VERBATIM`` of the passage, or
+   ``PARAPHRASE`` of it and ``ANSWER`` of the item's answer, which is its last sentence. Documents
+   with such a region are set aside while the frequencies are counted.
+5. It is a leak if the window in the middle of the region and the passage have a cosine of
+   ``COSINE`` in the latent space, or else if the passage is covered as much within a stretch of
+   twice its length: a few common words of a short passage lie scattered over many a region.
 
 The benchmark is treated in blocks of ``BLOCK`` passages, so what goes to the executors has a fixed
 size; the corpus is read once per block, never shuffled. Words are lower-cased, ASCII punctuation
@@ -43,10 +43,10 @@ PASSAGE = 64
 BLOCK = 20_000
 RANK = 128
 OVERSAMPLE = 10
-COMMON = 20
 WINDOW, STRIDE, AROUND = 64, 16, 24
-SHARED = 0.4
-MASS = 0.35
+REGION = WINDOW + 2 * AROUND
+#: Words and passages that are treated at once; a multiple of the stride.
+PIECE, TOGETHER = 16_384, 512
 COSINE = 0.35
 VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.5, 0.6
 _TO_SPACE = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -76,72 +76,155 @@ def passages(items: list[tuple[int, str]]) -> list[Passage]:
     return out
 
 
-def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
-    """Length of the longest common subsequence, one bit per word of ``a``."""
+def _places(words: list[bytes]) -> dict[bytes, int]:
     where: dict[bytes, int] = {}
-    for i, word in enumerate(a):
+    for i, word in enumerate(words):
         where[word] = where.get(word, 0) | 1 << i
-    mask = (1 << len(a)) - 1
-    v = mask
-    for word in b:
-        hit = v & where.get(word, 0)
+    return where
+
+
+def _subsequence(size: int, where: dict[bytes, int], b: list[bytes]) -> int:
+    v = mask = (1 << size) - 1
+    for places in filter(None, map(where.get, b)):
+        hit = v & places
         if hit:
             v = ((v + hit) | (v - hit)) & mask
-    return len(a) - v.bit_count()
+    return size - v.bit_count()
 
 
-class Index(NamedTuple):
-    """What a task needs to search: the vocabulary, its latent rows, the passages in it."""
+def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
+    """Length of the longest common subsequence, one bit per word of ``a``."""
+    return _subsequence(len(a), _places(a), b)
+
+
+def near(passage: list[bytes], region: list[bytes]) -> int:
+    """The longest common subsequence with a stretch of the region of twice the passage."""
+    size = 2 * len(passage)
+    return max(common_subsequence(passage, region[at:at + size])
+               for at in range(max(1, len(region) - size + 1)))
+
+
+class Terms(NamedTuple):
+    """The terms of the passages, and how often each passage has each of them."""
 
     terms: dict[bytes, int]
-    weights: np.ndarray
-    latent: np.ndarray          # terms x rank
-    vectors: np.ndarray         # passages x rank, of length one
-    masses: np.ndarray          # weight of the distinct terms of each passage
     first: np.ndarray           # per term, where its passages begin in ``holders``
     holders: np.ndarray
-    passages: list[Passage]
-
+    times: np.ndarray           # like ``holders``
+    begin: np.ndarray           # per passage, where its terms begin in ``own``
+    own: np.ndarray
+    own_times: np.ndarray       # like ``own``
+    least: np.ndarray           # words of each passage that a region has to hold
+    places: list[dict[bytes, int]]  # of each passage, one bit per place of a word
+
+
+def terms_of(block: list[Passage]) -> Terms:
+    terms = {w: i for i, w in enumerate(sorted({w for p in block for w in p.words}))}
+    rows = np.array([(p, terms[w], n) for p, passage in enumerate(block)
+                     for w, n in Counter(passage.words).items()], dtype=np.int64).reshape(-1, 3)
+    by_term = rows[np.argsort(rows[:, 1], kind="stable")]
+    return Terms(terms, np.searchsorted(by_term[:, 1], np.arange(len(terms) + 1)), by_term[:, 0],
+                 by_term[:, 2], np.searchsorted(rows[:, 0], np.arange(len(block) + 1)), rows[:, 1],
+                 rows[:, 2], PARAPHRASE * np.array([len(p.words) for p in block]),
+                 [_places(p.words) for p in block])
+
+
+def _slices(first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number in ``which``, place) of all that begins at ``first`` of each."""
+    length = first[which + 1] - first[which]
+    begin = first[which] - np.concatenate([[0], np.cumsum(length)[:-1]])
+    return (np.repeat(np.arange(len(which)), length),
+            np.repeat(begin, length) + np.arange(length.sum()))
+
+
+def fitting(found: np.ndarray, known: Terms) -> np.ndarray:
+    """Passages of which the found terms make up enough words."""
+    _, at = _slices(known.first, found)
+    return np.flatnonzero(np.bincount(known.holders[at], known.times[at],
+                                      minlength=len(known.least)) >= known.least)
+
+
+def found_terms(words: list[bytes], known: Terms) -> np.ndarray:
+    return np.array([known.terms[w] for w in known.terms.keys() & set(words)], np.int64)
+
+
+def within_reach(words: list[bytes], known: Terms) -> Iterator[tuple[int, int, int]]:
+    """(passage, start of a window) where the terms in the region make up enough words."""
+    for at in range(0, len(words), PIECE):
+        left = min(at, AROUND)
+        piece = words[at - left:at + PIECE + WINDOW + AROUND]
+        term = np.array([known.terms.get(w, -1) for w in piece], np.int64)
+        where = np.flatnonzero(term >= 0)
+        found, local = np.unique(term[where], return_inverse=True)
+        passages = fitting(found, known) if len(found) else found
+        if not len(passages):
+            continue
+        order = np.argsort(local, kind="stable")
+        column, x = local[order], where[order] - left
+        n = -(-min(PIECE, len(words) - at) // STRIDE)
+        before = np.full(len(x), -REGION - AROUND)
+        again = np.flatnonzero(column[1:] == column[:-1]) + 1
+        before[again] = x[again - 1]
+        # A term is present in regions that begin behind its place before and up to its own.
+        begin = np.maximum(0, -(-(np.maximum(before, x - REGION) + 1 + AROUND) // STRIDE))
+        end = np.minimum(n, (x + AROUND) // STRIDE + 1)
+        some = begin < end
+        step = np.zeros((n + 1, len(found)), dtype=np.float32)
+        step[begin[some], column[some]] += 1
+        step[end[some], column[some]] -= 1
+        present = np.cumsum(step, axis=0)[:n]
+        for k in range(0, len(passages), TOGETHER):
+            part = passages[k:k + TOGETHER]
+            row, place = _slices(known.begin, part)
+            column = np.minimum(np.searchsorted(found, known.own[place]), len(found) - 1)
+            here = found[column] == known.own[place]
+            times = np.zeros((len(part), len(found)), dtype=np.float32)
+            times[row[here], column[here]] = known.own_times[place[here]]
+            start, p = np.nonzero(present @ times.T >= known.least[part])
+            yield from zip(part[p].tolist(), (at + start * STRIDE).tolist())
+
+
+def accepted(words: list[bytes], known: Terms,
+             block: list[Passage]) -> Iterator[tuple[int, int, float, bool]]:
+    """(passage, start of a window, share of the passage, answer found) where the rule holds."""
+    for p, begin in within_reach(words, known):
+        region = words[max(0, begin - AROUND):begin + WINDOW + AROUND]
+        passage = block[p]
+        share = _subsequence(len(passage.words), known.places[p], region) / len(passage.words)
+        if share >= PARAPHRASE:
+            answer = _answered(passage, words, begin)
+            if share >= VERBATIM or answer:
+                yield p, begin, share, answer
+
+
+def _answered(passage: Passage, words: list[bytes], begin: int) -> bool:
+    wide = words[max(0, begin - WINDOW):begin + 2 * WINDOW]
+    return common_subsequence(passage.answer, wide) >= ANSWER * len(passage.answer)
 
-def _holders(sets: list[set[int]], n_terms: int) -> tuple[np.ndarray, np.ndarray]:
-    """Passages by term: where each term's begin, and all of them in a row."""
-    pairs = sorted((t, p) for p, terms in enumerate(sets) for t in terms)
-    first = np.searchsorted([t for t, _ in pairs], np.arange(n_terms + 1))
-    return first, np.array([p for _, p in pairs], dtype=np.int64)
 
+class Index(NamedTuple):
+    """What a task needs to search: the terms, their latent rows, the passages in it."""
 
-def _sums(found: np.ndarray, weights: np.ndarray, first: np.ndarray, holders: np.ndarray,
-          n: int) -> np.ndarray:
-    """Per passage, the summed weights of the found terms that it holds."""
-    length = first[found + 1] - first[found]
-    begin = np.repeat(first[found] - np.concatenate([[0], np.cumsum(length)[:-1]]), length)
-    return np.bincount(holders[begin + np.arange(length.sum())],
-                       np.repeat(weights[found], length), minlength=n)
+    known: Terms
+    weights: np.ndarray
+    latent: np.ndarray          # terms x rank
+    vectors: np.ndarray         # passages x rank, of length one
+    passages: list[Passage]
 
 
-def first_pass(docs: DataFrame, block: list[Passage], vocabulary: list[bytes],
-               texts: bool) -> DataFrame:
+def first_pass(docs: DataFrame, block: list[Passage], known: Terms, texts: bool) -> DataFrame:
     """(term, n) rows with document counts (``n`` of all documents under -1), and, if ``texts``,
-    (doc_id, text) rows of the documents worth a search. One pass over the whole corpus."""
-    known = {w: i for i, w in enumerate(vocabulary)}
-    sets = [{known[w] for w in p.words} for p in block]
-    held = Counter(t for s in sets for t in s)
-    telling = np.array([float(held[t] * COMMON <= max(len(block), COMMON))
-                        for t in range(len(vocabulary))])
-    first, holders = _holders(sets, len(vocabulary))
-    least = SHARED * np.array([sum(telling[t] for t in s) for s in sets])
-    # A passage of common terms only: look at every document.
-    least[least == 0] = -1
-
+    (doc_id, text) rows of the documents with an accepted region. One pass over the whole corpus."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(len(known), dtype=np.int64)
+        seen = np.zeros(len(known.terms), dtype=np.int64)
         total = 0
         for pdf in batches:
             keep = []
             for k, text in enumerate(pdf["text"]):
-                found = np.array([known[w] for w in known.keys() & set(plain_words(text))], np.int64)
+                words = plain_words(text)
+                found = found_terms(words, known)
                 seen[found] += 1
-                if texts and (_sums(found, telling, first, holders, len(block)) >= least).any():
+                if texts and len(fitting(found, known)) and any(accepted(words, known, block)):
                     keep.append(k)
             total += len(pdf)
             if texts:
@@ -199,69 +282,50 @@ def latent_space(parts: DataFrame, terms: dict[bytes, int], weights: np.ndarray,
 def build_index(docs: DataFrame, block: list[Passage], texts: bool = False
                 ) -> tuple[Index, DataFrame]:
     """The index of a block, and with ``texts`` the (doc_id, text) of documents worth a search."""
-    vocabulary = sorted({w for p in block for w in p.words})
-    passed = stored(first_pass(docs, block, vocabulary, texts), "first-pass")
-    frequency, n_docs = np.zeros(len(vocabulary), dtype=np.int64), 0
+    known = terms_of(block)
+    terms = known.terms
+    passed = stored(first_pass(docs, block, known, texts), "first-pass")
+    frequency, n_docs = np.zeros(len(terms), dtype=np.int64), 0
     # At most one row per term of the block.
     for row in passed.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).collect():
         if row["term"] < 0:
             n_docs = row["n"]
         else:
             frequency[row["term"]] = row["n"]
-    terms = {w: i for i, w in enumerate(vocabulary)}
     # At least 1, for a term of every document.
     weights = np.log((1.0 + n_docs) / (1.0 + frequency)) + 1.0
     rows = docs.sparkSession.createDataFrame([([bytes(w) for w in p.words],) for p in block],
                                              "words array<binary>")
     latent = latent_space(rows, terms, weights, RANK)
     vectors = np.zeros((len(block), latent.shape[1]))
-    sets = [{terms[w] for w in p.words} for p in block]
     for i, p in enumerate(block):
         at, value = _tf_idf(p.words, terms, weights)
         vectors[i] = value @ latent[at]
     vectors /= np.maximum(1e-12, np.linalg.norm(vectors, axis=1, keepdims=True))
-    masses = np.array([weights[list(s)].sum() for s in sets])
-    index = Index(terms, weights, latent, vectors, masses, *_holders(sets, len(terms)), block)
+    index = Index(known, weights, latent, vectors, block)
     return index, passed.filter("text IS NOT NULL").select("doc_id", "text")
 
 
 def leaks(text: str | None, index: Index) -> list[tuple[int, float, float, bool]]:
     """(item, cosine, share of the passage, answer found) of the leaks in one whole text."""
     words = plain_words(text or "")
-    hits = [(i, t) for i, t in enumerate(map(index.terms.get, words)) if t is not None]
-    if not hits:
+    if not len(fitting(found_terms(words, index.known), index.known)):
         return []
-    where, term = (np.array(c, dtype=np.int64) for c in zip(*hits))
-    held = _sums(np.unique(term), index.weights, index.first, index.holders, len(index.passages))
     best: dict[int, tuple[int, float, float, bool]] = {}
-    for p in np.flatnonzero(held >= MASS * index.masses):
+    for p, begin, share, answer in accepted(words, index.known, index.passages):
         passage = index.passages[p]
-        own = np.isin(term, [index.terms[w] for w in passage.words])
-        starts = np.unique(np.concatenate(
-            [where[own] // STRIDE - k for k in range(WINDOW // STRIDE)])) * STRIDE
-        starts = starts[starts >= 0]
-        mass = np.concatenate([[0.0], np.cumsum(np.where(own, index.weights[term], 0))])
-        first, last = np.searchsorted(where, starts), np.searchsorted(where, starts + WINDOW)
-        weight = mass[last] - mass[first]
-        full = weight >= MASS * index.masses[p]
-        for w in np.flatnonzero(full)[np.argsort(-weight[full], kind="stable")]:
-            inside = term[first[w]:last[w]]
-            window = index.weights[inside] @ index.latent[inside]
-            cosine = window @ index.vectors[p] / max(1e-12, np.linalg.norm(window))
-            if cosine < COSINE:
-                continue
-            begin = int(starts[w])
+        inside = np.array([index.known.terms[w] for w in words[begin:begin + WINDOW]
+                           if w in index.known.terms], dtype=np.int64)
+        window = index.weights[inside] @ index.latent[inside]
+        cosine = window @ index.vectors[p] / max(1e-12, np.linalg.norm(window))
+        if cosine < COSINE:
             region = words[max(0, begin - AROUND):begin + WINDOW + AROUND]
-            share = common_subsequence(passage.words, region) / len(passage.words)
-            if share < PARAPHRASE:
+            share = near(passage.words, region) / len(passage.words)
+            if share < PARAPHRASE or share < VERBATIM and not answer:
                 continue
-            wide = words[max(0, begin - WINDOW):begin + 2 * WINDOW]
-            answer = common_subsequence(passage.answer, wide) >= ANSWER * len(passage.answer)
-            have = best.get(passage.item_id)
-            if (share >= VERBATIM or answer) and (have is None or share > have[2]):
-                best[passage.item_id] = (passage.item_id, float(cosine), share, answer)
-            if share >= VERBATIM:
-                break
+        have = best.get(passage.item_id)
+        if have is None or share > have[2]:
+            best[passage.item_id] = (passage.item_id, float(cosine), share, answer)
     return sorted(best.values())
 
 
