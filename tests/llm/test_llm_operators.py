@@ -181,6 +181,36 @@ def test_repeated_passages(spark, awkward, empty):
     assert substring_dedup.deduplicated(empty).collect() == []
 
 
+def test_short_repeated_lines_go(spark):
+    rng = random.Random(16)
+    short = ["Yes", "All rights reserved", "one two three four five six seven eight nine", "Ünï code",
+             " ".join(f"q{k}" for k in range(19)), " ".join(f"m{k}" for k in range(60))]
+    rows = [(i, "\n".join([f"only{i} here{i}", *rng.choices(short, k=5), f"end{i}",
+                           "", rng.choice(short).upper()])) for i in range(30)]
+    rows += [(50, "yes"), (60, "but yes all rights reserved here"), (51, None), (52, ""), (None, "Yes\nYes")]
+    seen, expected = set(), {}
+    for i, text in rows:
+        if i is None or text is None:
+            expected[i] = text
+            continue
+        kept = []
+        for line in text.split("\n"):
+            key = tuple(line.encode().lower().split())
+            if key and key not in seen:
+                kept.append(line)
+            seen.add(key)
+        expected[i] = kept
+    done = substring_dedup.deduplicated(table(spark, rows), whole_lines=True).collect()
+    assert len(done) == len(rows)
+    original = dict(rows)
+    for r in done:
+        if r.doc_id is None or r.text is None:
+            assert r.text == expected[r.doc_id]
+        else:
+            assert [x for x in r.text.split("\n") if x] == expected[r.doc_id]
+            assert substring_dedup.without(original[r.doc_id], [tuple(s) for s in r.removed]) == r.text
+
+
 def test_units_cover_words_and_sync():
     powers = substring_dedup.Powers()
     a, b, c = (" ".join(w) for w in made_up(3, 8))

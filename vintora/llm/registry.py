@@ -30,7 +30,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(prepare(spark), sf_dir, "documents").select("doc_id", "text")
-    return substring_dedup.deduplicated(docs)
+    return substring_dedup.deduplicated(docs, whole_lines=True)
 
 
 URL_RULES = [url_filter.Rule("net/", "block"), url_filter.Rule("example.net/en/", "allow"),
