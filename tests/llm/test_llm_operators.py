@@ -141,6 +141,22 @@ def test_licences(awkward, empty, spark):
     assert texts[6][span.first:span.last].strip() == "Licensed under CC BY-NC 4.0."
 
 
+def test_every_version_in_an_unpunctuated_list_is_found(spark):
+    texts = {1: "a: under CC BY 4.0\nb: under CC BY 3.0\nc: under CC BY-SA 4.0\nd: under CC BY 4.0",
+             2: "x is licensed under the GNU General Public License, version 2\n"
+                "y is licensed under the GNU General Public License, version 3\n"
+                "z is licensed under the GNU Lesser General Public License, version 2.1\n"
+                "w is under the BSD 2-clause license\nv is under the BSD 3-clause license",
+             3: "a licensed under the Apache License, Version 1.1\n"
+                "b licensed under the Apache License, Version 2.0"}
+    rows = {r.doc_id: r for r in license_scan.scan(table(spark, texts.items())).collect()}
+    assert [s.licence for s in rows[1].spans] == [
+        "CC-BY-4.0", "CC-BY-3.0", "CC-BY-SA-4.0", "CC-BY-4.0"]
+    assert rows[2].licences == ["BSD-2-Clause", "BSD-3-Clause", "GPL-2", "GPL-3", "LGPL-2.1"]
+    assert rows[3].licences == ["Apache-1.1", "Apache-2.0"]
+    assert all(not r.unmatched for r in rows.values())
+
+
 # ---------------------------------------------------------------- repeated passages
 
 def cut_by_hand(rows):

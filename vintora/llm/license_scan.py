@@ -11,7 +11,8 @@ Every document is scanned whole inside its own task; there is no shuffle.
 
 Defined results: null and empty texts, and rows without a known sentence, have no licence and empty
 lists. Repeated rows get equal results, rows with a null id are scanned too. A sentence that holds
-several known ones counts as each, in order of appearance. Other columns are ignored.
+several known ones, or one several times, counts as each, in order of appearance. Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -157,7 +158,7 @@ def identified(text: str, known: dict[str, re.Pattern]) -> list[Found]:
             continue
         plain = _tidy(part)
         hits = sorted((m.start(), -m.end(), name, m.groupdict().get("version") or "")
-                      for name, pattern in known.items() for m in [pattern.search(plain)] if m)
+                      for name, pattern in known.items() for m in pattern.finditer(plain))
         till = -1
         for start, end, name, version in hits:
             # A sentence inside a longer one is not another one.
