@@ -17,7 +17,8 @@ from vintora.llm.common import read, stored
 from vintora.llm.registry import tokenizer_path
 from vintora.session import prepare
 
-#: Below this pooled probability no learned language fits a document.
+#: Documents whose largest pooled probability is below this go. With K languages that one is at least
+#: 1/K: up to three languages it rejects nothing with a letter, with four only what is almost uniform.
 LEAST_SCORE = 0.3
 
 # Networks and graphs have no SQL; the stages are tested against brute-force versions.
@@ -25,7 +26,7 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in none of the learned languages, go."""
+    """Documents without a letter go, in effect only those: junk with letters passes ``LEAST_SCORE``."""
     prepare(spark)
     return language_id.recognised(docs, LEAST_SCORE)
 
