@@ -8,7 +8,7 @@ from vintora.operators.relational import (
     assert_unique, dates, descending, first_per_key, interval_lookup, islands,
     match_with_fallback, months, tail_from,
 )
-from vintora.operators.skew import keyed_window, number_rows
+from vintora.operators.skew import in_ranges, keyed_window, number_rows
 
 
 def d(text):
@@ -47,22 +47,44 @@ def test_keyed_window_with_more_keys(ranges, skewed):
     assert same(out, skewed.withColumn("n", F.row_number().over(w).cast("bigint")))
 
 
-def test_window_plan(spark, skewed):
-    """One range exchange read twice, no task with a whole hot key, no job while building."""
+@pytest.mark.parametrize("count", [4, 8, 40, 200])
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_ranges_are_fixed_in_storage(spark, count, reuse):
+    """Right at any number of ranges, with exchange reuse or without, with one key of 90 %.
+
+    The second reader looks at two columns only: pruning must not change the ranges.
+    """
+    n = 20_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 97).otherwise(F.lit(-1)).alias("k"),
+        F.pmod(F.xxhash64("id"), F.lit(1_000_003)).alias("at"), "id", (F.col("id") % 7).alias("v"))
+    spark.conf.set("spark.vintora.ranges", str(count))
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        out = keyed_window(df, ["k"], ["at", "id"], {"n": F.lit(1), "s": F.col("v")},
+                           {"top": ("max", F.col("v")), "all": ("sum", F.col("v"))})
+        got = out.toPandas().sort_values("id").reset_index(drop=True)
+        narrow = out.select("id", "n").toPandas().sort_values("id").reset_index(drop=True)
+    finally:
+        spark.conf.unset("spark.vintora.ranges")
+        spark.conf.unset("spark.sql.exchange.reuse")
+    plain = df.toPandas().sort_values(["at", "id"])
+    plain["n"] = plain.groupby("k").cumcount() + 1
+    plain["s"] = plain.groupby("k")["v"].cumsum()
+    plain["top"] = plain.groupby("k")["v"].transform("max")
+    plain["all"] = plain.groupby("k")["v"].transform("sum")
+    plain = plain.sort_values("id").reset_index(drop=True)
+    columns = ["id", "n", "s", "top", "all"]
+    assert got[columns].equals(plain[columns])
+    assert narrow.equals(plain[["id", "n"]])
+
+
+def test_no_task_holds_a_whole_hot_key(spark, skewed):
     spark.conf.set("spark.vintora.ranges", "40")
-    group = "built"
-    spark.sparkContext.setJobGroup(group, group)
     try:
-        out = keyed_window(skewed, ["k"], ["at", "id"], {"n": F.lit(1)})
-        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        sizes = in_ranges(skewed, ["k", "at", "id"]).groupBy("_range").count().collect()
     finally:
-        spark.sparkContext._jsc.clearJobGroup()
         spark.conf.unset("spark.vintora.ranges")
-    out.collect()
-    text = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "ReusedExchange" in text and text.count("REPARTITION_BY_NUM") == 2
-    placed = skewed.repartitionByRange(40, "k", "at", "id")
-    sizes = placed.groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in sizes) < 90
 
 

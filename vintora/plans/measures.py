@@ -311,13 +311,21 @@ def close_shares(snapshot: DataFrame) -> DataFrame:
 
 def pre_post_measures(pre_post: DataFrame) -> DataFrame:
     """Frequency and sales per customer before and after; months beyond the last post month."""
-    last = pre_post.filter(F.col("stage") == "post credit").agg(F.max("months")).scalar()
+    # Rows by stage and month first, one row per stage next: the last month is a window over those.
+    by_month = Window.partitionBy()
+    months = pre_post.groupBy("stage", "months").agg(
+        F.count(F.lit(1)).alias("_rows")).withColumn(
+        "max_month_post", F.max(F.when(F.col("stage") == "post credit", F.col("months"))).over(by_month))
+    valid = months.groupBy(F.col("stage").alias("_stage")).agg(
+        F.max("max_month_post").alias("max_month_post"),
+        F.coalesce(F.sum(F.when(F.col("months") <= F.col("max_month_post"), F.col("_rows"))),
+                   F.lit(0)).alias("valid_rows"))
     base = pre_post.groupBy("stage").agg(
         F.count_distinct("sales_order_id").alias("orders"),
         F.count_distinct("customer_id").alias("customers"),
         F.count_distinct("months").alias("months"), F.sum("gross_sales").alias("gross_sales"),
-        F.count("sales_order_id").alias("sales"), F.max(last).alias("max_month_post"),
-        F.count_if(F.col("months") <= last).alias("valid_rows"))
+        F.count("sales_order_id").alias("sales")).join(
+        valid, F.col("stage").eqNullSafe(F.col("_stage"))).drop("_stage")
     return base.withColumns({
         "frequency": safe_div("orders", "customers"),
         "historical_frequency": safe_div("sales", "customers"),

@@ -13,8 +13,6 @@ _RUNTIME = {
     # Split hot join keys even where the join feeds an aggregation on the same key.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Both readers of a range-partitioned table must see the same ranges.
-    "spark.sql.exchange.reuse": "true",
 }
 
 
