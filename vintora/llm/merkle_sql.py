@@ -1,0 +1,66 @@
+"""DuckDB SQL that checks op11."""
+
+
+def _field(c: str) -> str:
+    return (f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' ||"
+            f" CAST({c} AS VARCHAR) END")
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(
+        _field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+# crc32 has no DuckDB function: a table of the 256 byte steps, folded over the digits of the id.
+SQL = f"""
+WITH RECURSIVE
+b(x, k, r) AS (
+  SELECT x, 0, x FROM range(256) t(x)
+  UNION ALL
+  SELECT x, k + 1, CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END FROM b WHERE k < 8),
+crc_table AS (SELECT list(r ORDER BY x) AS steps FROM b WHERE k = 8),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(':' || lang, '-') AS g,
+    {_leaf("n_chars")} AS leaf, {_leaf("(n_chars + 1)")} AS raised,
+    CASE WHEN doc_id IS NULL THEN 1 ELSE xor(list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT),
+                   list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda h, c: xor(h >> 8, steps[(xor(h, c) & 255) + 1])),
+      CAST(4294967295 AS BIGINT)) END AS crc
+  FROM documents, crc_table),
+l AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS LAST, leaf, rid) - 1 AS pos,
+    count(*) OVER (PARTITION BY g) AS n FROM d),
+t(g, level, pos, n, h) AS (
+  SELECT g, 0, pos, n, leaf FROM l
+  UNION ALL
+  SELECT g, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM t WHERE n > 1 GROUP BY g, level, pos // 2, (n + 1) // 2),
+s AS (
+  SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u(level, pos, n, h) AS (
+  SELECT 0, pos, n, h FROM s
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM u WHERE n > 1 GROUP BY level, pos // 2, (n + 1) // 2),
+p AS (
+  SELECT l.rid, t.level AS step, l.pos >> t.level & 1 AS odd, x.h AS sib
+  FROM l JOIN t ON t.g = l.g AND t.n > 1 AND t.pos = l.pos >> t.level
+  LEFT JOIN t x ON x.g = t.g AND x.level = t.level AND x.pos = xor(t.pos, 1)
+  UNION ALL
+  SELECT l.rid, 1000 + u.level, s.pos >> u.level & 1, x.h
+  FROM l JOIN s ON s.g = l.g JOIN u ON u.n > 1 AND u.pos = s.pos >> u.level
+  LEFT JOIN u x ON x.level = u.level AND x.pos = xor(u.pos, 1)),
+q AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY step) AS k FROM p),
+proof AS (SELECT rid, sha256(coalesce(string_agg(sib, '' ORDER BY k), '')) AS proof FROM q GROUP BY rid),
+f(rid, k, h) AS (
+  SELECT rid, 1, CASE WHEN crc % 7 = 0 THEN raised ELSE leaf END FROM l
+  UNION ALL
+  SELECT f.rid, f.k + 1, CASE WHEN sib IS NULL THEN sha256(h) WHEN odd = 1 THEN sha256(sib || h)
+                         ELSE sha256(h || sib) END
+  FROM f JOIN q ON q.rid = f.rid AND q.k = f.k),
+ends AS (SELECT rid, arg_max(h, k) AS folded FROM f GROUP BY rid)
+SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, coalesce(proof.proof, sha256('')) AS proof_sha256,
+  ends.folded AS folded_root, ends.folded = r.h AS verified
+FROM l JOIN s ON s.g = l.g JOIN ends ON ends.rid = l.rid LEFT JOIN proof ON proof.rid = l.rid,
+  (SELECT h FROM u WHERE n = 1) r"""
