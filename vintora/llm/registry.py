@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import (decontamination, language_id, license_scan, merkle, merkle_sql, near_duplicates,
-                         packing, quality_cotraining, sharding, substring_dedup, url_filter, vector_search)
+from vintora.llm import (checks, collocations, decontamination, language_id, license_scan, merkle,
+                         near_duplicates, packing, quality_cotraining, secret_scan, sharding,
+                         substring_dedup, url_filter, vector_search)
 from vintora.llm.common import read
 from vintora.session import prepare
 
@@ -77,13 +78,24 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_documents(read(prepare(spark), sf_dir, "documents"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(read(prepare(spark), sf_dir, "documents"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_best_fit_packing, op2_license_scan, op3_substring_dedup, op4_url_filter,
     op5_decontamination, op6_exact_topk, op7_sharding, op8_quality_cotraining, op9_language_id,
-    op10_minhash_dedup, op11_merkle_manifest)}
+    op10_minhash_dedup, op11_merkle_manifest, op12_secret_scan,
+    op13_phrase_collocations)}
 
 ORACLE: dict[str, str] = {
-    "op11_merkle_manifest": merkle_sql.SQL,
+    "op11_merkle_manifest": checks.MERKLE,
+    "op12_secret_scan": checks.SECRETS,
+    "op13_phrase_collocations": checks.COLLOCATIONS,
     "op6_exact_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
