@@ -1,15 +1,18 @@
+import dataclasses
 import datetime as dt
 import pathlib
 
 import pytest
 from pyspark.sql import functions as F
 
+from vintora.params import FINAL_STATES
 from vintora.plans import build, nightly, quality
 from vintora.plans.book import Book
 from vintora.sources import contracts, intake, load
+from vintora.sources.parts import PartedTable
 from vintora.sources.schemas import STAGING, conform, schema_of
 from vintora.streaming import jobs
-from vintora.streaming.jobs import ChangingTable, Mutable
+from vintora.streaming.jobs import Mutable
 
 
 def t(day, hour=0):
@@ -201,17 +204,34 @@ def test_unmeasurable_identity_counts_as_broken(spark):
     assert quality.broken(results) == ["b"]
 
 
-def test_lag_state_is_one_row_per_source(spark, tmp_path):
+def lag_run(spark, tables, folder, log, rows):
+    spark.createDataFrame(rows, "s STRING, at TIMESTAMP_NTZ").write.mode("append").parquet(folder)
+    for query in jobs.lag_streams(jobs.read_stream(spark, folder, "s STRING, at TIMESTAMP_NTZ"),
+                                  tables, log, "s", "at", "2 hours"):
+        query.awaitTermination()
+    return {(r["source"], r["hour"].hour): (r["rows"], r["last_at"], r["late_rows"], r["lamp"])
+            for r in jobs.lag_status(tables, t(3)).collect()}
+
+
+def test_lag_by_source_and_hour_counts_late_rows(spark, tmp_path):
     folder, log = str(tmp_path / "in"), str(tmp_path / "log")
-    table = load.VersionedTable(spark, str(tmp_path / "state"))
-    for n in range(3):
-        spark.createDataFrame([("a", t(n + 1)), ("b" if n else "c", t(9 - n))],
-                              "s STRING, at TIMESTAMP_NTZ").write.mode("append").parquet(folder)
-        jobs.lag_stream(jobs.read_stream(spark, folder, "s STRING, at TIMESTAMP_NTZ"), table, log,
-                        "s", "at").awaitTermination()
-    got = {r["s"]: (r["last_at"], r["rows"]) for r in table.read().collect()}
-    assert got == {"a": (t(3), 3), "b": (t(8), 2), "c": (t(9), 1)}
-    assert len(table.versions()) == 2
+    tables = jobs.LagTables.at(spark, str(tmp_path / "out"))
+    got = lag_run(spark, tables, folder, log, [("a", t(1, 8)), ("a", t(1, 8)), ("b", t(1, 12)), (None, t(1, 9))])
+    assert got == {("a", 8): (2, t(1, 8), 0, "WARN"), ("b", 12): (1, t(1, 12), 0, "WARN"),
+                   ("", 9): (1, t(1, 9), 0, "WARN")}
+    # The watermark stands at 10: an event of 8 is late, one of 11 still counts.
+    got = lag_run(spark, tables, folder, log, [("a", t(1, 8)), ("a", t(1, 11)), ("b", t(1, 12)), ("c", t(2, 23))])
+    assert got == {("a", 8): (2, t(1, 8), 1, "WARN"), ("a", 11): (1, t(1, 11), 1, "WARN"),
+                   ("b", 12): (2, t(1, 12), 0, "WARN"), ("c", 23): (1, t(2, 23), 0, "OK"),
+                   ("", 9): (1, t(1, 9), 0, "WARN")}
+
+
+def test_repeated_lag_batch_changes_nothing(spark, tmp_path):
+    table = jobs.LagTables.at(spark, str(tmp_path)).hours
+    rows = spark.createDataFrame([("a", t(1, 8), 2, t(1, 8)), ("a", t(2, 8), 5, t(2, 8))], table.schema)
+    for _ in range(2):
+        table.merge(rows, ["source", "hour"])
+    assert table.read().count() == 2 and table.parts() == ["2024-01-01", "2024-01-02"]
 
 
 def test_empty_window_keeps_the_table(spark, book, tmp_path):
@@ -239,7 +259,52 @@ def test_partitioned_version_keeps_types(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan and one.count() == 1
 
 
-# -- changing table --------------------------------------------------------
+# -- tables in parts -------------------------------------------------------
+
+def files(path):
+    return {p.parent.name: p.name for p in pathlib.Path(path).rglob("*.parquet")}
+
+
+def test_only_touched_parts_are_written(spark, tmp_path):
+    table = PartedTable(spark, str(tmp_path / "t"), "k STRING, at TIMESTAMP_NTZ", F.col("at"))
+    month = [dt.datetime(2024, m, 5) for m in range(1, 5)]
+    table.replace(spark.createDataFrame(
+        [(f"k{i}", at) for i, at in enumerate(month)] + [("none", None)], table.schema))
+    before = files(tmp_path)
+    assert table.parts() == ["2024-01", "2024-02", "2024-03", "2024-04", "none"]
+    # The new rows are made of the part that they replace; one part loses its last row.
+    table.write(table.read(["2024-02"]).unionByName(
+        spark.createDataFrame([("new", month[1])], table.schema)), {"2024-02", "2024-03"})
+    after = files(tmp_path)
+    assert {n for n in before if before[n] != after.get(n)} == {"part_=2024-02", "part_=2024-03"}
+    assert sorted(r["k"] for r in table.read().collect()) == ["k0", "k1", "k3", "new", "none"]
+    table.merge(spark.createDataFrame([("k0", month[0]), ("late", month[0])], table.schema), ["k"])
+    assert sorted(r["k"] for r in table.read().collect()) == ["k0", "k1", "k3", "late", "new", "none"]
+    assert files(tmp_path)["part_=2024-04"] == before["part_=2024-04"]
+
+
+def test_windowed_load_leaves_other_months_alone(spark, book, tmp_path):
+    staging = intake.Staging(spark, str(tmp_path))
+    lines = book.source.credit_order
+    intake.load_all(staging, {"credit_order": lines}, book.terms)
+    before = files(tmp_path / "credit_order")
+    terms = dataclasses.replace(book.terms, now=book.terms.now + dt.timedelta(days=1))
+    changed = lines.withColumn("sku", F.lit("changed")) if "sku" in lines.columns else lines
+    entry = intake.load_all(staging, {"credit_order": changed}, terms)[0]
+    assert entry[2] == "window" and 0 < entry[3] < lines.count()
+    after = files(tmp_path / "credit_order")
+    months = {n for n in after if after[n] != before.get(n)}
+    edge = (terms.now - dt.timedelta(days=terms.mutable_days)).strftime("part_=%Y-%m")
+    assert months and set(after) == set(before)
+    # Older months only where a row could still change.
+    stored = staging.table("credit_order")
+    older = stored.read().filter(~F.coalesce(F.col("orderStatus").isin(*FINAL_STATES), F.lit(False)))
+    assert months <= {f"part_={m}" for m in stored.touched(older)} | {n for n in after if n >= edge}
+    assert len(months) < len(after) / 2
+    assert staging.credit_order.count() == lines.count()
+
+
+# -- changing rows ---------------------------------------------------------
 
 RULE = Mutable("id", "at", "changed", "status", ("done",), days=5)
 SCHEMA = "id STRING, at TIMESTAMP_NTZ, changed TIMESTAMP_NTZ, status STRING"
@@ -250,29 +315,50 @@ def state(table):
 
 
 def test_closed_rows_are_frozen_and_open_rows_change(spark, tmp_path):
-    table = ChangingTable(spark, str(tmp_path), RULE)
-    table.apply(spark.createDataFrame(
+    table = jobs.changing_table(spark, str(tmp_path), SCHEMA, RULE)
+    jobs.apply_changes(table, RULE, spark.createDataFrame(
         [("old", t(1), t(1), "done"), ("slow", t(1), t(1), "open"), ("new", t(20), t(20), "done")],
-        SCHEMA))
+        SCHEMA), 0)
     batch = spark.createDataFrame(
         [("old", t(1), t(21), "reopened"), ("slow", t(1), t(21), "done"),
          ("new", t(20), t(22), "open"), ("never", t(2), t(21), "done"),
-         ("new", t(20), t(19), "stale")], SCHEMA)
-    table.apply(batch)
+         ("new", t(20), t(19), "stale"), ("newest", t(30), t(30), "open"), ("other", t(16), t(21), "done")],
+        SCHEMA)
     # The closed row keeps its state; an old key that was never loaded stays out.
-    expected = [("new", "open", 22), ("old", "done", 1), ("slow", "done", 21)]
-    assert state(table) == expected
-    table.apply(batch)
+    expected = [("new", "open", 22), ("newest", "open", 30), ("old", "done", 1), ("other", "done", 21),
+                ("slow", "done", 21)]
+    for _ in range(2):
+        # Repeated, as after a failure: the clock is that of the batches before.
+        jobs.apply_changes(table, RULE, batch, 1)
+        assert state(table) == expected
+    jobs.apply_changes(table, RULE, spark.createDataFrame([], SCHEMA), 2)
     assert state(table) == expected
-    closed = [p.name for p in pathlib.Path(tmp_path, "closed").iterdir()]
-    assert len(closed) == 3
-
-
-def test_closed_parts_are_compacted(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(ChangingTable, "COMPACT", 3)
-    table = ChangingTable(spark, str(tmp_path), RULE)
-    for n in range(9):
-        table.apply(spark.createDataFrame([(f"k{n}", t(3 * n + 1), t(3 * n + 1), "done")], SCHEMA))
-        assert [k for k, *_ in state(table)] == [f"k{i}" for i in range(n + 1)]
-    current = table.open.versions()[-1]
-    assert current - table._base(current) < 3 and len(table.open.versions()) == 2
+
+
+def test_half_written_batch_is_completed(spark, tmp_path):
+    """The first attempt has written its newest month only; the second must not count that month
+    when it decides which rows are inside the window."""
+    table = jobs.changing_table(spark, str(tmp_path), SCHEMA, RULE)
+    rows = [("a", dt.datetime(2024, 1, 30), dt.datetime(2024, 1, 30), "open"),
+            ("b", dt.datetime(2024, 1, 31), dt.datetime(2024, 1, 31), "done"),
+            ("c", dt.datetime(2024, 2, 20), dt.datetime(2024, 2, 20), "open")]
+    jobs.apply_changes(table, RULE, spark.createDataFrame(rows[:1], SCHEMA), 0)
+    jobs.apply_changes(table, RULE, spark.createDataFrame(rows[2:], SCHEMA), 1)
+    jobs.apply_changes(table, RULE, spark.createDataFrame(rows[1:], SCHEMA), 1)
+    assert [r[0] for r in state(table)] == ["a", "b", "c"]
+
+
+def test_changes_sent_twice_are_taken_once(spark, tmp_path):
+    folder, log = str(tmp_path / "in"), str(tmp_path / "log")
+    table = jobs.changing_table(spark, str(tmp_path / "out"), SCHEMA, RULE)
+    for n in range(3):
+        # Every file repeats the first one.
+        spark.createDataFrame([("k0", t(1), t(1), "open"), (f"k{n}", t(n + 1), t(n + 1), "open")],
+                              SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        query = jobs.upsert_stream(jobs.read_stream(spark, folder, SCHEMA, files_per_batch=1), table,
+                                   RULE, log)
+        query.awaitTermination()
+        duplicates = [p["stateOperators"][0]["customMetrics"].get("numDroppedDuplicateRows", 0)
+                      for p in query.recentProgress if p["stateOperators"]]
+        assert sum(duplicates) == 1
+    assert state(table) == [("k0", "open", 1), ("k1", "open", 2), ("k2", "open", 3)]

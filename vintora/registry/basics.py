@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vintora.functions import (
     clean_text, coordinate, delinquency_bucket, digits_key, epoch_ms_to_local, int_key,
-    last_thursday, local_to_epoch_ms, penalty, text_to_date, to_monday,
+    last_thursday, local_to_epoch_ms, penalty, stamp, text_to_date, to_monday,
 )
 from vintora.operators.relational import (
     duplicates, first_per_key, interval_lookup, islands, match_with_fallback,
@@ -265,27 +265,40 @@ def _changes(book: Book) -> DataFrame:
 
 
 def _stream_upsert(book: Book) -> DataFrame:
-    """Two runs of the same stream: the second only sees the files written after the first."""
+    """Two runs of one stream over small files in which some changes are sent twice: the second run
+    only sees the files written after the first."""
     spark = book.source.spark
     folder, log = load.scratch(spark, "changes-in"), load.scratch(spark, "changes-log")
     rule = jobs.Mutable("id", "ts", "changed_at", "status", ("done",), days=5)
-    table = jobs.ChangingTable(spark, load.scratch(spark, "changes-out"), rule)
-    half = F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")
-    for part in (F.col("changed_at") < half, F.col("changed_at") >= half):
-        _changes(book).filter(part).write.mode("append").parquet(folder)
-        jobs.upsert_stream(jobs.read_stream(spark, folder, _CHANGES), table, log
-                           ).awaitTermination()
-    return table.read()
+    table = jobs.changing_table(spark, load.scratch(spark, "changes-out"), _CHANGES, rule)
+    # Files in the order of time, one per batch.
+    edges = [dt.datetime(2023, 1, 1), *(dt.datetime(2024, 1, d) for d in (6, 11, 16, 21, 26)),
+             dt.datetime(2025, 1, 1)]
+    at = F.col("changed_at")
+    for n, (first, end) in enumerate(zip(edges, edges[1:])):
+        some = _changes(book).filter((at >= stamp(first)) & (at < stamp(end)))
+        again = some.filter(F.col("id").endswith("7"))
+        some.unionByName(again).coalesce(1).write.mode("append").parquet(folder)
+        if n in (2, 5):
+            jobs.upsert_stream(jobs.read_stream(spark, folder, _CHANGES, files_per_batch=1), table,
+                               rule, log).awaitTermination()
+    return table.read().drop("first_batch")
 
 
 def _stream_lag(book: Book) -> DataFrame:
+    """Every fifth event arrives in a second run; its rows of hours that are closed by then are
+    late."""
     spark = book.source.spark
-    table = load.VersionedTable(spark, load.scratch(spark, "lag-out"))
-    events = jobs.read_stream(spark, book.source.dir, "event_type STRING, ts TIMESTAMP_NTZ",
-                              "events.parquet")
-    query = jobs.lag_stream(events, table, load.scratch(spark, "lag-log"), "event_type", "ts")
-    query.awaitTermination()
-    return jobs.lag_status(table, "event_type", dt.datetime(2024, 1, 31, 23, 30))
+    folder, log = load.scratch(spark, "lag-in"), load.scratch(spark, "lag-log")
+    tables = jobs.LagTables.at(spark, load.scratch(spark, "lag-out"))
+    late = F.col("event_id") % 5 == 0
+    for part in (~late, late):
+        (_events(book).filter(part).select("event_type", "ts").coalesce(1)
+         .write.mode("append").parquet(folder))
+        events = jobs.read_stream(spark, folder, "event_type STRING, ts TIMESTAMP_NTZ")
+        for query in jobs.lag_streams(events, tables, log, "event_type", "ts", "48 hours"):
+            query.awaitTermination()
+    return jobs.lag_status(tables, dt.datetime(2024, 1, 31, 23, 30))
 
 
 def _around(book: Book) -> DataFrame:
@@ -843,9 +856,19 @@ QUERIES = [
                  ELSE ts + to_days(CAST(event_id % 20 + 1 AS INTEGER)) END AS changed_at,
              CASE WHEN event_id % 3 = 0 THEN 'open' ELSE 'done' END AS status,
              CASE WHEN event_id % 3 = 0 THEN value ELSE value * 2 END AS value FROM events"""),
-    Query("stream_lag", _stream_lag, "event_type rows:i last_at:t lag_hours:r lamp",
-          """SELECT *, CASE WHEN lag_hours >= 48 THEN 'CRIT' WHEN lag_hours >= 24 THEN 'WARN'
-                 ELSE 'OK' END AS lamp FROM (SELECT event_type, count(*) AS rows,
-             max(ts) AS last_at, date_sub('second', max(ts), TIMESTAMP '2024-01-31 23:30:00')
-                 / 3600 AS lag_hours FROM events GROUP BY 1) t"""),
+    Query("stream_lag", _stream_lag,
+          "source hour:t rows:i last_at:t lag_hours:r lamp late_rows:i",
+          """WITH edge AS (SELECT max(ts) - INTERVAL 48 HOUR AS mark FROM events WHERE event_id % 5 <> 0),
+             e AS (SELECT event_type AS source, ts, date_trunc('hour', ts) AS hour,
+                 event_id % 5 = 0 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark AS late
+                 FROM events, edge),
+             s AS (SELECT source, count(*) FILTER (WHERE late) AS late_rows,
+                 date_sub('second', max(ts), TIMESTAMP '2024-01-31 23:30:00') / 3600 AS lag
+                 FROM e GROUP BY 1),
+             h AS (SELECT source, hour, count(*) AS rows, max(ts) AS last_at FROM e WHERE NOT late
+                 GROUP BY 1, 2)
+             SELECT source, hour, rows, last_at,
+             date_sub('second', last_at, TIMESTAMP '2024-01-31 23:30:00') / 3600 AS lag_hours,
+             CASE WHEN lag >= 48 THEN 'CRIT' WHEN lag >= 24 THEN 'WARN' ELSE 'OK' END AS lamp, late_rows
+             FROM h JOIN s USING (source)"""),
 ]

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from vintora.functions import OFFSET_MS
 from vintora.params import FINAL_STATES, Terms
 from vintora.sources import load
-from vintora.sources.schemas import conform
+from vintora.sources.parts import PartedTable
+from vintora.sources.schemas import conform, schema_of
 
 KEEP = 3
 LOG_SCHEMA = """started_at TIMESTAMP_NTZ, table_name STRING, mode STRING, rows BIGINT,
@@ -55,14 +56,19 @@ class Staging:
         self.spark, self.folder = spark, folder.rstrip("/")
         self._log = load.VersionedTable(spark, f"{self.folder}/_runs")
 
-    def table(self, name: str) -> load.VersionedTable:
-        return load.VersionedTable(self.spark, f"{self.folder}/{name}")
+    def table(self, name: str) -> load.VersionedTable | PartedTable:
+        """Tables with a window are kept by the month of creation, the others in versions."""
+        rule = next((r for r in RULES if r.table == name), Rule(name))
+        if rule.at is None:
+            return load.VersionedTable(self.spark, f"{self.folder}/{name}")
+        created = F.to_timestamp_ntz(F.timestamp_millis(F.col(rule.at).cast("bigint")))
+        return PartedTable(self.spark, f"{self.folder}/{name}", schema_of(name), created)
 
     def __getattr__(self, name: str) -> DataFrame:
         """A staging table as an attribute, so that a Book can read from here."""
         if name.startswith("_"):
             raise AttributeError(name)
-        stored = load.VersionedTable(self.spark, f"{self.folder}/{name}")
+        stored = self.table(name)
         if not stored.exists():
             raise AttributeError(f"{name} has not been loaded")
         return stored.read()
@@ -91,25 +97,44 @@ def load_table(staging: Staging, source: DataFrame, rule: Rule, terms: Terms, fu
     mode = load.load_mode(full, rule.at is not None and stored.exists(),
                           staging.last_full(rule.table), terms.now, terms.full_reload_days)
     flat = load.flatten(source)
-    if mode == "full":
+    if rule.at is None:
         rows = stored.replace(conform(flat, rule.table), keep=KEEP)
     else:
-        edge = terms.now - dt.timedelta(days=terms.mutable_days)
-        # The documents hold UTC.
-        cutoff = F.lit((edge - dt.datetime(1970, 1, 1)).total_seconds() * 1000 + OFFSET_MS)
-        current = stored.read()
-        refresh = load.refresh_keys(current, rule.key, rule.status, rule.final, rule.at, cutoff)
-        incoming = conform(load.window_or_keys(flat, rule.at, cutoff, rule.key, refresh),
-                           rule.table)
-        # The source is read once: what is counted is what is merged.
-        extract = load.VersionedTable(staging.spark, load.scratch(staging.spark, rule.table))
-        extract.replace(incoming)
-        rows = stored.replace(load.window_replace(
-            current, extract.read(), rule.at, cutoff, rule.key, refresh), keep=KEEP)
+        rows = _load_parts(staging, stored, flat, rule, terms, mode)
     return (terms.now, rule.table, mode, rows, time.time() - begun,
             load.definition_hash(repr(rule)))
 
 
+def _load_parts(staging: Staging, stored: PartedTable, flat: DataFrame, rule: Rule, terms: Terms,
+                mode: str) -> int:
+    """Load all months, or the window and the older rows that can still change; returns the rows
+    that came in. Of the stored months only those are read and written that the load touches."""
+    extract = load.VersionedTable(staging.spark, load.scratch(staging.spark, rule.table))
+    if mode == "full":
+        rows = extract.replace(conform(flat, rule.table))
+        stored.replace(extract.read())
+        return rows
+    edge = terms.now - dt.timedelta(days=terms.mutable_days)
+    # The documents hold UTC.
+    since = (edge - dt.datetime(1970, 1, 1)).total_seconds() * 1000 + OFFSET_MS
+    cutoff = F.lit(since)
+    current = stored.read()
+    refresh = load.refresh_keys(current, rule.key, rule.status, rule.final, rule.at, cutoff)
+    # The source is read once: what is counted is what is merged.
+    rows = extract.replace(conform(load.window_or_keys(flat, rule.at, cutoff, rule.key, refresh),
+                                   rule.table))
+    incoming = extract.read()
+    first = (dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=since)).strftime("%Y-%m")
+    # Rows without a time sort behind all months.
+    window = {p for p in stored.parts() if p >= first}
+    older = stored.touched(current.filter((F.col(rule.at) < cutoff) | F.col(rule.at).isNull()).join(
+        refresh, rule.key, "left_semi"))
+    months = window | older | stored.touched(incoming)
+    stored.write(load.window_replace(stored.read(months), incoming, rule.at, cutoff, rule.key,
+                                     refresh), months)
+    return rows
+
+
 def load_all(staging: Staging, sources: Mapping[str, DataFrame], terms: Terms, full: bool = False,
              only: list[str] | None = None) -> list[tuple]:
     """Load the tables in order; unknown names are an error.

@@ -11,8 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vintora.functions import stamp
 from vintora.operators.relational import descending, first_per_key
-from vintora.session import checkpoint_dir
-from vintora.sources.load import VersionedTable
+from vintora.sources.parts import DAY, PartedTable
 
 
 def read_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet",
@@ -23,11 +22,14 @@ def read_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*
     return reader.parquet(folder)
 
 
+# -- changing rows ---------------------------------------------------------
+
 @dataclass(frozen=True)
 class Mutable:
     """What may change: a row inside the window of ``days``, or one whose status is not final.
 
-    ``at`` is the creation time and never changes for a key; ``version`` orders its changes.
+    ``at`` is the creation time and never changes for a key; ``version`` orders its changes and is
+    the event time of the stream, in which a change may arrive up to ``late`` days behind the newest.
     """
 
     key: str
@@ -36,129 +38,138 @@ class Mutable:
     status: str
     final: tuple[str, ...]
     days: int
+    late: int = 60
 
 
-class ChangingTable:
-    """A table whose closed rows are only ever appended.
+_SINCE = "first_batch"
 
-    ``open`` holds the rows that can still change and is rewritten by each batch; rows that can
-    change no more move to ``closed``. A batch therefore costs as much as the open window, and
-    not as much as the history. The marker of the open version commits both parts. Every
-    ``COMPACT`` batches the closed parts are written into one, and reading starts from it.
-    """
 
-    COMPACT = 16
+def changing_table(spark: SparkSession, path: str, schema: str, rule: Mutable) -> PartedTable:
+    """Rows by the month of their creation, with the batch that brought the key first."""
+    return PartedTable(spark, path, f"{schema}, {_SINCE} BIGINT", F.col(rule.at))
 
-    def __init__(self, spark: SparkSession, path: str, rule: Mutable):
-        self.spark, self.path, self.rule = spark, path.rstrip("/"), rule
-        self.open = VersionedTable(spark, f"{self.path}/open")
 
-    def _closed(self, version: int) -> str:
-        return f"{self.path}/closed/v{version}"
+def _clock(table: PartedTable, rule: Mutable, batch_id: int):
+    """The newest creation time of earlier batches, from the last month that has one.
 
-    def _base(self, current: int) -> int:
-        """The part that reading starts from: the last compacted one that is committed."""
-        files = self.spark._jvm.org.apache.hadoop.fs
-        found = self.open._fs.listStatus(files.Path(f"{self.path}/closed"))
-        names = [s.getPath().getName() for s in found]
-        bases = [int(n[1:-5]) for n in names if n.endswith(".base")]
-        return max((b for b in bases if b <= current), default=1)
+    A key keeps the number of its first batch, so a repeated batch sees the clock it saw before,
+    whatever its first attempt has written.
+    """
+    for part in reversed(table.parts()):
+        newest = table.read([part]).filter(F.col(_SINCE) < batch_id).agg(F.max(rule.at)).first()[0]
+        if newest is not None:
+            return newest
+    return None
 
-    def _closed_rows(self, schema) -> DataFrame:
-        current = self.open.versions()[-1]
-        parts = [self._closed(v) for v in range(self._base(current), current + 1)]
-        return self.spark.read.schema(schema).parquet(*parts)
 
-    def read(self) -> DataFrame:
-        df = self.open.read()
-        return df.unionByName(self._closed_rows(df.schema))
+def apply_changes(table: PartedTable, rule: Mutable, batch: DataFrame, batch_id: int) -> None:
+    """Merge a batch of changes into the months they belong to; repeated, it changes nothing.
 
-    def apply(self, batch: DataFrame) -> None:
-        """Merge a batch of changes; the same batch applied twice gives the same table."""
-        rule = self.rule
-        newest_first = [descending(rule.version)]
-        incoming = first_per_key(batch, [rule.key], newest_first).select(*batch.columns)
-        window = dt.timedelta(days=rule.days)
-        newest = incoming.agg(F.max(rule.at)).first()[0]
-        merged = incoming
-        if self.open.exists():
-            current = self.open.read()
-            # The newest row is always open, so the open part knows the clock of the last batch.
-            before = current.agg(F.max(rule.at)).first()[0]
-            newest = max(newest, before)
-            # A row from before the last window is open, or closed, or was never to be loaded.
-            known = current.select(rule.key).distinct().withColumn("_known", F.lit(True))
-            accepted = incoming.join(known, rule.key, "left").filter(
-                (F.col(rule.at) >= stamp(before - window)) | F.col("_known")).drop("_known")
-            merged = first_per_key(current.unionByName(accepted), [rule.key], newest_first)
-        # Written once, for both parts and for the batch's clock.
-        checkpoint_dir(self.spark)
-        merged = merged.select(*batch.columns).checkpoint()
-        done = (F.col(rule.at) < stamp(newest - window)) & F.col(rule.status).isin(*rule.final)
-        version = (self.open.versions() or [0])[-1] + 1
-        closing = merged.filter(done)
-        compact = version > 1 and version - self._base(version - 1) >= self.COMPACT
-        if compact:
-            closing = closing.unionByName(self._closed_rows(merged.schema))
-        closing.write.mode("overwrite").parquet(self._closed(version))
-        if compact:
-            files = self.spark._jvm.org.apache.hadoop.fs
-            self.open._fs.create(files.Path(f"{self._closed(version)}.base")).close()
-        self.open.replace(merged.filter(~F.coalesce(done, F.lit(False))), keep=2)
-
-
-def upsert_stream(stream: DataFrame, table: ChangingTable, checkpoint: str) -> StreamingQuery:
-    def merge(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            table.apply(batch)
-
-    return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
-
-
-def lag_stream(stream: DataFrame, table: VersionedTable, checkpoint: str, source: str, at: str
-               ) -> StreamingQuery:
-    """Keep the last event time and row count of each source; one small row per source.
-
-    The row also keeps its last batch and its values before that, so a repeated batch replaces
-    what it added the first time.
+    Taken are rows from the window before the clock, and older ones whose key is stored without a
+    final status. Other months are neither read nor written.
     """
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+    batch = batch.persist()
+    try:
+        months = table.touched(batch)
+        if not months:
             return
-        part = batch.groupBy(F.col(source).alias("_s")).agg(
-            F.max(at).alias("_at"), F.count(F.lit(1)).alias("_n"))
-        this = F.lit(batch_id).cast("bigint")
-        if table.exists():
-            old = table.read()
-            both = old.join(part, old[source].eqNullSafe(part["_s"]), "full")
-            again = F.col("batch_id") == this
-            at_before = F.when(again, F.col("at_before")).otherwise(F.col("last_at"))
-            rows_before = F.when(again, F.col("rows_before")).otherwise(F.col("rows"))
-            new = F.col("_n").isNotNull()
-            state = both.select(
-                F.coalesce(source, "_s").alias(source),
-                F.when(new, F.greatest(at_before, F.col("_at"))).otherwise(F.col("last_at"))
-                .alias("last_at"),
-                F.when(new, F.coalesce(rows_before, F.lit(0)) + F.col("_n"))
-                .otherwise(F.col("rows")).alias("rows"),
-                F.when(new, this).otherwise(F.col("batch_id")).alias("batch_id"),
-                F.when(new, at_before).otherwise(F.col("at_before")).alias("at_before"),
-                F.when(new, rows_before).otherwise(F.col("rows_before")).alias("rows_before"))
-        else:
-            state = part.select(
-                F.col("_s").alias(source), F.col("_at").alias("last_at"), F.col("_n").alias("rows"),
-                this.alias("batch_id"), F.lit(None).cast(part.schema["_at"].dataType)
-                .alias("at_before"), F.lit(None).cast("bigint").alias("rows_before"))
-        table.replace(state, keep=2)
-
-    return (stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
-
-
-def lag_status(table: VersionedTable, source: str, now: dt.datetime) -> DataFrame:
-    """Lamp per source: 24 hours warn, 48 hours critical."""
-    lag = F.timestamp_diff("SECOND", F.col("last_at"), stamp(now)) / 3600
-    return (table.read().select(source, "last_at", "rows")
-            .withColumn("lag_hours", lag)
-            .withColumn("lamp", F.when(lag >= 48, "CRIT").when(lag >= 24, "WARN").otherwise("OK")))
+        newest_first = [descending(rule.version)]
+        incoming = first_per_key(batch, [rule.key], newest_first)
+        current = table.read(months)
+        clock = _clock(table, rule, batch_id)
+        known = current.select(rule.key, F.col(_SINCE).alias("_since"), (
+            ~F.coalesce(F.col(rule.status).isin(*rule.final), F.lit(False))).alias("_open"))
+        taken = incoming.join(known, rule.key, "left")
+        if clock is not None:
+            taken = taken.filter((F.col(rule.at) >= stamp(clock - dt.timedelta(days=rule.days)))
+                                 | F.col("_open"))
+        taken = taken.withColumn(_SINCE, F.coalesce("_since", F.lit(batch_id).cast("bigint")))
+        taken = taken.select(*table.schema.names).persist()
+        changed = table.touched(taken)
+        if changed:
+            merged = first_per_key(table.read(changed).unionByName(taken), [rule.key], newest_first)
+            table.write(merged, changed)
+        taken.unpersist()
+    finally:
+        batch.unpersist()
+
+
+def upsert_stream(stream: DataFrame, table: PartedTable, rule: Mutable, checkpoint: str
+                  ) -> StreamingQuery:
+    """Each change once, however often it is sent: its key and version are stream state until the
+    watermark has passed them."""
+    # Event times have a zone in Spark; the tables' times have none.
+    timed = stream.withColumn("_event", F.col(rule.version).cast("timestamp"))
+    once = timed.withWatermark("_event", f"{rule.late} days").dropDuplicatesWithinWatermark(
+        [rule.key, rule.version])
+    return (once.drop("_event").writeStream
+            .foreachBatch(lambda batch, batch_id: apply_changes(table, rule, batch, batch_id))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+# -- lag -------------------------------------------------------------------
+
+_HOURS = "source STRING, hour TIMESTAMP_NTZ, rows BIGINT, last_at TIMESTAMP_NTZ"
+_TOTALS = "source STRING, arrived BIGINT, newest TIMESTAMP_NTZ"
+
+
+@dataclass(frozen=True)
+class LagTables:
+    """``hours``: one row per source and hour of event time, by day. ``totals``: one per source."""
+
+    hours: PartedTable
+    totals: PartedTable
+
+    @classmethod
+    def at(cls, spark: SparkSession, path: str) -> "LagTables":
+        path = path.rstrip("/")
+        return cls(PartedTable(spark, f"{path}/hours", _HOURS, F.col("hour"), DAY),
+                   PartedTable(spark, f"{path}/totals", _TOTALS, F.lit(None).cast("timestamp_ntz")))
+
+
+def lag_streams(stream: DataFrame, tables: LagTables, checkpoint: str, source: str, at: str,
+                late: str) -> list[StreamingQuery]:
+    """Event-time hours per source, kept open until the watermark ``late`` behind the newest event
+    has passed them, and beside them all that arrived per source.
+
+    Both are aggregates in update mode: a batch hands over the current value of the rows it
+    changed, so a repeated batch writes the same. What an hour no longer takes in is late: it is
+    the difference between what arrived and what the hours hold.
+    """
+    # The name of the source is published; a missing one is a source of its own.
+    events = stream.select(F.coalesce(F.col(source), F.lit("")).alias("source"),
+                           F.col(at).cast("timestamp").alias("at"))
+    hours = (events.withWatermark("at", late).groupBy("source", F.window("at", "1 hour"))
+             .agg(F.count(F.lit(1)).alias("rows"), F.max("at").alias("last_at"))
+             .select("source", F.col("window.start").cast("timestamp_ntz").alias("hour"), "rows",
+                     F.col("last_at").cast("timestamp_ntz").alias("last_at")))
+    totals = events.groupBy("source").agg(
+        F.count(F.lit(1)).alias("arrived"), F.max("at").cast("timestamp_ntz").alias("newest"))
+
+    def into(table: PartedTable, key: list[str], df: DataFrame, name: str) -> StreamingQuery:
+        def merge(batch: DataFrame, _: int) -> None:
+            rows = batch.persist()
+            table.merge(rows, key)
+            rows.unpersist()
+        return (df.writeStream.outputMode("update").foreachBatch(merge)
+                .option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start())
+
+    return [into(tables.hours, ["source", "hour"], hours, "hours"),
+            into(tables.totals, ["source"], totals, "totals")]
+
+
+def lag_status(tables: LagTables, now: dt.datetime) -> DataFrame:
+    """Per source and hour the rows, the last event and its lag; per source the lamp (24 hours
+    warn, 48 hours critical) and the late rows."""
+    def hours_since(c):
+        return F.timestamp_diff("SECOND", F.col(c), stamp(now)) / 3600
+
+    hours = tables.hours.read()
+    held = hours.groupBy("source").agg(F.sum("rows").alias("held"))
+    sources = tables.totals.read().join(held, "source", "left").select(
+        "source", (F.col("arrived") - F.coalesce("held", F.lit(0))).alias("late_rows"),
+        hours_since("newest").alias("_lag"))
+    lamp = F.when(F.col("_lag") >= 48, "CRIT").when(F.col("_lag") >= 24, "WARN").otherwise("OK")
+    return hours.join(sources, "source").select(
+        "source", "hour", "rows", "last_at", hours_since("last_at").alias("lag_hours"),
+        lamp.alias("lamp"), "late_rows")
