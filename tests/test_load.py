@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vintora.params import FINAL_STATES
 from vintora.plans import build, nightly, quality
 from vintora.plans.book import Book
-from vintora.sources import contracts, intake, load
+from vintora.sources import contracts, intake, load, rejects
 from vintora.sources.parts import PartedTable
 from vintora.sources.schemas import STAGING, conform, schema_of
 from vintora.streaming import jobs
@@ -259,6 +259,35 @@ def test_partitioned_version_keeps_types(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan and one.count() == 1
 
 
+# -- rejects ---------------------------------------------------------------
+
+def test_rejected_lines_and_reasons(spark, tmp_path):
+    path = tmp_path / "p.csv"
+    path.write_text("n,Id cliente,transactionalProfile\n0,1,a\n1,x,b\n2,,c\n3,4\n4,5,d,e,f\n5, 6 , g \n6,y,\n")
+    done = contracts.check(spark, "service_profile", str(path))
+    assert sorted(tuple(r) for r in done.rows.collect()) == [(1, "a"), (6, "g")]
+    assert done.counts == {"rows": 7, "rejected": 5, "in id_cliente": 3, "in transactional_profile": 1}
+    found = sorted((r["column"], r["value"] or "", r["reason"]) for r in done.problems.collect())
+    assert found == [("", "3,4", "wrong number of fields"), ("", "4,5,d,e,f", "wrong number of fields"),
+                     ("id_cliente", "", "is missing"), ("id_cliente", "x", "is no bigint"),
+                     ("id_cliente", "y", "is no bigint"), ("transactional_profile", "", "is missing")]
+    plan = {r["column"]: (r["type"], r["filled"], r["rejected"]) for r in rejects.dry_run(done).collect()}
+    assert plan == {"id_cliente": ("bigint", 2, 3), "transactional_profile": ("string", 2, 1)}
+    path.write_text("Id cliente\n1\n")
+    with pytest.raises(load.BrokenContract, match="missing columns"):
+        contracts.check(spark, "service_profile", str(path))
+
+
+def test_unread_values_are_counted_per_load(spark, book, tmp_path):
+    staging = intake.Staging(spark, str(tmp_path))
+    rows = spark.createDataFrame([("1", "a"), ("x", "b"), (" ", "c"), (None, "d"), ("y", "e")],
+                                 "id_cliente STRING, transactional_profile STRING")
+    for _ in range(2):
+        intake.load_all(staging, {"service_profile": rows}, book.terms)
+        assert [tuple(r)[1:] for r in staging.rejected().collect()] == [("service_profile", "id_cliente", 2)]
+    assert sorted(r[0] or 0 for r in staging.service_profile.select("id_cliente").collect()) == [0, 0, 0, 0, 1]
+
+
 # -- tables in parts -------------------------------------------------------
 
 def files(path):

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from vintora.params import STAGE_STEPS, Terms
 from vintora.plans import consumers, contest, credit, measures, risk
 from vintora.plans.explore import closed_window
+from vintora.plans.snapshots import StoredSnapshot, changes, digests, month_ends
+from vintora.sources.load import VersionedTable
 
 TERMS = Terms(as_of=dt.date(2024, 6, 15), now=dt.datetime(2024, 6, 15, 12))
 
@@ -166,3 +168,64 @@ def test_closed_window():
 
 def test_series(spark):
     assert [r[0] for r in measures.series(0, 20, 5, spark).collect()] == [0, 5, 10, 15, 20]
+
+
+# -- stored snapshot -------------------------------------------------------
+
+def paths(folder):
+    return {p.parent.name: p.name for p in folder.rglob("*.parquet")}
+
+
+def rows_of(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+def test_late_payments_open_only_later_month_ends(spark, book, tmp_path):
+    stored = VersionedTable(spark, str(tmp_path / "loans"))
+    stored.replace(book.loans)
+    loans = stored.read()
+    snapshot = StoredSnapshot(spark, str(tmp_path / "s"), book.snapshot.schema)
+    ends = month_ends(loans)
+    assert snapshot.refresh(loans) == ends
+    assert rows_of(snapshot.read()) == rows_of(book.snapshot)
+    before = paths(tmp_path / "s" / "rows")
+    assert snapshot.refresh(loans) == [] and paths(tmp_path / "s" / "rows") == before
+
+    # A payment of a loan due in the middle arrives; another loan is gone, one is paid differently.
+    middle = ends[len(ends) // 2]
+    one = loans.filter(F.col("due_month_end") == middle).orderBy("sales_order_id").first()
+    mine = F.col("sales_order_id") == one["sales_order_id"]
+    late = loans.withColumn("paid_at", F.when(mine, F.lit(dt.datetime(2003, 1, 5)).cast(
+        "timestamp_ntz")).otherwise(F.col("paid_at")))
+    found = {r["change"]: r["sales_order_id"] for r in changes(digests(loans), digests(late)).collect()}
+    assert found == {"changed": one["sales_order_id"]}
+    assert snapshot.refresh(late) == [e for e in ends if e >= middle]
+    assert rows_of(snapshot.read()) == rows_of(credit.month_end_snapshot(late))
+    after = paths(tmp_path / "s" / "rows")
+    assert {n for n in before if before[n] != after.get(n)} == {
+        f"part_={y}" for y in {e.year for e in ends if e >= middle}}
+
+    # All loans of the last month end go, and with them the month end; later they come back.
+    fewer = late.filter(F.col("due_month_end") < ends[-1])
+    snapshot.refresh(fewer)
+    assert rows_of(snapshot.read()) == rows_of(credit.month_end_snapshot(fewer))
+    assert snapshot.refresh(late) == [ends[-1]]
+    assert rows_of(snapshot.read()) == rows_of(credit.month_end_snapshot(late))
+
+
+def test_a_null_is_a_change(spark, book):
+    one = book.loans.limit(1)
+    other = one.withColumn("route", F.lit(None).cast("string"))
+    empty = one.withColumn("route", F.lit(""))
+    assert changes(digests(other), digests(empty)).count() == 1
+
+
+def test_one_month_end_is_read_from_its_year(spark, book, tmp_path):
+    snapshot = StoredSnapshot(spark, str(tmp_path), book.snapshot.schema)
+    snapshot.refresh(book.loans)
+    end = month_ends(book.loans)[-1]
+    one = snapshot.rows.read([str(end.year)]).filter(F.col("cutoff") == F.lit(end))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert {f.split("part_=")[1][:4] for f in one.inputFiles()} == {str(end.year)}
+    assert "isnotnull(cutoff" in plan and "cutoff" in plan.split("PushedFilters: ")[1][:60]
+    assert one.count() == book.snapshot.filter(F.col("cutoff") == F.lit(end)).count()

@@ -241,6 +241,20 @@ def loans(orders: DataFrame, payments: DataFrame, mirrors: DataFrame, order_keys
         "total_revenue", "revenue_share", "par")
 
 
+# What a row of the snapshot takes from its loan as it is.
+_FROM_LOAN = ("customer_id", "sales_order_id", "order_status", "created_at", "delivery_at",
+              "order_gross_sales", "quantity", "enrolled_at", "enrollment_cohort",
+              "enrolled_customers", "cohort_credit_limit", "transaction_id", "total_to_pay",
+              "interests", "total_default", "movement_at", "payment_at", "paid_at", "due_on",
+              "due_month_end")
+_FROM_LOAN_LAST = ("months_since_enrollment", "rank", "route", "supervisor", "office", "customer_type")
+
+
+def snapshot_columns(loans: DataFrame) -> list[Column]:
+    """All columns of a loan that the snapshot depends on."""
+    return [loans[c] for c in (*_FROM_LOAN, "total_amount", *_FROM_LOAN_LAST)]
+
+
 def month_end_snapshot(loans: DataFrame, cutoffs: DataFrame | None = None) -> DataFrame:
     """Every loan at every month end on or after its due date.
 
@@ -267,14 +281,8 @@ def month_end_snapshot(loans: DataFrame, cutoffs: DataFrame | None = None) -> Da
                 .otherwise(delinquency_bucket(late)),
                 "months_on_book": months_between("enrolled_at", "cutoff"),
                 "month": month_text("cutoff")})
-            .select("customer_id", "sales_order_id", "order_status", "created_at", "delivery_at",
-                    "order_gross_sales", "quantity", "enrolled_at", "enrollment_cohort",
-                    "enrolled_customers", "cohort_credit_limit", "transaction_id", "total_to_pay",
-                    "interests", "total_default", "movement_at", "payment_at", "paid_at",
-                    "due_on", "due_month_end", "cutoff", "previous_month_end", "original_amount",
-                    "total_amount", "days_past_due", "par", "months_on_book", "month",
-                    "months_since_enrollment", "rank", "route", "supervisor", "office",
-                    "customer_type"))
+            .select(*_FROM_LOAN, "cutoff", "previous_month_end", "original_amount", "total_amount",
+                    "days_past_due", "par", "months_on_book", "month", *_FROM_LOAN_LAST))
 
 
 def vintage(snapshot: DataFrame, terms: Terms) -> DataFrame:

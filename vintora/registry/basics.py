@@ -15,15 +15,23 @@ from vintora.operators.relational import (
     duplicates, first_per_key, interval_lookup, islands, match_with_fallback,
 )
 from vintora.operators.skew import keyed_window, number_rows
-from vintora.params import FINAL_STATES, STAGE_ORDER
+from vintora.params import FINAL_STATES, SAMPLE, STAGE_ORDER
 from vintora.plans import build, consumers, contest, credit, explore, measures, quality, risk
 from vintora.plans.book import Book
 from vintora.registry.core import Query
 from vintora.registry.views import ACTIVE, AS_OF, bucket, monday
-from vintora.sources import contracts, intake, load, normalise
+from vintora.sources import contracts, intake, load, normalise, rejects
 from vintora.streaming import jobs
 
 _EVENT_CUT = dt.datetime(2024, 1, 21)
+# The spoiled file of _spoiled: its line, its two columns.
+_SPOILED = """SELECT *, '{"id_cliente":' || coalesce('"' || id || '"', 'null') ||
+    ',"transactional_profile":' || coalesce('"' || profile || '"', 'null') || '}' AS line
+    FROM (SELECT CASE c_custkey % 10 WHEN 1 THEN 'no ' || c_custkey WHEN 3 THEN NULL
+        ELSE CAST(c_custkey AS VARCHAR) END AS id,
+    CASE WHEN c_custkey % 7 <> 0 THEN CASE c_custkey % 3 WHEN 0 THEN '01-Healthy'
+        WHEN 1 THEN '02-Mixed' ELSE '03-Mostly Fraud' END END AS profile
+    FROM customer WHERE c_custkey % 2 = 1)"""
 
 
 def _events(book: Book) -> DataFrame:
@@ -112,6 +120,31 @@ def _file_contract(book: Book) -> DataFrame:
         "loan_disbursement_index_range", "flag", contracts.clean_combination(raw)))
 
 
+def _spoiled(book: Book) -> contracts.Checked:
+    """The service profile as a file with unreadable numbers and missing names."""
+    spark = book.source.spark
+    path = load.scratch(spark, "spoiled.csv")
+    key = F.col("id_cliente")
+    load.export_csv(book.source.service_profile.select(
+        F.when(key % 10 == 1, F.concat(F.lit("no "), key.cast("string"))).when(key % 10 == 3, "")
+        .otherwise(key.cast("string")).alias("Id cliente"),
+        F.when(key % 7 != 0, F.col("transactional_profile")).alias("transactionalProfile"),
+        key.alias("Unnamed: 0")), path)
+    return contracts.check(spark, "service_profile", path)
+
+
+def _rejected_values(book: Book) -> DataFrame:
+    """Documents with text in number columns: loaded, with counts of what became NULL."""
+    spark = book.source.spark
+    staging = intake.Staging(spark, load.scratch(spark, "staging"))
+    profile = book.source.service_profile
+    text = F.when(F.col("id_cliente") % 10 == 1, "no number").otherwise(
+        F.col("id_cliente").cast("string"))
+    intake.load_all(staging, {"service_profile": profile.withColumn("id_cliente", text),
+                              "cohort_cac": book.source.cohort_cac}, book.terms)
+    return staging.rejected()
+
+
 def _intake(book: Book) -> DataFrame:
     """A first load without the open orders' last state, then a windowed load a day later."""
     spark, source = book.source.spark, book.source
@@ -433,6 +466,25 @@ QUERIES = [
           "combo_id atr1_rank atr2_rank events:i good:i bad:i br:r woe:r iv:r",
           """SELECT loan_range || '_' || flag || '_' || atr1 || ' & ' || atr2 AS combo_id,
              atr1_rank, atr2_rank, events, good, bad, bad_rate AS br, woe, iv FROM pairs"""),
+    Query("csv_rejects", lambda b: _spoiled(b).problems, "line column value reason",
+          f"""WITH s AS ({_SPOILED}) SELECT line, 'id_cliente' AS "column", id AS value,
+                 'is no bigint' AS reason FROM s WHERE id LIKE 'no%'
+             UNION ALL SELECT line, 'id_cliente', NULL, 'is missing' FROM s WHERE id IS NULL
+             UNION ALL SELECT line, 'transactional_profile', NULL, 'is missing' FROM s
+             WHERE profile IS NULL"""),
+    Query("csv_dry_run", lambda b: rejects.dry_run(_spoiled(b)),
+          "column type rejected:i filled:i distinct:i",
+          f"""WITH s AS ({_SPOILED}),
+             g AS (SELECT * FROM s WHERE id NOT LIKE 'no%' AND profile IS NOT NULL)
+             SELECT 'id_cliente' AS "column", 'bigint' AS type, (SELECT count(*) FROM s
+                 WHERE id LIKE 'no%' OR id IS NULL) AS rejected, count(*) AS filled,
+                 count(DISTINCT id) AS "distinct" FROM g
+             UNION ALL SELECT 'transactional_profile', 'string', (SELECT count(*) FROM s
+                 WHERE profile IS NULL), count(*), count(DISTINCT profile) FROM g"""),
+    Query("rejected_values", _rejected_values, "started_at:t table_name column_name values:i",
+          f"""SELECT TIMESTAMP '{SAMPLE.now}' AS started_at, 'service_profile' AS table_name,
+             'id_cliente' AS column_name, count(*) AS values FROM customer
+             WHERE c_custkey % 2 = 1 AND c_custkey % 10 = 1"""),
     Query("windowed_intake", _intake,
           "salesOrderId orderId productId orderStatus quantity:m",
           """SELECT sales_order_id AS "salesOrderId", order_id AS "orderId",

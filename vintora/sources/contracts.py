@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vintora.functions import int_key
 from vintora.sources.load import read_contract, read_ordered
+from vintora.sources.rejects import Checked, check_file
 from vintora.sources.schemas import conform, schema_of
 
 # Columns each file must have, and their staging names.
@@ -38,6 +39,20 @@ def read_file(spark: SparkSession, table: str, path: str) -> DataFrame:
     return conform(read_contract(spark, path, FILES[table], types), table)
 
 
+# Columns without which a line of a file says nothing.
+REQUIRED = {
+    "pair_odds": ("loan_disbursement_index_range", "flag", "atr1", "atr2"),
+    "pair_iv": ("loan_disbursement_index_range", "flag", "combination"),
+    "service_profile": ("id_cliente", "transactional_profile"),
+    "cohort_cac": ("enrollment_cohort",),
+}
+
+
+def check(spark: SparkSession, table: str, path: str) -> Checked:
+    """One of the contract files, with the lines that do not keep the contract set aside."""
+    return check_file(spark, path, FILES[table], schema_of(table), REQUIRED[table])
+
+
 def read_contest(spark: SparkSession, path: str) -> DataFrame:
     """The contest customers; columns are taken by position."""
     rows = read_ordered(spark, path, CONTEST_HEADER, CONTEST_COLUMNS, "netsuite_id",

@@ -10,13 +10,14 @@ import time
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vintora.functions import OFFSET_MS
 from vintora.params import FINAL_STATES, Terms
 from vintora.sources import load
 from vintora.sources.parts import PartedTable
+from vintora.sources.rejects import counted
 from vintora.sources.schemas import conform, schema_of
 
 KEEP = 3
@@ -49,12 +50,16 @@ RULES = (
 )
 
 
+REJECTED_SCHEMA = "started_at TIMESTAMP_NTZ, table_name STRING, column_name STRING, values BIGINT"
+
+
 class Staging:
     """The stored staging tables and the log of their loads, below one folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
         self._log = load.VersionedTable(spark, f"{self.folder}/_runs")
+        self._rejected = load.VersionedTable(spark, f"{self.folder}/_rejected")
 
     def table(self, name: str) -> load.VersionedTable | PartedTable:
         """Tables with a window are kept by the month of creation, the others in versions."""
@@ -83,6 +88,19 @@ class Staging:
         self._log.replace(load.append_new(self.log(), rows, ["started_at", "table_name"]),
                           keep=KEEP)
 
+    def rejected(self) -> DataFrame:
+        """Per load, table and column: the values that became NULL because they do not parse."""
+        if self._rejected.exists():
+            return self._rejected.read()
+        return self.spark.createDataFrame([], REJECTED_SCHEMA)
+
+    def record_rejected(self, started: dt.datetime, table: str, counts: dict[str, int]) -> None:
+        found = [(started, table, c, n) for c, n in sorted(counts.items()) if n]
+        if found:
+            rows = self.spark.createDataFrame(found, REJECTED_SCHEMA)
+            self._rejected.replace(load.append_new(
+                self.rejected(), rows, ["started_at", "table_name", "column_name"]), keep=KEEP)
+
     def last_full(self, table: str) -> dt.datetime | None:
         """One value per table of a short log."""
         return self.log().filter((F.col("table_name") == table) & (F.col("mode") == "full")).agg(
@@ -98,22 +116,26 @@ def load_table(staging: Staging, source: DataFrame, rule: Rule, terms: Terms, fu
                           staging.last_full(rule.table), terms.now, terms.full_reload_days)
     flat = load.flatten(source)
     if rule.at is None:
-        rows = stored.replace(conform(flat, rule.table), keep=KEEP)
+        checked, seen = counted(flat, schema_of(rule.table))
+        rows = stored.replace(conform(checked, rule.table), keep=KEEP)
     else:
-        rows = _load_parts(staging, stored, flat, rule, terms, mode)
+        rows, seen = _load_parts(staging, stored, flat, rule, terms, mode)
+    if seen is not None:
+        staging.record_rejected(terms.now, rule.table, seen.get)
     return (terms.now, rule.table, mode, rows, time.time() - begun,
             load.definition_hash(repr(rule)))
 
 
 def _load_parts(staging: Staging, stored: PartedTable, flat: DataFrame, rule: Rule, terms: Terms,
-                mode: str) -> int:
-    """Load all months, or the window and the older rows that can still change; returns the rows
-    that came in. Of the stored months only those are read and written that the load touches."""
+                mode: str) -> tuple[int, Observation | None]:
+    """Load all months, or the window and the older rows that can still change; returns the number
+    of rows that came in. Of the stored months only those are read and written that the load touches."""
     extract = load.VersionedTable(staging.spark, load.scratch(staging.spark, rule.table))
     if mode == "full":
-        rows = extract.replace(conform(flat, rule.table))
+        checked, seen = counted(flat, schema_of(rule.table))
+        rows = extract.replace(conform(checked, rule.table))
         stored.replace(extract.read())
-        return rows
+        return rows, seen
     edge = terms.now - dt.timedelta(days=terms.mutable_days)
     # The documents hold UTC.
     since = (edge - dt.datetime(1970, 1, 1)).total_seconds() * 1000 + OFFSET_MS
@@ -121,8 +143,9 @@ def _load_parts(staging: Staging, stored: PartedTable, flat: DataFrame, rule: Ru
     current = stored.read()
     refresh = load.refresh_keys(current, rule.key, rule.status, rule.final, rule.at, cutoff)
     # The source is read once: what is counted is what is merged.
-    rows = extract.replace(conform(load.window_or_keys(flat, rule.at, cutoff, rule.key, refresh),
-                                   rule.table))
+    checked, seen = counted(load.window_or_keys(flat, rule.at, cutoff, rule.key, refresh),
+                            schema_of(rule.table))
+    rows = extract.replace(conform(checked, rule.table))
     incoming = extract.read()
     first = (dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=since)).strftime("%Y-%m")
     # Rows without a time sort behind all months.
@@ -132,7 +155,7 @@ def _load_parts(staging: Staging, stored: PartedTable, flat: DataFrame, rule: Ru
     months = window | older | stored.touched(incoming)
     stored.write(load.window_replace(stored.read(months), incoming, rule.at, cutoff, rule.key,
                                      refresh), months)
-    return rows
+    return rows, seen
 
 
 def load_all(staging: Staging, sources: Mapping[str, DataFrame], terms: Terms, full: bool = False,

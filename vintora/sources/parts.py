@@ -1,4 +1,4 @@
-"""Tables kept as one Parquet folder per month or day of a time that never changes for a row.
+"""Tables kept as one Parquet folder per year, month or day of a time that never changes for a row.
 
 A load rewrites the parts it touches and leaves the files of all others alone: Spark's dynamic
 partition overwrite replaces exactly the parts that the written rows belong to. A part whose last row
@@ -17,15 +17,17 @@ from pyspark.sql import types as T
 PART = "part_"
 #: Rows without a time.
 NO_TIME = "none"
-MONTH, DAY = "yyyy-MM", "yyyy-MM-dd"
+YEAR, MONTH, DAY = "yyyy", "yyyy-MM", "yyyy-MM-dd"
 
 
 class PartedTable:
-    """``at`` is the time that decides about the part, a column or an expression over the row."""
+    """``at`` is the time that decides about the part, a column or an expression over the row.
+    ``order`` sorts the rows inside a file, so that readers can skip by its statistics."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str,
-                 at: Column, unit: str = MONTH):
+                 at: Column, unit: str = MONTH, order: Iterable[str] = ()):
         self.spark, self.path, self.at, self.unit = spark, path.rstrip("/"), at, unit
+        self.order = list(order)
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         self._files = spark._jvm.org.apache.hadoop.fs
         self._fs = self._files.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -64,8 +66,8 @@ class PartedTable:
         placed = df.select(*self.schema.names).withColumn(PART, self.part(self.at))
         before = self._files_of(parts)
         # A hint and no fixed number: a large month gets as many files as its size asks for.
-        (placed.hint("rebalance", PART).write.partitionBy(PART).mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").parquet(self.path))
+        (placed.hint("rebalance", PART).sortWithinPartitions(PART, *self.order)
+         .write.partitionBy(PART).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path))
         # A part that still has its files got no row: all of its rows have gone.
         after = self._files_of(set(before))
         for gone in (n for n in before if before[n] == after.get(n)):
