@@ -13,6 +13,8 @@ _RUNTIME = {
     # Split hot join keys even where the join feeds an aggregation on the same key.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rows go to Python workers in batches of bounded bytes, as texts differ in length.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
