@@ -159,8 +159,24 @@ def test_every_version_in_an_unpunctuated_list_is_found(spark):
 
 # ---------------------------------------------------------------- repeated passages
 
-def cut_by_hand(rows):
-    powers, best = substring_dedup.Powers(), {}
+def lines_by_hand(text):
+    """(key, first, last) of every line under 20 words."""
+    at = 0
+    for line in text.split("\n"):
+        key = tuple(line.encode().lower().split())
+        if 0 < len(key) < 20:
+            bare = line.strip(" \t\r\x0b\x0c")
+            first = at + line.index(bare)
+            yield key, first, first + len(bare)
+        at += len(line) + 1
+
+
+def cut_by_hand(rows, whole_lines=False):
+    powers, best, lines = substring_dedup.Powers(), {}, {}
+    for doc_id, text in rows if whole_lines else []:
+        if doc_id is not None and text is not None:
+            for key, first, _ in lines_by_hand(text):
+                lines[key] = min(lines.get(key, (doc_id, first)), (doc_id, first))
     for doc_id, text in rows:
         if doc_id is not None and text is not None:
             for digest, first, *_ in zip(*substring_dedup.units(text, powers)):
@@ -172,7 +188,19 @@ def cut_by_hand(rows):
             continue
         found = [(k, a, b, n) for k, (d, a, b, n) in
                  enumerate(zip(*substring_dedup.units(text, powers))) if best[d] != (doc_id, a)]
-        out.append((doc_id, substring_dedup.without(text, substring_dedup.runs(found, 20))))
+        gone = set()
+        for a, b in substring_dedup.runs(found, 20):
+            gone.update(range(a, b))
+        for key, a, b in lines_by_hand(text) if whole_lines else []:
+            if lines[key] != (doc_id, a):
+                gone.update(range(a, b))
+        spans = []
+        for at in sorted(gone):
+            if spans and spans[-1][1] == at:
+                spans[-1] = (spans[-1][0], at + 1)
+            else:
+                spans.append((at, at + 1))
+        out.append((doc_id, substring_dedup.without(text, spans)))
     return collections.Counter(out)
 
 

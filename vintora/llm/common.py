@@ -52,7 +52,7 @@ def numbered(df: DataFrame, keys: list[str], out: str, name: str) -> DataFrame:
 
 
 def kept_in_worker(name: str, make: Callable[[], Any]) -> Any:
-    """An object that this Python worker keeps for its later tasks. Only for caches."""
+    """An object of fixed size that this Python worker keeps for its later tasks."""
     place = sys.modules.setdefault("_worker_caches", types.ModuleType("_worker_caches"))
     if not hasattr(place, name):
         setattr(place, name, make())

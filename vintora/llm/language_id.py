@@ -23,6 +23,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -267,18 +268,19 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def recognised(docs: DataFrame, least: float) -> DataFrame:
     """The rows whose text is in a learned language with at least this score; all columns, no
-    shuffle. If no language could be learned, only texts without a letter go."""
-    net = learn(docs)
-    return docs.filter(_fits(net, least)("text"))
+    shuffle. If no language could be learned, only texts without a letter go.
 
+    Rows pass through the task in Arrow batches, so none waits beside it for its verdict.
+    """
+    net = learn(docs)
+    at = docs.columns.index("text")
 
-def _fits(net: Net, least: float):
-    @F.pandas_udf("boolean")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(net)
-        for text in batches:
-            if net.languages:
-                yield pd.Series([score >= least for _, score in scorer(text.tolist())], dtype=bool)
-            else:
-                yield pd.Series([has_letter(t) for t in text], dtype=bool)
-    return run
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            fits = ([score >= least for _, score in scorer(texts)] if net.languages
+                    else [has_letter(t) for t in texts])
+            yield batch.filter(pa.array(fits, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

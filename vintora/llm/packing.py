@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vintora.llm.common import kept_in_worker, numbered
-from vintora.llm.tokens import Ids
+from vintora.llm.tokens import Ids, tokenizer
 
 LENGTH = 2048
 GROUPS = (8, 16, 32, 64, 128)
@@ -186,7 +186,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, length: int = LENGTH,
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = kept_in_worker(f"ids {tokenizer_path}", lambda: Ids(tokenizer_path))
+        known = Ids(kept_in_worker(f"tokenizer {tokenizer_path}", lambda: tokenizer(tokenizer_path)))
         for pdf in batches:
             rows = []
             for doc_id, text in zip(pdf["doc_id"].tolist(), pdf["text"].tolist()):
