@@ -48,9 +48,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated passages are cut out; ``n_chars`` follows the text."""
+    """Later occurrences of repeated passages and lines are cut out; ``n_chars`` follows the text."""
     prepare(spark)
-    cut = substring_dedup.deduplicated(docs, spans_as=None)
+    cut = substring_dedup.deduplicated(docs, spans_as=None, whole_lines=True)
     if "n_chars" in cut.columns:
         kind = docs.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
