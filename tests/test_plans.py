@@ -1,11 +1,16 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vintora.operators.quantiles import percentiles
+from vintora.operators.reconcile import differences, unequal_buckets
 from vintora.params import STAGE_STEPS, Terms
-from vintora.plans import consumers, contest, credit, measures, risk
+from vintora.plans import build, consumers, contest, credit, measures, risk
+from vintora.plans.book import Book
 from vintora.plans.explore import closed_window
+from vintora.plans.lineage import Lineage
 from vintora.plans.snapshots import StoredSnapshot, changes, digests, month_ends
 from vintora.sources.load import VersionedTable
 
@@ -229,3 +234,88 @@ def test_one_month_end_is_read_from_its_year(spark, book, tmp_path):
     assert {f.split("part_=")[1][:4] for f in one.inputFiles()} == {str(end.year)}
     assert "isnotnull(cutoff" in plan and "cutoff" in plan.split("PushedFilters: ")[1][:60]
     assert one.count() == book.snapshot.filter(F.col("cutoff") == F.lit(end)).count()
+
+
+# -- rebuild of what changed -----------------------------------------------
+
+def test_lineage_follows_the_book(book):
+    lineage = Lineage(book)
+    assert lineage.uses("loans") == ({"orders", "payments", "mirrors", "order_keys"}, set(), True)
+    assert lineage.uses("sales") == (set(), {"orders_old", "orders_new"}, True)
+    tables = list(build.TABLES)
+    assert lineage.behind("vintage", tables) == []
+    assert set(lineage.behind("loans", tables)) == {"snapshot", "vintage", "revenue", "daily"}
+
+
+def test_digest_covers_rules_terms_and_sources(book, monkeypatch):
+    before = {n: Lineage(book).digest(n) for n in build.TABLES}
+
+    def changed(other):
+        after = Lineage(other)
+        return {n for n in build.TABLES if after.digest(n) != before[n]}
+
+    assert changed(Book(book.source, book.terms)) == set()
+    monkeypatch.setattr(credit, "PAR30", ("x",))
+    assert changed(book) == {"vintage"}
+    monkeypatch.undo()
+    # A rule deep down: the delinquency bucket is used by loans and by the snapshot.
+    monkeypatch.setattr(credit, "delinquency_bucket", lambda days: F.lit("x"))
+    assert changed(book) == {"loans", "snapshot", "vintage", "revenue", "daily"}
+    monkeypatch.undo()
+    assert "routes" not in changed(Book(book.source, book.terms.at(weekly_penalty=9.0)))
+    version = type(book.source).version
+    monkeypatch.setattr(type(book.source), "version", lambda self, name: (
+        "new" if name == "orders_new" else version(self, name)))
+    assert changed(book) == {"history", "panel", "season"}
+
+
+def test_only_what_changed_is_written(spark, book, tmp_path, monkeypatch):
+    first = build.rebuild(Book(book.source, book.terms), str(tmp_path))
+    assert len(first) == len(build.TABLES)
+    assert build.rebuild(Book(book.source, book.terms), str(tmp_path), changed=True) == []
+    monkeypatch.setattr(credit, "PAR30", credit.PAR90)
+    again = Book(book.source, book.terms)
+    assert [e["table_name"] for e in build.rebuild(again, str(tmp_path), changed=True)] == ["vintage"]
+    assert again.vintage.filter("par30 <> par90").count() == 0
+    assert again.snapshot.count() == book.snapshot.count()
+    monkeypatch.undo()
+    # Another rule of the snapshot with the same loans: all its month ends are made anew.
+    monkeypatch.setattr(credit, "_FROM_LOAN_LAST", tuple(reversed(credit._FROM_LOAN_LAST)))
+    names = [e["table_name"] for e in build.rebuild(Book(book.source, book.terms), str(tmp_path),
+                                                    changed=True)]
+    assert names == ["snapshot", "vintage"]
+
+
+# -- percentiles and comparison --------------------------------------------
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+def test_percentiles_equal_interpolated_ranks(spark, ranges, size):
+    rng = np.random.default_rng(size)
+    values = {"a": rng.integers(-5, 5, size), "b": rng.integers(0, 10 ** 12, size), None: np.full(size, 3)}
+    rows = [(g, int(v)) for g, some in values.items() for v in some] + [("a", None), ("c", None)]
+    df = spark.createDataFrame(rows, "g STRING, v BIGINT")
+    shares = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p9999": 0.9999, "p100": 1.0}
+    got = {r["g"]: r for r in percentiles(df, "g", "v", shares).collect()}
+    assert set(got) == set(values)
+    for g, some in values.items():
+        assert got[g]["rows"] == size and got[g]["maximum"] == some.max()
+        for name, p in shares.items():
+            assert got[g][name] == pytest.approx(np.quantile(some, p), abs=1e-3)
+
+
+def test_only_unequal_buckets_are_opened(spark):
+    left = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("k"), (F.col("id") % 7).alias("v"),
+                                    F.lit(None).cast("string").alias("w"))
+    right = left.filter("k <> 'k17'").withColumn("v", F.when(F.col("k") == "k400", 99).otherwise(
+        F.col("v"))).withColumn("w", F.when(F.col("k") == "k401", ""))
+    extra = spark.createDataFrame([("k5", 5, None), (None, 1, None)], "k STRING, v BIGINT, w STRING")
+    right = right.unionByName(extra)
+    opened = unequal_buckets(left, right, ["k"], ["v", "w"]).count()
+    assert 1 <= opened <= 5
+    got = {r["k"]: (r["kind"], r["changed"], r["left_rows"], r["right_rows"])
+           for r in differences(left, right, ["k"], ["v", "w"]).collect()}
+    assert got == {"k17": ("only_left", None, 1, 0), "k400": ("changed", ["v"], 1, 1),
+                   "k401": ("changed", ["w"], 1, 1), "k5": ("changed", None, 1, 2),
+                   None: ("only_right", None, 0, 1)}
+    assert differences(left, left.repartition(3), ["k"], ["v", "w"]).isEmpty()
+    assert differences(left.limit(0), left.limit(0), ["k"], ["v", "w"]).isEmpty()

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintora.functions import cents, clean_text, has_text, rate, safe_div
+from vintora.operators.quantiles import percentiles
+from vintora.operators.reconcile import differences
 from vintora.operators.relational import duplicates, first_per_key
 from vintora.params import ACTIVE_STATES, Terms
 from vintora.plans.measures import with_total
@@ -29,33 +31,22 @@ def key_report(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
                       F.when(good, "PK").otherwise("index").alias("verdict"))
 
 
-def percentiles(values: DataFrame, column: str, label: str) -> DataFrame:
-    """Exact percentiles. Values are counted first, so a buffer holds distinct values only."""
-    counts = values.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-
-    def at(p):
-        return F.round(F.percentile("v", p, F.col("n")), 1)
-
-    return counts.filter(F.col("v").isNotNull()).agg(
-        F.lit(label).alias("measure"), F.sum("n").alias("rows"), at(0.5).alias("p50"),
-        at(0.95).alias("p95"), at(0.99).alias("p99"), at(0.9999).alias("p9999"),
-        F.round(F.max("v"), 1).alias("maximum"))
-
-
-def _days(start: Column, end: Column) -> Column:
-    """Elapsed days, kept to the minute so that the distinct values stay few."""
-    return F.round(F.timestamp_diff("MINUTE", start, end) / 1440, 4)
+SHARES = {"p50": 0.5, "p95": 0.95, "p99": 0.99, "p9999": 0.9999}
 
 
 def mutability(lines: DataFrame, payments: DataFrame, mirrors: DataFrame) -> DataFrame:
-    """How long after creation rows still change."""
-    delivery = lines.select(_days(F.col("created_at"), F.col("delivery_at")).alias("v")).filter(
-        "v >= 0")
-    paid = payments.select(_days(F.col("movement_at"), F.col("paid_at")).alias("v"))
-    touched = mirrors.select(_days(F.col("movement_at"), F.col("updated_at")).alias("v"))
-    return union_all([percentiles(d, "v", n) for n, d in (
-        ("order to delivery", delivery), ("movement to payment", paid),
-        ("movement to update", touched))])
+    """How long after creation rows still change, in days; durations are whole seconds."""
+    def seconds(df: DataFrame, measure: str, start: str, end: str) -> DataFrame:
+        return df.select(F.lit(measure).alias("measure"), F.timestamp_diff(
+            "SECOND", F.col(start), F.col(end)).alias("v"))
+
+    durations = union_all([
+        seconds(lines, "order to delivery", "created_at", "delivery_at").filter("v >= 0"),
+        seconds(payments, "movement to payment", "movement_at", "paid_at"),
+        seconds(mirrors, "movement to update", "movement_at", "updated_at")])
+    found = percentiles(durations, "measure", "v", SHARES)
+    return found.select("measure", "rows", *[
+        F.round(F.col(c) / 86400, 1).alias(c) for c in (*SHARES, "maximum")])
 
 
 def not_final_by_age(lines: DataFrame, terms: Terms) -> DataFrame:
@@ -114,6 +105,17 @@ def agreement(payments: DataFrame, mirrors: DataFrame) -> DataFrame:
         "c.field", "keys", "c.equal", safe_div("c.equal", "keys").alias("share"))
 
 
+def source_differences(payments: DataFrame, mirrors: DataFrame) -> DataFrame:
+    """Orders whose amounts differ between the payments and their mirror, or that only one has."""
+    fields = ("total_amount", "total_to_pay")
+    a = payments.filter(F.col("transaction_id").isNotNull()).select(
+        F.col("transaction_id").alias("order_id"), *[cents(f).alias(f) for f in fields])
+    b = mirrors.filter(F.col("sales_order_id").isNotNull()).select(
+        F.col("sales_order_id").alias("order_id"), *[cents(f).alias(f) for f in fields])
+    return differences(a, b, ["order_id"], list(fields)).withColumn(
+        "changed", F.array_join("changed", " "))
+
+
 def payment_orphans(payments: DataFrame, order_keys: DataFrame) -> DataFrame:
     """Payments whose transaction is no sales order, and how many the order id rescues."""
     known = order_keys.select(F.col("sales_order_id").alias("transaction_id")).distinct()

@@ -39,7 +39,7 @@ def run(book: Book, folder: str, status: DataFrame | None = None,
         load_into: intake.Staging | None = None, sources: Mapping[str, DataFrame] | None = None,
         checked: dict[str, DataFrame] | None = None,
         probe: Callable[[], DataFrame] | None = None, at: dt.datetime | None = None) -> Night:
-    """Load, rebuild and publish unless a critical source is stale.
+    """Load, rebuild what has changed, and publish, unless a critical source is stale.
 
     ``sources`` are loaded into ``load_into`` first. ``checked`` are the tables of the row checks,
     whose results join the history below ``folder``; alerts the last run did not have are
@@ -54,7 +54,7 @@ def run(book: Book, folder: str, status: DataFrame | None = None,
         night.stopped_by = quality.blocked(status, list(critical))
         if night.stopped_by:
             return night
-    night.log = build.rebuild(book, folder)
+    night.log = build.rebuild(book, folder, changed=True)
     spark = book.source.spark
     _append(folder, "_build_log", spark.createDataFrame(
         [(e["table_name"], e["rows"], e["seconds"], e["definition"]) for e in night.log],

@@ -51,7 +51,7 @@ class StoredSnapshot:
     repeated by the next one.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, schema):
+    def __init__(self, spark: SparkSession, folder: str, schema=None):
         self.rows = PartedTable(spark, f"{folder}/rows", schema,
                                 F.col("cutoff").cast("timestamp_ntz"), YEAR, ["cutoff"])
         self.made_of = VersionedTable(spark, f"{folder}/made_of")
@@ -68,19 +68,24 @@ class StoredSnapshot:
             F.min(F.least("due_before", "due_now"))).first()
         return found[0]
 
-    def refresh(self, loans: DataFrame) -> list:
-        """Bring the rows up to date; returns the month ends that were written."""
-        now = digests(loans)
+    def refresh(self, loans: DataFrame, rule: str = "") -> list:
+        """Bring the rows up to date; returns the month ends that were written.
+
+        ``rule`` is a mark of how rows are made; if it is another than before, all are made anew.
+        """
+        now = digests(loans).withColumn("rule", F.lit(rule))
         ends = month_ends(loans)
+        opened = ends
         if self.exists():
-            first = self.opened_from(now)
-            if first is None:
-                return []
-            before = {r[0] for r in self.made_of.read().select(_DUE).distinct().collect()}
-            # A month end that came or went has its loan in the change set, so it is not earlier.
-            opened = sorted(e for e in {*ends, *before} if e >= first)
-        else:
-            opened = ends
+            before = self.made_of.read()
+            gone = {r[0] for r in before.select(_DUE).distinct().collect()}
+            opened = sorted({*ends, *gone})
+            if before.first()["rule"] == rule:
+                first = self.opened_from(now)
+                # A month end that came or went has its loan in the change set: none is earlier.
+                opened = [e for e in opened if first is not None and e >= first]
+        if not opened:
+            return []
         parts = {str(e.year) for e in opened}
         rows = credit.month_end_snapshot(loans, loans).filter(
             F.year("cutoff").isin(sorted(map(int, parts))))

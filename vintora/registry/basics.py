@@ -270,6 +270,26 @@ def _nightly(book: Book) -> DataFrame:
         [(r["table_name"], r["rows"]) for r in log], "table_name STRING, rows BIGINT")
 
 
+# Stored tables that are made of the route catalogue.
+_BEHIND_ROUTES = ("routes", "grid", "cut_lines", "cut_orders")
+
+
+def _changed_build(book: Book) -> DataFrame:
+    """A stored book over loaded tables, of which the route catalogue and the cohort costs come
+    anew: only what is made of them is written again."""
+    spark = book.source.spark
+    staging = intake.Staging(spark, load.scratch(spark, "staging"))
+    sources = {r.table: getattr(book.source, r.table) for r in intake.RULES
+               if hasattr(book.source, r.table)}
+    intake.load_all(staging, sources, book.terms)
+    folder = load.scratch(spark, "book")
+    build.rebuild(Book(staging, book.terms), folder)
+    intake.load_all(staging, sources, book.terms, only=["route_mapping", "cohort_cac"])
+    log = build.rebuild(Book(staging, book.terms), folder, changed=True)
+    return spark.createDataFrame([(r["table_name"], r["rows"]) for r in log],
+                                 "table_name STRING, rows BIGINT")
+
+
 def _identities(book: Book) -> DataFrame:
     _stored(book)
     return quality.identities(build.identity_pairs(book))
@@ -348,10 +368,10 @@ def _lines_and(book: Book):
 
 
 def _percentile_sql(label: str, expr: str, table: str, extra: str = "") -> str:
-    v = f"round(date_diff('minute', {expr}) / 1440, 4)"
-    p = ", ".join(f"round(quantile_cont(v, {q}), 1) AS {n}" for q, n in (
+    v = f"date_diff('second', {expr})"
+    p = ", ".join(f"round(quantile_cont(v, {q}) / 86400, 1) AS {n}" for q, n in (
         (0.5, "p50"), (0.95, "p95"), (0.99, "p99"), (0.9999, "p9999")))
-    return (f"SELECT '{label}' AS measure, count(*) AS rows, {p}, round(max(v), 1) AS maximum"
+    return (f"SELECT '{label}' AS measure, count(*) AS rows, {p}, round(max(v) / 86400, 1) AS maximum"
             f" FROM (SELECT {v} AS v FROM {table}) t WHERE v IS NOT NULL {extra}")
 
 
@@ -516,6 +536,9 @@ QUERIES = [
     Query("nightly_build", _nightly, "table_name rows:i",
           " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows FROM {v}"
                              for n, v in _COUNTS)),
+    Query("changed_build", _changed_build, "table_name rows:i",
+          " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows FROM {v}"
+                             for n, v in _COUNTS if n in _BEHIND_ROUTES)),
 
     # -- scalar functions
     Query("time_functions", lambda b: b.source.table("orders").select(
@@ -778,6 +801,24 @@ QUERIES = [
              SELECT 'total_amount' AS field, n AS keys, a AS equal, a / n AS share FROM t
              UNION ALL SELECT 'total_to_pay', n, b, b / n FROM t
              UNION ALL SELECT 'interests', n, c, c / n FROM t"""),
+    Query("x04_differences", lambda b: explore.source_differences(b.payments, b.mirrors),
+          "order_id kind changed left_rows:i right_rows:i",
+          f"""WITH a AS (SELECT transaction_id AS k, {_cents('total_amount')} AS x,
+                 {_cents('total_to_pay')} AS y FROM pay WHERE transaction_id IS NOT NULL),
+             b AS (SELECT sales_order_id AS k, {_cents('total_amount')} AS x,
+                 {_cents('total_to_pay')} AS y FROM mir WHERE sales_order_id IS NOT NULL),
+             n AS (SELECT k, x, y, count(*) FILTER (WHERE s = 'l') AS l,
+                 count(*) FILTER (WHERE s = 'r') AS r FROM (
+                 SELECT *, 'l' AS s FROM a UNION ALL SELECT *, 'r' FROM b) GROUP BY ALL),
+             g AS (SELECT k, sum(l) AS left_rows, sum(r) AS right_rows,
+                 count(*) FILTER (WHERE l <> r) AS odd,
+                 min(x) IS DISTINCT FROM max(x) OR count(x) = 1 AS dx,
+                 min(y) IS DISTINCT FROM max(y) OR count(y) = 1 AS dy FROM n GROUP BY k)
+             SELECT k AS order_id, CASE WHEN right_rows = 0 THEN 'only_left' WHEN left_rows = 0
+                 THEN 'only_right' ELSE 'changed' END AS kind,
+             CASE WHEN left_rows = 1 AND right_rows = 1 THEN concat_ws(' ',
+                 CASE WHEN dx THEN 'total_amount' END, CASE WHEN dy THEN 'total_to_pay' END) END
+                 AS changed, left_rows, right_rows FROM g WHERE odd > 0"""),
     Query("x04_payment_orphans", lambda b: explore.payment_orphans(b.payments, b.order_keys),
           "orphans:i ids:i rescued:i lost:i",
           """WITH l AS (SELECT * FROM pay WHERE transaction_id NOT IN

@@ -78,6 +78,11 @@ class Staging:
             raise AttributeError(f"{name} has not been loaded")
         return stored.read()
 
+    def version(self, name: str) -> str:
+        """A mark that changes with every load that changes the table."""
+        stored = self.table(name)
+        return stored.state() if isinstance(stored, PartedTable) else str(stored.versions())
+
     def log(self) -> DataFrame:
         if self._log.exists():
             return self._log.read()

@@ -22,9 +22,10 @@ YEAR, MONTH, DAY = "yyyy", "yyyy-MM", "yyyy-MM-dd"
 
 class PartedTable:
     """``at`` is the time that decides about the part, a column or an expression over the row.
-    ``order`` sorts the rows inside a file, so that readers can skip by its statistics."""
+    ``order`` sorts the rows inside a file, so that readers can skip by its statistics. Without a
+    schema the files say what they hold: enough to read, not to write."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str,
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str | None,
                  at: Column, unit: str = MONTH, order: Iterable[str] = ()):
         self.spark, self.path, self.at, self.unit = spark, path.rstrip("/"), at, unit
         self.order = list(order)
@@ -52,7 +53,8 @@ class PartedTable:
         if not names:
             return self.spark.createDataFrame([], self.schema)
         folders = [f"{self.path}/{PART}={n}" for n in names]
-        return self.spark.read.schema(self.schema).parquet(*folders)
+        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        return reader.parquet(*folders)
 
     def touched(self, df: DataFrame) -> set[str]:
         """The parts that rows belong to: one value per month or day."""
@@ -80,6 +82,10 @@ class PartedTable:
         return {n: sorted(s.getPath().getName() for s in self._fs.listStatus(self._folder(n)))
                 for n in self.parts() if n in parts}
 
+    def state(self) -> str:
+        """The names of all files: they change with every write."""
+        return str(self._files_of(set(self.parts())))
+
     def replace(self, df: DataFrame) -> None:
         """All rows anew."""
         self.write(df, set(self.parts()) | self.touched(df))

@@ -57,6 +57,14 @@ class Shop:
         self.spark, self.dir = spark, sf_dir
         self._opened: dict[str, DataFrame] = {}
 
+    def version(self, name: str) -> str:
+        """A mark that changes when the files do. A staging table may be made of any of them."""
+        files = self.spark._jvm.org.apache.hadoop.fs
+        root = files.Path(self.dir)
+        found = root.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(root)
+        return ";".join(sorted(f"{s.getPath().getName()},{s.getLen()},{s.getModificationTime()}"
+                               for s in found))
+
     def table(self, name: str) -> DataFrame:
         if name not in self._opened:
             self._opened[name] = self.spark.read.schema(_TABLES[name]).parquet(
