@@ -69,9 +69,13 @@ def phrase_counts(lang: bytes, texts: list[bytes], bitmaps: list[np.ndarray]
     flat = tokens(texts)
     place: dict[bytes, int] = {_STOP: 0}
     codes = np.fromiter((place.setdefault(w, len(place)) for w in flat), dtype=np.int64, count=len(flat))
-    names = list(place)
+    # Numbers in byte order: phrases then leave in the order of their words, which packs well.
+    names = sorted(place)
+    turn = np.empty(len(names), dtype=np.int64)
+    turn[[place[w] for w in names]] = np.arange(len(names))
+    codes = turn[codes]
     may = has_bit(bitmaps[0], lang, names)
-    may[0] = False
+    may[turn[0]] = False
     alive = may[codes]
     at = np.flatnonzero(alive[:-1] & alive[1:])
     if not len(at):
@@ -102,10 +106,10 @@ def phrase_counts(lang: bytes, texts: list[bytes], bitmaps: list[np.ndarray]
 
 
 def _batch(lang: bytes, phrases: list[bytes], counts) -> pa.RecordBatch:
+    start = lang + b"\t"
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(phrases), pa.binary()).cast(pa.string()),
-         pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
-        names=["lang", "phrase", "f"])
+        [pa.array([start + p for p in phrases], pa.binary()).cast(pa.string()),
+         pa.array(counts, pa.int64())], names=["entry", "f"])
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[bytes, bytes]]:
@@ -154,11 +158,15 @@ def _phrase_task(bitmaps: list[np.ndarray]):
     return run
 
 
-_COUNTED = "lang string, phrase string, f bigint"
+# An entry is the language, a tab and the phrase, in which there is no tab.
+_COUNTED = "entry string, f bigint"
 
 
 def _added(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    phrase = F.substring_index("entry", "\t", -1)
+    return parts.groupBy("entry").agg(F.sum("f").alias("f")).select(
+        F.left("entry", F.length("entry") - F.length(phrase) - 1).alias("lang"),
+        phrase.alias("phrase"), "f")
 
 
 def _bitmap(frequent: DataFrame) -> np.ndarray:
@@ -221,7 +229,10 @@ def _absorbed(side: DataFrame, start: int) -> DataFrame:
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the first ``top`` phrases of each language."""
-    counts, totals = frequent_phrases(docs, least)
+    return scored(*frequent_phrases(docs, least), top)
+
+
+def scored(counts: DataFrame, totals: DataFrame, top: int) -> DataFrame:
     left = stored(stream(counts, F.col("words")), "prefix-order")
     right = stored(stream(counts, F.reverse("words")), "suffix-order")
     absorbed = _absorbed(left, 1).unionByName(_absorbed(right, 2)).distinct()
@@ -236,13 +247,13 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
         f"(1000 * {whole.format('f')} * {whole.format('n')}) div"
         f" ({whole.format('heads[k - 1]')} * {whole.format('tails[size - k - 1]')}) as score,"
         " k as k, heads[k - 1] as l, tails[size - k - 1] as r)))")
-    scored = sums.withColumn("cut", cuts).select(
+    rows = sums.withColumn("cut", cuts).select(
         "_range", "lang", F.array_join("words", " ").alias("phrase"), F.col("f").alias("a"),
         F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"))
     # The first of each range, then of 256 ranges, then of all: no task ranks a whole language.
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     for group in (F.col("_range"), (F.col("_range") / 256).cast("int"), F.lit(0)):
         ranks = Window.partitionBy("lang", group).orderBy(*order)
-        scored = scored.withColumn("rank", F.row_number().over(ranks)).filter(F.col("rank") <= top)
-    return scored.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n",
+        rows = rows.withColumn("rank", F.row_number().over(ranks)).filter(F.col("rank") <= top)
+    return rows.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n",
                          "score")
