@@ -246,57 +246,11 @@ QUERIES = [
              created_month AS "monthCreatedAt", o.route AS ruta, o.supervisor, o.office AS oficina,
              o.customer_type AS tipo, r.customer_type AS "tipoActual"
              FROM gorders o LEFT JOIN routes r ON o.customer_id = r.customer_id"""),
-    Query("m27_loans", lambda b: consumers.published_loans(b.loans, b.grid),
-          "netsuiteId:i salesOrderId createdAt:t quantity:i enrollment_cohort EnrolledCustomers:i"
-          " everActivatedCustomers:i enrolledCreditLimit:i rank:i totalAmount:m totalAmountDefault:i"
-          " movementDate paymentDate paidDate:t expectedPaymentDate:t month defaultInterest:m"
-          " totalRevenue:m shareRevenue:m PAR",
-          """SELECT CAST(trim(customer_id) AS BIGINT) AS "netsuiteId",
-             sales_order_id AS "salesOrderId", CAST(created_at AS DATE) AS "createdAt", quantity,
-             l.enrollment_cohort, enrolled_customers AS "EnrolledCustomers",
-             coalesce(n, 0) AS "everActivatedCustomers",
-             round_even(round(cohort_credit_limit, 6), 0) AS "enrolledCreditLimit", rank,
-             total_amount AS "totalAmount", round_even(total_default, 0) AS "totalAmountDefault",
-             CAST(movement_at AS VARCHAR) AS "movementDate",
-             CAST(payment_at AS VARCHAR) AS "paymentDate", paid_at AS "paidDate",
-             due_on AS "expectedPaymentDate", month, penalty_interest AS "defaultInterest",
-             total_revenue AS "totalRevenue", revenue_share AS "shareRevenue", par AS "PAR"
-             FROM loans l LEFT JOIN (SELECT enrollment_cohort, count(*) AS n FROM grid
-                 WHERE is_activated = 1 AND enrollment_cohort IS NOT NULL GROUP BY 1) a
-             ON l.enrollment_cohort = a.enrollment_cohort"""),
     Query("m27_par", lambda b: consumers.published_snapshot(b.snapshot),
           _SNAP.format(par="PAR", month="month"), _SNAP_SQL.format(par="PAR", month="month")),
     Query("m27_month_closes", lambda b: consumers.published_closes(b.snapshot),
           _SNAP.format(par="dqBucket", month="month:t"),
           _SNAP_SQL.format(par="dqBucket", month="CAST(date_trunc('month', cutoff) AS DATE)")),
-    Query("m27_vintage", lambda b: consumers.published_vintage(b.vintage),
-          "enrollment_cohort cohortYear:m monthsFromEnrollmentToMonth:i corte n:i everActivated:i"
-          " deployedCapital:m PAR30:m PAR90N:i par30Rate:r par90CustomersRate:r",
-          """SELECT enrollment_cohort, CAST(cohort_year AS DOUBLE) AS "cohortYear",
-             months_on_book AS "monthsFromEnrollmentToMonth", label AS corte, orders AS n,
-             ever_activated AS "everActivated", deployed_capital AS "deployedCapital",
-             par30 AS "PAR30", par90_n AS "PAR90N", par30_rate AS "par30Rate",
-             par90_customers_rate AS "par90CustomersRate" FROM vint"""),
-    Query("m27_grid", lambda b: consumers.published_grid(b.unique_grid),
-          "netsuiteId:i customerId shopName ruta tipo shopZipCode inferredGender"
-          " customerBirthdate:t customerAge:i creditEligibleAt:t originalCreditLimit:i creditLimit:i"
-          " creditEnrolledAtTimestamp:i creditEnrolledAt:t creditIsEnrolled:i enrollment_cohort"
-          " creditIsActivated:i creditOrdersCount:i creditTotalOrderVolume:m"
-          " creditOrderFrequency:r creditRevenueShare:m creditIsActive:i",
-          """SELECT customer_key AS "netsuiteId", document_id AS "customerId",
-             shop_name AS "shopName", route AS ruta, customer_type AS tipo,
-             shop_zip AS "shopZipCode", gender AS "inferredGender",
-             birthdate AS "customerBirthdate", age AS "customerAge",
-             CAST(eligible_at AS DATE) AS "creditEligibleAt",
-             round_even(original_limit, 0) AS "originalCreditLimit",
-             round_even(credit_limit, 0) AS "creditLimit",
-             epoch_ms(enrolled_at) + 21600000 AS "creditEnrolledAtTimestamp",
-             CAST(enrolled_at AS DATE) AS "creditEnrolledAt", is_enrolled AS "creditIsEnrolled",
-             enrollment_cohort, is_activated AS "creditIsActivated",
-             orders_count AS "creditOrdersCount",
-             total_order_volume AS "creditTotalOrderVolume",
-             order_frequency AS "creditOrderFrequency", revenue_share AS "creditRevenueShare",
-             is_active AS "creditIsActive" FROM ugrid"""),
     Query("m27_lifecycle", lambda b: consumers.published_lifecycle(b.lifecycle).withColumnRenamed(
         "Gross Sales", "Gross_Sales"),
           "createdAtMonth:t tipoActual Gross_Sales:m Clientes:i ordenes:i",
@@ -311,41 +265,6 @@ QUERIES = [
              period AS periodo, cohort_customers AS clientes_cosecha, active AS cliente_activo,
              orders AS ordenes, gross AS gross_sales, orders_base AS ordenes_ft,
              gross_base AS gross_sales_ft FROM panel"""),
-    Query("m27_pre_post", lambda b: consumers.published_pre_post(b.pre_post),
-          "netsuiteId:i salesOrderId createdAt:t monthsToOrSinceEnrollment:i grossSales:m quantity:i"
-          " rank:i treshold type maxMonthPostCredit:i validMonth:i comparable externalId",
-          """SELECT CAST(trim(customer_id) AS BIGINT) AS "netsuiteId",
-             sales_order_id AS "salesOrderId", CAST(created_on AS TIMESTAMP) AS "createdAt",
-             months AS "monthsToOrSinceEnrollment", amount AS "grossSales",
-             round_even(pieces, 0) AS quantity, recency AS rank, stage AS treshold, type,
-             max_month_post AS "maxMonthPostCredit", 1 AS "validMonth",
-             CAST(NULL AS VARCHAR) AS comparable, CAST(NULL AS VARCHAR) AS "externalId"
-             FROM pp"""),
-    Query("m27_profile", lambda b: consumers.published_profile(b.profile),
-          "Column1:i netsuiteId:i salesOrderId loanDisbursementIndexRange shopZipCode:i"
-          " distanceBetweenOnboardingAndShopLocation:r PSOnboardedAt psrtaPreviousToCredit:i"
-          " avgTicket3Months:i ordersCountMarketPlacePostLastCreditOrder:i",
-          """SELECT row_id AS "Column1", customer_key AS "netsuiteId",
-             sales_order_id AS "salesOrderId", loan_range AS "loanDisbursementIndexRange",
-             zip_code AS "shopZipCode", distance AS "distanceBetweenOnboardingAndShopLocation",
-             CAST(NULL AS VARCHAR) AS "PSOnboardedAt", 0 AS "psrtaPreviousToCredit",
-             avg_ticket_3m AS "avgTicket3Months",
-             orders_other_after AS "ordersCountMarketPlacePostLastCreditOrder" FROM profile"""),
-    Query("m27_seasonality", lambda b: consumers.published_seasonality(
-        sales.seasonality_pairs(b.season)),
-          "fromMonth toMonth fromMonthAvgGrossSales:m toAvgMonthlyVolume:m"
-          " seasonalityDeltaTicketRate:r seasonalityDeltaVolume:r",
-          """SELECT CAST(from_month AS VARCHAR) AS "fromMonth", CAST(to_month AS VARCHAR) AS
-             "toMonth", from_ticket AS "fromMonthAvgGrossSales", to_volume AS "toAvgMonthlyVolume",
-             ticket_delta AS "seasonalityDeltaTicketRate", volume_ratio AS
-             "seasonalityDeltaVolume" FROM spairs"""),
-    Query("m27_odds", lambda b: consumers.published_odds(b.odds).withColumnsRenamed(
-        {"%good": "pct_good", "%bad": "pct_bad"}),
-          "loanDisbursementIndexRange flag attribute bin events:i good:i bad:i bad_rate:r pct_good:r"
-          " pct_bad:r woe:r iv:r",
-          """SELECT loan_range AS "loanDisbursementIndexRange", flag,
-             'distanceBetweenOnboardingAndShopLocation' AS attribute, CAST(bin AS VARCHAR) AS bin,
-             events, good, bad, bad_rate, pct_good, pct_bad, woe, iv FROM odds"""),
     Query("m27_pair_odds", lambda b: consumers.published_pair_odds(b.pairs).withColumnsRenamed(
         {"%good": "pct_good", "%bad": "pct_bad"}),
           "loanDisbursementIndexRange flag atr1 atr2 atr1Rank atr2Rank events:i good:i bad:i"
@@ -353,20 +272,6 @@ QUERIES = [
           """SELECT loan_range AS "loanDisbursementIndexRange", flag, atr1, atr2,
              atr1_rank AS "atr1Rank", atr2_rank AS "atr2Rank", events, good, bad, bad_rate,
              pct_good, pct_bad, woe, iv FROM pairs"""),
-    Query("m27_contest", lambda b: consumers.published_contest(b.contest),
-          "netsuiteId salesOrderId tienda fechaCreacion:t createdAt:t fechaEntrega:t periodo"
-          " enVigencia diaVentana:i aliado aliadoActual estatusOrden esEntregada montoOrden:m"
-          " piezas:m esPrimeraOrdenDelCliente ordenesEntregadasPrevias:i esNuevoEnCredito"
-          " esPrimeraOrdenEntregadaEnVentana",
-          """SELECT customer_id AS "netsuiteId", sales_order_id AS "salesOrderId",
-             shop_name AS tienda, CAST(created_at AS DATE) AS "fechaCreacion",
-             created_at AS "createdAt", CAST(delivered_at AS DATE) AS "fechaEntrega",
-             period AS periodo, in_contest AS "enVigencia", day_in_window AS "diaVentana",
-             route AS aliado, current_route AS "aliadoActual", order_status AS "estatusOrden",
-             is_delivered AS "esEntregada", order_gross_sales AS "montoOrden", quantity AS piezas,
-             is_first_order AS "esPrimeraOrdenDelCliente",
-             delivered_before AS "ordenesEntregadasPrevias", is_new AS "esNuevoEnCredito",
-             is_first_delivered AS "esPrimeraOrdenEntregadaEnVentana" FROM contest"""),
 ]
 
 # -- measures --------------------------------------------------------------
