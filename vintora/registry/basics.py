@@ -16,7 +16,9 @@ from vintora.operators.relational import (
 )
 from vintora.operators.skew import keyed_window, number_rows
 from vintora.params import FINAL_STATES, SAMPLE, STAGE_ORDER
-from vintora.plans import build, consumers, contest, credit, explore, measures, quality, risk
+from vintora.plans import (
+    build, consumers, contest, credit, explore, measures, nightly, quality, risk,
+)
 from vintora.plans.book import Book
 from vintora.registry.core import Query
 from vintora.registry.views import ACTIVE, AS_OF, bucket, monday
@@ -24,6 +26,7 @@ from vintora.sources import contracts, intake, load, normalise, rejects
 from vintora.streaming import jobs
 
 _EVENT_CUT = dt.datetime(2024, 1, 21)
+_MODES_AT = dt.datetime(2024, 2, 29, 12)
 # The spoiled file of _spoiled: its line, its two columns.
 _SPOILED = """SELECT *, '{"id_cliente":' || coalesce('"' || id || '"', 'null') ||
     ',"transactional_profile":' || coalesce('"' || profile || '"', 'null') || '}' AS line
@@ -172,6 +175,15 @@ def _csv_export(book: Book) -> DataFrame:
     return spark.read.schema(base.schema).csv(path, header=True)
 
 
+def _csv_detail(book: Book) -> DataFrame:
+    """The whole detail base as CSV, read back under its schema."""
+    spark = book.source.spark
+    path = load.scratch(spark, "base.csv")
+    base = explore.detail_base(_recent(book), *_lines_and(book))
+    load.export_csv(base, path)
+    return spark.read.schema(base.schema).csv(path, header=True)
+
+
 def _fallback(book: Book) -> DataFrame:
     return match_with_fallback(book.payments, book.order_keys,
                                ("transaction_id", "sales_order_id"),
@@ -303,6 +315,40 @@ def _audit(book: Book) -> DataFrame:
         F.col("view").isin(*names, "pub_not_built"))
 
 
+def _isolated_views(book: Book) -> DataFrame:
+    """Three views are published; the one that cannot be made does not stop those behind it."""
+    spark = book.source.spark
+    views = {"service_profile": build.VIEWS["service_profile"],
+             "broken": lambda b: b.no_such_table, "vintage": build.VIEWS["vintage"]}
+    try:
+        build.publish(book, views)
+    except RuntimeError:
+        pass
+    shown = [spark.table(f"pub_{n}").agg(F.count(F.lit(1)).alias("rows")) if n != "broken"
+             or spark.catalog.tableExists("pub_broken") else
+             spark.range(1).select(F.lit(None).cast("bigint").alias("rows")) for n in views]
+    return load.union_all([df.select(F.lit(f"pub_{n}").alias("view"), "rows")
+                           for n, df in zip(views, shown)])
+
+
+def _empty_guard(book: Book) -> DataFrame:
+    """A second load in which two sources answer with no rows: what they had stays."""
+    spark, source = book.source.spark, book.source
+    staging = intake.Staging(spark, load.scratch(spark, "staging"))
+    tables = {n: getattr(source, n) for n in ("credit_order", "service_profile", "cohort_cac")}
+    intake.load_all(staging, tables, book.terms)
+    out = []
+    for name, df in tables.items():
+        try:
+            intake.load_all(staging, {name: df if name == "cohort_cac" else df.limit(0)}, book.terms)
+            outcome = "loaded"
+        except load.EmptyLoad:
+            outcome = "kept"
+        out.append(getattr(staging, name).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table_name"), F.lit(outcome).alias("outcome"), "rows"))
+    return load.union_all(out)
+
+
 _CHANGES = "id STRING, ts TIMESTAMP_NTZ, changed_at TIMESTAMP_NTZ, status STRING, value DOUBLE"
 
 
@@ -379,6 +425,11 @@ def _cents(x: str) -> str:
     return f"round(CAST(round({x}, 6) AS DECIMAL(18, 6)), 2)"
 
 
+_DETAIL_SQL = """SELECT r.*, credit_line, CASE WHEN o.sales_order_id IS NULL THEN 0 ELSE 1 END
+                 AS is_credit_order, CASE WHEN credit_line IS NULL THEN 0 ELSE 1 END AS is_enrolled
+             FROM recent r LEFT JOIN lims USING (customer_id)
+             LEFT JOIN (SELECT sales_order_id FROM owned) o USING (sales_order_id)"""
+
 _CHECK_SQL = """
     SELECT *, CASE WHEN rows = 0 THEN 'OK' ELSE 'ALERT' END AS result FROM (
     SELECT 'blank_sales_order' AS check_name, 'order_lines' AS table_name, 'CRIT' AS severity,
@@ -432,6 +483,33 @@ _KEYS = (("lines", "lines", ["sales_order_id", "product_id"]),
          ("deliveries", "deliv", ["sales_order_id"]))
 _LAG = "date_sub('second', last_write, TIMESTAMP '2001-08-15 12:00:00') / 3600"
 
+_FRESH_SQL = f"""WITH a AS (
+                  SELECT 'credit_order' AS source, count(*) AS source_rows,
+                      max(created_at) AS last_write FROM lines UNION ALL
+                  SELECT 'payment_report', count(*), max(movement_at) FROM pay UNION ALL
+                  SELECT 'state_of_delivery', count(*), max(delivered_at) FROM deliv UNION ALL
+                  SELECT 'credit_approval', count(*), max(approved_at) FROM appr UNION ALL
+                  SELECT 'customers', count(*), NULL FROM cust),
+              z AS (
+                  SELECT 'credit_order' AS source, count(*) AS staged_rows,
+                      max(created_at) AS last_staged FROM vlines UNION ALL
+                  SELECT 'payment_report', count(*), max(movement_at) FROM pay
+                      WHERE NOT starts_with(transaction_id, 'uuid-') UNION ALL
+                  SELECT 'state_of_delivery', count(*), max(delivered_at) FROM deliv UNION ALL
+                  SELECT 'customers', count(*), NULL FROM cust
+                      WHERE customer_id = trim(customer_id)),
+              l AS (SELECT *, source_rows - staged_rows AS gap, {_LAG} AS lag_hours
+                  FROM a LEFT JOIN z USING (source)),
+              m AS (SELECT *, greatest(gap, 0) AS missing_rows,
+                  CASE WHEN source_rows = 0 THEN 'CRIT' WHEN last_write IS NULL THEN 'SIN_DATOS'
+                      WHEN lag_hours >= 48 THEN 'CRIT' WHEN lag_hours >= 24 THEN 'WARN'
+                      ELSE 'OK' END AS source_lamp,
+                  CASE WHEN staged_rows IS NULL THEN 'FALTA' WHEN source_rows = 0 THEN 'CRIT'
+                      WHEN gap <= 0 THEN 'OK' WHEN gap / source_rows <= 0.01 THEN 'WARN'
+                      ELSE 'CRIT' END AS staging_lamp FROM l)
+              SELECT *, CASE WHEN source_lamp = 'CRIT' OR staging_lamp IN ('CRIT', 'FALTA')
+                      THEN 'CRIT' WHEN source_lamp = 'WARN' OR staging_lamp = 'WARN' THEN 'WARN'
+                      ELSE 'OK' END AS lamp FROM m"""
 QUERIES = [
     # -- loads
     Query("scan_project", lambda b: load.project(b.source.customers, {
@@ -470,9 +548,15 @@ QUERIES = [
         _runs(b).filter("event_id % 3 = 0"), _runs(b), ["started_at", "table_name"]),
           "table_name started_at:t rows:i mode",
           "SELECT DISTINCT table_name, started_at, rows, mode FROM runs"),
-    Query("load_modes", lambda b: load.last_full_loads(_runs(b)), "table_name last_full:t",
-          """SELECT table_name, max(started_at) AS last_full FROM runs WHERE mode = 'full'
-             GROUP BY 1"""),
+    Query("load_modes", lambda b: load.load_modes(
+        _runs(b).filter("table_name <> 'view' OR mode = 'window'"),
+        ["click", "error", "purchase", "view"], _MODES_AT, 30),
+          "table_name last_full:t mode",
+          f"""SELECT table_name, last_full, CASE WHEN table_name = 'signup' OR last_full IS NULL
+                 OR last_full <= TIMESTAMP '{_MODES_AT}' - INTERVAL 30 DAY THEN 'full'
+                 ELSE 'window' END AS mode FROM (
+             SELECT table_name, max(started_at) FILTER (WHERE mode = 'full' AND table_name <> 'view')
+                 AS last_full FROM runs GROUP BY 1)"""),
     Query("csv_contract", _csv_contract, "customer:i profile",
           """SELECT c_custkey AS customer, CASE c_custkey % 3 WHEN 0 THEN '01-Healthy'
              WHEN 1 THEN '02-Mixed' ELSE '03-Mostly Fraud' END AS profile
@@ -518,6 +602,9 @@ QUERIES = [
              FROM recent r JOIN lims l USING (customer_id)
              LEFT JOIN owned o ON o.sales_order_id = r.sales_order_id
              WHERE credit_line IS NOT NULL"""),
+    Query("csv_detail", _csv_detail,
+          "customer_id sales_order_id created_on:t amount:m is_credit_order:i is_enrolled:i"
+          " credit_line:m", _DETAIL_SQL),
     Query("load_profile", lambda b: load.profile(
         b.payments.select("transaction_id", "total_amount", "paid_at", "total_default"),
         "transaction_id", ["total_amount"]),
@@ -704,36 +791,18 @@ QUERIES = [
     Query("freshness", _freshness,
           "source source_rows:i staged_rows:i last_write:t last_staged:t missing_rows:i lag_hours:r"
           " source_lamp staging_lamp lamp",
-          f"""WITH a AS (
-                  SELECT 'credit_order' AS source, count(*) AS source_rows,
-                      max(created_at) AS last_write FROM lines UNION ALL
-                  SELECT 'payment_report', count(*), max(movement_at) FROM pay UNION ALL
-                  SELECT 'state_of_delivery', count(*), max(delivered_at) FROM deliv UNION ALL
-                  SELECT 'credit_approval', count(*), max(approved_at) FROM appr UNION ALL
-                  SELECT 'customers', count(*), NULL FROM cust),
-              z AS (
-                  SELECT 'credit_order' AS source, count(*) AS staged_rows,
-                      max(created_at) AS last_staged FROM vlines UNION ALL
-                  SELECT 'payment_report', count(*), max(movement_at) FROM pay
-                      WHERE NOT starts_with(transaction_id, 'uuid-') UNION ALL
-                  SELECT 'state_of_delivery', count(*), max(delivered_at) FROM deliv UNION ALL
-                  SELECT 'customers', count(*), NULL FROM cust
-                      WHERE customer_id = trim(customer_id)),
-              l AS (SELECT *, source_rows - staged_rows AS gap, {_LAG} AS lag_hours
-                  FROM a LEFT JOIN z USING (source)),
-              m AS (SELECT *, greatest(gap, 0) AS missing_rows,
-                  CASE WHEN source_rows = 0 THEN 'CRIT' WHEN last_write IS NULL THEN 'SIN_DATOS'
-                      WHEN lag_hours >= 48 THEN 'CRIT' WHEN lag_hours >= 24 THEN 'WARN'
-                      ELSE 'OK' END AS source_lamp,
-                  CASE WHEN staged_rows IS NULL THEN 'FALTA' WHEN source_rows = 0 THEN 'CRIT'
-                      WHEN gap <= 0 THEN 'OK' WHEN gap / source_rows <= 0.01 THEN 'WARN'
-                      ELSE 'CRIT' END AS staging_lamp FROM l)
-              SELECT *, CASE WHEN source_lamp = 'CRIT' OR staging_lamp IN ('CRIT', 'FALTA')
-                      THEN 'CRIT' WHEN source_lamp = 'WARN' OR staging_lamp = 'WARN' THEN 'WARN'
-                      ELSE 'OK' END AS lamp FROM m"""),
+          _FRESH_SQL),
     Query("row_checks", _checks, "check_name table_name severity rows:i result", _CHECK_SQL),
     Query("check_runner", lambda b: _checks(b, ("deliveries", "manual_loads")),
-          "check_name table_name severity rows:i result"),
+          "check_name table_name severity rows:i result",
+          f"""SELECT check_name, table_name, severity, CASE WHEN usable THEN rows END AS rows,
+                 CASE WHEN usable THEN result ELSE 'NOT_APPLICABLE' END AS result FROM (SELECT *,
+                 check_name NOT IN ('completed_without_delivery', 'stale_manual_load') AS usable
+                 FROM ({_CHECK_SQL}) r)"""),
+    Query("gate", lambda b: quality.blocking(_freshness(b), list(nightly.CRITICAL_SOURCES)),
+          "source source_lamp",
+          f"""SELECT source, source_lamp FROM ({_FRESH_SQL}) f WHERE source_lamp = 'CRIT'
+              AND source IN ('credit_order', 'payment_report', 'state_of_delivery')"""),
     Query("identities", _identities, "identity severity source_rows:i target_rows:i gap:i",
           " UNION ALL ".join(
               f"SELECT '{n}' AS identity, '{s}' AS severity, count(*) AS source_rows,"
@@ -748,7 +817,20 @@ QUERIES = [
              SELECT 'user-' || user_id AS check_name, CASE WHEN n > 1 THEN 'CRIT' ELSE 'WARN' END
                  AS severity, n AS rows FROM h JOIN k USING (d) WHERE a = 1 AND n > 0
              AND user_id NOT IN (SELECT user_id FROM h JOIN k USING (d) WHERE a = 2 AND n > 0)"""),
-    Query("catalog_audit", _audit, "view status rows:i empty"),
+    Query("catalog_audit", _audit, "view status rows:i empty",
+          """SELECT 'pub_cohort_panel' AS view, 'present' AS status, count(*) AS rows, false AS empty
+             FROM panel UNION ALL SELECT 'pub_seasonality', 'present', count(*), false FROM spairs
+             UNION ALL SELECT 'pub_service_profile', 'present', count(*), false FROM customer
+             WHERE c_custkey % 2 = 1 UNION ALL SELECT 'pub_not_built', 'missing', 0, false"""),
+    Query("isolated_views", _isolated_views, "view rows:i",
+          """SELECT 'pub_service_profile' AS view, count(*) AS rows FROM customer
+             WHERE c_custkey % 2 = 1 UNION ALL SELECT 'pub_vintage', count(*) FROM vint
+             UNION ALL SELECT 'pub_broken', NULL"""),
+    Query("empty_guard", _empty_guard, "table_name outcome rows:i",
+          """SELECT 'credit_order' AS table_name, 'kept' AS outcome, count(*) AS rows FROM lines
+             UNION ALL SELECT 'service_profile', 'kept', count(*) FROM customer
+             WHERE c_custkey % 2 = 1 UNION ALL SELECT 'cohort_cac', 'loaded', count(*) FROM (
+             SELECT DISTINCT strftime(o_orderdate, '%Y-%m') FROM orders)"""),
     Query("volume_report", lambda b: quality.latest_volume(_runs(b).withColumn(
         "table_name", F.expr("IF(table_name = 'signup' AND event_id % 100 = 2, 'run_start',"
                              " table_name)")), "run_start"),
@@ -894,10 +976,7 @@ QUERIES = [
     Query("x10_detail_base", lambda b: explore.detail_base(_recent(b), *_lines_and(b)),
           "customer_id sales_order_id created_on:t amount:m is_credit_order:i is_enrolled:i"
           " credit_line:m",
-          """SELECT r.*, credit_line, CASE WHEN o.sales_order_id IS NULL THEN 0 ELSE 1 END
-                 AS is_credit_order, CASE WHEN credit_line IS NULL THEN 0 ELSE 1 END AS is_enrolled
-             FROM recent r LEFT JOIN lims USING (customer_id)
-             LEFT JOIN (SELECT sales_order_id FROM owned) o USING (sales_order_id)"""),
+          _DETAIL_SQL),
     Query("x11_line_histogram", lambda b: explore.line_histogram(
         explore.approved_limits(b.approvals)), "bin_from:i customers:i",
           """SELECT floor(credit_line / 1000) * 1000 AS bin_from, count(*) AS customers FROM lims

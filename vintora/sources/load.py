@@ -211,6 +211,17 @@ def load_mode(requested_full: bool, windowed: bool, last_full: dt.datetime | Non
     return "full" if requested_full or not windowed or overdue else "window"
 
 
+def load_modes(log: DataFrame, windowed: list[str], now: dt.datetime, full_after_days: int
+               ) -> DataFrame:
+    """(table_name, last_full, mode): the same decision for every table of the log."""
+    overdue = F.lit(now - dt.timedelta(days=full_after_days)).cast("timestamp_ntz")
+    tables = log.select("table_name").distinct()
+    last = tables.join(last_full_loads(log), "table_name", "left")
+    full = (~F.col("table_name").isin(*windowed) | F.col("last_full").isNull()
+            | (F.col("last_full") <= overdue))
+    return last.withColumn("mode", F.when(full, "full").otherwise("window"))
+
+
 # -- run log ---------------------------------------------------------------
 
 def definition_hash(text: str) -> str:
