@@ -32,7 +32,7 @@ def test_no_nested_loops_and_no_python(spark, no_small_tables, name):
 
 
 def test_scans_are_pruned_and_filtered(spark):
-    text = ALL["m04_grouped_orders"].run(spark, SF)._jdf.queryExecution().toString()
+    text = ALL["collapse_lines"].run(spark, SF)._jdf.queryExecution().toString()
     lineitem = re.search(r"lineitem\.parquet.*?ReadSchema: struct<([^>]*)>", text).group(1)
     assert set(c.split(":")[0] for c in lineitem.split(",")) == {
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity"}
@@ -43,3 +43,17 @@ def test_unused_sides_of_the_grid_are_dropped(spark, no_small_tables):
     """The distance table reads no orders although the grid joins them."""
     text = plan(spark, "f16_distance")
     assert "lineitem.parquet" not in text
+
+
+# Shuffles of the final plan, with merge joins only: at most half of what the whole order book took.
+MOST = {"d09_roll_rates": 20, "d10_charge_off": 20, "m19_woe_table": 30, "x15_recovery_curve": 16}
+
+
+@pytest.mark.parametrize("name", sorted(MOST))
+def test_narrow_loans_shuffle_less(spark, no_small_tables, name):
+    df = ALL[name].run(spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall("ShuffleQueryStage", final)) <= MOST[name]
+    # Nothing of the order book is looked up.
+    assert "route_days" not in final and "valid_from" not in final

@@ -240,10 +240,11 @@ def test_one_month_end_is_read_from_its_year(spark, book, tmp_path):
 
 def test_lineage_follows_the_book(book):
     lineage = Lineage(book)
-    assert lineage.uses("loans") == ({"orders", "payments", "mirrors", "order_keys"}, set(), True)
+    assert lineage.uses("loans") == ({"orders", "payments", "mirrors", "loan_keys"}, set(), True)
     assert lineage.uses("sales") == (set(), {"orders_old", "orders_new"}, True)
     tables = list(build.TABLES)
     assert lineage.behind("vintage", tables) == []
+    assert lineage.uses("orders")[0] == {"indexed", "approvals", "payments", "deliveries", "spans"}
     assert set(lineage.behind("loans", tables)) == {"snapshot", "vintage", "revenue", "daily"}
 
 

@@ -80,9 +80,13 @@ class Book:
 
     # -- credit
 
+    @cached_property
+    def indexed(self) -> DataFrame:
+        return credit.indexed_orders(self.lines)
+
     @cached_property
     def orders(self) -> DataFrame:
-        return credit.grouped_orders(self.lines, self.approvals, self.payments, self.deliveries,
+        return credit.grouped_orders(self.indexed, self.approvals, self.payments, self.deliveries,
                                      self.spans)
 
     @cached_property
@@ -93,9 +97,19 @@ class Book:
     def order_keys(self) -> DataFrame:
         return credit.order_keys(self.lines)
 
+    @cached_property
+    def loan_keys(self) -> DataFrame:
+        """The order keys again, from the orders instead of their lines."""
+        return credit.order_keys(self.indexed)
+
     @cached_property
     def loans(self) -> DataFrame:
-        return credit.loans(self.orders, self.payments, self.mirrors, self.order_keys, self.terms)
+        return credit.loans(self.orders, self.payments, self.mirrors, self.loan_keys, self.terms)
+
+    @cached_property
+    def loan_core(self) -> DataFrame:
+        return credit.loan_core(self.indexed, self.payments, self.mirrors, self.loan_keys,
+                                self.terms)
 
     @cached_property
     def snapshot(self) -> DataFrame:
@@ -178,16 +192,20 @@ class Book:
     # -- risk and contest
 
     @cached_property
-    def profile(self) -> DataFrame:
+    def matured(self) -> DataFrame:
         return risk.matured_profile(self.loans, self.grid, self.orders, self.history, self.terms)
 
+    @cached_property
+    def profile(self) -> DataFrame:
+        return risk.numbered(self.matured)
+
     @cached_property
     def odds(self) -> DataFrame:
-        return risk.distance_odds(self.loans, self.grid, self.terms)
+        return risk.distance_odds(self.loan_core, self.grid, self.terms)
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return risk.pair_odds(self.loans, self.grid, self.terms)
+        return risk.pair_odds(self.loan_core, self.grid, self.terms)
 
     @cached_property
     def contest(self) -> DataFrame:

@@ -128,7 +128,12 @@ def order_indices(orders: DataFrame) -> DataFrame:
     return indexed.withColumn("completed_index", F.when(done, F.col("completed_index")))
 
 
-def grouped_orders(lines: DataFrame, approvals: DataFrame, payments: DataFrame,
+def indexed_orders(lines: DataFrame) -> DataFrame:
+    """Orders with their indices and nothing looked up: what a loan is made of."""
+    return order_indices(collapse_lines(lines))
+
+
+def grouped_orders(indexed: DataFrame, approvals: DataFrame, payments: DataFrame,
                    deliveries: DataFrame, spans: DataFrame) -> DataFrame:
     """One row per (customer, sales order, order, status, channel), not per sales order.
 
@@ -138,9 +143,8 @@ def grouped_orders(lines: DataFrame, approvals: DataFrame, payments: DataFrame,
     # One row per month of the product's life.
     sizes = F.broadcast(cohort_sizes(enrolled))
     entry = enrolled.join(sizes, "enrollment_cohort", "left").drop("enrolled_limit")
-    indexed = order_indices(collapse_lines(lines)).join(entry, "customer_id", "left")
     routed = interval_lookup(
-        indexed, spans, "customer_id", F.to_date("created_at"), "valid_from", "valid_to",
+        indexed.join(entry, "customer_id", "left"), spans, "customer_id", F.to_date("created_at"), "valid_from", "valid_to",
         ["route", "supervisor", "office", "region", "customer_type", "seen_from"])
     limit = (payments.filter(F.col("transaction_id").isNotNull())
              .groupBy(F.col("transaction_id").alias("sales_order_id"))
@@ -183,8 +187,23 @@ def mirror_per_order(mirrors: DataFrame) -> DataFrame:
                          [descending("updated_at"), F.col("mirror_id")])
 
 
-def loans(orders: DataFrame, payments: DataFrame, mirrors: DataFrame, order_keys: DataFrame,
-          terms: Terms) -> DataFrame:
+LOAN_CORE = (
+    "customer_id", "sales_order_id", "order_id", "order_status", "created_at", "delivery_at", "rank",
+    "transaction_id", "transaction_status", "total_amount", "total_to_pay", "total_default",
+    "interests", "interests_reported", "commission_due", "movement_at", "payment_at", "paid_at",
+    "mirror_amount_paid", "mirror_status", "due_on", "due_month_end", "month", "paid_on_month",
+    "days_past_due", "days_past_due_month_end", "penalty_interest", "total_revenue", "revenue_share",
+    "par")
+
+
+def loan_core(indexed: DataFrame, payments: DataFrame, mirrors: DataFrame, order_keys: DataFrame,
+              terms: Terms) -> DataFrame:
+    """The loans by themselves: no route, cohort, limit or delivery is joined to them."""
+    return with_loan(indexed, payments, mirrors, order_keys, terms).select(*LOAN_CORE)
+
+
+def with_loan(orders: DataFrame, payments: DataFrame, mirrors: DataFrame, order_keys: DataFrame,
+              terms: Terms) -> DataFrame:
     """Completed orders with due date, days past due, revenue and delinquency bucket."""
     pay = payment_per_order(payments, order_keys)
     mirror = mirror_per_order(mirrors)
@@ -215,7 +234,7 @@ def loans(orders: DataFrame, payments: DataFrame, mirrors: DataFrame, order_keys
               & (F.col("created_at") >= F.lit(terms.waiver_from).cast("timestamp_ntz")))
     gain = F.coalesce("total_to_pay", F.lit(0.0)) - F.coalesce("total_amount", F.lit(0.0))
     days = F.datediff(F.coalesce(F.to_date("paid_at"), F.lit(terms.as_of)), F.col("due_on"))
-    out = due.withColumns({
+    return due.withColumns({
         "interests": F.when(F.col("m_interests") == 0, F.lit(0.0)).when(waived, F.lit(0.0))
         .otherwise(F.col("interests_reported")),
         "month": month_text("due_on"),
@@ -229,7 +248,12 @@ def loans(orders: DataFrame, payments: DataFrame, mirrors: DataFrame, order_keys
         "par": F.when(F.col("paid_at").isNotNull(), "Paid")
         .when(F.col("due_on").cast("timestamp_ntz") >= stamp(terms.now), "Ongoing")
         .otherwise(delinquency_bucket(days))})
-    return out.select(
+
+
+def loans(orders: DataFrame, payments: DataFrame, mirrors: DataFrame, order_keys: DataFrame,
+          terms: Terms) -> DataFrame:
+    """The loans with what is known about their orders."""
+    return with_loan(orders, payments, mirrors, order_keys, terms).select(
         "customer_id", "sales_order_id", "order_id", "order_status", "created_at", "delivery_at",
         "order_gross_sales", "quantity", "credit_limit", "enrolled_at", "enrollment_cohort",
         "enrolled_customers", "cohort_credit_limit", "months_since_enrollment", "route",

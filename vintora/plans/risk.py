@@ -61,7 +61,7 @@ def distance() -> Column:
 
 
 def matured_profile(loans: DataFrame, grid: DataFrame, orders: DataFrame, history: DataFrame,
-                    terms: Terms, numbered: bool = True) -> DataFrame:
+                    terms: Terms) -> DataFrame:
     """One row per matured loan with the customer's surroundings."""
     person = grid.select(
         "customer_id", "eligible_at", "business_category", "shop_neighborhood", "shop_zip",
@@ -73,7 +73,7 @@ def matured_profile(loans: DataFrame, grid: DataFrame, orders: DataFrame, histor
     base = matured(loans, terms).join(person, "customer_id", "left")
     around = sales_around(history, last_due_orders(orders, terms), eligible_days(grid), terms)
     base = base.join(around, "customer_id", "left")
-    out = base.withColumns({
+    return base.withColumns({
         **{c: F.coalesce(c, F.lit(0.0)) for c in zero}, **{c: F.coalesce(c, F.lit(0)) for c in none},
         "avg_ticket_3m": F.when(F.col("orders_3m") > 0, rounded_long(
             F.col("gross_3m") / F.col("orders_3m"))).otherwise(F.lit(0).cast("bigint")),
@@ -81,9 +81,10 @@ def matured_profile(loans: DataFrame, grid: DataFrame, orders: DataFrame, histor
         "flag_15": F.when(F.col("days_past_due") >= 15, 1).otherwise(0),
         "flag_30": F.when(F.col("days_past_due") >= 30, 1).otherwise(0),
         "zip_code": digits_key("shop_zip"), "distance": distance()})
-    if numbered:
-        out = number_rows(out, ["customer_id", "sales_order_id"], "row_id")
-    return out
+
+
+def numbered(profile: DataFrame) -> DataFrame:
+    return number_rows(profile, ["customer_id", "sales_order_id"], "row_id")
 
 
 # -- weight of evidence ----------------------------------------------------

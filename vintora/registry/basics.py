@@ -692,7 +692,7 @@ QUERIES = [
     Query("lookback_windows", lambda b: _around(b).filter("orders_6m > 0"),
           "customer_id gross_3m:m orders_3m:i gross_6m:m orders_6m:i",
           "SELECT * FROM before WHERE orders_6m > 0"),
-    Query("reach_share", lambda b: explore.reach_share(b.snapshot, risk.matured(b.loans, b.terms)),
+    Query("reach_share", lambda b: explore.reach_share(b.snapshot, risk.matured(b.loan_core, b.terms)),
           "rows:i orders:i reached_orders:i pct_rows:r balance:m reached_balance:m",
           """SELECT count(*) AS rows, count(DISTINCT s.sales_order_id) AS orders,
              count(DISTINCT l.sales_order_id) AS reached_orders,
@@ -1005,7 +1005,7 @@ QUERIES = [
              sum(deployed_capital) AS capital,
              round(sum(par30) * 100 / sum(outstanding_balance), 6) AS pct_of_balance,
              round(sum(par30) * 100 / sum(deployed_capital), 6) AS pct_of_capital FROM vint"""),
-    Query("stage_orders", lambda b: measures.stage_walk(b.loans, b.terms).groupBy("stage", "step")
+    Query("stage_orders", lambda b: measures.stage_walk(b.loan_core, b.terms).groupBy("stage", "step")
           .agg(F.count(F.lit(1)).alias("loans")).withColumn(
         "position", measures.ordinal("stage", STAGE_ORDER)), "stage step:i loans:i position:i",
           """SELECT stage, step, count(*) AS loans, CASE stage WHEN 'Paid' THEN 8 ELSE step END

@@ -202,7 +202,7 @@ QUERIES = [
           """SELECT strftime(o_orderdate, '%Y-%m') AS "enrollmentCohort",
              count(DISTINCT o_custkey) / 2 AS cac FROM orders GROUP BY 1"""),
     Query("m23_contest_base", lambda b: b.contest, CONTEST, "contest"),
-    Query("m24_contest_settled", lambda b: contest.settled(b.contest, b.loans),
+    Query("m24_contest_settled", lambda b: contest.settled(b.contest, b.loan_core),
           "customer_id sales_order_id period is_settled settled_at:t",
           """SELECT c.customer_id, c.sales_order_id, period, l.paid_at IS NOT NULL AS is_settled,
              l.paid_at AS settled_at FROM contest c LEFT JOIN loans l USING (sales_order_id)"""),
@@ -285,7 +285,7 @@ def _pairs(book: Book):
 
 
 def _leads(book: Book):
-    return measures.stage_leads(measures.stage_walk(book.loans, book.terms))
+    return measures.stage_leads(measures.stage_walk(book.loan_core, book.terms))
 
 
 _MARGIN = """SELECT {level} AS level, {keys}, avg(active) AS active,
@@ -358,7 +358,7 @@ QUERIES += [
              FROM (SELECT m.*, (SELECT count(DISTINCT customer_id) FROM enrolled
                        JOIN cust USING (customer_id)
                        WHERE CAST(enrolled_at AS DATE) <= m.day) AS n FROM m)"""),
-    Query("d06_revenue", lambda b: measures.revenue_by_month(b.loans, b.terms),
+    Query("d06_revenue", lambda b: measures.revenue_by_month(b.loan_core, b.terms),
           "month share_before_tax:m share_after_tax:m total_before_tax:m total_after_tax:m",
           """SELECT month, sum(revenue_share) AS share_before_tax,
              sum(revenue_share) / 1.16 AS share_after_tax, sum(total_revenue) AS total_before_tax,
@@ -391,7 +391,7 @@ QUERIES += [
                   ON k.cohort = l.enrollment_cohort
               LEFT JOIN spairs s ON s.to_month = l.months_since_enrollment
                   AND s.from_month = CAST(substr(l.enrollment_cohort, 6, 2) AS INTEGER)"""),
-    Query("d08_stage_walk", lambda b: measures.stage_walk(b.loans, b.terms),
+    Query("d08_stage_walk", lambda b: measures.stage_walk(b.loan_core, b.terms),
           "customer_id sales_order_id loan_index delivery_on:t total_amount:m step:i stage",
           "walk"),
     Query("d09_roll_rates", lambda b: measures.roll_rates(_leads(b)),
@@ -476,7 +476,7 @@ QUERIES += [
           """SELECT *, selected / customers AS coverage FROM (SELECT
              sum(active) FILTER (WHERE first_month >= DATE '1996-01-01') AS selected,
              sum(active) AS customers FROM panel WHERE credit_flag = 'Y' AND period = 0)"""),
-    Query("d20_fraud_segments", lambda b: risk.fraud_segments(b.profile, b.source.service_profile),
+    Query("d20_fraud_segments", lambda b: risk.fraud_segments(b.matured, b.source.service_profile),
           "customer_key:i sales_order_id flag_15:i bought_later:i fraud_flag service_profile"
           " cross_fraud:i",
           """WITH s AS (SELECT c_custkey AS customer_key, CASE c_custkey % 3 WHEN 0 THEN
@@ -537,7 +537,7 @@ QUERIES += [
              SELECT least(floor(volume / 40000), 11) * 40000 AS bin_from,
              count(*) AS customer_months, count(*) * 100 / max(n) AS pct FROM v, t
              WHERE volume >= 0 AND volume <= 480000 GROUP BY 1"""),
-    Query("d27_bucket_order", lambda b: b.loans.groupBy("par").agg(
+    Query("d27_bucket_order", lambda b: b.loan_core.groupBy("par").agg(
         F.count(F.lit(1)).alias("loans")).withColumn(
         "bucket_order", measures.ordinal("par", measures.BUCKET_ORDER)),
           "par loans:i bucket_order:i",
@@ -569,7 +569,7 @@ QUERIES += [
               UNION ALL {_MARGIN.format(level="'cohort'", keys=f"{_C}, {_NO_M}", group=f"GROUP BY {_C}")}
               UNION ALL {_MARGIN.format(level="'month'", keys=f"{_NO_C}, {_M}", group=f"GROUP BY {_M}")}
               UNION ALL {_MARGIN.format(level="'total'", keys=f"{_NO_C}, {_NO_M}", group="")}"""),
-    Query("x15_recovery_curve", lambda b: risk.recovery_curve(b.loans, b.terms),
+    Query("x15_recovery_curve", lambda b: risk.recovery_curve(b.loan_core, b.terms),
           "age_months orders:i recovered:i amount:m recovered_share:r",
           f"""WITH b AS (SELECT *, floor(date_diff('day', due_on, {AS_OF}) / 30) AS a FROM loans
                   WHERE days_past_due >= 90)
