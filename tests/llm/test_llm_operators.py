@@ -458,6 +458,39 @@ def test_vectors(spark):
     assert vector_search.top_k(none, none, 5).collect() == []
 
 
+def test_few_exact_vectors_are_read(spark):
+    """The cells decide: of all pairs only the first few of each query and those that could still
+    beat the k-th score are read, and every cell row bounds its exact score."""
+    rng = np.random.default_rng(66)
+    rows = [(int(i), [int(x) for x in rng.normal(size=12) * 256]) for i in range(3000)]
+    vectors = spark.createDataFrame(rows, "id long, v array<long>")
+    asking = vectors.filter("id % 50 = 0")
+    file = vector_search.approximation_file(vectors)
+    assert "vecs" not in file.columns
+    found = vector_search.candidates(file, asking, 5)
+    scores, read = vector_search.read_in_turn(found, vectors, asking, 5)
+    assert 60 * 5 <= read.count() <= 60 * 3000 * 0.02
+    v = dict(rows)
+    for r in scores.collect():
+        assert r.score == sum(a * b for a, b in zip(v[r.query_id], v[r.vec_id]))
+    cells, low, width = vector_search.grid(np.array([w for _, w in rows]))
+    q = np.array([w for i, w in rows if i % 50 == 0])
+    lower, upper = vector_search.bounds(q, cells, low, width)
+    real = q @ np.array([w for _, w in rows]).T
+    assert (lower <= real).all() and (real <= upper).all()
+    # The second turn is needed where the first did not reach far enough.
+    vector_search_first, vector_search.FIRST = vector_search.FIRST, 0.2
+    try:
+        again, _ = vector_search.read_in_turn(found, vectors, asking, 5)
+        best = {(r.query_id, r.vec_id) for r in again.collect()}
+    finally:
+        vector_search.FIRST = vector_search_first
+    ids = np.array([i for i, _ in rows])
+    for n, i in enumerate(ids[ids % 50 == 0]):
+        order = sorted((-s, j) for s, j in zip(real[n].tolist(), ids.tolist()) if j != i)[:5]
+        assert {(i, j) for _, j in order} <= best
+
+
 # ---------------------------------------------------------------- shards
 
 def test_shards(spark, awkward, empty):
