@@ -26,13 +26,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fewer(df: DataFrame) -> DataFrame:
-    """Some neighbouring shuffle partitions per task, where a task's own cost would prevail."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions")) // 4
-    return df.coalesce(max(4 * spark.sparkContext.defaultParallelism, n))
-
-
 def numbered(df: DataFrame, keys: list[str], out: str, name: str) -> DataFrame:
     """Gapless numbers from 0 within ``keys`` (no nulls in them), for keys of any size.
 

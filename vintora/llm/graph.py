@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintora.llm.common import fewer, stored
+from vintora.llm.common import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,8 +15,8 @@ def components(edges: DataFrame) -> DataFrame:
     on the smallest of them; it ends when the edges form stars. Rounds grow with the logarithm of
     the longest path. Every round is written to the shared folder.
     """
-    now = stored(fewer(edges.filter(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct()), "edges")
+    now = stored(edges.filter(F.col("a") != F.col("b")).select(
+        F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct(), "edges")
     while not _stars(now):
         both = now.select(F.col("high").alias("u"), F.col("low").alias("v")).unionByName(
             now.select(F.col("low").alias("u"), F.col("high").alias("v")))
@@ -27,7 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(least, "high").filter(F.col("low") != F.col("m"))
                  .select(F.col("low").alias("high"), F.col("m").alias("low"))
                  .unionByName(least.select("high", F.col("m").alias("low"))).distinct())
-        now = stored(fewer(small), "edges")
+        now = stored(small, "edges")
     return (now.select(F.col("high").alias("id"), F.col("low").alias("component"))
             .unionByName(now.select(F.col("low").alias("id"), F.col("low").alias("component")))
             .distinct())

@@ -11,10 +11,10 @@ minima merge by maximum of registers and agree for two sets about as often as th
    others. Pairs with a likely similarity far below the limit, by the joint likelihood of the two
    sketches and the known set sizes, are dropped (six standard deviations); the others are
    verified on the full sets. Links give components, and within one no further pair needs a look.
-4. What is left are members of one bucket in different components. Those outside the bucket's
-   largest component ask the rest. Buckets with the same largest component form one cluster; in a
-   small cluster the pairs are estimated and verified as before. In a large one, askers and members
-   meet in blocks with their full sets, and only links leave a task, never pairs.
+4. What is left are members of one bucket in different components; a bucket of two has none left.
+   Those outside the bucket's largest component ask the rest. Buckets with the same largest component
+   form one cluster, in which askers and members meet in blocks of bounded bytes with their full
+   sets; only links leave a task, never pairs. That is the same for clusters of every size.
 
 Defined results: a text that is null or has no word has no shingles, links with nothing and is
 kept. A row without an id is its own document: component null, kept. Rows that repeat an id are
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintora.llm.common import fewer, mixed, stored, word_hashes, words
+from vintora.llm.common import mixed, stored, word_hashes, words
 from vintora.llm.graph import components
 
 SHINGLE = 5
@@ -42,9 +42,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 2 ** 16 - 1
 # Six standard deviations of 128 registers below the limit.
 LIKELY = 0.5
-# Clusters with more pairs than this are compared in blocks of so many documents; both ways find
-# the same links.
-LARGE, BLOCK = 10_000, 512
+# Documents and bytes of shingles that a block of a cluster holds on average.
+BLOCK, BLOCK_BYTES = 512, 8 << 20
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(0, 2 ** 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _SHIFTS = _rng.integers(0, 2 ** 32, REGISTERS, dtype=np.uint32)
@@ -143,7 +142,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                           F.col("bands").alias(f"bands_{s}")) for s in "ab"]
     # Sizes alone rule some out: the smaller over the larger bounds the similarity.
     fits = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
-    return (fewer(pairs.join(sides[0], "a").join(sides[1], "b").filter(fits))
+    return (pairs.join(sides[0], "a").join(sides[1], "b").filter(fits)
             .mapInPandas(run, "a long, b long"))
 
 
@@ -155,7 +154,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     for x, y in zip(pdf["set_a"], pdf["set_b"])]
             yield pdf.loc[np.array(keep, dtype=bool), ["a", "b"]]
     sides = [sets.select(F.col("id").alias(s), F.col("shingles").alias(f"set_{s}")) for s in "ab"]
-    return fewer(pairs.join(sides[0], "a").join(sides[1], "b")).mapInPandas(run, "a long, b long")
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInPandas(run, "a long, b long")
 
 
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
@@ -171,20 +170,20 @@ def _full_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
             yield pd.DataFrame({"id": pdf["id"],
                                 "shingles": [shingles(t).tobytes() for t in pdf["text"]]})
     text = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    return fewer(text.join(needed, "id", "left_semi")).mapInPandas(run, "id long, shingles binary")
+    return text.join(needed, "id", "left_semi").mapInPandas(run, "id long, shingles binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) of every document."""
     rows = stored(sketches(docs), "sketches")
     known = rows.filter(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
-    nodes = stored(fewer(known.groupBy("digest").agg(
+    nodes = stored(known.groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.max("n_shingles").alias("n_shingles"),
-        F.first("bands").alias("bands"))), "nodes")
+        F.first("bands").alias("bands")), "nodes")
     bucket = ["band", "key"]
     members = nodes.select("id", F.posexplode("bands").alias("band", "key"))
     counts = members.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = stored(fewer(members.join(counts, bucket)), "buckets")
+    shared = stored(members.join(counts, bucket), "buckets")
     degrees = shared.groupBy("id").agg(F.sum("n").alias("degree"))
     leaders = (shared.join(degrees, "id").groupBy(*bucket)
                .agg(F.max(F.struct("degree", F.xxhash64("id").alias("h"), "id")).alias("l"))
@@ -192,11 +191,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = (shared.join(leaders, bucket).filter("id != leader")
              .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
              .distinct())
-    stars = stored(fewer(stars), "stars")
+    stars = stored(stars, "stars")
     sets = stored(_full_sets(docs, shared.select("id").distinct()), "sets")
     links = stored(_verified(_estimated(stars, nodes), sets), "links")
-    found = stored(fewer(components(links)), "components")
-    more = stored(_across(shared, found, stars, nodes, sets), "more")
+    found = stored(components(links), "components")
+    more = stored(_across(shared, found, nodes, sets), "more")
     if not more.isEmpty():
         # Later links join whole components.
         ends = [found.select(F.col("id").alias(s), F.col("component").alias(f"c_{s}")) for s in "ab"]
@@ -216,40 +215,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
-def _across(shared: DataFrame, found: DataFrame, stars: DataFrame, nodes: DataFrame,
-            sets: DataFrame) -> DataFrame:
+def _across(shared: DataFrame, found: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between members of one bucket that are in different components so far."""
     bucket = ["band", "key"]
-    placed = stored(fewer(shared.drop("n").join(found, "id", "left").withColumn(
-        "part", F.coalesce("component", "id")).select(*bucket, "id", "part")), "placed")
+    # The two of a bucket of two have met: one of them is the leader.
+    placed = stored(shared.filter("n > 2").drop("n").join(found, "id", "left").withColumn(
+        "part", F.coalesce("component", "id")).select(*bucket, "id", "part"), "placed")
     sizes = placed.groupBy(*bucket, "part").agg(F.count(F.lit(1)).alias("n"))
     main = (sizes.groupBy(*bucket).agg(F.max(F.struct("n", "part")).alias("m"),
                                        F.count(F.lit(1)).alias("parts"))
             .filter("parts > 1").select(*bucket, F.col("m.part").alias("main")))
     # Of each cluster its members, and who among them asks.
     within = (placed.join(main, bucket).select("main", "id", "part").distinct()
-              .withColumn("asks", F.col("part") != F.col("main")))
-    extent = within.groupBy("main").agg(F.count(F.lit(1)).alias("members"),
-                                        F.count_if("asks").alias("asking"))
-    clusters = stored(fewer(within.join(extent, "main")), "clusters")
-    large = F.col("members") * F.col("asking") > LARGE
-    few = clusters.filter(~large)
-    asking = few.filter("asks").select("main", F.col("id").alias("x"), F.col("part").alias("part_x"))
-    pairs = (asking.join(few, "main").filter("part_x != part AND (NOT asks OR x < id)")
-             .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-             .join(stars, ["a", "b"], "left_anti"))
-    return _verified(_estimated(pairs, nodes), sets).unionByName(
-        _in_blocks(clusters.filter(large), sets))
+              .withColumn("asks", F.col("part") != F.col("main"))
+              .join(nodes.select("id", "n_shingles"), "id"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES))
+    extent = within.groupBy("main").agg(blocks.cast("int").alias("blocks"))
+    clusters = stored(within.drop("n_shingles").join(extent, "main"), "clusters")
+    return _in_blocks(clusters, sets)
 
 
 def _in_blocks(clusters: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) between askers and members of large clusters, block by block."""
-    block = F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / BLOCK)).cast("int")
+    """Links (a, b) between askers and members of the clusters, block by block."""
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     rows = (clusters.withColumn("block", block).join(sets, "id")
             .withColumn("row", F.struct("id", "part", "shingles")))
-    sides = {s: df.groupBy("main", "members", "block").agg(F.collect_list("row").alias(s))
+    sides = {s: df.groupBy("main", "blocks", "block").agg(F.collect_list("row").alias(s))
              for s, df in (("asking", rows.filter("asks")), ("held", rows))}
-    every = F.sequence(F.lit(0), F.ceil(F.col("members") / BLOCK).cast("int") - 1)
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
     spread = sides["asking"].select("main", "asking", F.explode(every).alias("block"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -261,7 +254,7 @@ def _in_blocks(clusters: DataFrame, sets: DataFrame) -> DataFrame:
                     columns=["a", "b"], dtype="int64")
 
     met = spread.join(sides["held"].select("main", "block", "held"), ["main", "block"])
-    return fewer(met.select("asking", "held")).mapInPandas(run, "a long, b long").distinct()
+    return met.select("asking", "held").mapInPandas(run, "a long, b long").distinct()
 
 
 def block_links(asking: list[tuple], held: list[tuple]) -> Iterator[tuple[int, int]]:
