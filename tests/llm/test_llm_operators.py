@@ -594,9 +594,21 @@ def test_language(spark, speech, awkward, empty):
     assert {(r.lang_pred, r.score) for r in unlabelled.collect()} == {("und", 0.0)}
 
 
+def test_whole_texts_are_learned_from(spark, monkeypatch):
+    """The stretches of all of the chosen texts count, to the end of long words."""
+    long = "x" * 5000 + " " + "é" * 100
+    rows = [(i, "word " * 3000 + "end" if i % 2 else long, "a" if i % 2 else "b") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(language_id, "DOCS_PER_LANGUAGE", 3)
+    counts = {(r.lang, bytes(r.word)): r.n for r in language_id.sample(docs).collect()}
+    assert counts["a", b"word"] == 9000 and counts["a", b"end"] == 3
+    assert counts["b", b"x" * 32] == 3 * 156 and counts["b", b"x" * 8] == 3
+    assert sum(n * len(w) for (lang, w), n in counts.items() if lang == "b") == 3 * (5000 + 200)
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(1)
-    net = language_id.train({"a": [b"xy"], "b": [b"zw"]})
+    net = language_id.train({"a": {b"xy": 1}, "b": {b"zw": 2}})
     net = net._replace(**{k: getattr(net, k).astype(np.float64) for k in "xuboc"})
     codes = rng.integers(97, 101, (4, 3))
     live = np.array([[1, 1, 1], [1, 1, 1], [1, 1, 0], [1, 0, 0]], dtype=bool)
@@ -647,10 +659,10 @@ def components_by_hand(rows):
                                for a, (i, s) in enumerate(sets))
 
 
-@pytest.mark.parametrize("large", [0, 10_000])
-def test_near_duplicates(spark, awkward, empty, large, monkeypatch):
-    monkeypatch.setattr(near_duplicates, "LARGE", large)
-    monkeypatch.setattr(near_duplicates, "BLOCK", 8 if large == 0 else 512)
+@pytest.mark.parametrize("block, size", [(8, 8 << 20), (512, 8 << 20), (512, 20_000)])
+def test_near_duplicates(spark, awkward, empty, block, size, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    monkeypatch.setattr(near_duplicates, "BLOCK_BYTES", size)
     rng = random.Random(8)
     rows = [(i, " ".join(w)) for i, w in enumerate(made_up(60, 9))]
     base = [f"b{rng.randrange(300)}" for _ in range(220)]

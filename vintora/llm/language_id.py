@@ -6,9 +6,10 @@ punctuation say nothing about language: they end a sequence, and the network sta
 them. A sequence is thus a word between two marks, long ones are cut into stretches of ``STRETCH``
 bytes. Whole texts are read, but each distinct word of a batch only once.
 
-Training is backpropagation through time on a bounded sample: ``DOCS_PER_LANGUAGE`` documents of
-each language, chosen by a hash of the id, a window of ``WINDOW`` characters of each. Only text
-and label are used, never id or source.
+Training is backpropagation through time on ``DOCS_PER_LANGUAGE`` labelled documents of each language,
+chosen by a hash of the id. Their whole texts are counted in Spark as the stretches that scoring reads
+too, and batches are drawn from those counts, so a frequent word is met as often as in the texts. Only
+text and label are used, never id or source.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is everything
 if nothing could be learned. Rows without an id are scored but not learned from. Rows with a null
@@ -18,6 +19,7 @@ label are scored. Repeated rows get equal results. Other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -28,8 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DOCS_PER_LANGUAGE = 400
-WINDOW = 4000
-WORDS_PER_LANGUAGE = 40_000
+PARTS = 64              # of each language, in which the documents are chosen first
 STRETCH = 32
 HIDDEN = 16
 STEPS = 400
@@ -55,6 +56,11 @@ def sequences(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").translate(_TO_SPACE).split()
 
 
+def stretches(text: str) -> list[bytes]:
+    """The words of a text, long ones cut."""
+    return [word[at:at + STRETCH] for word in sequences(text) for at in range(0, len(word), STRETCH)]
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and (re.search("[A-Za-z]", text) is not None
                                  or any(c.isalpha() for c in text))
@@ -123,10 +129,13 @@ def _gradients(net: Net, codes: np.ndarray, live: np.ndarray, labels: np.ndarray
     return grad
 
 
-def train(words: dict[str, list[bytes]], seed: int = 9) -> Net:
-    """Fit the network to word lists by language, all languages weighing the same."""
+def train(words: dict[str, dict[bytes, int]], seed: int = 9) -> Net:
+    """Fit the network to counted stretches by language, all languages weighing the same."""
     rng = np.random.default_rng(seed)
     languages = sorted(k for k, v in words.items() if v)
+    parts = [sorted(words[k]) for k in languages]
+    # The place of a draw among the running sums of the counts.
+    upto = [np.cumsum([words[k][w] for w in some]) for k, some in zip(languages, parts)]
     k = len(languages)
     scale = 1 / np.sqrt(HIDDEN)
     net = Net(languages, *(rng.normal(0, s, shape).astype(np.float32) for s, shape in (
@@ -137,8 +146,8 @@ def train(words: dict[str, list[bytes]], seed: int = 9) -> Net:
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net[1:]]
     for step in range(1, STEPS + 1):
         labels = rng.integers(0, k, BATCH)
-        rows = [words[languages[y]][int(rng.integers(0, len(words[languages[y]])))] for y in labels]
-        rows = [row[:STRETCH] for row in rows]
+        rows = [parts[y][int(np.searchsorted(upto[y], rng.integers(0, upto[y][-1]), side="right"))]
+                for y in labels]
         size = max(map(len, rows))
         codes = np.zeros((size, BATCH), dtype=np.int64)
         live = np.zeros((size, BATCH), dtype=bool)
@@ -177,28 +186,33 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame) -> DataFrame:
-    """(lang, part): the bounded training sample."""
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    """(lang, word, n): the counted stretches of the chosen documents' whole texts."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
-                        & ~held_out(F.col("doc_id")))
-    chosen = (known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-              .withColumn("n", F.row_number().over(order))
-              .filter(F.col("n") <= DOCS_PER_LANGUAGE).select("doc_id").distinct())
-    # At most DOCS_PER_LANGUAGE rows of one column for each language.
-    text = known.filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
-    start = F.expr(f"cast(1 + pmod(xxhash64(doc_id, 1), greatest(1, length(text) - {WINDOW})) as int)")
-    return text.select("lang", F.substring("text", start, F.lit(WINDOW)).alias("part"))
+                        & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    chosen = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct()
+    # First inside parts of a language, then among what is left of them.
+    for part in (F.pmod("h", F.lit(PARTS)), F.lit(0)):
+        order = Window.partitionBy("lang", part).orderBy("h", "doc_id")
+        chosen = chosen.withColumn("n", F.row_number().over(order)).filter(
+            F.col("n") <= DOCS_PER_LANGUAGE)
+    # At most DOCS_PER_LANGUAGE rows of two columns for each language.
+    texts = known.join(F.broadcast(chosen.select("doc_id", "lang")), ["doc_id", "lang"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            counts = Counter((lang, w) for lang, text in zip(pdf["lang"], pdf["text"])
+                             for w in stretches(text))
+            yield pd.DataFrame([(lang, w, n) for (lang, w), n in counts.items()],
+                               columns=["lang", "word", "n"])
+
+    return (texts.select("lang", "text").mapInPandas(run, "lang string, word binary, n long")
+            .groupBy("lang", "word").agg(F.sum("n").alias("n")))
 
 
 def learn(docs: DataFrame) -> Net:
-    words: dict[str, list[bytes]] = {}
-    for row in sample(docs).collect():
-        words.setdefault(row["lang"], []).extend(sequences(row["part"]))
-    rng = np.random.default_rng(9)
-    for language, some in words.items():
-        some.sort()
-        if len(some) > WORDS_PER_LANGUAGE:
-            words[language] = [some[i] for i in rng.choice(len(some), WORDS_PER_LANGUAGE, replace=False)]
+    words: dict[str, dict[bytes, int]] = {}
+    for row in sample(docs).toLocalIterator():
+        words.setdefault(row["lang"], {})[bytes(row["word"])] = row["n"]
     return train(words)
 
 
