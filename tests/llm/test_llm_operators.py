@@ -315,6 +315,52 @@ def test_urls(spark, empty):
     assert [(r.rule, r.verdict) for r in alone] == [(None, "allow")]
 
 
+def test_rates_leave_out_the_own_fold(spark):
+    """A training URL sees only the other folds of its suffixes; another URL sees all of them."""
+    rows = [(f"http://h{i}.site{i % 7000}.net/x{i % 3}/{i}", i % 3 == 0) for i in range(14_000)]
+    labelled = spark.createDataFrame(rows, "url string, block boolean")
+    known = url_filter._parsed(labelled, F.col("block").cast("int").alias("block")).withColumn(
+        "fold", F.pmod(F.xxhash64("host"), F.lit(url_filter.FOLDS)).cast("int"))
+    counts = url_filter.suffix_counts(known)
+    # Every suffix has counts of its own, however many there are.
+    assert counts.filter("kind = 1").select("suffix").distinct().count() == 7000
+    for small in (url_filter.SMALL, 0):
+        url_filter_small, url_filter.SMALL = url_filter.SMALL, small
+        try:
+            rated = url_filter.with_rates(known.filter("last_two_labels IN ('site0.net', 'site1.net')"),
+                                          counts, 0.3).collect()
+        finally:
+            url_filter.SMALL = url_filter_small
+        assert len(rated) == 4
+        folds = {(r.host, r.last_two_labels): (r.fold, r.block) for r in known.filter(
+            "last_two_labels IN ('site0.net', 'site1.net')").collect()}
+        for r in rated:
+            others = [b for (h, d), (f, b) in folds.items() if d == r.last_two_labels and f != r.fold]
+            assert r.rate1 == pytest.approx((sum(others) + 20 * 0.3) / (len(others) + 20))
+    unknown = url_filter.with_rates(known.withColumn("fold", F.lit(None).cast("int")).filter(
+        "last_two_labels = 'site0.net'"), counts, 0.3).first()
+    both = [b for (h, d), (f, b) in folds.items() if d == "site0.net"]
+    assert unknown.rate1 == pytest.approx((sum(both) + 6) / (len(both) + 20))
+
+
+def test_hosts_never_seen(spark):
+    """Labels that follow lexical traits: agreement on hosts without any labelled URL."""
+    rng = random.Random(44)
+
+    def made(i, bad):
+        host = f"{'x' * rng.randint(8, 16)}{rng.randint(0, 99999)}" if bad else rng.choice("abcdefg") * 5
+        query = "&".join(f"p{k}={rng.randint(0, 10 ** 6)}" for k in range(rng.randint(2, 5))) if bad else ""
+        return f"http://{host}.d{i % 211}.org/{'/'.join('seg' for _ in range(rng.randint(1, 3)))}?{query}"
+
+    rows = [(made(i, i % 3 == 0), int(i % 3 == 0)) for i in range(3000)]
+    seen = spark.createDataFrame([r for i, r in enumerate(rows) if i % 211 < 150], "url string, block int")
+    other = spark.createDataFrame([(n, *r) for n, r in enumerate(rows) if n % 211 >= 150],
+                                  "page_id long, url string, block int")
+    found = {r.page_id: r.verdict for r in url_filter.judge(other, [], seen).collect()}
+    right = sum((found[r.page_id] == "block") == bool(r.block) for r in other.collect())
+    assert right >= 0.95 * len(found)
+
+
 def test_trees_learn():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 4))

@@ -3,10 +3,13 @@
 The trees learn from labelled URLs; by default the labels are the verdicts of the rules themselves,
 so that what the rules say is carried over to URLs they do not reach. Features are lengths, depth,
 digit ratio, entropy, counts of parameters and marks, and statistics of suffixes: how often URLs
-with this last host label, these two last labels or this first path segment were blocked. The
-statistics count every labelled row, in ``SLOTS`` hashed slots per kind, which bounds what is sent
-to the executors. The trees are fitted on at most ``SAMPLE`` distinct labelled URLs, the first by
-the order of a hash.
+with this last host label, these two last labels or this first path segment were blocked.
+
+The statistics are a Spark table by the suffix itself, joined to the URLs; few rows tend to the
+overall share, and so does a suffix nobody has labelled. A labelled URL gets the statistics of the
+other folds only, and all URLs of a host are in one fold: the trees thus see each training URL as they
+will see one of an unknown host, and cannot read its own label out of its suffix. The trees are fitted
+on at most ``SAMPLE`` distinct labelled URLs, the first by the order of a hash.
 
 Defined results: a URL that is null or has no ``://`` has empty host and path, fits no rule and is
 judged by the trees. Without labelled URLs everything that no rule covers is allowed; with one
@@ -25,13 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vintora.llm.common import ascii_lower
+from vintora.llm.common import ascii_lower, stored
 
 SAMPLE = 20_000
-SLOTS = 4096
+FOLDS = 5
 PRIOR_ROWS = 20.0
+SMALL = 200_000         # rows of statistics up to which they are broadcast
 TREES, DEPTH, RATE, BINS, LEAF = 40, 3, 0.2, 32, 20
-KINDS = ("last label", "last two labels", "first segment")
+SUFFIXES = ("last_label", "last_two_labels", "first_segment")
+RATES = tuple(f"rate{k}" for k in range(len(SUFFIXES)))
 
 
 class Rule(NamedTuple):
@@ -66,10 +71,10 @@ def longest_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column,
 
 
 def suffixes(host: Column, path: Column) -> list[Column]:
-    """The slot of each kind of suffix."""
+    """The suffix of each kind."""
     keys = [F.substring_index(host, ".", -1), F.substring_index(host, ".", -2),
             F.get(F.split(path, "/", 3), F.lit(1))]
-    return [F.pmod(F.xxhash64(F.coalesce(k, F.lit(""))), F.lit(SLOTS)).cast("int") for k in keys]
+    return [F.coalesce(k, F.lit("")) for k in keys]
 
 
 def lexical(url: str, host: str, path: str) -> list[float]:
@@ -155,58 +160,95 @@ def _split(binned: np.ndarray, grad: np.ndarray, curve: np.ndarray) -> tuple[int
     return found
 
 
-def _features(rates: np.ndarray):
-    def run(url: pd.Series, host: pd.Series, path: pd.Series, *slots: pd.Series) -> np.ndarray:
-        rows = np.array([lexical(u or "", h, p) for u, h, p in zip(url, host, path)]).reshape(len(url), -1)
-        return np.column_stack([rows, *(rates[k][s.to_numpy(np.int64)] for k, s in enumerate(slots))])
-    return run
+def suffix_counts(known: DataFrame) -> DataFrame:
+    """(kind, suffix, fold, b, n): blocked and all labelled URLs of each suffix and fold."""
+    cells = known.select("block", "fold", F.posexplode(F.array(*SUFFIXES)).alias("kind", "suffix"))
+    return cells.groupBy("kind", "suffix", "fold").agg(F.sum("block").alias("b"),
+                                                       F.count("block").alias("n"))
 
 
-def judge(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None = None) -> DataFrame:
-    """(page_id, host, path, rule, verdict, block_score) of every page.
+def with_rates(urls: DataFrame, counts: DataFrame, prior: float) -> DataFrame:
+    """``urls`` with a rate per kind, without the counts of the row's own ``fold`` (null: of none)."""
+    sums = counts.groupBy("kind", "suffix").agg(
+        F.sum("b").alias("b"), F.sum("n").alias("n"),
+        F.map_from_entries(F.collect_list(F.struct("fold", F.struct("b", "n")))).alias("folds"))
+    # A suffix has one row with a map of FOLDS entries.
+    small = sums.count() <= SMALL
+    for k, name in enumerate(SUFFIXES):
+        side = sums.filter(F.col("kind") == k).select(
+            F.col("suffix").alias(name), F.col("b").alias("_b"), F.col("n").alias("_n"),
+            F.col("folds").alias("_f"))
+        urls = urls.join(F.broadcast(side) if small else side, name, "left")
+        own = F.when(F.col("fold").isNotNull(), F.try_element_at("_f", "fold"))
+        rest = {c: F.coalesce(f"_{c}", F.lit(0)) - F.coalesce(own[c], F.lit(0)) for c in ("b", "n")}
+        urls = urls.withColumn(f"rate{k}", (rest["b"] + PRIOR_ROWS * prior) / (
+            rest["n"] + PRIOR_ROWS)).drop("_b", "_n", "_f")
+    return urls
 
-    ``labelled`` has (url, block): the URLs to learn from; by default those that a rule decides.
-    """
-    def parsed(df: DataFrame, *more: Column) -> DataFrame:
-        host, path = host_and_path(F.col("url"))
-        df = df.select(*more, "url", host.alias("host"), path.alias("path"))
-        return df.withColumns({f"s{k}": c for k, c in enumerate(suffixes(F.col("host"), F.col("path")))})
 
-    rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    table = parsed(pages, F.col("page_id")).withColumns({"rule": rule, "fixed": verdict})
-    if labelled is None:
-        known = table.filter("rule IS NOT NULL").withColumn("block", (F.col("fixed") == "block").cast("int"))
-    else:
-        known = parsed(labelled, F.col("block").cast("int").alias("block")).filter("block IS NOT NULL")
-    slots = [f"s{k}" for k in range(len(KINDS))]
-    counted = (known.select("block", F.posexplode(F.array(*slots)).alias("kind", "slot"))
-               .groupBy("kind", "slot").agg(F.count("block").alias("n"), F.sum("block").alias("b")))
-    # At most SLOTS rows of each kind.
-    seen = np.zeros((len(KINDS), SLOTS, 2))
-    for row in counted.collect():
-        seen[row["kind"], row["slot"]] = row["b"], row["n"]
-    total = seen[0].sum(axis=0)
-    prior = total[0] / total[1] if total[1] else 0.5
-    rates = (seen[:, :, 0] + PRIOR_ROWS * prior) / (seen[:, :, 1] + PRIOR_ROWS)
-    features = _features(rates)
+def _matrix(url: pd.Series, host: pd.Series, path: pd.Series, *rates: pd.Series) -> np.ndarray:
+    rows = np.array([lexical(u or "", h, p) for u, h, p in zip(url, host, path)]).reshape(len(url), -1)
+    return np.column_stack([rows, *(r.to_numpy(np.float64) for r in rates)])
+
+
+def _parsed(df: DataFrame, *more: Column) -> DataFrame:
+    host, path = host_and_path(F.col("url"))
+    df = df.select(*more, "url", host.alias("host"), path.alias("path"))
+    return df.withColumns(dict(zip(SUFFIXES, suffixes(F.col("host"), F.col("path")))))
+
+
+class Filter(NamedTuple):
+    """What was learned: the statistics and the trees."""
+
+    counts: DataFrame
+    prior: float
+    trees: Trees
+
+    def score(self, urls: DataFrame) -> DataFrame:
+        """``urls`` as ``_parsed`` makes them, with ``block_score``."""
+        trees = self.trees
+
+        @F.pandas_udf(T.DoubleType())
+        def run(url: pd.Series, host: pd.Series, path: pd.Series, a: pd.Series, b: pd.Series,
+                c: pd.Series) -> pd.Series:
+            return pd.Series(1 / (1 + np.exp(-trees.margin(_matrix(url, host, path, a, b, c)))))
+
+        rated = with_rates(urls.withColumn("fold", F.lit(None).cast("int")), self.counts, self.prior)
+        return rated.withColumn("block_score", run("url", "host", "path", *RATES))
+
+
+def learn(labelled: DataFrame) -> Filter:
+    """From (url, block); rows without a label count for nothing."""
+    known = stored(_parsed(labelled, F.col("block").cast("int").alias("block")).filter(
+        "block IS NOT NULL").withColumn("fold", F.pmod(F.xxhash64("host"), F.lit(FOLDS)).cast("int")),
+        "labelled-urls")
+    counts = stored(suffix_counts(known), "suffixes")
+    total = known.agg(F.sum("block").alias("b"), F.count("block").alias("n")).first()
+    prior = total["b"] / total["n"] if total["n"] else 0.5
     distinct = known.dropDuplicates(["url"]).orderBy(F.xxhash64("url"), "url").limit(SAMPLE)
-    inputs = ["url", "host", "path", *slots]
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def described(url: pd.Series, host: pd.Series, path: pd.Series, a: pd.Series, b: pd.Series,
                   c: pd.Series) -> pd.Series:
-        return pd.Series(list(features(url, host, path, a, b, c)))
+        return pd.Series(list(_matrix(url, host, path, a, b, c)))
+
+    rows = with_rates(distinct, counts, prior).select(
+        "block", described("url", "host", "path", *RATES).alias("x")).collect()
+    rows.sort(key=lambda r: list(r["x"]))
+    return Filter(counts, prior, fit(np.array([r["x"] for r in rows], dtype=np.float64),
+                                     np.array([r["block"] for r in rows], dtype=np.float64)))
 
-    rows = distinct.select("block", described(*inputs).alias("x")).collect()
-    trees = fit(np.array([r["x"] for r in rows], dtype=np.float64),
-                np.array([r["block"] for r in rows], dtype=np.float64))
 
-    @F.pandas_udf(T.DoubleType())
-    def score(url: pd.Series, host: pd.Series, path: pd.Series, a: pd.Series, b: pd.Series,
-              c: pd.Series) -> pd.Series:
-        return pd.Series(1 / (1 + np.exp(-trees.margin(features(url, host, path, a, b, c)))))
+def judge(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None = None) -> DataFrame:
+    """(page_id, host, path, rule, verdict, block_score) of every page.
 
+    ``labelled`` has (url, block): the URLs to learn from; by default those that a rule decides.
+    """
+    rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
+    table = _parsed(pages, F.col("page_id")).withColumns({"rule": rule, "fixed": verdict})
+    if labelled is None:
+        labelled = table.filter("rule IS NOT NULL").select(
+            "url", (F.col("fixed") == "block").cast("int").alias("block"))
     judged = F.when(F.col("block_score") > 0.5, "block").otherwise("allow")
-    return (table.withColumn("block_score", score(*inputs))
-            .select("page_id", "host", "path", "rule",
-                    F.coalesce("fixed", judged).alias("verdict"), "block_score"))
+    return learn(labelled).score(table).select(
+        "page_id", "host", "path", "rule", F.coalesce("fixed", judged).alias("verdict"), "block_score")
