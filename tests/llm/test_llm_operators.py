@@ -594,15 +594,59 @@ def test_quality(spark, awkward, empty):
     labels = spark.createDataFrame(
         [(i, int(i < 240), None) for i in range(400) if i % 2] + [(2, None, 1), (None, 1, 0)],
         "doc_id long, quality int, toxic int")
-    model = quality_cotraining.learn(docs, labels)
-    rows = {r.doc_id: r for r in quality_cotraining.score(docs, model).collect()}
+    views = quality_cotraining.describe(docs)
+    model = quality_cotraining.learn(views, labels)
+    rows = {r.doc_id: r for r in quality_cotraining.score(views, model).collect()}
     right = sum(rows[i].keep == (i < 240) for i in range(0, 400, 2))
     assert right >= 190
     assert all(0 <= r.score <= 1 for r in rows.values())
-    assert quality_cotraining.score(awkward, model).count() == len(AWKWARD)
-    blank = quality_cotraining.learn(empty, labels.limit(0))
-    assert {r.score for r in quality_cotraining.score(awkward, blank).collect()} == {0.5}
-    assert quality_cotraining.score(empty, model).collect() == []
+    odd, none = quality_cotraining.describe(awkward), quality_cotraining.describe(empty)
+    assert quality_cotraining.score(odd, model).count() == len(AWKWARD)
+    blank = quality_cotraining.learn(none, labels.limit(0))
+    assert {r.score for r in quality_cotraining.score(odd, blank).collect()} == {0.5}
+    assert quality_cotraining.score(none, model).collect() == []
+
+
+def test_described_views_keep_the_features():
+    for text, source, lang, n in [("Some words | HERE\nand there 12", "web", "en", 31.0), (None, None, None, None),
+                                  ("", "", "x", float("nan")), ("w " * 50_000, "web", None, 1e12)]:
+        x, m = quality_cotraining.unpacked([quality_cotraining._packed(text, source, lang, n)])
+        assert np.allclose(x[0], quality_cotraining.content(text), atol=1e-3, rtol=1e-3)
+        assert np.allclose(m[0], quality_cotraining.metadata(source, lang, n))
+
+
+def test_the_whole_pool_is_searched(spark):
+    """The surest of all documents, against all scores held in memory; copies are one candidate."""
+    rng = np.random.default_rng(88)
+    texts = [f"t{i} " + " ".join(f"w{k}" for k in rng.integers(0, 50, 20)) for i in range(300)] + ["copy me"] * 200
+    docs = table(spark, list(enumerate(texts)))
+    views = quality_cotraining.describe(docs)
+    models = [quality_cotraining.View(np.zeros(n), np.ones(n), rng.normal(size=n), 0.0) for n in (
+        quality_cotraining._SHAPE + quality_cotraining.WORD_SLOTS, 2 * quality_cotraining.META_SLOTS + 3)]
+    rows = views.collect()
+    x, m = quality_cotraining.unpacked([r.v for r in rows])
+    chances = [quality_cotraining._sigmoid(models[0].logit(x)), quality_cotraining._sigmoid(models[1].logit(m))]
+    expected = {r.h: (a, b) for r, a, b in zip(rows, *chances)}
+    taken = set(sorted(expected)[:3])
+    found = {r.h: (r.p0, r.p1) for r in quality_cotraining.surest(views, models, taken).collect()}
+    assert set(found) == set(expected) - taken and len(expected) <= 301
+    for h, p in found.items():
+        assert p == pytest.approx(expected[h])
+
+
+def test_rounds_add_labels_of_the_other_view():
+    rng = np.random.default_rng(89)
+    y = (rng.random(400) < 0.5).astype(float)
+    views = (y[:, None] + rng.normal(size=(400, 3)), y[:, None] * 2 + rng.normal(size=(400, 2)))
+    state = quality_cotraining.CoTraining(views, y)
+    before = [len(k[1]) for k in state.known]
+    state.add(1, np.ones((5, 2)), np.ones(5))
+    state.learn()
+    assert [len(k[1]) for k in state.known] == [before[0], before[1] + 5]
+    model = state.model()
+    score = model.score(*views)
+    assert ((score > 0.5) == (y > 0.5)).mean() > 0.85
+    assert state.quota(1) + state.quota(0) <= quality_cotraining.GIVEN
 
 
 # ---------------------------------------------------------------- language

@@ -1,14 +1,16 @@
 """Quality classifier by co-training two views of a document.
 
 One classifier sees the content (hashed words and the shape of the text), the other the metadata
-(source, language, stated length). Both start from the labelled documents. In each round either
-labels the part of an unlabelled pool it is surest of, for the *other* one to learn from. Labelled
-documents that were held out calibrate each view (Platt) and weigh the two; the weighted logits
-score every whole document.
+(source, language, stated length). Both start from the labelled documents. In each round both score
+every document without a label, and each hands the ``GIVEN`` it is surest of to the *other* one to
+learn from. Labelled documents that were held out calibrate each view (Platt) and weigh the two; the
+weighted logits score every whole document.
 
-Training uses a bounded sample: ``LABELLED`` labelled and ``POOL`` unlabelled documents, the first
-by the order of a hash of the id, features only. Scoring covers all documents in place, without a
-shuffle.
+The views of all documents are described once and stored; a round reads those, and so does the last
+scoring. The pool is the whole corpus at every size: Spark finds the surest by an ordered limit, and
+equal documents are one candidate, so that a large group of copies cannot fill a round. What training
+holds is bounded: ``LABELLED`` labelled documents, the first by the order of a hash of the id, and
+``GIVEN`` pseudo-labels per view and round; features only.
 
 Defined results: a null text counts as empty, a null source, language or length has a value of its
 own. Conflicting labels of one document count by their mean, null labels not at all. Without both
@@ -28,10 +30,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vintora.llm.common import stored
+
 LABELLED = 6000
-POOL = 6000
 ROUNDS = 4
-SHARE = 0.05        # of the pool, per label, view and round
+GIVEN = 600         # pseudo-labels per view and round, in the proportion of the known labels
 SURE = 0.9
 WORD_SLOTS = 512
 META_SLOTS = 64
@@ -125,95 +128,144 @@ def learn_view(x: np.ndarray, y: np.ndarray) -> View:
     return View(mean, scale, weights, bias)
 
 
-def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray,
-             pool: tuple[np.ndarray, np.ndarray]) -> Model:
-    """``views`` and ``pool`` hold the rows of both views; a quarter of ``y`` calibrates."""
-    prior = float(y.mean()) if len(y) else 0.5
-    hold = np.arange(len(y)) % 4 == 3
-    if len(np.unique(y[~hold])) < 2 or len(np.unique(y[hold])) < 2:
-        return Model(None, None, np.zeros(3), prior)
-    known = [(v[~hold].astype(np.float64), y[~hold]) for v in views]
-    free = np.ones(len(pool[0]), dtype=bool)
-    models = [learn_view(*k) for k in known]
-    quota = int(SHARE * len(free))
-    for _ in range(ROUNDS if quota else 0):
-        given: list[tuple[np.ndarray, np.ndarray]] = []
-        for k in (0, 1):
-            p = _sigmoid(models[k].logit(pool[k].astype(np.float64)))
-            rows = []
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                # Labels are handed on in the proportion they have among known rows.
-                n = max(1, int(quota * (prior if label else 1 - prior)))
-                best = np.argsort(-np.where(free, sure, -1), kind="stable")[:n]
-                rows += [(i, label) for i in best if free[i] and sure[i] >= SURE]
-            free[[i for i, _ in rows]] = False
-            given.append((np.array([i for i, _ in rows], dtype=np.int64),
-                          np.array([label for _, label in rows])))
+class CoTraining:
+    """The known rows of both views, to which rounds add; a quarter of ``y`` only calibrates."""
+
+    def __init__(self, views: tuple[np.ndarray, np.ndarray], y: np.ndarray):
+        self.views, self.y = views, y
+        self.prior = float(y.mean()) if len(y) else 0.5
+        self.hold = np.arange(len(y)) % 4 == 3
+        self.possible = len(np.unique(y[~self.hold])) == 2 and len(np.unique(y[self.hold])) == 2
+        if self.possible:
+            self.known = [(v[~self.hold].astype(np.float64), y[~self.hold]) for v in views]
+            self.models = [learn_view(*k) for k in self.known]
+
+    def quota(self, label: int) -> int:
+        return max(1, int(GIVEN * (self.prior if label else 1 - self.prior)))
+
+    def add(self, view: int, rows: np.ndarray, labels: np.ndarray) -> None:
+        """Rows of one view, labelled by the other."""
+        if len(labels):
+            x, y = self.known[view]
+            self.known[view] = (np.concatenate([x, rows]), np.concatenate([y, labels]))
+
+    def learn(self) -> None:
+        self.models = [learn_view(*k) for k in self.known]
+
+    def model(self) -> Model:
+        if not self.possible:
+            return Model(None, None, np.zeros(3), self.prior)
+        hold, y = self.hold, self.y[self.hold]
+        calibrated = []
         for k in (0, 1):
-            at, labels = given[1 - k]
-            if len(at):
-                known[k] = (np.concatenate([known[k][0], pool[k][at]]),
-                            np.concatenate([known[k][1], labels]))
-        models = [learn_view(*k) for k in known]
-    calibrated = []
+            raw = self.models[k].logit(self.views[k][hold].astype(np.float64))
+            slope, offset = logistic(raw[:, None], y, penalty=0.1)
+            calibrated.append(self.models[k]._replace(slope=max(0.0, float(slope[0])), offset=offset))
+        logits = np.column_stack([m.logit(v[hold].astype(np.float64))
+                                  for m, v in zip(calibrated, self.views)])
+        mix, bias = logistic(logits, y, penalty=0.1)
+        # A view never counts against its own verdict.
+        return Model(*calibrated, np.array([*np.maximum(0, mix), bias]), self.prior)
+
+
+# A described row is the shape of the text and the metadata in 4 bytes, the word slots in 2.
+_SHAPE = 13
+
+
+def _packed(text: str | None, source: str | None, lang: str | None, n: float | None) -> bytes:
+    x, m = content(text), metadata(source, lang, n)
+    places = np.concatenate([np.flatnonzero(m[:2 * META_SLOTS]), m[-3:]]).astype("<f4")
+    return x[:_SHAPE].astype("<f4").tobytes() + places.tobytes() + x[_SHAPE:].astype("<f2").tobytes()
+
+
+def unpacked(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(content, metadata) of described rows, one row each."""
+    if not rows:
+        return np.zeros((0, _SHAPE + WORD_SLOTS)), np.zeros((0, 2 * META_SLOTS + 3))
+    cut = 4 * (_SHAPE + 5)
+    head = np.stack([np.frombuffer(r[:cut], "<f4") for r in rows]).astype(np.float64)
+    slots = np.stack([np.frombuffer(r[cut:], "<f2") for r in rows]).astype(np.float64)
+    meta = np.zeros((len(rows), 2 * META_SLOTS + 3))
     for k in (0, 1):
-        raw = models[k].logit(views[k][hold].astype(np.float64))
-        slope, offset = logistic(raw[:, None], y[hold], penalty=0.1)
-        calibrated.append(models[k]._replace(slope=max(0.0, float(slope[0])), offset=offset))
-    logits = np.column_stack([m.logit(v[hold].astype(np.float64)) for m, v in zip(calibrated, views)])
-    mix, bias = logistic(logits, y[hold], penalty=0.1)
-    # A view never counts against its own verdict.
-    return Model(*calibrated, np.array([*np.maximum(0, mix), bias]), prior)
+        meta[np.arange(len(rows)), head[:, _SHAPE + k].astype(np.int64)] = 1
+    meta[:, -3:] = head[:, _SHAPE + 2:]
+    return np.concatenate([head[:, :_SHAPE], slots], axis=1), meta
+
 
+def describe(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, v, h) of every document: its number, both views, and a hash of them. Stored."""
+    @F.pandas_udf("binary")
+    def run(text: pd.Series, source: pd.Series, lang: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([_packed(*r) for r in zip(text, source, lang, n)], dtype=object)
 
-def _described(docs: DataFrame, *more: str) -> DataFrame:
-    """(x, m): the two views of each row as bytes, and the columns ``more``."""
-    @F.pandas_udf("x binary, m binary")
-    def run(text: pd.Series, source: pd.Series, lang: pd.Series, n: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({
-            "x": [content(t).tobytes() for t in text],
-            "m": [metadata(s, l, c).tobytes() for s, l, c in zip(source, lang, n)]})
-    return docs.select(run("text", F.col("source").cast("string"), F.col("lang").cast("string"),
-                           F.col("n_chars").cast("double")).alias("_v"), *more).select("_v.*", *more)
+    views = docs.select("doc_id", run("text", F.col("source").cast("string"), F.col("lang").cast("string"),
+                                      F.col("n_chars").cast("double")).alias("v"))
+    return stored(views.select(F.monotonically_increasing_id().alias("row"), "doc_id", "v",
+                               F.xxhash64("v").alias("h")), "views")
 
 
-def _rows(collected: list) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(np.stack([np.frombuffer(r[c], np.float32) for r in collected]) if collected
-                 else np.zeros((0, 1), np.float32) for c in ("x", "m"))
+def surest(pool: DataFrame, models: list[View], taken: set[int]) -> DataFrame:
+    """(h, row, p0, p1): each distinct description not taken, with the chance of a good document by
+    either view."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            views = unpacked(pdf["v"].tolist())
+            yield pd.DataFrame({"h": pdf["h"], "row": pdf["row"], **{
+                f"p{k}": _sigmoid(models[k].logit(views[k])) for k in (0, 1)}})
 
+    scored = pool.select("h", "row", "v").mapInPandas(run, "h long, row long, p0 double, p1 double")
+    # At most 2 * GIVEN hashes per round.
+    free = scored.filter(~F.col("h").isin(sorted(taken))) if taken else scored
+    return free.groupBy("h").agg(F.min("row").alias("row"), F.max("p0").alias("p0"), F.max("p1").alias("p1"))
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
+
+def learn(described: DataFrame, labels: DataFrame) -> Model:
     graded = (labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
               .agg((F.avg("quality") >= 0.5).cast("int").alias("good")))
-    docs = docs.select("doc_id", "text", "source", "lang", "n_chars")
-    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
+    narrow = described.select("row", "doc_id")
+    marked = stored(narrow.join(graded, "doc_id"), "graded")
     order = [F.xxhash64("doc_id"), "doc_id"]
-    chosen = (ids.join(graded, "doc_id").orderBy(*order).limit(LABELLED).unionByName(
-        ids.join(graded, "doc_id", "left_anti").orderBy(*order).limit(POOL)
-        .withColumn("good", F.lit(None).cast("int"))))
-    # At most LABELLED + POOL rows of two numbers.
-    sample = docs.join(F.broadcast(chosen), "doc_id")
-    rows = sorted(_described(sample, "doc_id", "good").collect(),
-                  key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
-    marked = [r for r in rows if r["good"] is not None]
-    return co_train(_rows(marked), np.array([r["good"] for r in marked], dtype=np.float64),
-                    _rows([r for r in rows if r["good"] is None]))
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
+    chosen = marked.select("doc_id", "good").distinct().orderBy(*order).limit(LABELLED)
+    # An id that repeats counts once, with the description of the smallest hash.
+    rows = (described.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "good")
+            .agg(F.min_by("v", "h").alias("v")).collect())
+    rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
+    state = CoTraining(unpacked([r["v"] for r in rows]), np.array([r["good"] for r in rows], dtype=np.float64))
+    if not state.possible:
+        return state.model()
+    pool = described.join(marked.select("row"), "row", "left_anti")
+    taken: set[int] = set()
+    for _ in range(ROUNDS):
+        scored = stored(surest(pool, state.models, taken), "round")
+        picks = []
+        for view in (0, 1):
+            for label in (1, 0):
+                sure = F.col(f"p{view}") if label else 1 - F.col(f"p{view}")
+                best = scored.withColumn("sure", sure).filter(F.col("sure") >= SURE).orderBy(
+                    F.desc("sure"), "h").limit(state.quota(label))
+                picks += [(r["row"], r["h"], view, label) for r in best.select("row", "h").collect()]
+        if not picks:
+            break
+        # At most 2 * GIVEN rows, apart from roundings.
+        numbers = described.sparkSession.createDataFrame(sorted({(p[0],) for p in picks}), "row long")
+        found = {r["row"]: r["v"] for r in described.join(F.broadcast(numbers), "row").select(
+            "row", "v").collect()}
+        for view in (0, 1):
+            mine = [p for p in picks if p[2] == view]
+            other = unpacked([found[p[0]] for p in mine])[1 - view]
+            state.add(1 - view, other, np.array([p[3] for p in mine], dtype=np.float64))
+        taken |= {p[1] for p in picks}
+        state.learn()
+    return state.model()
+
+
+def score(described: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, keep) of every document; a score of 0.5 or more is kept."""
     @F.pandas_udf("double")
-    def run(text: pd.Series, source: pd.Series, lang: pd.Series, n: pd.Series) -> pd.Series:
-        if not len(text):
+    def run(v: pd.Series) -> pd.Series:
+        if not len(v):
             return pd.Series([], dtype=float)
-        out = []
-        for at in range(0, len(text), 1000):
-            part = slice(at, at + 1000)
-            x = np.stack([content(t) for t in text[part]])
-            m = np.stack([metadata(*r) for r in zip(source[part], lang[part], n[part])])
-            out.append(model.score(x.astype(np.float64), m.astype(np.float64)))
-        return pd.Series(np.concatenate(out))
-    scored = docs.select("doc_id", run("text", F.col("source").cast("string"),
-                                       F.col("lang").cast("string"),
-                                       F.col("n_chars").cast("double")).alias("score"))
+        return pd.Series(np.concatenate([model.score(*unpacked(v.iloc[at:at + 1000].tolist()))
+                                         for at in range(0, len(v), 1000)]))
+    scored = described.select("doc_id", run("v").alias("score"))
     return scored.select("doc_id", "score", (F.col("score") >= 0.5).alias("keep"))

@@ -60,9 +60,9 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(prepare(spark), sf_dir, "documents")
-    model = quality_cotraining.learn(docs, read(spark, sf_dir, "labels"))
-    return quality_cotraining.score(docs, model)
+    views = quality_cotraining.describe(read(prepare(spark), sf_dir, "documents"))
+    model = quality_cotraining.learn(views, read(spark, sf_dir, "labels"))
+    return quality_cotraining.score(views, model)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
