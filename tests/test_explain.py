@@ -57,3 +57,8 @@ def test_narrow_loans_shuffle_less(spark, no_small_tables, name):
     assert len(re.findall("ShuffleQueryStage", final)) <= MOST[name]
     # Nothing of the order book is looked up.
     assert "route_days" not in final and "valid_from" not in final
+
+
+@pytest.mark.parametrize("name", ["m15_seasonality_month", "d10_charge_off"])
+def test_distinct_counts_copy_no_rows(spark, name):
+    assert "Expand" not in plan(spark, name)

@@ -288,6 +288,21 @@ def test_unread_values_are_counted_per_load(spark, book, tmp_path):
     assert sorted(r[0] or 0 for r in staging.service_profile.select("id_cliente").collect()) == [0, 0, 0, 0, 1]
 
 
+def test_probes_read_footers_only(spark, book, tmp_path):
+    staging = intake.Staging(spark, str(tmp_path))
+    intake.load_all(staging, {"credit_order": book.source.credit_order,
+                              "service_profile": book.source.service_profile}, book.terms)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    for name, at in (("credit_order", "createdAt"), ("service_profile", None)):
+        df = staging.probe(name, at)
+        plan = df._jdf.queryExecution().toString()
+        assert "PushedAggregation: [COUNT(*)" in plan
+        row, table = df.first(), getattr(staging, name)
+        assert row["rows"] == table.count()
+        assert at is None or row["last"] == table.agg(F.max(at)).first()[0]
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+
+
 # -- tables in parts -------------------------------------------------------
 
 def files(path):

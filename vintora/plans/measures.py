@@ -266,13 +266,20 @@ def charge_off(leads: DataFrame) -> DataFrame:
     """
     amount = F.col("total_amount")
     paid = F.col("stage") == "Paid"
-    base = leads.agg(
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("sales_order_id").alias("disbursed"),
-        F.count_distinct(F.when(paid, F.col("sales_order_id"))).alias("paid"),
+    # One row per order, and one per customer, instead of a copy of every row per distinct count.
+    per_order = leads.groupBy("sales_order_id").agg(
+        F.max(paid.cast("int")).alias("paid"),
         F.sum(F.when(F.col("stage") == "Ongoing", amount)).alias("amount_disbursed"),
         F.sum(F.when(F.col("lead_stage") == "Paid", amount)).alias("amount_leading"),
         F.sum(F.when(paid, amount)).alias("amount_paid"))
+    amounts = ("amount_disbursed", "amount_leading", "amount_paid")
+    orders = per_order.agg(
+        F.count("sales_order_id").alias("disbursed"),
+        F.count(F.when(F.col("paid") == 1, F.col("sales_order_id"))).alias("paid"),
+        *[F.sum(c).alias(c) for c in amounts])
+    people = leads.select("customer_id").distinct().agg(F.count("customer_id").alias("customers"))
+    base = orders.unionByName(people, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("customers", "disbursed", "paid", *amounts)])
     return base.withColumns({
         "by_count": 1 - F.col("paid") / F.col("disbursed"),
         "by_amount": 1 - F.col("amount_leading") / F.col("amount_disbursed"),

@@ -88,12 +88,19 @@ def cohort_panel(order_months: DataFrame, first_credit: DataFrame) -> DataFrame:
 
 
 def month_seasonality(order_months: DataFrame) -> DataFrame:
-    """Average ticket and average monthly volume per calendar month: 12 rows."""
-    calendar = F.month("month").alias("calendar_month")
-    return order_months.groupBy(calendar).agg(
-        safe_div(F.sum("amount"), F.count_distinct("sales_order_id")).alias("avg_ticket"),
-        safe_div(F.sum("amount"), F.count_distinct(F.struct("customer_id", "month")))
-        .alias("avg_volume"))
+    """Average ticket and average monthly volume per calendar month: 12 rows.
+
+    Each distinct count has an aggregate of its own, which reduces before it shuffles; two of them in
+    one aggregate would copy every row of the facts per count.
+    """
+    orders = (order_months.select(F.month("month").alias("calendar_month"), "sales_order_id").distinct()
+              .groupBy("calendar_month").agg(F.count("sales_order_id").alias("orders")))
+    volumes = (order_months.groupBy("customer_id", "month").agg(F.sum("amount").alias("amount"))
+               .groupBy(F.month("month").alias("calendar_month"))
+               .agg(F.sum("amount").alias("amount"), F.count("customer_id").alias("customer_months")))
+    return volumes.join(orders, "calendar_month").select(
+        "calendar_month", safe_div("amount", "orders").alias("avg_ticket"),
+        safe_div("amount", "customer_months").alias("avg_volume"))
 
 
 def seasonality_pairs(season: DataFrame) -> DataFrame:

@@ -331,6 +331,15 @@ def _isolated_views(book: Book) -> DataFrame:
                            for n, df in zip(views, shown)])
 
 
+def _footer_probe(book: Book) -> DataFrame:
+    """Rows and newest time of loaded tables, in epoch milliseconds, without reading a row."""
+    spark, source = book.source.spark, book.source
+    staging = intake.Staging(spark, load.scratch(spark, "staging"))
+    marks = {"credit_order": "createdAt", "payment_report": "movementDate", "service_profile": None}
+    intake.load_all(staging, {n: getattr(source, n) for n in marks}, book.terms)
+    return load.union_all([staging.probe(n, at) for n, at in marks.items()])
+
+
 def _empty_guard(book: Book) -> DataFrame:
     """A second load in which two sources answer with no rows: what they had stays."""
     spark, source = book.source.spark, book.source
@@ -826,6 +835,12 @@ QUERIES = [
           """SELECT 'pub_service_profile' AS view, count(*) AS rows FROM customer
              WHERE c_custkey % 2 = 1 UNION ALL SELECT 'pub_vintage', count(*) FROM vint
              UNION ALL SELECT 'pub_broken', NULL"""),
+    Query("footer_probe", _footer_probe, "table_name rows:i last:i",
+          """SELECT 'credit_order' AS table_name, count(*) AS rows,
+                 max(epoch_ms(created_at)) + 21600000 AS last FROM lines
+             UNION ALL SELECT 'payment_report', count(*), max(epoch_ms(movement_at)) + 21600000 FROM pay
+             UNION ALL SELECT 'service_profile', count(*), NULL FROM customer
+             WHERE c_custkey % 2 = 1"""),
     Query("empty_guard", _empty_guard, "table_name outcome rows:i",
           """SELECT 'credit_order' AS table_name, 'kept' AS outcome, count(*) AS rows FROM lines
              UNION ALL SELECT 'service_profile', 'kept', count(*) FROM customer

@@ -83,6 +83,15 @@ class Staging:
         stored = self.table(name)
         return stored.state() if isinstance(stored, PartedTable) else str(stored.versions())
 
+    def probe(self, name: str, at: str | None = None) -> DataFrame:
+        """(table_name, rows, last): the rows of a stored table and the greatest value of a number or
+        date column, from the footers of its files."""
+        df = load.from_footers(self.spark, self.table(name).files(), schema_of(name))
+        marks = [F.count(F.lit(1)).alias("rows")] + ([F.max(at).alias("last")] if at else [])
+        found = df.agg(*marks)
+        return found.select(F.lit(name).alias("table_name"), "rows", (
+            F.col("last").cast("double") if at else F.lit(None).cast("double")).alias("last"))
+
     def log(self) -> DataFrame:
         if self._log.exists():
             return self._log.read()

@@ -60,6 +60,22 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
     return df.select(*out)
 
 
+# The readers that keep the first interface; Parquet without it answers from its footers.
+_FIRST_API = "spark.sql.sources.useV1SourceList"
+
+
+def from_footers(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Parquet files read so that counts, minima and maxima of numbers and dates come from their
+    footers alone. For plain aggregates over whole files; anything else reads the rows."""
+    before = spark.conf.get(_FIRST_API)
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    spark.conf.set(_FIRST_API, ",".join(s for s in before.split(",") if s != "parquet"))
+    try:
+        return spark.read.schema(schema).parquet(*paths)
+    finally:
+        spark.conf.set(_FIRST_API, before)
+
+
 # -- files -----------------------------------------------------------------
 
 def read_contract(spark: SparkSession, path: str, columns: dict[str, str],
@@ -160,6 +176,10 @@ class VersionedTable:
         version = self.versions()[-1]
         return self.spark.read.schema(self.schema(version)).parquet(f"{self.path}/v{version}")
 
+    def files(self) -> list[str]:
+        """The folder of the current version."""
+        return [f"{self.path}/v{self.versions()[-1]}"]
+
     def replace(self, df: DataFrame, by: str | None = None, keep: int | None = None,
                 check: Callable[[DataFrame], object] | None = None) -> int:
         """Write a new version and make it current; no rows means no change.

@@ -49,13 +49,17 @@ class PartedTable:
 
     def read(self, parts: Iterable[str] | None = None) -> DataFrame:
         """The rows, or those of some parts; other folders are not listed."""
-        names = self.parts() if parts is None else [p for p in self.parts() if p in set(parts)]
-        if not names:
+        folders = self.files(parts)
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        folders = [f"{self.path}/{PART}={n}" for n in names]
         reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
         return reader.parquet(*folders)
 
+    def files(self, parts: Iterable[str] | None = None) -> list[str]:
+        """The folders of all or of some parts."""
+        names = self.parts() if parts is None else [p for p in self.parts() if p in set(parts)]
+        return [f"{self.path}/{PART}={n}" for n in names]
+
     def touched(self, df: DataFrame) -> set[str]:
         """The parts that rows belong to: one value per month or day."""
         return {r[0] for r in df.select(self.part(self.at)).distinct().collect()}
