@@ -560,29 +560,43 @@ def test_shards(spark, awkward, empty):
     assert sharding.shard_documents(empty).collect() == []
 
 
+def in_turn(counts, runs):
+    """(size, bin) of every group, and each numbered once."""
+    out = []
+    for size, n in counts:
+        numbers = sorted((first + k, b) for s, first, m, b in runs if s == size for k in range(m))
+        assert [k for k, _ in numbers] == list(range(n))
+        out += [(size, b) for _, b in numbers]
+    return out
+
+
 def test_best_fit_decreasing():
     rng = random.Random(5)
     for _ in range(20):
-        sizes = [rng.randint(1, 100) for _ in range(rng.randint(1, 200))]
-        where = sharding.best_fit_decreasing(sizes, 120)
-        loads = collections.Counter()
-        for s, b in zip(sizes, where):
-            loads[b] += s
-        assert max(loads.values()) <= 120 and len(loads) <= 11 / 9 * (sum(sizes) / 120 + 1) + 4
-        # By hand: the tightest bin, the oldest among equals.
-        rooms = []
-        for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
-            fits = [(r, b) for b, r in enumerate(rooms) if r >= sizes[i]]
+        sizes = [rng.randint(1, rng.choice([8, 100, 130])) for _ in range(rng.randint(1, 200))]
+        counts = sorted(collections.Counter(sizes).items(), reverse=True)
+        needed, runs = sharding.best_fit_decreasing(counts, 120)
+        # Group by group: the tightest bin, the oldest among equals.
+        rooms, expected = [], []
+        for size in sorted(sizes, reverse=True):
+            fits = [(r, b) for b, r in enumerate(rooms) if r >= size]
             b = min(fits)[1] if fits else len(rooms)
             if not fits:
-                rooms.append(120)
-            rooms[b] -= sizes[i]
-            assert where[i] == b
-    items = [700] + [10] * 90
+                rooms.append(max(120, size))
+            rooms[b] -= size
+            expected.append((size, b))
+        assert in_turn(counts, runs) == expected and needed == len(rooms)
+        assert needed <= 11 / 9 * (sum(sizes) / 120 + 1) + 4 + sum(s > 120 for s in sizes)
     loads = collections.Counter()
-    for s, b in zip(items, sharding.level(items, 4)):
+    counts = [(700, 1), (10, 90)]
+    for s, b in in_turn(counts, sharding.level(counts, 4)):
         loads[b] += s
     assert sorted(loads.values()) == [300, 300, 300, 700]
+    loads = collections.Counter()
+    counts = [(700, 3), (3, 50), (1, 1)]
+    for s, b in in_turn(counts, sharding.level(counts, 4)):
+        loads[b] += s
+    assert sorted(loads.values()) == [151, 700, 700, 700]
 
 
 # ---------------------------------------------------------------- quality

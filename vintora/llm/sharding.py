@@ -1,11 +1,13 @@
 """Sharding by best-fit decreasing: indivisible groups into the tightest bin that still holds them.
 
-Documents with equal texts form a group and stay together. Groups of at least one unit (a
-``UNITS_PER_BIN``-th of the mean bin) are packed one by one; there are at most
-``bins * UNITS_PER_BIN`` of them, whatever the size of the corpus, because their sizes sum to the
-total. Smaller groups are first bundled by the hash of their text, as many bundles as units they
-fill, and a bundle is packed like a group. So the driver packs a bounded list and Spark does the
-rest: it adds up groups with partial sums, and joins the bins back.
+Documents with equal texts form a group and stay together. Spark adds up the groups with partial sums
+and counts them by size; that histogram is all the driver sees. Different sizes add up to the total
+at most, so it has at most the square root of twice the total number of bytes rows.
+
+Groups of one size are placed in runs: the tightest bin that holds one stays the tightest until it holds
+no more, so a run fills it and goes on with the next. The result is that of placing group by group, the
+smallest ones included. Spark then numbers the groups of each size and joins the runs by size and
+number.
 
 For a given number of shards, the capacity is the smallest one for which the packing fits (found by
 bisection). A group above the mean of what is left takes a shard alone; no capacity could
@@ -26,59 +28,68 @@ from pyspark.sql import functions as F
 
 from vintora.llm.common import numbered, stored
 
-UNITS_PER_BIN = 2048
+Counts = list[tuple[int, int]]
+#: (size, number of the first group, groups, bin)
+Runs = list[tuple[int, int, int, int]]
 
 
-def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
-    """The bin of every item. Bins wait in a sorted list of (room left, bin); ties go to the
-    older bin. An item above the capacity opens a bin that takes nothing else."""
-    where = [0] * len(sizes)
+def best_fit_decreasing(counts: Counts, capacity: int) -> tuple[int, Runs]:
+    """(bins, runs) for (size, how many), largest first. Bins wait in a sorted list of (room left, bin);
+    ties go to the older bin. A group above the capacity opens a bin that takes nothing else."""
+    runs: Runs = []
     room: list[tuple[int, int]] = []
     n_bins = 0
-    for item in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
-        size = sizes[item]
-        at = bisect_left(room, (size, -1))
-        if at < len(room):
-            left, chosen = room.pop(at)
-        else:
-            left, chosen = capacity, n_bins
-            n_bins += 1
-        where[item] = chosen
-        if left > size:
-            insort(room, (left - size, chosen))
-    return where
-
-
-def level(sizes: list[int], bins: int) -> list[int]:
+    for size, count in counts:
+        number = 0
+        while number < count:
+            at = bisect_left(room, (size, -1))
+            if at < len(room):
+                left, chosen = room.pop(at)
+            else:
+                left, chosen = capacity, n_bins
+                n_bins += 1
+            here = max(1, min(count - number, left // size))
+            runs.append((size, number, here, chosen))
+            number += here
+            if left > here * size:
+                insort(room, (left - here * size, chosen))
+    return n_bins, runs
+
+
+def level(counts: Counts, bins: int) -> Runs:
     """Bins 0 .. bins - 1 with the smallest capacity for which best-fit decreasing needs no more."""
-    where = [0] * len(sizes)
-    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
-    left, total, taken = bins, sum(sizes), 0
+    left, total = bins, sum(s * n for s, n in counts)
+    alone: Runs = []
+    rest = [list(c) for c in counts]
+    taken = dict.fromkeys((s for s, _ in counts), 0)
     # Groups above the mean of the rest stand alone.
-    while left > 1 and taken < len(order) and sizes[order[taken]] * left >= total:
-        where[order[taken]] = bins - left
-        total -= sizes[order[taken]]
-        left, taken = left - 1, taken + 1
-    rest = order[taken:]
-    if not rest:
-        return where
-    values = [sizes[i] for i in rest]
-    low, high = max(values[0], -(-total // left)), 2 * max(values[0], -(-total // left))
-    best = best_fit_decreasing(values, high)
-    while max(best) >= left:
+    while left > 1 and rest and rest[0][0] * left >= total:
+        size = rest[0][0]
+        alone.append((size, taken[size], 1, bins - left))
+        taken[size] += 1
+        total -= size
+        left -= 1
+        rest[0][1] -= 1
+        if not rest[0][1]:
+            rest.pop(0)
+    values = [(s, n) for s, n in rest]
+    if not values:
+        return alone
+    low = max(values[0][0], -(-total // left))
+    high = 2 * low
+    needed, best = best_fit_decreasing(values, high)
+    while needed > left:
         high *= 2
-        best = best_fit_decreasing(values, high)
+        needed, best = best_fit_decreasing(values, high)
     # Bisection down to a thousandth of the mean bin.
     while high - low > max(1, total // (left * 1000)):
         middle = (low + high) // 2
-        tried = best_fit_decreasing(values, middle)
-        if max(tried) < left:
+        needed, tried = best_fit_decreasing(values, middle)
+        if needed <= left:
             best, high = tried, middle
         else:
             low = middle
-    for i, chosen in zip(rest, best):
-        where[i] = chosen + bins - left
-    return where
+    return alone + [(size, first + taken[size], n, chosen + bins - left) for size, first, n, chosen in best]
 
 
 def packed_groups(items: DataFrame, size: str, group: str, *, shards: int | None = None,
@@ -87,26 +98,17 @@ def packed_groups(items: DataFrame, size: str, group: str, *, shards: int | None
 
     ``group`` must not be null and ``size`` positive.
     """
-    groups = stored(items.groupBy(F.col(group).alias("_g")).agg(F.sum(size).alias("_size")), "groups")
-    total = groups.agg(F.sum("_size")).first()[0] or 0
-    bins = shards or max(1, -(-total // capacity))
-    # With a given capacity the number of units grows with the number of bins, as it must.
-    unit = max(1, total // (bins * UNITS_PER_BIN))
-    small = F.col("_size") < unit
-    bulk = groups.filter(small).agg(F.sum("_size")).first()[0] or 0
-    bundles = max(1, bulk // unit)
-    units = groups.withColumn("_unit", F.when(small, F.concat(
-        F.lit("bundle "), F.pmod(F.xxhash64("_g"), F.lit(bundles)).cast("string")))
-        .otherwise(F.concat(F.lit("group "), F.col("_g").cast("string"))))
-    sums = units.groupBy("_unit").agg(F.sum("_size").alias("_size"))
-    rows = sums.sort(F.desc("_size"), "_unit").collect()
-    sizes = [row["_size"] for row in rows]
-    bins_of = level(sizes, shards) if shards else best_fit_decreasing(sizes, capacity)
-    spark = items.sparkSession
-    placed = spark.createDataFrame([(row["_unit"], b) for row, b in zip(rows, bins_of)],
-                                   "_unit string, shard int")
-    return (items.join(units.join(placed, "_unit").select("_g", "shard"),
-                       items[group] == F.col("_g")).drop("_g"))
+    groups = items.groupBy(F.col(group).alias("_g")).agg(F.sum(size).alias("_size"))
+    placed = stored(numbered(groups, ["_size"], "_number", "groups"), "numbered-groups")
+    # One row per size of a group.
+    counts = sorted(((r["_size"], r["n"]) for r in placed.groupBy("_size").agg(
+        F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    runs = level(counts, shards) if shards else best_fit_decreasing(counts, capacity)[1]
+    table = items.sparkSession.createDataFrame(runs, "_of long, _first long, _n long, shard int")
+    number = F.col("_number")
+    where = placed.join(table, (F.col("_size") == F.col("_of")) & (number >= F.col("_first"))
+                        & (number < F.col("_first") + F.col("_n"))).select("_g", "shard")
+    return items.join(where, items[group] == F.col("_g")).drop("_g")
 
 
 def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
