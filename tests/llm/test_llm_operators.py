@@ -2,6 +2,7 @@
 
 import collections
 import random
+import re
 import zlib
 
 import numpy as np
@@ -111,10 +112,12 @@ def test_linear_groups_have_equal_cardinality():
 # ---------------------------------------------------------------- licences
 
 def test_every_licence_sentence_is_found():
-    known = license_scan.patterns()
+    known, whole = license_scan.patterns(), license_scan.digests()
     for name, sentence in license_scan.SENTENCES.items():
         text = "Foo bar.\n" + sentence.replace("{version}", "2.0").title() + ". More."
-        assert [f.name for f in license_scan.identified(text, known)] == [name]
+        # By pattern or digest alike.
+        assert [f.name for f in license_scan.identified(text, known, whole)] == [name]
+        assert [f.name for f in license_scan.identified(text, known, {})] == [name]
 
 
 def test_licences(awkward, empty, spark):
@@ -141,6 +144,95 @@ def test_licences(awkward, empty, spark):
     assert texts[6][span.first:span.last].strip() == "Licensed under CC BY-NC 4.0."
 
 
+def scanned_by_hand(text):
+    """Licences by plain search: each sentence of the table anywhere in a sentence of the text, and the
+    first rule that fits what follows."""
+    found = []
+    for number, part in enumerate(re.split(r"(?<!\s[vV])[.!?](?=\s|$)|\n\s*\n", text)):
+        plain = re.sub(r"[\s*#/|()]+", " ", part.lower().replace('"', "").replace("'", "").replace(";", ","))
+        hits = []
+        for name, sentence in license_scan.SENTENCES.items():
+            shape = re.escape(re.sub(r"[\s*#/|()]+", " ", sentence)).replace(re.escape("{version}"), r"(\d+(?:\.\d+)*)")
+            hits += [(m.start(), -m.end(), name, m.groups()) for m in re.finditer(
+                r"(?<![a-z])" + shape + r"(?![a-z])", plain)]
+        till = -1
+        for start, end, name, groups in sorted(hits):
+            if start >= till:
+                found.append((name, groups[0] if groups else "", number))
+                till = -end
+    out = []
+    while found:
+        for licence, sequence in license_scan.RULES:
+            left, version, last, ok = list(found), "", None, True
+            for part in sequence.split():
+                fits = left and left[0][0] == part.rstrip("?") and (
+                    last is None or left[0][2] - last <= license_scan.GAP + 1)
+                if fits:
+                    version, last = version or left[0][1], left[0][2]
+                    left.pop(0)
+                elif not part.endswith("?"):
+                    ok = False
+                    break
+            if ok and len(left) < len(found):
+                out.append(licence.replace("{version}", version))
+                found = left
+                break
+        else:
+            found.pop(0)
+    return out
+
+
+def test_licences_equal_plain_search(spark):
+    """Random runs of known sentences, filler and notices, against the search by hand."""
+    rng = random.Random(2)
+    known = list(license_scan.SENTENCES.values())
+    rules = [r.replace("?", "").split() for _, r in license_scan.RULES]
+    texts = []
+    for i in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            some = [license_scan.SENTENCES[n] for n in rng.choice(rules)] if rng.random() < 0.7 else \
+                rng.sample(known, 2)
+            for sentence in some:
+                if rng.random() < 0.9:
+                    parts.append(rng.choice(["", "Note that "]) + sentence.replace("{version}", rng.choice(
+                        ["2", "2.0", "3.1"])))
+                parts += ["Some other clause of no table"] * rng.choice([0, 0, 1, 3, 30])
+        texts.append(rng.choice([". ", ".\n * ", ".\n\n"]).join(parts) + ".")
+    rows = {r.doc_id: r for r in license_scan.scan(table(spark, list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        assert [s.licence for s in rows[i].spans] == scanned_by_hand(text), text
+    assert len({x for r in rows.values() for x in r.licences}) > 25
+
+
+def test_whole_licences(spark):
+    texts = {
+        "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will"
+                " the authors be held liable for any damages.\n\nPermission is granted to anyone to use this"
+                " software for any purpose, including commercial applications, and to alter it and redistribute"
+                " it freely, subject to the following restrictions:\n\n1. The origin of this software must not"
+                " be misrepresented; you must not claim that you wrote it. 2. Altered source versions must be"
+                " plainly marked as such. 3. This notice may not be removed or altered from any source"
+                " distribution.",
+        "AGPL-3-or-later": "This program is free software: you can redistribute it and/or modify it under the"
+                           " terms of the GNU Affero General Public License as published by the Free Software"
+                           " Foundation, either version 3 of the License, or (at your option) any later version."
+                           "\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY"
+                           " WARRANTY. You should have received a copy of the GNU Affero General Public License"
+                           " along with this program.",
+        "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a"
+                   " copy of the MPL was not distributed with this file, You can obtain one at"
+                   " https://mozilla.org/MPL/2.0/.",
+        "EPL-2.0": "This program and the accompanying materials are made available under the terms of the"
+                   " Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See accompanying file)",
+        "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International"
+                        " License."}
+    rows = license_scan.scan(table(spark, list(enumerate(texts.values())))).collect()
+    assert {r.doc_id: (r.licences, r.unmatched) for r in rows} == {
+        i: ([name], []) for i, name in enumerate(texts)}
+
+
 def test_every_version_in_an_unpunctuated_list_is_found(spark):
     texts = {1: "a: under CC BY 4.0\nb: under CC BY 3.0\nc: under CC BY-SA 4.0\nd: under CC BY 4.0",
              2: "x is licensed under the GNU General Public License, version 2\n"
