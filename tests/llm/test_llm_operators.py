@@ -791,20 +791,56 @@ def test_language(spark, speech, awkward, empty):
 
 
 def test_whole_texts_are_learned_from(spark, monkeypatch):
-    """The stretches of all of the chosen texts count, to the end of long words."""
-    long = "x" * 5000 + " " + "é" * 100
-    rows = [(i, "word " * 3000 + "end" if i % 2 else long, "a" if i % 2 else "b") for i in range(40)]
+    """All stretches of the chosen texts, to the last byte."""
+    long = "x" * 5000 + " , 12 " + "é" * 100
+    rows = [(i, "word  WORD. " * 1500 + "end" if i % 2 else long, "a" if i % 2 else "b") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     monkeypatch.setattr(language_id, "DOCS_PER_LANGUAGE", 3)
-    counts = {(r.lang, bytes(r.word)): r.n for r in language_id.sample(docs).collect()}
-    assert counts["a", b"word"] == 9000 and counts["a", b"end"] == 3
-    assert counts["b", b"x" * 32] == 3 * 156 and counts["b", b"x" * 8] == 3
-    assert sum(n * len(w) for (lang, w), n in counts.items() if lang == "b") == 3 * (5000 + 200)
+    parts = collections.defaultdict(list)
+    for r in language_id.sample(docs).collect():
+        parts[r.lang].append(bytes(r.part))
+    for lang, text in (("a", "word " * 3000 + "end"), ("b", "x" * 5000 + " " + "é" * 100)):
+        data = text.encode()
+        assert sorted(parts[lang]) == sorted(3 * [data[k:k + 64] for k in range(0, len(data), 64)])
+    monkeypatch.setattr(language_id, "DRAWS", 5)
+    assert language_id.sample(docs).groupBy("lang").count().collect()[0]["count"] == 5
+
+
+def test_every_position_counts_once():
+    rng = np.random.default_rng(7)
+    net = language_id.train({k: [bytes(rng.integers(97, 105, 64).tolist()) for _ in range(5)] for k in "ab"})
+    for size in (1, 5, 63, 64, 65, 200, 640):
+        data = bytes(rng.integers(97, 123, size).tolist())
+        rows, counts = language_id.stretches(data)
+        assert int((counts[:, 1] - counts[:, 0]).sum()) == size
+        read = b"".join(bytes(r[a:b]) for r, (a, b) in zip(rows, counts))
+        assert read == data
+        # The fast steps are those that training differentiates.
+        codes = np.ascontiguousarray(rows.T).astype(np.int64)
+        short = np.arange(64)[:, None] < counts[:, 1] if size < 64 else None
+        states = np.concatenate([language_id._steps(net, w, codes, short, None) for w in (0, 1)], axis=2)
+        slow = language_id._softmax(states @ net.o + net.c)
+        assert size < 64 or np.allclose(language_id.probabilities(net, codes), slow, atol=1e-4)
+        sums = language_id.position_sums(net, rows, counts)
+        by_hand = sum(slow[a:b, k].sum(axis=0) for k, (a, b) in enumerate(counts))
+        assert np.allclose(sums.sum(axis=0), by_hand, atol=1e-3 * size) and abs(sums.sum() - size) < 1e-3 * size
+
+
+def test_state_runs_across_words():
+    """Both languages have the same words, in another order: only a state that passes the space can
+    tell them apart."""
+    order = {"x": ["ka", "mi", "to"], "y": ["to", "mi", "ka"]}
+    made = {lang: [" ".join(order[lang][(i + s) % 3] for i in range(40)) for s in range(3)] for lang in order}
+    net = language_id.train({lang: [language_id.letters(t)[at:at + 64] for t in some
+                                    for at in range(0, 100, 3)] for lang, some in made.items()})
+    score = language_id.Scorer(net)
+    for lang, some in made.items():
+        assert [found for found, _ in score(some)] == [lang] * 3
 
 
 def test_gradients_match_differences():
     rng = np.random.default_rng(1)
-    net = language_id.train({"a": {b"xy": 1}, "b": {b"zw": 2}})
+    net = language_id.train({"a": [b"xy"], "b": [b"zw"]})
     net = net._replace(**{k: getattr(net, k).astype(np.float64) for k in "xuboc"})
     codes = rng.integers(97, 101, (4, 3))
     live = np.array([[1, 1, 1], [1, 1, 1], [1, 1, 0], [1, 0, 0]], dtype=bool)

@@ -1,15 +1,16 @@
 """Language identification: a bidirectional gated recurrent network over bytes, in numpy.
 
-The network reads UTF-8 bytes forwards and backwards and gives every byte a probability for each
-language; a document's probabilities are the mean over all its bytes. White space, ASCII digits and
-punctuation say nothing about language: they end a sequence, and the network starts afresh behind
-them. A sequence is thus a word between two marks, long ones are cut into stretches of ``STRETCH``
-bytes. Whole texts are read, but each distinct word of a batch only once.
+The network reads a text's UTF-8 bytes forwards and backwards, through words and the spaces between
+them, and gives every position a probability for each language; a document's probabilities are the
+mean over all its positions. Whatever is no letter says little about language: ASCII digits, marks and
+white space become one space. Texts are read whole, in stretches of ``STRETCH`` bytes, in which the
+state runs from one end to the other; the last stretch of a text reaches back into the one before and
+counts only its new positions.
 
 Training is backpropagation through time on ``DOCS_PER_LANGUAGE`` labelled documents of each language,
-chosen by a hash of the id. Their whole texts are counted in Spark as the stretches that scoring reads
-too, and batches are drawn from those counts, so a frequent word is met as often as in the texts. Only
-text and label are used, never id or source.
+chosen by a hash of the id. Their whole texts are cut into stretches in Spark, and of those the ``DRAWS``
+of each language with the smallest hashes are learned from, so that every place of the texts has the
+same chance. Only text and label are used, never id or source.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is everything
 if nothing could be learned. Rows without an id are scored but not learned from. Rows with a null
@@ -19,7 +20,6 @@ label are scored. Repeated rows get equal results. Other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -30,13 +30,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DOCS_PER_LANGUAGE = 400
-PARTS = 64              # of each language, in which the documents are chosen first
-STRETCH = 32
-HIDDEN = 16
+PARTS = 64              # of each language, in which rows are chosen first
+DRAWS = 20_000
+STRETCH = 64
+HIDDEN = 8
 STEPS = 400
-BATCH = 256
-CACHE_WORDS = 300_000
-CHUNK = 2_000_000       # characters whose words are held at a time
+BATCH = 96
+ROWS = 2048             # stretches that are read side by side
+CHUNK = 1_000_000       # bytes whose stretches are held at a time
 _TO_SPACE = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 
 
@@ -51,14 +52,25 @@ class Net(NamedTuple):
     c: np.ndarray   # K
 
 
-def sequences(text: str) -> list[bytes]:
-    """The words of a text; bytes outside ASCII belong to words."""
-    return text.lower().encode("utf-8", "surrogatepass").translate(_TO_SPACE).split()
+def letters(text: str) -> bytes:
+    """The bytes that are read: lower case, one space between words."""
+    return b" ".join(text.lower().encode("utf-8", "surrogatepass").translate(_TO_SPACE).split())
 
 
-def stretches(text: str) -> list[bytes]:
-    """The words of a text, long ones cut."""
-    return [word[at:at + STRETCH] for word in sequences(text) for at in range(0, len(word), STRETCH)]
+def stretches(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(rows x ``STRETCH`` bytes, first and end of the positions that count, per row)."""
+    full, rest = divmod(len(data), STRETCH)
+    out = np.full((full + (rest > 0), STRETCH), 0x20, dtype=np.uint8)
+    counts = np.zeros((len(out), 2), dtype=np.int64)
+    counts[:, 1] = STRETCH
+    out[:full] = np.frombuffer(data, np.uint8, full * STRETCH).reshape(full, STRETCH)
+    if rest and full:
+        out[full] = np.frombuffer(data[-STRETCH:], np.uint8)
+        counts[full, 0] = STRETCH - rest
+    elif rest:
+        out[0, :rest] = np.frombuffer(data, np.uint8)
+        counts[0, 1] = rest
+    return out, counts
 
 
 def has_letter(text: str | None) -> bool:
@@ -96,9 +108,36 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def probabilities(net: Net, codes: np.ndarray) -> np.ndarray:
-    """time x rows x languages for rows of equal length."""
-    states = np.concatenate([_steps(net, way, codes, None, None) for way in (0, 1)], axis=2)
-    return _softmax(states @ net.o + net.c)
+    """time x rows x languages, for whole stretches: the steps above without masks, in place."""
+    hidden = net.u.shape[1]
+    out = None
+    for way in (0, 1):
+        h = np.zeros((codes.shape[1], hidden), dtype=np.float32)
+        table = (net.x[way] + net.b[way]).astype(np.float32)
+        states = np.empty((len(codes), codes.shape[1], hidden), dtype=np.float32)
+        for t in range(len(codes)) if way == 0 else range(len(codes) - 1, -1, -1):
+            a, g = table[codes[t]], h @ net.u[way]
+            zr = a[:, :2 * hidden]
+            zr += g[:, :2 * hidden]
+            zr *= 0.5
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            n, gate = a[:, 2 * hidden:], g[:, 2 * hidden:]
+            gate *= zr[:, hidden:]
+            n += gate
+            np.tanh(n, out=n)
+            h -= n
+            h *= zr[:, :hidden]
+            h += n
+            states[t] = h
+        part = states @ net.o[way * hidden:(way + 1) * hidden]
+        out = part if out is None else out + part
+    out += net.c
+    out -= out.max(axis=-1, keepdims=True)
+    np.exp(out, out=out)
+    out /= out.sum(axis=-1, keepdims=True)
+    return out
 
 
 def _gradients(net: Net, codes: np.ndarray, live: np.ndarray, labels: np.ndarray):
@@ -129,13 +168,11 @@ def _gradients(net: Net, codes: np.ndarray, live: np.ndarray, labels: np.ndarray
     return grad
 
 
-def train(words: dict[str, dict[bytes, int]], seed: int = 9) -> Net:
-    """Fit the network to counted stretches by language, all languages weighing the same."""
+def train(parts: dict[str, list[bytes]], seed: int = 9) -> Net:
+    """Fit the network to stretches by language, all languages weighing the same."""
     rng = np.random.default_rng(seed)
-    languages = sorted(k for k, v in words.items() if v)
-    parts = [sorted(words[k]) for k in languages]
-    # The place of a draw among the running sums of the counts.
-    upto = [np.cumsum([words[k][w] for w in some]) for k, some in zip(languages, parts)]
+    languages = sorted(k for k, v in parts.items() if v)
+    parts = {k: sorted(parts[k]) for k in languages}
     k = len(languages)
     scale = 1 / np.sqrt(HIDDEN)
     net = Net(languages, *(rng.normal(0, s, shape).astype(np.float32) for s, shape in (
@@ -146,8 +183,9 @@ def train(words: dict[str, dict[bytes, int]], seed: int = 9) -> Net:
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net[1:]]
     for step in range(1, STEPS + 1):
         labels = rng.integers(0, k, BATCH)
-        rows = [parts[y][int(np.searchsorted(upto[y], rng.integers(0, upto[y][-1]), side="right"))]
-                for y in labels]
+        rows = [parts[languages[y]][int(rng.integers(0, len(parts[languages[y]])))] for y in labels]
+        # Every fourth row is cut short, as short texts are.
+        rows[::4] = [row[:int(rng.integers(1, len(row) + 1))] for row in rows[::4]]
         size = max(map(len, rows))
         codes = np.zeros((size, BATCH), dtype=np.int64)
         live = np.zeros((size, BATCH), dtype=bool)
@@ -162,22 +200,25 @@ def train(words: dict[str, dict[bytes, int]], seed: int = 9) -> Net:
     return net
 
 
-def word_sums(net: Net, words: list[bytes]) -> np.ndarray:
-    """Per word: the sums of its bytes' probabilities by language, then its number of bytes."""
-    out = np.zeros((len(words), len(net.languages) + 1))
-    parts: dict[int, list[tuple[int, bytes]]] = {}
-    for i, word in enumerate(words):
-        for at in range(0, len(word), STRETCH):
-            part = word[at:at + STRETCH]
-            parts.setdefault(len(part), []).append((i, part))
-    for size, some in parts.items():
-        for at in range(0, len(some), 8192):
-            block = some[at:at + 8192]
-            codes = np.frombuffer(b"".join(p for _, p in block), np.uint8).reshape(-1, size).T
-            sums = probabilities(net, codes).sum(axis=0, dtype=np.float64)
-            rows = np.array([i for i, _ in block])
-            # A long word has several stretches.
-            np.add.at(out, rows, np.column_stack([sums, np.full(len(rows), float(size))]))
+def position_sums(net: Net, rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """rows x languages: the probabilities of the positions that count, added up."""
+    out = np.zeros((len(rows), len(net.languages)))
+    place = np.arange(STRETCH)[:, None]
+    # Short texts end before their row does, and so do the network's states.
+    short = counts[:, 1] < STRETCH
+    for masked, some in ((False, np.flatnonzero(~short)), (True, np.flatnonzero(short))):
+        for at in range(0, len(some), ROWS):
+            here = some[at:at + ROWS]
+            codes = np.ascontiguousarray(rows[here].T)
+            live = (place >= counts[here, 0]) & (place < counts[here, 1])
+            if masked:
+                states = np.concatenate([_steps(net, way, codes, live, None) for way in (0, 1)], axis=2)
+                p = _softmax(states @ net.o + net.c)
+            else:
+                p = probabilities(net, codes)
+            odd = np.flatnonzero(~live.all(axis=0))
+            p[:, odd] *= live[:, odd, None]
+            out[here] = p.sum(axis=0, dtype=np.float64)
     return out
 
 
@@ -186,74 +227,72 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame) -> DataFrame:
-    """(lang, word, n): the counted stretches of the chosen documents' whole texts."""
+    """(lang, part): the stretches to learn from, at most ``DRAWS`` of each language."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                         & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    chosen = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct()
-    # First inside parts of a language, then among what is left of them.
-    for part in (F.pmod("h", F.lit(PARTS)), F.lit(0)):
-        order = Window.partitionBy("lang", part).orderBy("h", "doc_id")
-        chosen = chosen.withColumn("n", F.row_number().over(order)).filter(
-            F.col("n") <= DOCS_PER_LANGUAGE)
+    chosen = first_by(known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct(),
+                      ["h", "doc_id"], DOCS_PER_LANGUAGE)
     # At most DOCS_PER_LANGUAGE rows of two columns for each language.
     texts = known.join(F.broadcast(chosen.select("doc_id", "lang")), ["doc_id", "lang"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            counts = Counter((lang, w) for lang, text in zip(pdf["lang"], pdf["text"])
-                             for w in stretches(text))
-            yield pd.DataFrame([(lang, w, n) for (lang, w), n in counts.items()],
-                               columns=["lang", "word", "n"])
+            for lang, text in zip(pdf["lang"], pdf["text"]):
+                data = letters(text)
+                yield pd.DataFrame({"lang": lang, "part": [
+                    data[at:at + STRETCH] for at in range(0, len(data), STRETCH)]})
 
-    return (texts.select("lang", "text").mapInPandas(run, "lang string, word binary, n long")
-            .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    parts = texts.select("lang", "text").mapInPandas(run, "lang string, part binary")
+    return first_by(parts.withColumn("h", F.xxhash64("part")), ["h", "part"], DRAWS).select("lang", "part")
+
+
+def first_by(rows: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows of each language: in parts first, then among what is left of them."""
+    for part in (F.pmod("h", F.lit(PARTS)), F.lit(0)):
+        within = Window.partitionBy("lang", part).orderBy(*order)
+        rows = rows.withColumn("n", F.row_number().over(within)).filter(F.col("n") <= n)
+    return rows
 
 
 def learn(docs: DataFrame) -> Net:
-    words: dict[str, dict[bytes, int]] = {}
+    parts: dict[str, list[bytes]] = {}
     for row in sample(docs).toLocalIterator():
-        words.setdefault(row["lang"], {})[bytes(row["word"])] = row["n"]
-    return train(words)
+        parts.setdefault(row["lang"], []).append(bytes(row["part"]))
+    return train(parts)
 
 
 class Scorer:
-    """(language, score) of whole texts; keeps the sums of the words it has seen, up to a limit."""
+    """(language, score) of whole texts."""
 
     def __init__(self, net: Net):
         self.net = net
-        self.place: dict[bytes, int] = {}
-        self.table = np.zeros((0, len(net.languages) + 1))
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        out, begin, size = [], 0, 0
-        for end, text in enumerate(texts, 1):
-            size += len(text or "")
-            if size > CHUNK or end == len(texts):
-                out += self._chunk(texts[begin:end])
-                begin, size = end, 0
-        return out
-
-    def _chunk(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        flat: list[bytes] = []
-        ends = []
+        out, held, size = [], [], 0
         for text in texts:
-            if self.net.languages and has_letter(text):
-                flat += sequences(text)
-            ends.append(len(flat))
-        new = list(set(flat).difference(self.place))
-        self.place.update(zip(new, range(len(self.table), len(self.table) + len(new))))
-        self.table = np.concatenate([self.table, word_sums(self.net, new)])
-        at = np.fromiter(map(self.place.__getitem__, flat), dtype=np.int64, count=len(flat))
+            known = self.net.languages and has_letter(text)
+            held.append(letters(text) if known else b"")
+            size += len(held[-1])
+            if size > CHUNK:
+                out += self._chunk(held)
+                held, size = [], 0
+        return out + self._chunk(held)
+
+    def _chunk(self, texts: list[bytes]) -> list[tuple[str, float]]:
+        cut = [stretches(t) for t in texts]
+        if not sum(len(rows) for rows, _ in cut):
+            return [("und", 0.0)] * len(texts)
+        sums = position_sums(self.net, np.concatenate([r for r, _ in cut]),
+                             np.concatenate([c for _, c in cut]))
+        ends = np.cumsum([len(rows) for rows, _ in cut])
         out = []
-        for first, end in zip([0, *ends], ends):
-            if end == first:
+        for text, first, end in zip(texts, [0, *ends], ends):
+            if not text:
                 out.append(("und", 0.0))
                 continue
-            pooled = self.table[at[first:end]].sum(axis=0)
-            pooled = pooled[:-1] / pooled[-1]
+            # Equal texts get equal scores, whatever they are read beside.
+            pooled = (sums[first:end].sum(axis=0) / len(text)).round(5)
             out.append((self.net.languages[int(pooled.argmax())], float(min(1.0, pooled.max()))))
-        if len(self.place) > CACHE_WORDS:
-            self.place, self.table = {}, self.table[:0]
         return out
 
 
