@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from vintora.operators.distinct import bitmap_cells, dense_numbers, margins
 from vintora.operators.relational import (
     assert_unique, dates, descending, first_per_key, interval_lookup, islands,
     match_with_fallback, months, tail_from,
@@ -148,3 +149,25 @@ def test_assert_unique(spark):
     assert_unique(df, ["k", "v"], "t")
     with pytest.raises(ValueError, match="not unique"):
         assert_unique(df, ["k"], "t")
+
+
+def test_margins_are_exact(spark, ranges):
+    """Cells, margins and the total against plain distinct counts, over several buckets of numbers."""
+    df = spark.range(150_000).select(
+        (F.col("id") % 70_001).alias("who"), (F.col("id") % 3).alias("a"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("b"), F.col("id") % 4)).alias("b"))
+    df = df.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS who, 9L AS a, 'x' AS b"))
+    numbers = dense_numbers(df, "who", ["a"])
+    top = numbers.agg(F.min("number"), F.max("number"), F.count_distinct("number")).first()
+    assert tuple(top) == (1, 70_001, 70_001)
+    bitmaps = bitmap_cells(df.join(numbers, "who", "left"), ["a", "b"], "number").persist()
+    levels = {"cell": ["a", "b"], "a": ["a"], "b": ["b"], "all": []}
+    got = {(r["level"], r["a"], r["b"]): r["distinct"] for r in margins(bitmaps, ["a", "b"], levels).collect()}
+    expected = {}
+    for level, keys in levels.items():
+        for r in df.filter("who IS NOT NULL").groupBy(*keys).agg(F.count_distinct("who").alias("n")).collect():
+            expected[level, r["a"] if "a" in keys else None, r["b"] if "b" in keys else None] = r["n"]
+    assert got == expected
+    assert [tuple(r) for r in margins(bitmaps.limit(0), ["a", "b"], levels).collect()] == [
+        ("all", None, None, 0)]
+    bitmaps.unpersist()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vintora.functions import (
     age_band, loan_index_label, month_start, month_text, months_between, safe_div,
 )
+from vintora.operators.distinct import bitmap_cells, dense_numbers, margins
 from vintora.operators.relational import dates, months, unpivot_steps
 from vintora.params import (
     BUCKET_ORDER, FUNNEL_STEPS, LEAD_STAGE_ORDER, STAGE_ORDER, STAGE_STEPS, Terms,
@@ -49,6 +50,22 @@ def survival(orders: DataFrame, people: DataFrame) -> DataFrame:
     return sized.withColumn("survival", safe_div("active", "enrolled"))
 
 
+def active_margins(orders: DataFrame) -> DataFrame:
+    """Active customers by cohort, months since enrolment and delivery status, and by every margin of
+    the three that is published, all from one set of cells."""
+    cells = ["enrollment_cohort", "months_since_enrollment", "delivery_status"]
+    known = orders.filter(F.col("enrollment_cohort").isNotNull())
+    # Customers of a cohort are numbered next to each other.
+    numbers = dense_numbers(known, "customer_id", ["enrollment_cohort"])
+    seen = known.select("customer_id", *cells).distinct().join(numbers, "customer_id")
+    # At most as many rows as cells times buckets; read once per level.
+    bitmaps = bitmap_cells(seen, cells, "number").persist()
+    cohort, month, status = cells
+    return margins(bitmaps, cells, {
+        "cell": cells, "cohort and month": [cohort, month], "cohort and status": [cohort, status],
+        "cohort": [cohort], "month": [month], "status": [status], "total": []})
+
+
 def weighted_survival(orders: DataFrame, people: DataFrame) -> DataFrame:
     """Survival per cohort and month, with a member that weights cohorts by their size."""
     cells = (orders.filter(F.col("enrollment_cohort").isNotNull())

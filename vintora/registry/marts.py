@@ -320,6 +320,20 @@ QUERIES += [
               SELECT {_C}, {_M}, delivery_status, count(DISTINCT customer_id) AS active
               FROM gorders WHERE {_C} IS NOT NULL GROUP BY 1, 2, 3) c
               LEFT JOIN {_ENROLLED} e USING ({_C})"""),
+    Query("d01_active_margins", lambda b: measures.active_margins(b.orders),
+          "level enrollment_cohort months_since_enrollment:i delivery_status distinct:i",
+          """WITH o AS (SELECT * FROM gorders WHERE enrollment_cohort IS NOT NULL
+                 AND customer_id IS NOT NULL),
+             g AS (SELECT enrollment_cohort, months_since_enrollment, delivery_status,
+                 grouping(enrollment_cohort, months_since_enrollment, delivery_status) AS kind,
+                 count(DISTINCT customer_id) AS "distinct" FROM o
+                 GROUP BY GROUPING SETS ((enrollment_cohort, months_since_enrollment, delivery_status),
+                     (enrollment_cohort, months_since_enrollment), (enrollment_cohort, delivery_status),
+                     (enrollment_cohort), (months_since_enrollment), (delivery_status), ()))
+             SELECT CASE kind WHEN 0 THEN 'cell' WHEN 1 THEN 'cohort and month'
+                 WHEN 2 THEN 'cohort and status' WHEN 3 THEN 'cohort' WHEN 5 THEN 'month'
+                 WHEN 6 THEN 'status' ELSE 'total' END AS level, enrollment_cohort,
+             months_since_enrollment, delivery_status, "distinct" FROM g"""),
     Query("d02_weighted_survival", lambda b: measures.weighted_survival(b.orders, b.members),
           f"{_C} {_M}:i active:i enrolled:i survival:r",
           f"""WITH c AS (SELECT c.*, enrolled, active / enrolled AS survival FROM (
