@@ -1,4 +1,4 @@
-"""DuckDB SQL that checks op11 to op13."""
+"""DuckDB SQL that checks op10 to op13."""
 
 from vintora.llm import secret_scan
 
@@ -187,3 +187,25 @@ SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WH
   sha256(coalesce(string_agg(s, ',' ORDER BY a, kind, b) FILTER (WHERE kind < 3), '')) AS base_sha256,
   coalesce(string_agg(s, ',' ORDER BY a, kind, b), '') AS spans
 FROM d LEFT JOIN written USING (rid) GROUP BY rid, doc_id"""
+
+# Every pair of documents that shares a shingle, by its full sets; then all that can be reached.
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS sh
+  FROM d),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p WHERE 100 * c >= 75 * (na + nb - c)),
+two AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (
+  SELECT doc_id, doc_id FROM s UNION SELECT r.a, two.b FROM r JOIN two ON r.b = two.a),
+least_id AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM s JOIN least_id ON a = doc_id"""

@@ -93,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op13_phrase_collocations)}
 
 ORACLE: dict[str, str] = {
+    "op10_minhash_dedup": checks.NEAR_DUPLICATES,
     "op11_merkle_manifest": checks.MERKLE,
     "op12_secret_scan": checks.SECRETS,
     "op13_phrase_collocations": checks.COLLOCATIONS,
