@@ -282,22 +282,24 @@ def _nightly(book: Book) -> DataFrame:
         [(r["table_name"], r["rows"]) for r in log], "table_name STRING, rows BIGINT")
 
 
-# Stored tables that are made of the route catalogue.
-_BEHIND_ROUTES = ("routes", "grid", "cut_lines", "cut_orders")
+# Tables that are stored in _changed_build, and those of them that are made of the route catalogue.
+_SOME_TABLES = ["routes", "history", "panel", "season", "cut_lines", "cut_orders"]
+_BEHIND_ROUTES = ("routes", "cut_lines", "cut_orders")
 
 
 def _changed_build(book: Book) -> DataFrame:
-    """A stored book over loaded tables, of which the route catalogue and the cohort costs come
-    anew: only what is made of them is written again."""
+    """Stored tables over loaded ones, of which the route catalogue and the cohort costs come anew:
+    only what is made of them is written again."""
     spark = book.source.spark
     staging = intake.Staging(spark, load.scratch(spark, "staging"))
-    sources = {r.table: getattr(book.source, r.table) for r in intake.RULES
-               if hasattr(book.source, r.table)}
+    sources = {n: getattr(book.source, n) for n in (
+        "credit_order", "credit_approval", "commercial_structure", "route_mapping", "orders_old",
+        "orders_new", "cohort_cac")}
     intake.load_all(staging, sources, book.terms)
     folder = load.scratch(spark, "book")
-    build.rebuild(Book(staging, book.terms), folder)
+    build.rebuild(Book(staging, book.terms), folder, _SOME_TABLES)
     intake.load_all(staging, sources, book.terms, only=["route_mapping", "cohort_cac"])
-    log = build.rebuild(Book(staging, book.terms), folder, changed=True)
+    log = build.rebuild(Book(staging, book.terms), folder, _SOME_TABLES, changed=True)
     return spark.createDataFrame([(r["table_name"], r["rows"]) for r in log],
                                  "table_name STRING, rows BIGINT")
 
