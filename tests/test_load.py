@@ -336,6 +336,8 @@ def test_windowed_load_leaves_other_months_alone(spark, book, tmp_path):
     changed = lines.withColumn("sku", F.lit("changed")) if "sku" in lines.columns else lines
     entry = intake.load_all(staging, {"credit_order": changed}, terms)[0]
     assert entry[2] == "window" and 0 < entry[3] < lines.count()
+    assert sorted((r["table_name"], r["mode"]) for r in staging.log().collect()) == [
+        ("credit_order", "full"), ("credit_order", "window")]
     after = files(tmp_path / "credit_order")
     months = {n for n in after if after[n] != before.get(n)}
     edge = (terms.now - dt.timedelta(days=terms.mutable_days)).strftime("part_=%Y-%m")

@@ -39,8 +39,10 @@ def match_with_fallback(left: DataFrame, right: DataFrame, first: tuple[str, str
     named = left.filter(has_text(first[0]))
     keys = right.select(F.col(first[1]).alias("matched_key")).distinct()
     hit = named.join(keys, F.col(first[0]) == F.col("matched_key"))
-    missed = left.filter(has_text(second[0])).join(
+    unmatched = named.filter(has_text(second[0])).join(
         right.select(F.col(first[1]).alias("_key")), F.col(first[0]) == F.col("_key"), "left_anti")
+    keyless = left.filter(~F.coalesce(has_text(first[0]), F.lit(False)) & has_text(second[0]))
+    missed = unmatched.unionByName(keyless)
     partners = right.select(F.col(second[1]).alias("_key"), F.col(first[1]).alias("matched_key"))
     rescued = missed.join(partners, F.col(second[0]) == F.col("_key")).drop("_key")
     return hit.unionByName(rescued)
