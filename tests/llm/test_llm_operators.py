@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF
 from vintora.llm import (decontamination, language_id, license_scan, near_duplicates, packing,
                          quality_cotraining, sharding, substring_dedup, url_filter, vector_search)
 from vintora.llm.registry import URL_RULES, tokenizer_path
@@ -549,6 +550,15 @@ def test_paraphrases_without_the_rare_words_are_found(spark):
     assert {r.doc_id for r in left} == {i for i, _ in rows} - {i for i, _ in by_hand}
 
 
+def test_latent_space_knows_most_leaks(spark):
+    """Recall of the cosine limit against the exact way, on the supplied documents."""
+    folder = SF.replace("sf0.001", "sf0.01")
+    found = decontamination.contaminated(spark.read.parquet(f"{folder}/documents.parquet"),
+                                         spark.read.parquet(f"{folder}/benchmark.parquet")).collect()
+    assert len(found) >= 20
+    assert sum(r.cosine >= decontamination.COSINE for r in found) >= 0.9 * len(found)
+
+
 def test_common_subsequence():
     def by_hand(a, b):
         best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
