@@ -748,6 +748,9 @@ def test_the_whole_pool_is_searched(spark):
     assert set(found) == set(expected) - taken and len(expected) <= 301
     for h, p in found.items():
         assert p == pytest.approx(expected[h])
+    graded = views.filter("doc_id < 100")
+    assert {r.h for r in quality_cotraining.surest(views, models, taken, graded).collect()} == {
+        r.h for r in rows if r.doc_id >= 100} - taken
 
 
 def test_rounds_add_labels_of_the_other_view():

@@ -204,18 +204,21 @@ def describe(docs: DataFrame) -> DataFrame:
                                F.xxhash64("v").alias("h")), "views")
 
 
-def surest(pool: DataFrame, models: list[View], taken: set[int]) -> DataFrame:
-    """(h, row, p0, p1): each distinct description not taken, with the chance of a good document by
-    either view."""
+def surest(described: DataFrame, models: list[View], taken: set[int],
+           graded: DataFrame | None = None) -> DataFrame:
+    """(h, row, p0, p1): each distinct description neither taken nor of a ``graded`` row, with the
+    chance of a good document by either view. Views are scored in place; only chances are shuffled."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             views = unpacked(pdf["v"].tolist())
             yield pd.DataFrame({"h": pdf["h"], "row": pdf["row"], **{
                 f"p{k}": _sigmoid(models[k].logit(views[k])) for k in (0, 1)}})
 
-    scored = pool.select("h", "row", "v").mapInPandas(run, "h long, row long, p0 double, p1 double")
+    scored = described.select("h", "row", "v").mapInPandas(run, "h long, row long, p0 double, p1 double")
     # At most 2 * GIVEN hashes per round.
     free = scored.filter(~F.col("h").isin(sorted(taken))) if taken else scored
+    if graded is not None:
+        free = free.join(graded.select("row"), "row", "left_anti")
     return free.groupBy("h").agg(F.min("row").alias("row"), F.max("p0").alias("p0"), F.max("p1").alias("p1"))
 
 
@@ -233,10 +236,9 @@ def learn(described: DataFrame, labels: DataFrame) -> Model:
     state = CoTraining(unpacked([r["v"] for r in rows]), np.array([r["good"] for r in rows], dtype=np.float64))
     if not state.possible:
         return state.model()
-    pool = described.join(marked.select("row"), "row", "left_anti")
     taken: set[int] = set()
     for _ in range(ROUNDS):
-        scored = stored(surest(pool, state.models, taken), "round")
+        scored = stored(surest(described, state.models, taken, marked), "round")
         picks = []
         for view in (0, 1):
             for label in (1, 0):
