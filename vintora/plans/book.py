@@ -117,11 +117,11 @@ class Book:
 
     @cached_property
     def due_months(self) -> DataFrame:
-        return credit.due_months(self.lines, self.terms)
+        return credit.due_months(self.indexed, self.terms)
 
     @cached_property
     def vintage(self) -> DataFrame:
-        return credit.vintage(self.snapshot, self.terms)
+        return credit.loan_vintage(self.loans, self.due_months, self.terms)
 
     @cached_property
     def revenue(self) -> DataFrame:

@@ -11,8 +11,7 @@ from vintora.functions import (
     text_to_date, to_monday,
 )
 from vintora.operators.relational import (
-    dates, descending, first_per_key, interval_lookup, islands, tail_from,
-    unpivot_steps,
+    dates, descending, first_per_key, interval_lookup, islands, unpivot_steps,
 )
 from vintora.operators.skew import keyed_window
 from vintora.params import (
@@ -90,13 +89,9 @@ def due_date(delivery_at, terms: Terms):
     return to_monday(F.date_add(F.to_date(delivery_at), terms.credit_days))
 
 
-def due_months(lines: DataFrame, terms: Terms) -> DataFrame:
-    """Month ends with a due loan, from the delivery dates alone."""
-    delivered = (valid_lines(lines).filter(F.col("order_status") == "COMPLETED")
-                 .groupBy("customer_id", "sales_order_id", "order_id",
-                          F.coalesce("sales_channel", F.lit("MARKETPLACE")))
-                 .agg(F.max("delivery_at").alias("delivery_at")))
-    return delivered.select(
+def due_months(orders: DataFrame, terms: Terms) -> DataFrame:
+    """Month ends with a due loan, from the delivery dates of the completed orders alone."""
+    return orders.filter(F.col("order_status") == "COMPLETED").select(
         F.last_day(due_date("delivery_at", terms)).alias("due_month_end"))
 
 
@@ -272,6 +267,9 @@ _FROM_LOAN = ("customer_id", "sales_order_id", "order_status", "created_at", "de
               "interests", "total_default", "movement_at", "payment_at", "paid_at", "due_on",
               "due_month_end")
 _FROM_LOAN_LAST = ("months_since_enrollment", "rank", "route", "supervisor", "office", "customer_type")
+FROM_LOAN = _FROM_LOAN + _FROM_LOAN_LAST
+# What it takes from its month end alone.
+FROM_CUTOFF = ("cutoff", "previous_month_end", "month")
 
 
 def snapshot_columns(loans: DataFrame) -> list[Column]:
@@ -279,34 +277,58 @@ def snapshot_columns(loans: DataFrame) -> list[Column]:
     return [loans[c] for c in (*_FROM_LOAN, "total_amount", *_FROM_LOAN_LAST)]
 
 
-def month_end_snapshot(loans: DataFrame, cutoffs: DataFrame | None = None) -> DataFrame:
-    """Every loan at every month end on or after its due date.
+def at_month_ends(loans: DataFrame, cutoffs: DataFrame, of_cutoff: dict[str, Column] | None = None
+                  ) -> DataFrame:
+    """Each loan at every month end on or after its due date, with its state there.
 
-    The month ends are a scalar array (one entry per month with a due loan). Each loan explodes
-    the part from its own month end on, so there is no inequality join and no wasted row.
+    The month ends are a scalar array (one entry per month with a due loan) that also holds what
+    depends on the month end alone: ``of_cutoff``, made of ``FROM_CUTOFF``. Each loan explodes the
+    part from its own month end on, so there is no inequality join and no wasted row. Needs of a loan
+    its due date and month end, ``paid_at``, ``enrolled_at`` and ``total_amount``.
     """
-    ends = (loans if cutoffs is None else cutoffs).agg(
-        F.sort_array(F.collect_set("due_month_end")).alias("ends")).scalar()
-    opened = loans.filter(F.col("due_month_end").isNotNull()).withColumn(
-        "cutoff", F.explode(tail_from(ends, "due_month_end")))
+    marks = (cutoffs.select(F.col("due_month_end").alias("cutoff")).filter("cutoff IS NOT NULL")
+             .distinct().withColumns({
+                 "previous_month_end": F.date_sub(F.trunc("cutoff", "month"), 1),
+                 "month": month_text("cutoff"), "_index": _month_index("cutoff")})
+             .withColumns(of_cutoff or {}))
+    ends = marks.agg(F.sort_array(F.collect_list(F.struct(*marks.columns))).alias("ends")).scalar()
+    start = F.array_position(ends["cutoff"], F.col("due_month_end")).cast("int")
+    opened = (loans.filter(F.col("due_month_end").isNotNull())
+              .withColumn("_enrolled", _month_index("enrolled_at"))
+              .withColumn("_at", F.explode(F.slice(ends, start, F.size(ends)))))
+    opened = opened.select(*[F.col(c) for c in opened.columns if c not in {"_at", *marks.columns}],
+                           *[F.col("_at")[c].alias(c) for c in marks.columns])
     settled = F.col("paid_at").isNotNull() & (
         F.col("paid_at") <= F.col("cutoff").cast("timestamp_ntz"))
-    before = F.date_sub(F.trunc("cutoff", "month"), 1)
     earlier = F.col("due_on") <= F.col("previous_month_end")
     late = F.datediff("cutoff", "due_on")
-    return (opened.withColumn("previous_month_end", before)
-            .withColumns({
-                "original_amount": F.col("total_amount"),
-                # Settled in an earlier month: no live balance, the capital stays visible.
-                "total_amount": F.when(settled & earlier, F.lit(0.0))
-                .otherwise(F.col("total_amount")),
-                "days_past_due": F.when(settled, 0).otherwise(late),
-                "par": F.when(settled & earlier, "PaidPrev").when(settled, "Paid")
-                .otherwise(delinquency_bucket(late)),
-                "months_on_book": months_between("enrolled_at", "cutoff"),
-                "month": month_text("cutoff")})
-            .select(*_FROM_LOAN, "cutoff", "previous_month_end", "original_amount", "total_amount",
-                    "days_past_due", "par", "months_on_book", "month", *_FROM_LOAN_LAST))
+    return opened.withColumns({
+        "original_amount": F.col("total_amount"),
+        # Settled in an earlier month: no live balance, the capital stays visible.
+        "total_amount": F.when(settled & earlier, F.lit(0.0)).otherwise(F.col("total_amount")),
+        "days_past_due": F.when(settled, 0).otherwise(late),
+        "par": F.when(settled & earlier, "PaidPrev").when(settled, "Paid")
+        .otherwise(delinquency_bucket(late)),
+        "months_on_book": F.col("_index") - F.col("_enrolled")}).drop("_index", "_enrolled")
+
+
+def _month_index(d) -> Column:
+    return F.year(d) * 12 + F.month(d)
+
+
+def month_end_snapshot(loans: DataFrame, cutoffs: DataFrame | None = None,
+                       of_loan: dict[str, Column] | None = None,
+                       of_cutoff: dict[str, Column] | None = None) -> DataFrame:
+    """Every loan at every month end on or after its due date.
+
+    ``of_loan`` and ``of_cutoff`` are further columns that depend on the loan's own columns or on the
+    month end alone; they are made once per loan or month end instead of in every row.
+    """
+    of_loan, of_cutoff = of_loan or {}, of_cutoff or {}
+    opened = at_month_ends(loans.withColumns(of_loan), loans if cutoffs is None else cutoffs, of_cutoff)
+    return opened.select(
+        *_FROM_LOAN, "cutoff", "previous_month_end", "original_amount", "total_amount",
+        "days_past_due", "par", "months_on_book", "month", *_FROM_LOAN_LAST, *of_loan, *of_cutoff)
 
 
 def vintage(snapshot: DataFrame, terms: Terms) -> DataFrame:
@@ -333,6 +355,69 @@ def vintage(snapshot: DataFrame, terms: Terms) -> DataFrame:
         *[F.sum(f"amount{d}").alias(f"_par{d}") for d in marks],
         *[F.sum(F.when(F.col("customer_id").isNotNull(), F.col(f"late{d}"))).alias(f"_par{d}_n")
           for d in marks])
+    return _vintage_rates(cells)
+
+
+def loan_vintage(loans: DataFrame, cutoffs: DataFrame, terms: Terms) -> DataFrame:
+    """``vintage`` of the loans' snapshot, made of groups of loans that are alike at every month end.
+
+    What a loan adds to a cell depends on its cohort, its due date and the month end from which it is
+    settled, so amounts are added up per such group first. Customers are counted from their earliest
+    due month on, and as late from their loans that were open at a month end, one row per cell and
+    customer. The three kinds of groups come from one pass over the loans, and only they are opened
+    at month ends: far fewer rows than loans times months. A cohort is the month of enrolment.
+    """
+    paid_on = F.to_date("paid_at")
+    # The first month end at whose midnight the payment has arrived.
+    settled_end = F.last_day(F.when(F.col("paid_at") <= paid_on.cast("timestamp_ntz"), paid_on)
+                             .otherwise(F.date_add(paid_on, 1)))
+    due = loans.filter(F.col("due_month_end").isNotNull()).select(
+        "customer_id", "enrollment_cohort", F.trunc("enrolled_at", "month").alias("enrolled_at"),
+        "enrolled_customers", "total_amount", "due_on", settled_end.alias("settled_end"))
+    named = F.col("customer_id").isNotNull()
+    was_open = F.col("settled_end").isNull() | (F.col("settled_end") > F.last_day("due_on"))
+    nobody, never = F.lit(None).cast("string"), F.lit(None).cast("date")
+    groups = unpivot_steps(due, [
+        (F.lit("amount"), nobody, F.col("due_on"), F.col("settled_end"), F.lit(True)),
+        (F.lit("active"), F.col("customer_id"), never, never, named),
+        (F.lit("late"), F.col("customer_id"), F.col("due_on"), F.col("settled_end"),
+         named & was_open)], ("kind", "who", "due_key", "settled_key", "counts")).filter(
+        "counts").groupBy(
+        "kind", "who", "enrollment_cohort", "enrolled_at", "due_key", "settled_key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("total_amount"),
+        F.max("enrolled_customers").alias("enrolled_customers"), F.min("due_on").alias("due_on"))
+    opened = at_month_ends(groups.withColumns({
+        "due_month_end": F.last_day("due_on"), "paid_at": F.col("settled_key").cast("timestamp_ntz")
+    }), cutoffs).filter(F.col("cutoff") < F.lit(terms.as_of))
+    keys = ["enrollment_cohort", "months_on_book"]
+    marks = {"30": PAR30, "60": PAR60, "90": PAR90}
+    amount, active = F.col("kind") == "amount", F.col("kind") == "active"
+    # All month ends of a customer without enrolment are one cell: one row of it is enough.
+    first = F.col("months_on_book").isNotNull() | (F.col("cutoff") == F.col("due_month_end"))
+    kept = opened.filter(amount | (active & first)
+                         | ((F.col("kind") == "late") & F.col("par").isin(*PAR30)))
+    per_customer = kept.groupBy(*keys, "kind", F.when(~active, F.col("who")).alias("who")).agg(
+        F.max("enrolled_customers").alias("enrolled_customers"), F.count(F.lit(1)).alias("rows"),
+        F.sum("n").alias("n"), F.sum("original_amount").alias("deployed"),
+        F.sum("total_amount").alias("balance"),
+        *[F.sum(F.when(F.col("par").isin(*names), F.col("total_amount"))).alias(f"amount{d}")
+          for d, names in marks.items()],
+        *[F.max(F.col("par").isin(*names).cast("int")).alias(f"late{d}")
+          for d, names in marks.items()])
+    cells = per_customer.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(active, F.col("rows"))), F.lit(0)).alias("ever_activated"),
+        F.max("enrolled_customers").alias("enrolled_customers"),
+        F.sum(F.when(amount, F.col("n"))).alias("orders"),
+        F.sum(F.when(amount, F.col("deployed"))).alias("deployed_capital"),
+        F.sum(F.when(amount, F.col("balance"))).alias("outstanding_balance"),
+        *[F.sum(F.when(amount, F.col(f"amount{d}"))).alias(f"_par{d}") for d in marks],
+        *[F.sum(F.when(F.col("kind") == "late", F.col(f"late{d}"))).alias(f"_par{d}_n")
+          for d in marks])
+    return _vintage_rates(cells)
+
+
+def _vintage_rates(cells: DataFrame) -> DataFrame:
+    marks = ("30", "60", "90")
     # The delinquent part joins on equality, so a cell without cohort has none.
     known = F.col("enrollment_cohort").isNotNull() & F.col("months_on_book").isNotNull()
     zeroed = cells.withColumns({
