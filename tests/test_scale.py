@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vintora.params import SAMPLE as TERMS
 from vintora.plans import credit
 from vintora.plans.book import Book
+from vintora.registry.core import Query, SnapshotQuery
 
 LOAN = """customer_id STRING, enrollment_cohort STRING, enrolled_at TIMESTAMP_NTZ,
     enrolled_customers BIGINT, due_on DATE, paid_at TIMESTAMP_NTZ, total_amount DOUBLE,
@@ -52,3 +53,22 @@ def test_book_vintage_opens_groups_and_not_loans(loans):
     plan = book.vintage._jdf.queryExecution().optimizedPlan().toString()
     opened = plan[plan.index("slice("):]
     assert "Aggregate" in opened and "n#" in opened
+
+
+def test_snapshot_columns_are_published_once_per_loan(spark, loans, monkeypatch):
+    book = Book(None, TERMS)
+    book.__dict__.update(loans=loans, due_months=loans.select("due_month_end"))
+    monkeypatch.setattr(Book, "open", classmethod(lambda cls, *_: _fresh(book)))
+    fields = ("customer_id sales_order_id enrolled_at:t paid_at:t total_amount:m cutoff:t month"
+              " days_past_due:i par previous_month_end:t")
+    made = SnapshotQuery("q", lambda b: b.snapshot, fields).run(spark, "")
+    assert rows_of(made) == rows_of(Query("q", lambda b: b.snapshot, fields).run(spark, ""))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Generate")]
+    assert "cast(enrolled_at" not in above and "cast(cutoff" not in above
+
+
+def _fresh(book):
+    out = Book(None, book.terms)
+    out.__dict__.update(loans=book.loans, due_months=book.due_months)
+    return out

@@ -108,16 +108,27 @@ _SNAPSHOT = [
     ("tipo", "customer_type", _same)]
 
 
+PAR = [*_SNAPSHOT, ("limitToReceiveOrdersInMont", "previous_month_end", _same),
+       ("PAR", "par", _same), ("month", "month", _same)]
+CLOSES = [*_SNAPSHOT, ("dqBucket", "par", _same), ("month", "cutoff", month_start)]
+# Columns that carry this name are published as they are: made once per loan or month end.
+READY = "_ready_{}"
+
+
+def _snapshot(snapshot: DataFrame, fields) -> DataFrame:
+    ready = {name: READY.format(name) for name, _, _ in fields}
+    return _project(snapshot, [
+        (name, ready[name], _same) if ready[name] in snapshot.columns else (name, c, cast)
+        for name, c, cast in fields])
+
+
 def published_snapshot(snapshot: DataFrame) -> DataFrame:
     """The snapshot already carries the loan's route and rank, so no join back is needed."""
-    return _project(snapshot, [
-        *_SNAPSHOT, ("limitToReceiveOrdersInMont", "previous_month_end", _same),
-        ("PAR", "par", _same), ("month", "month", _same)])
+    return _snapshot(snapshot, PAR)
 
 
 def published_closes(snapshot: DataFrame) -> DataFrame:
-    return _project(snapshot, [*_SNAPSHOT, ("dqBucket", "par", _same),
-                               ("month", "cutoff", month_start)])
+    return _snapshot(snapshot, CLOSES)
 
 
 def published_vintage(vintage: DataFrame) -> DataFrame:

@@ -18,7 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vintora.plans import credit
 from vintora.plans.book import Book
+from vintora.plans.consumers import READY
 from vintora.registry.views import with_views
 
 
@@ -33,6 +35,12 @@ def _amount(c: Column) -> Column:
         F.floor(x * 1e5 + 0.5001) / 1e5)
 
 
+_SHAPE = {"m": _amount,
+          "r": lambda c: F.floor(c.cast("double") * 1e6 + 0.5001) / 1e6,
+          "t": lambda c: c.cast("string"), "i": lambda c: c.cast("bigint"),
+          "": lambda c: c}
+
+
 @dataclass(frozen=True)
 class Query:
     name: str
@@ -45,11 +53,7 @@ class Query:
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(Book.open(spark, sf_dir))
-        shape = {"m": _amount,
-                 "r": lambda c: F.floor(c.cast("double") * 1e6 + 0.5001) / 1e6,
-                 "t": lambda c: c.cast("string"), "i": lambda c: c.cast("bigint"),
-                 "": lambda c: c}
-        return df.select(*[shape[mark](F.col(f"`{name}`")).alias(name)
+        return df.select(*[_SHAPE[mark](F.col(f"`{name}`")).alias(name)
                            for name, mark in self._fields()])
 
     def oracle(self) -> str | None:
@@ -64,5 +68,30 @@ class Query:
         return with_views_around(fields, body)
 
 
+@dataclass(frozen=True)
+class SnapshotQuery(Query):
+    """Rows of the month-end snapshot. ``shown`` lists (published name, column, cast); what hangs on the
+    loan alone or on the month end alone is published once per loan or month end, before a loan is
+    opened at its month ends."""
+
+    shown: list | None = None
+
+    def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        book = Book.open(spark, sf_dir)
+        marks = dict(self._fields())
+        shown = self.shown or [(name, name, F.col) for name in marks]
+        ready = {origin: {READY.format(n): _SHAPE[marks[n]](cast(c)) for n, c, cast in shown
+                          if n in marks and c in origin}
+                 for origin in (credit.FROM_LOAN, credit.FROM_CUTOFF)}
+        book.__dict__["snapshot"] = credit.month_end_snapshot(
+            book.loans, book.due_months, ready[credit.FROM_LOAN], ready[credit.FROM_CUTOFF])
+        made = {n for columns in ready.values() for n in columns}
+        df = self.build(book)
+        return df.select(*[
+            F.col(READY.format(n) if READY.format(n) in df.columns else f"`{n}`").alias(n)
+            if READY.format(n) in made else _SHAPE[mark](F.col(f"`{n}`")).alias(n)
+            for n, mark in self._fields()])
+
+
 def with_views_around(fields: str, body: str) -> str:
     return with_views(f"SELECT {fields} FROM ({body}) published")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vintora.plans import consumers, contest, credit, measures, risk, sales
 from vintora.plans.book import Book
 from vintora.plans.snapshots import StoredSnapshot
-from vintora.registry.core import Query
+from vintora.registry.core import Query, SnapshotQuery
 from vintora.registry.views import AS_OF, DISTANCE, band
 from vintora.sources import intake, load
 
@@ -141,7 +141,7 @@ QUERIES = [
           " days:i", "tranches"),
     Query("m04_grouped_orders", lambda b: b.orders, ORDER, "gorders"),
     Query("m05_loss_rates", lambda b: b.loans, LOAN, "loans"),
-    Query("m06_par_snapshot", lambda b: b.snapshot, SNAPSHOT, "snap"),
+    SnapshotQuery("m06_par_snapshot", lambda b: b.snapshot, SNAPSHOT, "snap"),
     Query("m06_late_payments", _late_payments, SNAPSHOT, "snap"),
     Query("m07_vintage_analysis", lambda b: b.vintage, VINTAGE, "vint"),
     Query("staged_vintage", lambda b: _staged(b).vintage, VINTAGE, "vint"),
@@ -246,11 +246,14 @@ QUERIES = [
              created_month AS "monthCreatedAt", o.route AS ruta, o.supervisor, o.office AS oficina,
              o.customer_type AS tipo, r.customer_type AS "tipoActual"
              FROM gorders o LEFT JOIN routes r ON o.customer_id = r.customer_id"""),
-    Query("m27_par", lambda b: consumers.published_snapshot(b.snapshot),
-          _SNAP.format(par="PAR", month="month"), _SNAP_SQL.format(par="PAR", month="month")),
-    Query("m27_month_closes", lambda b: consumers.published_closes(b.snapshot),
-          _SNAP.format(par="dqBucket", month="month:t"),
-          _SNAP_SQL.format(par="dqBucket", month="CAST(date_trunc('month', cutoff) AS DATE)")),
+    SnapshotQuery("m27_par", lambda b: consumers.published_snapshot(b.snapshot),
+                  _SNAP.format(par="PAR", month="month"),
+                  _SNAP_SQL.format(par="PAR", month="month"), consumers.PAR),
+    SnapshotQuery("m27_month_closes", lambda b: consumers.published_closes(b.snapshot),
+                  _SNAP.format(par="dqBucket", month="month:t"),
+                  _SNAP_SQL.format(par="dqBucket",
+                                   month="CAST(date_trunc('month', cutoff) AS DATE)"),
+                  consumers.CLOSES),
     Query("m27_lifecycle", lambda b: consumers.published_lifecycle(b.lifecycle).withColumnRenamed(
         "Gross Sales", "Gross_Sales"),
           "createdAtMonth:t tipoActual Gross_Sales:m Clientes:i ordenes:i",
