@@ -9,6 +9,9 @@ from vintora.params import SAMPLE as TERMS
 from vintora.plans import credit
 from vintora.plans.book import Book
 from vintora.registry.core import Query, SnapshotQuery
+from vintora.sources import load
+from vintora.sources.load import EmptyLoad
+from vintora.sources.parts import PartedTable
 
 LOAN = """customer_id STRING, enrollment_cohort STRING, enrolled_at TIMESTAMP_NTZ,
     enrolled_customers BIGINT, due_on DATE, paid_at TIMESTAMP_NTZ, total_amount DOUBLE,
@@ -72,3 +75,41 @@ def _fresh(book):
     out = Book(None, book.terms)
     out.__dict__.update(loans=book.loans, due_months=book.due_months)
     return out
+
+
+def test_lines_are_placed_by_order_once(spark):
+    rows = [("c", "s", "o", "COMPLETED", None if i % 2 else "MARKETPLACE", float(i), None, None,
+             f"p{i % 3}", 1.0, 5.0, 6.0) for i in range(9)]
+    lines = spark.createDataFrame(
+        rows, """customer_id STRING, sales_order_id STRING, order_id STRING, order_status STRING,
+        sales_channel STRING, created_ms DOUBLE, created_at TIMESTAMP_NTZ, delivery_at TIMESTAMP_NTZ,
+        product_id STRING, quantity DOUBLE, order_gross_sales DOUBLE, total_price DOUBLE""")
+    orders = credit.collapse_lines(lines)
+    row = orders.collect()
+    assert [(r["skus"], r["quantity"], r["created_ms"]) for r in row] == [(3, 9.0, 8.0)]
+    text = orders._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_window_reads_its_source_once(spark):
+    source = spark.createDataFrame([("a", 1), ("a", 9), ("b", 2), (None, 3), (None, 8), ("c", None),
+                                    ("a", 1)], "k STRING, at INT")
+    refresh = spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "k STRING")
+    out = load.window_or_keys(source, "at", F.lit(8), "k", refresh)
+    assert sorted(out.collect(), key=str) == sorted(
+        [("a", 1), ("a", 1), ("a", 9), ("c", None), (None, 8)], key=str)
+    assert out.columns == ["k", "at"]
+    assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_replacing_all_parts_is_one_pass(spark, tmp_path, monkeypatch):
+    table = PartedTable(spark, str(tmp_path / "t"), "id INT, at TIMESTAMP_NTZ", F.col("at"))
+    # The parts of the rows are not asked for, which would make the rows once more.
+    monkeypatch.setattr(PartedTable, "touched", lambda *_: pytest.fail("a second pass"))
+    rows = spark.createDataFrame([(1, dt.datetime(2024, 1, 5)), (2, dt.datetime(2024, 2, 5)),
+                                  (3, None)], table.schema)
+    assert table.replace(rows) == 3 and table.parts() == ["2024-01", "2024-02", "none"]
+    with pytest.raises(EmptyLoad):
+        table.replace(rows.filter("id > 9"), required=True)
+    assert table.read().count() == 3
+    assert table.replace(rows.filter("id = 2")) == 1 and table.parts() == ["2024-02"]

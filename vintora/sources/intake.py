@@ -144,12 +144,11 @@ def _load_parts(staging: Staging, stored: PartedTable, flat: DataFrame, rule: Ru
                 mode: str) -> tuple[int, Observation | None]:
     """Load all months, or the window and the older rows that can still change; returns the number
     of rows that came in. Of the stored months only those are read and written that the load touches."""
-    extract = load.VersionedTable(staging.spark, load.scratch(staging.spark, rule.table))
     if mode == "full":
+        # Every part is replaced, so nothing has to be known of the rows before they are written.
         checked, seen = counted(flat, schema_of(rule.table))
-        rows = extract.replace(conform(checked, rule.table))
-        stored.replace(extract.read())
-        return rows, seen
+        return stored.replace(conform(checked, rule.table), required=True), seen
+    extract = load.VersionedTable(staging.spark, load.scratch(staging.spark, rule.table))
     edge = terms.now - dt.timedelta(days=terms.mutable_days)
     # The documents hold UTC.
     since = (edge - dt.datetime(1970, 1, 1)).total_seconds() * 1000 + OFFSET_MS

@@ -34,10 +34,11 @@ def project(df: DataFrame, fields: dict[str, str]) -> DataFrame:
 
 
 def window_or_keys(source: DataFrame, at: str, cutoff, key: str, refresh: DataFrame) -> DataFrame:
-    """Rows inside the window, plus older rows whose key is on the refresh list."""
-    recent = source.filter(F.col(at) >= cutoff)
-    older = source.filter((F.col(at) < cutoff) | F.col(at).isNull())
-    return recent.unionByName(older.join(refresh.select(key), key, "left_semi"))
+    """Rows inside the window, plus older rows whose key is on the refresh list. One pass over the
+    source, which may be costly to make."""
+    listed = refresh.select(F.col(key).alias("_listed")).filter("_listed IS NOT NULL").distinct()
+    return (source.join(listed, F.col(key) == F.col("_listed"), "left")
+            .filter((F.col(at) >= cutoff) | F.col("_listed").isNotNull()).drop("_listed"))
 
 
 def flatten(df: DataFrame, sep: str = "_") -> DataFrame:

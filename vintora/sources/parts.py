@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vintora.sources.load import EmptyLoad
+
 PART = "part_"
 #: Rows without a time.
 NO_TIME = "none"
@@ -64,16 +66,19 @@ class PartedTable:
         """The parts that rows belong to: one value per month or day."""
         return {r[0] for r in df.select(self.part(self.at)).distinct().collect()}
 
-    def write(self, df: DataFrame, parts: set[str]) -> None:
-        """Replace these parts by the rows of ``df``, all of which belong to them.
+    def write(self, df: DataFrame, parts: set[str], some: Observation | None = None) -> None:
+        """Replace these parts by the rows of ``df``, all of which belong to them or to new parts.
 
-        ``df`` may read the parts that it replaces: they change when all rows are written.
+        ``df`` may read the parts that it replaces: they change when all rows are written. With
+        ``some``, which counts the rows of ``df``, no rows mean no change and an error.
         """
         placed = df.select(*self.schema.names).withColumn(PART, self.part(self.at))
         before = self._files_of(parts)
         # A hint and no fixed number: a large month gets as many files as its size asks for.
         (placed.hint("rebalance", PART).sortWithinPartitions(PART, *self.order)
          .write.partitionBy(PART).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path))
+        if some is not None and not some.get["rows"]:
+            raise EmptyLoad(f"{self.path}: the load has no rows")
         # A part that still has its files got no row: all of its rows have gone.
         after = self._files_of(set(before))
         for gone in (n for n in before if before[n] == after.get(n)):
@@ -90,9 +95,13 @@ class PartedTable:
         """The names of all files: they change with every write."""
         return str(self._files_of(set(self.parts())))
 
-    def replace(self, df: DataFrame) -> None:
-        """All rows anew."""
-        self.write(df, set(self.parts()) | self.touched(df))
+    def replace(self, df: DataFrame, required: bool = False) -> int:
+        """All rows anew, in one pass; returns their number. If some are ``required``, none leave the
+        table as it is."""
+        seen = Observation()
+        self.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), set(self.parts()),
+                   seen if required else None)
+        return seen.get["rows"]
 
     def merge(self, rows: DataFrame, key: list[str]) -> None:
         """Rows of equal key are replaced, others added; ``key`` decides the part."""
