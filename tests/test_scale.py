@@ -113,3 +113,4 @@ def test_replacing_all_parts_is_one_pass(spark, tmp_path, monkeypatch):
         table.replace(rows.filter("id > 9"), required=True)
     assert table.read().count() == 3
     assert table.replace(rows.filter("id = 2")) == 1 and table.parts() == ["2024-02"]
+    assert table.replace(rows.filter("id > 9")) == 0 and table.parts() == []

@@ -66,23 +66,25 @@ class PartedTable:
         """The parts that rows belong to: one value per month or day."""
         return {r[0] for r in df.select(self.part(self.at)).distinct().collect()}
 
-    def write(self, df: DataFrame, parts: set[str], some: Observation | None = None) -> None:
-        """Replace these parts by the rows of ``df``, all of which belong to them or to new parts.
+    def write(self, df: DataFrame, parts: set[str], required: bool = False) -> bool:
+        """Replace these parts by the rows of ``df``, all of which belong to them or to new parts;
+        returns whether there were rows. If some are ``required``, none mean no change and an error.
 
-        ``df`` may read the parts that it replaces: they change when all rows are written. With
-        ``some``, which counts the rows of ``df``, no rows mean no change and an error.
+        ``df`` may read the parts that it replaces: they change when all rows are written.
         """
         placed = df.select(*self.schema.names).withColumn(PART, self.part(self.at))
-        before = self._files_of(parts)
+        before = self._files_of(set(self.parts()))
         # A hint and no fixed number: a large month gets as many files as its size asks for.
         (placed.hint("rebalance", PART).sortWithinPartitions(PART, *self.order)
          .write.partitionBy(PART).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path))
-        if some is not None and not some.get["rows"]:
+        after = self._files_of(set(self.parts()))
+        some = any(files != before.get(n) for n, files in after.items())
+        if required and not some:
             raise EmptyLoad(f"{self.path}: the load has no rows")
         # A part that still has its files got no row: all of its rows have gone.
-        after = self._files_of(set(before))
-        for gone in (n for n in before if before[n] == after.get(n)):
+        for gone in (n for n in before if n in parts and before[n] == after.get(n)):
             self._fs.delete(self._folder(gone), True)
+        return some
 
     def _folder(self, part: str):
         return self._files.Path(f"{self.path}/{PART}={part}")
@@ -96,12 +98,11 @@ class PartedTable:
         return str(self._files_of(set(self.parts())))
 
     def replace(self, df: DataFrame, required: bool = False) -> int:
-        """All rows anew, in one pass; returns their number. If some are ``required``, none leave the
-        table as it is."""
+        """All rows anew, in one pass; returns their number."""
         seen = Observation()
-        self.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), set(self.parts()),
-                   seen if required else None)
-        return seen.get["rows"]
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        # A plan without rows may be dropped before it has counted them.
+        return seen.get["rows"] if self.write(counted, set(self.parts()), required) else 0
 
     def merge(self, rows: DataFrame, key: list[str]) -> None:
         """Rows of equal key are replaced, others added; ``key`` decides the part."""
