@@ -1,6 +1,8 @@
 """Each operator on small tables against a brute-force version, and on awkward rows."""
 
+import cProfile
 import collections
+import pstats
 import random
 import re
 import zlib
@@ -572,6 +574,61 @@ def test_common_subsequence():
         assert decontamination.common_subsequence(a, b) == by_hand(a, b)
 
 
+def regions_by_hand(words, block):
+    return {(p, at, share) for p, passage in enumerate(block) for at in range(0, len(words), 16)
+            if (share := decontamination.common_subsequence(
+                passage.words, words[max(0, at - 24):at + 88]) / len(passage.words)) >= 0.5}
+
+
+@pytest.mark.parametrize("piece, words, cells", [(16_384, 1 << 15, 1 << 18), (64, 100, 1 << 18),
+                                                 (160, 1000, 300), (16, 16, 1)])
+def test_regions_of_many_documents_are_searched_together(monkeypatch, piece, words, cells):
+    monkeypatch.setattr(decontamination, "PIECE", piece)
+    monkeypatch.setattr(decontamination, "WORDS", words)
+    monkeypatch.setattr(decontamination, "AT_ONCE", cells)
+    rng = random.Random(21)
+    prose = [" ".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.choice([0, 3, 40, 400])))
+             for _ in range(30)] + [None, "", "zz zz", "a " * 70]
+    block = decontamination.passages([(k, " ".join(rng.choice("abcdefghijklmnopuvwxyz") for _ in
+                                                   range(n))) for k, n in enumerate((1, 5, 20, 64, 150))])
+    assert max(len(p.words) for p in block) == 64
+    known, found, texts = decontamination.terms_of(block), [], []
+    for docs in decontamination._together(prose):
+        numbers = [decontamination.numbers_of(d, known) for d in docs]
+        some = [*decontamination.shared_in_order(numbers, known)]
+        found += [(len(texts) + k, *rest) for k, *rest in some]
+        assert len(some) == len(set(some))
+        seen = [sum(t in d for d in docs) for t in known.terms]
+        assert decontamination._documents(numbers, len(seen)).tolist() == seen
+        texts += docs
+    assert len(texts) == len(prose) and len(found) > 200
+    assert set(found) == {(k, *r) for k, d in enumerate(texts) for r in regions_by_hand(d, block)}
+
+
+def test_a_search_takes_few_calls_a_document():
+    """Regions hold enough words, but in the wrong order: no Python for each of them."""
+    common = [f"c{k}" for k in range(14)]
+    block = decontamination.passages([(k, " ".join(common + [f"u{k}x{i}" for i in range(10)]))
+                                      for k in range(50)])
+    known = decontamination.terms_of(block)
+    docs = [[w.encode() for w in reversed(common)] * 20 for _ in range(200)]
+    numbers = [decontamination.numbers_of(d, known) for d in docs]
+    count = cProfile.Profile()
+    found = count.runcall(decontamination._leaking, docs, numbers, known, block)
+    assert not found
+    regions = sum(len(d) // 16 for d in docs) * len(block)
+    assert pstats.Stats(count).total_calls < regions / 10
+
+
+def test_near_is_the_best_stretch():
+    rng = random.Random(23)
+    for _ in range(200):
+        a, b = ([bytes([rng.randrange(7)]) for _ in range(rng.randrange(1, n))] for n in (9, 60))
+        size = 2 * len(a)
+        assert decontamination.near(a, b) == max(
+            decontamination.common_subsequence(a, b[at:at + size]) for at in range(len(b)))
+
+
 # ---------------------------------------------------------------- vectors
 
 def nearest_by_hand(rows, k):

@@ -17,7 +17,9 @@
    twice its length: a few common words of a short passage lie scattered over many a region.
 
 The benchmark is treated in blocks of ``BLOCK`` passages, so what goes to the executors has a fixed
-size; the corpus is read once per block, never shuffled. Words are lower-cased, ASCII punctuation
+size; the corpus is read once per block, never shuffled. Inside a task the steps 3 and 4 run over the
+words of a few documents at a time as arrays, in parts of about ``AT_ONCE`` cells, so that neither
+long texts nor common words make them large. Words are lower-cased, ASCII punctuation
 separates them.
 
 Defined results: null and empty texts, on either side, match nothing; nor do items without an id.
@@ -29,7 +31,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -45,8 +48,10 @@ RANK = 128
 OVERSAMPLE = 10
 WINDOW, STRIDE, AROUND = 64, 16, 24
 REGION = WINDOW + 2 * AROUND
-#: Words and passages that are treated at once; a multiple of the stride.
-PIECE, TOGETHER = 16_384, 512
+#: Words of a piece of a document, a multiple of the stride.
+PIECE = 16_384
+#: Documents, words and cells that are treated at once.
+TOGETHER, WORDS, AT_ONCE = 64, 1 << 15, 1 << 18
 COSINE = 0.35
 VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.5, 0.6
 _TO_SPACE = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -83,10 +88,10 @@ def _places(words: list[bytes]) -> dict[bytes, int]:
     return where
 
 
-def _subsequence(size: int, where: dict[bytes, int], b: list[bytes]) -> int:
+def _subsequence(size: int, places: Iterable[int | None]) -> int:
     v = mask = (1 << size) - 1
-    for places in filter(None, map(where.get, b)):
-        hit = v & places
+    for at in filter(None, places):
+        hit = v & at
         if hit:
             v = ((v + hit) | (v - hit)) & mask
     return size - v.bit_count()
@@ -94,39 +99,58 @@ def _subsequence(size: int, where: dict[bytes, int], b: list[bytes]) -> int:
 
 def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
     """Length of the longest common subsequence, one bit per word of ``a``."""
-    return _subsequence(len(a), _places(a), b)
+    return _subsequence(len(a), map(_places(a).get, b))
+
+
+def common_subsequences(size: np.ndarray, places: np.ndarray, begin: np.ndarray,
+                        end: np.ndarray) -> np.ndarray:
+    """``common_subsequence`` of many pairs at once, each of ``size`` words, at most 64, and of the
+    words with ``places[begin:end]``. Carries beyond the size change nothing below it."""
+    order = np.argsort(begin - end, kind="stable")
+    at, length, size = begin[order], (end - begin)[order], size[order]
+    full = np.uint64(2 ** 64 - 1) >> (64 - size).astype(np.uint64)
+    v = full.copy()
+    for k, n in enumerate(np.searchsorted(-length, -np.arange(length.max(initial=0))).tolist()):
+        now = v[:n]
+        hit = now & places[at[:n] + k]
+        v[:n] = (now + hit) | (now - hit)
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = size - np.bitwise_count(v & full)
+    return out
 
 
 def near(passage: list[bytes], region: list[bytes]) -> int:
     """The longest common subsequence with a stretch of the region of twice the passage."""
     size = 2 * len(passage)
-    return max(common_subsequence(passage, region[at:at + size])
-               for at in range(max(1, len(region) - size + 1)))
+    places = list(map(_places(passage).get, region))
+    last = max(0, len(region) - size)
+    # A stretch that begins with another word holds no more than the next one.
+    return max(_subsequence(len(passage), places[at:at + size])
+               for at in range(last + 1) if at == last or places[at])
 
 
 class Terms(NamedTuple):
-    """The terms of the passages, and how often each passage has each of them."""
+    """The terms of the passages, and how often and where each passage has each of them."""
 
     terms: dict[bytes, int]
     first: np.ndarray           # per term, where its passages begin in ``holders``
     holders: np.ndarray
     times: np.ndarray           # like ``holders``
-    begin: np.ndarray           # per passage, where its terms begin in ``own``
-    own: np.ndarray
-    own_times: np.ndarray       # like ``own``
+    places: np.ndarray          # like ``holders``, one bit per place of the term
+    size: np.ndarray            # words of each passage
     least: np.ndarray           # words of each passage that a region has to hold
-    places: list[dict[bytes, int]]  # of each passage, one bit per place of a word
 
 
 def terms_of(block: list[Passage]) -> Terms:
     terms = {w: i for i, w in enumerate(sorted({w for p in block for w in p.words}))}
-    rows = np.array([(p, terms[w], n) for p, passage in enumerate(block)
-                     for w, n in Counter(passage.words).items()], dtype=np.int64).reshape(-1, 3)
-    by_term = rows[np.argsort(rows[:, 1], kind="stable")]
-    return Terms(terms, np.searchsorted(by_term[:, 1], np.arange(len(terms) + 1)), by_term[:, 0],
-                 by_term[:, 2], np.searchsorted(rows[:, 0], np.arange(len(block) + 1)), rows[:, 1],
-                 rows[:, 2], PARAPHRASE * np.array([len(p.words) for p in block]),
-                 [_places(p.words) for p in block])
+    places = [_places(p.words) for p in block]
+    rows = np.array([(p, terms[w]) for p, where in enumerate(places) for w in where],
+                    dtype=np.int64).reshape(-1, 2)
+    bits = np.array([x for where in places for x in where.values()], dtype=np.uint64)
+    order = np.argsort(rows[:, 1], kind="stable")
+    size = np.array([len(p.words) for p in block], dtype=np.int64)
+    return Terms(terms, np.searchsorted(rows[order, 1], np.arange(len(terms) + 1)), rows[order, 0],
+                 np.bitwise_count(bits[order]), bits[order], size, PARAPHRASE * size)
 
 
 def _slices(first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,64 +161,130 @@ def _slices(first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarra
             np.repeat(begin, length) + np.arange(length.sum()))
 
 
-def fitting(found: np.ndarray, known: Terms) -> np.ndarray:
-    """Passages of which the found terms make up enough words."""
-    _, at = _slices(known.first, found)
-    return np.flatnonzero(np.bincount(known.holders[at], known.times[at],
-                                      minlength=len(known.least)) >= known.least)
-
-
-def found_terms(words: list[bytes], known: Terms) -> np.ndarray:
-    return np.array([known.terms[w] for w in known.terms.keys() & set(words)], np.int64)
-
-
-def within_reach(words: list[bytes], known: Terms) -> Iterator[tuple[int, int, int]]:
-    """(passage, start of a window) where the terms in the region make up enough words."""
-    for at in range(0, len(words), PIECE):
-        left = min(at, AROUND)
-        piece = words[at - left:at + PIECE + WINDOW + AROUND]
-        term = np.array([known.terms.get(w, -1) for w in piece], np.int64)
-        where = np.flatnonzero(term >= 0)
-        found, local = np.unique(term[where], return_inverse=True)
-        passages = fitting(found, known) if len(found) else found
-        if not len(passages):
+def _runs(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Neighbours whose sizes add up to at most ``most``, or one that alone is larger."""
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    at = 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(total, total[at] + most, side="right")) - 1)
+        yield slice(at, end)
+        at = end
+
+
+class Pieces(NamedTuple):
+    """The terms in pieces of documents, ordered by piece, term and place."""
+
+    steps: np.ndarray           # regions of each piece
+    first: np.ndarray           # where the places of a term of a piece begin
+    piece: np.ndarray           # like ``first``
+    term: np.ndarray            # like ``first``
+    x: np.ndarray               # places, counted from the first window
+    begin: np.ndarray           # like ``x``: the regions that have the term here and not before
+    end: np.ndarray             # like ``x``
+
+
+def _pieces(parts: list[np.ndarray], left: np.ndarray, steps: np.ndarray, n_terms: int) -> Pieces:
+    """``left`` words of a piece stand before its first window."""
+    numbers = np.concatenate(parts)
+    length = np.array([len(p) for p in parts])
+    piece = np.repeat(np.arange(len(parts)), length)
+    at = np.flatnonzero(numbers >= 0)
+    key, at = np.divmod(np.sort((piece[at] * n_terms + numbers[at]) * len(numbers) + at),
+                        max(1, len(numbers)))
+    piece = piece[at]
+    x = at - (np.cumsum(length) - length + left)[piece]
+    again = np.flatnonzero(key[1:] == key[:-1]) + 1
+    before = np.full(len(x), -REGION - AROUND)
+    before[again] = x[again - 1]
+    # A term is present in regions that begin behind its place before and up to its own.
+    end = np.minimum(steps[piece], (x + AROUND) // STRIDE + 1)
+    begin = np.minimum(end, np.maximum(
+        0, -(-(np.maximum(before, x - REGION) + 1 + AROUND) // STRIDE)))
+    new = np.delete(np.arange(len(x)), again)
+    return Pieces(steps, np.append(new, len(x)), piece[new], key[new] % n_terms, x, begin, end)
+
+
+def _shares(found: Pieces, known: Terms) -> Iterator[tuple[np.ndarray, ...]]:
+    """(piece, passage, region, share) arrays where a region holds enough of a passage in order."""
+    n = len(known.size)
+    bounds = np.searchsorted(found.piece, np.arange(len(found.steps) + 1))
+    work = np.bincount(found.piece, known.first[found.term + 1] - known.first[found.term],
+                       minlength=len(found.steps))
+    for some in _runs(work, AT_ONCE):
+        low, high = bounds[some.start], bounds[some.stop]
+        row, place = _slices(known.first, found.term[low:high])
+        row += low
+        # Passages of which the terms of the whole piece make up enough words.
+        pair = (found.piece[row] - some.start) * n + known.holders[place]
+        fits = (np.bincount(pair, known.times[place], minlength=(some.stop - some.start) * n)
+                .reshape(-1, n) >= known.least).ravel()
+        fitting = np.flatnonzero(fits)
+        if not len(fitting):
             continue
-        order = np.argsort(local, kind="stable")
-        column, x = local[order], where[order] - left
-        n = -(-min(PIECE, len(words) - at) // STRIDE)
-        before = np.full(len(x), -REGION - AROUND)
-        again = np.flatnonzero(column[1:] == column[:-1]) + 1
-        before[again] = x[again - 1]
-        # A term is present in regions that begin behind its place before and up to its own.
-        begin = np.maximum(0, -(-(np.maximum(before, x - REGION) + 1 + AROUND) // STRIDE))
-        end = np.minimum(n, (x + AROUND) // STRIDE + 1)
-        some = begin < end
-        step = np.zeros((n + 1, len(found)), dtype=np.float32)
-        step[begin[some], column[some]] += 1
-        step[end[some], column[some]] -= 1
-        present = np.cumsum(step, axis=0)[:n]
-        for k in range(0, len(passages), TOGETHER):
-            part = passages[k:k + TOGETHER]
-            row, place = _slices(known.begin, part)
-            column = np.minimum(np.searchsorted(found, known.own[place]), len(found) - 1)
-            here = found[column] == known.own[place]
-            times = np.zeros((len(part), len(found)), dtype=np.float32)
-            times[row[here], column[here]] = known.own_times[place[here]]
-            start, p = np.nonzero(present @ times.T >= known.least[part])
-            yield from zip(part[p].tolist(), (at + start * STRIDE).tolist())
-
-
-def accepted(words: list[bytes], known: Terms,
-             block: list[Passage]) -> Iterator[tuple[int, int, float, bool]]:
-    """(passage, start of a window, share of the passage, answer found) where the rule holds."""
-    for p, begin in within_reach(words, known):
-        region = words[max(0, begin - AROUND):begin + WINDOW + AROUND]
-        passage = block[p]
-        share = _subsequence(len(passage.words), known.places[p], region) / len(passage.words)
-        if share >= PARAPHRASE:
-            answer = _answered(passage, words, begin)
-            if share >= VERBATIM or answer:
-                yield p, begin, share, answer
+        keep = np.flatnonzero(fits[pair])
+        pair = (np.cumsum(fits) - 1)[pair[keep]]
+        order = np.argsort(pair, kind="stable")
+        pair, row, place = pair[order], row[keep][order], place[keep][order]
+        piece, passage = fitting // n + some.start, fitting % n
+        cells = found.steps[piece] + 1
+        begins = np.searchsorted(pair, np.arange(len(fitting) + 1))
+        for part in _runs(cells + np.bincount(pair, found.first[row + 1] - found.first[row]), AT_ONCE):
+            which = slice(begins[part.start], begins[part.stop])
+            hits = _regions(found, known, pair[which] - part.start, row[which], place[which],
+                            passage[part], cells[part])
+            if hits is not None:
+                mine, region, share = hits
+                order = np.lexsort((passage[part][mine], region, piece[part][mine]))
+                mine = mine[order]
+                yield piece[part][mine], passage[part][mine], region[order], share[order]
+
+
+def _regions(found: Pieces, known: Terms, pair: np.ndarray, row: np.ndarray, place: np.ndarray,
+             passage: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, ...] | None:
+    """(pair, region, share) of pairs of a piece and a passage; ``row`` and ``place`` are the terms
+    that both have."""
+    number, at = _slices(found.first, row)
+    pair, times = pair[number], known.times[place[number]]
+    offset = np.cumsum(cells) - cells
+    change = (np.bincount(offset[pair] + found.begin[at], times, minlength=cells.sum())
+              - np.bincount(offset[pair] + found.end[at], times, minlength=cells.sum()))
+    cell = np.flatnonzero(np.cumsum(change) >= np.repeat(known.least[passage], cells))
+    if not len(cell):
+        return None
+    mine = np.searchsorted(offset, cell, side="right") - 1
+    region = cell - offset[mine]
+    # The words that such a pair shares, by place: the regions are stretches of them.
+    some = np.zeros(len(cells), dtype=bool)
+    some[mine] = True
+    shared = np.flatnonzero(some[pair])
+    wide = int(found.x.max()) + 2 * REGION
+    code = pair[shared] * wide + found.x[at[shared]] + AROUND
+    order = np.argsort(code, kind="stable")
+    code, begin = code[order], mine * wide + region * STRIDE
+    size = known.size[passage[mine]]
+    share = common_subsequences(size, known.places[place[number[shared[order]]]],
+                                np.searchsorted(code, begin),
+                                np.searchsorted(code, begin + REGION)) / size
+    enough = np.flatnonzero(share >= PARAPHRASE)
+    return mine[enough], region[enough], share[enough]
+
+
+def numbers_of(words: list[bytes], known: Terms) -> np.ndarray:
+    """The number of each word, -1 if it is no term."""
+    return np.fromiter(map(known.terms.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+
+
+def shared_in_order(docs: list[np.ndarray], known: Terms) -> Iterator[tuple[int, int, int, float]]:
+    """(document, passage, start of a window, share) of regions that hold enough in order."""
+    pieces = [(d, at) for d, numbers in enumerate(docs) for at in range(0, len(numbers), PIECE)]
+    for run in _runs(np.array([min(PIECE, len(docs[d]) - at) for d, at in pieces]), WORDS):
+        some = pieces[run]
+        left = np.array([min(at, AROUND) for _, at in some])
+        steps = np.array([-(-min(PIECE, len(docs[d]) - at) // STRIDE) for d, at in some])
+        parts = [docs[d][at - x:at + PIECE + WINDOW + AROUND] for (d, at), x in zip(some, left)]
+        for found in _shares(_pieces(parts, left, steps, len(known.terms)), known):
+            for piece, passage, region, share in zip(*(a.tolist() for a in found)):
+                yield some[piece][0], passage, some[piece][1] + region * STRIDE, share
 
 
 def _answered(passage: Passage, words: list[bytes], begin: int) -> bool:
@@ -202,6 +292,20 @@ def _answered(passage: Passage, words: list[bytes], begin: int) -> bool:
     return common_subsequence(passage.answer, wide) >= ANSWER * len(passage.answer)
 
 
+def _together(texts: Iterable[str | None]) -> Iterator[list[list[bytes]]]:
+    """The words of a few texts at a time."""
+    some: list[list[bytes]] = []
+    total = 0
+    for text in texts:
+        some.append(plain_words(text or ""))
+        total += len(some[-1])
+        if len(some) == TOGETHER or total >= WORDS:
+            yield some
+            some, total = [], 0
+    if some:
+        yield some
+
+
 class Index(NamedTuple):
     """What a task needs to search: the terms, their latent rows, the passages in it."""
 
@@ -212,6 +316,22 @@ class Index(NamedTuple):
     passages: list[Passage]
 
 
+def _documents(numbers: list[np.ndarray], n_terms: int) -> np.ndarray:
+    """How many of the documents have each term."""
+    code = np.unique(np.concatenate([k * (n_terms + 1) + 1 + x for k, x in enumerate(numbers)]))
+    return np.bincount(code % (n_terms + 1), minlength=n_terms + 1)[1:]
+
+
+def _leaking(docs: list[list[bytes]], numbers: list[np.ndarray], known: Terms,
+             block: list[Passage]) -> set[int]:
+    """The documents with a region where the rule of subsequences holds."""
+    out: set[int] = set()
+    for k, p, begin, share in shared_in_order(numbers, known):
+        if k not in out and (share >= VERBATIM or _answered(block[p], docs[k], begin)):
+            out.add(k)
+    return out
+
+
 def first_pass(docs: DataFrame, block: list[Passage], known: Terms, texts: bool) -> DataFrame:
     """(term, n) rows with document counts (``n`` of all documents under -1), and, if ``texts``,
     (doc_id, text) rows of the documents with an accepted region. One pass over the whole corpus."""
@@ -219,18 +339,19 @@ def first_pass(docs: DataFrame, block: list[Passage], known: Terms, texts: bool)
         seen = np.zeros(len(known.terms), dtype=np.int64)
         total = 0
         for pdf in batches:
-            keep = []
-            for k, text in enumerate(pdf["text"]):
-                words = plain_words(text)
-                found = found_terms(words, known)
-                seen[found] += 1
-                if texts and len(fitting(found, known)) and any(accepted(words, known, block)):
-                    keep.append(k)
+            keep: list[int] = []
+            before = 0
+            for some in _together(pdf["text"]):
+                numbers = [numbers_of(words, known) for words in some]
+                seen += _documents(numbers, len(seen))
+                if texts:
+                    keep += [before + k for k in sorted(_leaking(some, numbers, known, block))]
+                before += len(some)
             total += len(pdf)
             if texts:
-                some = pdf.iloc[keep]
-                yield pd.DataFrame({"term": None, "n": None, "doc_id": some["doc_id"],
-                                    "text": some["text"]})
+                rows = pdf.iloc[keep]
+                yield pd.DataFrame({"term": None, "n": None, "doc_id": rows["doc_id"],
+                                    "text": rows["text"]})
         term = np.flatnonzero(seen)
         yield pd.DataFrame({"term": [-1, *term], "n": [total, *seen[term]], "doc_id": None,
                             "text": None})
@@ -306,27 +427,31 @@ def build_index(docs: DataFrame, block: list[Passage], texts: bool = False
     return index, passed.filter("text IS NOT NULL").select("doc_id", "text")
 
 
-def leaks(text: str | None, index: Index) -> list[tuple[int, float, float, bool]]:
-    """(item, cosine, share of the passage, answer found) of the leaks in one whole text."""
-    words = plain_words(text or "")
-    if not len(fitting(found_terms(words, index.known), index.known)):
-        return []
-    best: dict[int, tuple[int, float, float, bool]] = {}
-    for p, begin, share, answer in accepted(words, index.known, index.passages):
-        passage = index.passages[p]
-        inside = np.array([index.known.terms[w] for w in words[begin:begin + WINDOW]
-                           if w in index.known.terms], dtype=np.int64)
-        window = index.weights[inside] @ index.latent[inside]
-        cosine = window @ index.vectors[p] / max(1e-12, np.linalg.norm(window))
-        if cosine < COSINE:
-            region = words[max(0, begin - AROUND):begin + WINDOW + AROUND]
-            share = near(passage.words, region) / len(passage.words)
-            if share < PARAPHRASE or share < VERBATIM and not answer:
+def leaks(texts: Iterable[str | None], index: Index
+          ) -> Iterator[list[tuple[int, float, float, bool]]]:
+    """Of each whole text, (item, cosine, share of the passage, answer found) of its leaks."""
+    known = index.known
+    for docs in _together(texts):
+        numbers = [numbers_of(words, known) for words in docs]
+        best: list[dict[int, tuple[int, float, float, bool]]] = [{} for _ in docs]
+        for k, p, begin, share in shared_in_order(numbers, known):
+            words, passage = docs[k], index.passages[p]
+            answer = _answered(passage, words, begin)
+            if share < VERBATIM and not answer:
                 continue
-        have = best.get(passage.item_id)
-        if have is None or share > have[2]:
-            best[passage.item_id] = (passage.item_id, float(cosine), share, answer)
-    return sorted(best.values())
+            inside = numbers[k][begin:begin + WINDOW]
+            inside = inside[inside >= 0]
+            window = index.weights[inside] @ index.latent[inside]
+            cosine = window @ index.vectors[p] / max(1e-12, np.linalg.norm(window))
+            if cosine < COSINE:
+                region = words[max(0, begin - AROUND):begin + WINDOW + AROUND]
+                share = near(passage.words, region) / len(passage.words)
+                if share < PARAPHRASE or share < VERBATIM and not answer:
+                    continue
+            have = best[k].get(passage.item_id)
+            if have is None or share > have[2]:
+                best[k][passage.item_id] = (passage.item_id, float(cosine), share, answer)
+        yield from (sorted(found.values()) for found in best)
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[Passage]]:
@@ -353,8 +478,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pd.DataFrame], index: Index = index) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                rows = [(i, *leak) for i, t in zip(pdf["doc_id"], pdf["text"])
-                        for leak in leaks(t, index)]
+                rows = [(i, *leak) for i, found in zip(pdf["doc_id"], leaks(pdf["text"], index))
+                        for leak in found]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "cosine", "share", "answer"])
 
         found = found.unionByName(texts.mapInPandas(run, shape))
@@ -377,5 +502,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def _leaked(index: Index):
     @F.pandas_udf("boolean")
     def run(text: pd.Series) -> pd.Series:
-        return pd.Series([bool(leaks(t, index)) for t in text], dtype=bool)
+        return pd.Series([bool(found) for found in leaks(text, index)], dtype=bool)
     return run
