@@ -320,3 +320,20 @@ def test_only_unequal_buckets_are_opened(spark):
                    None: ("only_right", None, 0, 1)}
     assert differences(left, left.repartition(3), ["k"], ["v", "w"]).isEmpty()
     assert differences(left.limit(0), left.limit(0), ["k"], ["v", "w"]).isEmpty()
+
+
+def test_charge_off_counts_orders_and_customers_once(spark):
+    """An order of two customers, rows without an order or a customer, an order paid in one row."""
+    shape = "customer_id string, sales_order_id string, stage string, lead_stage string, total_amount double"
+    leads = spark.createDataFrame(
+        [("1", "A", "Ongoing", "DQ 1-6", 10.0), ("1", "A", "Paid", None, 10.0),
+         ("2", "A", "Ongoing", "Paid", 20.0), ("2", "B", "Ongoing", None, 40.0),
+         ("3", None, "Ongoing", "Paid", 80.0), ("3", None, "Paid", None, 80.0),
+         (None, "C", "Paid", None, 160.0), (None, "C", "Paid", None, 160.0),
+         (None, None, None, "Paid", 320.0), ("4", "D", None, None, None)], shape)
+    row = measures.charge_off(leads).first().asDict()
+    assert row == {"customers": 4, "disbursed": 4, "paid": 2, "amount_disbursed": 150.0,
+                   "amount_leading": 420.0, "amount_paid": 410.0, "by_count": 0.5,
+                   "by_amount": 1 - 420 / 150, "by_amount_same_loans": 1 - 410 / 150}
+    none = measures.charge_off(leads.limit(0)).select("customers", "disbursed", "paid", "amount_paid")
+    assert tuple(none.first()) == (0, 0, 0, None)

@@ -283,20 +283,23 @@ def charge_off(leads: DataFrame) -> DataFrame:
     """
     amount = F.col("total_amount")
     paid = F.col("stage") == "Paid"
-    # One row per order, and one per customer, instead of a copy of every row per distinct count.
-    per_order = leads.groupBy("sales_order_id").agg(
-        F.max(paid.cast("int")).alias("paid"),
-        F.sum(F.when(F.col("stage") == "Ongoing", amount)).alias("amount_disbursed"),
-        F.sum(F.when(F.col("lead_stage") == "Paid", amount)).alias("amount_leading"),
-        F.sum(F.when(paid, amount)).alias("amount_paid"))
-    amounts = ("amount_disbursed", "amount_leading", "amount_paid")
-    orders = per_order.agg(
-        F.count("sales_order_id").alias("disbursed"),
-        F.count(F.when(F.col("paid") == 1, F.col("sales_order_id"))).alias("paid"),
+    amounts = {"amount_disbursed": F.col("stage") == "Ongoing",
+               "amount_leading": F.col("lead_stage") == "Paid", "amount_paid": paid}
+    # One row of each order stands for it, a paid one if there is one, and one row per customer is
+    # left: neither a copy of every row per distinct count nor a second pass. Rows without an order
+    # stand for none and are spread over customers.
+    order = F.col("sales_order_id")
+    each = Window.partitionBy(order, F.when(order.isNull(), F.col("customer_id"))).orderBy(
+        paid.desc_nulls_last())
+    stands = order.isNotNull() & (F.row_number().over(each) == 1)
+    people = leads.withColumn("_stands", stands).groupBy("customer_id").agg(
+        F.count(F.when(F.col("_stands"), 1)).alias("disbursed"),
+        F.count(F.when(F.col("_stands") & paid, 1)).alias("paid"),
+        *[F.sum(F.when(rows, amount)).alias(name) for name, rows in amounts.items()])
+    base = people.agg(
+        F.count("customer_id").alias("customers"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("disbursed", "paid")],
         *[F.sum(c).alias(c) for c in amounts])
-    people = leads.select("customer_id").distinct().agg(F.count("customer_id").alias("customers"))
-    base = orders.unionByName(people, allowMissingColumns=True).agg(
-        *[F.max(c).alias(c) for c in ("customers", "disbursed", "paid", *amounts)])
     return base.withColumns({
         "by_count": 1 - F.col("paid") / F.col("disbursed"),
         "by_amount": 1 - F.col("amount_leading") / F.col("amount_disbursed"),
