@@ -1,6 +1,7 @@
 """Steps that must not do their work once per loan and month end."""
 
 import datetime as dt
+import glob
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,9 +9,10 @@ from pyspark.sql import functions as F
 from vintora.params import SAMPLE as TERMS
 from vintora.plans import credit
 from vintora.plans.book import Book
+from vintora.plans.snapshots import StoredSnapshot
 from vintora.registry.core import Query, SnapshotQuery
 from vintora.sources import load
-from vintora.sources.load import EmptyLoad
+from vintora.sources.load import EmptyLoad, VersionedTable
 from vintora.sources.parts import PartedTable
 
 LOAN = """customer_id STRING, enrollment_cohort STRING, enrolled_at TIMESTAMP_NTZ,
@@ -114,3 +116,28 @@ def test_replacing_all_parts_is_one_pass(spark, tmp_path, monkeypatch):
     assert table.read().count() == 3
     assert table.replace(rows.filter("id = 2")) == 1 and table.parts() == ["2024-02"]
     assert table.replace(rows.filter("id > 9")) == 0 and table.parts() == []
+
+
+def test_rows_of_a_loan_are_stored_together(spark, loans, tmp_path):
+    """They go from the loan to the file, so what a loan repeats costs little; nothing is shuffled."""
+    later = loans.limit(3).withColumns({
+        "due_on": F.lit(dt.date(2025, 5, 5)), "due_month_end": F.lit(dt.date(2025, 5, 31)),
+        "sales_order_id": F.concat(F.lit("later-"), "sales_order_id")})
+    never = loans.limit(2).withColumns({
+        "due_on": F.lit(None).cast("date"), "due_month_end": F.lit(None).cast("date")})
+    stored = VersionedTable(spark, str(tmp_path / "loans"))
+    # Loans due twice with the same key are next to each other in the table: number them apart.
+    stored.replace(loans.unionByName(later).unionByName(never).withColumn(
+        "sales_order_id", F.concat("sales_order_id", F.lit("/"), F.monotonically_increasing_id())))
+    mine = stored.read()
+    snapshot = StoredSnapshot(spark, str(tmp_path / "s"), credit.month_end_snapshot(mine).schema)
+    snapshot.refresh(mine)
+    assert snapshot.rows.parts() == ["2023", "2025"]
+    assert rows_of(snapshot.read()) == rows_of(credit.month_end_snapshot(mine))
+    files = glob.glob(str(tmp_path / "s/rows/part_=2023/*.parquet"))
+    for file in files:
+        ids = [r[0] for r in spark.read.parquet(file).select("sales_order_id").collect()]
+        assert len(ids) > len(set(ids)) == 1 + sum(a != b for a, b in zip(ids, ids[1:]))
+    one = credit.month_end_snapshot(mine, mine, year=2023)
+    assert {r[0].year for r in one.select("cutoff").collect()} == {2023}
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]

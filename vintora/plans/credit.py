@@ -284,22 +284,29 @@ def snapshot_columns(loans: DataFrame) -> list[Column]:
     return [loans[c] for c in (*_FROM_LOAN, "total_amount", *_FROM_LOAN_LAST)]
 
 
-def at_month_ends(loans: DataFrame, cutoffs: DataFrame, of_cutoff: dict[str, Column] | None = None
-                  ) -> DataFrame:
-    """Each loan at every month end on or after its due date, with its state there.
+def at_month_ends(loans: DataFrame, cutoffs: DataFrame, of_cutoff: dict[str, Column] | None = None,
+                  year: int | None = None) -> DataFrame:
+    """Each loan at every month end on or after its due date, with its state there; with ``year`` at
+    those of one year.
 
     The month ends are a scalar array (one entry per month with a due loan) that also holds what
     depends on the month end alone: ``of_cutoff``, made of ``FROM_CUTOFF``. Each loan explodes the
     part from its own month end on, so there is no inequality join and no wasted row. Needs of a loan
     its due date and month end, ``paid_at``, ``enrolled_at`` and ``total_amount``.
     """
-    marks = (cutoffs.select(F.col("due_month_end").alias("cutoff")).filter("cutoff IS NOT NULL")
-             .distinct().withColumns({
+    found = cutoffs.select(F.col("due_month_end").alias("cutoff")).filter("cutoff IS NOT NULL")
+    if year is not None:
+        found = found.filter(F.year("cutoff") == year)
+        loans = loans.filter(F.col("due_month_end") <= F.make_date(F.lit(year), F.lit(12), F.lit(31)))
+    marks = (found.distinct().withColumns({
                  "previous_month_end": F.date_sub(F.trunc("cutoff", "month"), 1),
                  "month": month_text("cutoff"), "_index": _month_index("cutoff")})
              .withColumns(of_cutoff or {}))
     ends = marks.agg(F.sort_array(F.collect_list(F.struct(*marks.columns))).alias("ends")).scalar()
     start = F.array_position(ends["cutoff"], F.col("due_month_end")).cast("int")
+    if year is not None:
+        # A loan of an earlier year stands at all month ends of this one.
+        start = F.greatest(start, F.lit(1))
     opened = (loans.filter(F.col("due_month_end").isNotNull())
               .withColumn("_enrolled", _month_index("enrolled_at"))
               .withColumn("_at", F.explode(F.slice(ends, start, F.size(ends)))))
@@ -325,14 +332,16 @@ def _month_index(d) -> Column:
 
 def month_end_snapshot(loans: DataFrame, cutoffs: DataFrame | None = None,
                        of_loan: dict[str, Column] | None = None,
-                       of_cutoff: dict[str, Column] | None = None) -> DataFrame:
-    """Every loan at every month end on or after its due date.
+                       of_cutoff: dict[str, Column] | None = None, year: int | None = None) -> DataFrame:
+    """Every loan at every month end on or after its due date, or at those of one ``year``. The rows
+    of a loan follow each other.
 
     ``of_loan`` and ``of_cutoff`` are further columns that depend on the loan's own columns or on the
     month end alone; they are made once per loan or month end instead of in every row.
     """
     of_loan, of_cutoff = of_loan or {}, of_cutoff or {}
-    opened = at_month_ends(loans.withColumns(of_loan), loans if cutoffs is None else cutoffs, of_cutoff)
+    opened = at_month_ends(loans.withColumns(of_loan), loans if cutoffs is None else cutoffs, of_cutoff,
+                           year)
     return opened.select(
         *_FROM_LOAN, "cutoff", "previous_month_end", "original_amount", "total_amount",
         "days_past_due", "par", "months_on_book", "month", *_FROM_LOAN_LAST, *of_loan, *of_cutoff)

@@ -45,15 +45,16 @@ def month_ends(loans: DataFrame) -> list:
 
 
 class StoredSnapshot:
-    """Rows by the year of the month end, sorted by it inside, and the digests they were made of.
+    """Rows by the year of the month end, and the digests they were made of.
 
-    The digests become current when the rows are written: a run that broke off between the two is
+    Inside a year the rows of a loan follow each other, so that what a loan repeats at every month end
+    is stored about once a year. The digests become current when the rows are written: a run that broke off between the two is
     repeated by the next one.
     """
 
     def __init__(self, spark: SparkSession, folder: str, schema=None):
         self.rows = PartedTable(spark, f"{folder}/rows", schema,
-                                F.col("cutoff").cast("timestamp_ntz"), YEAR, ["cutoff"])
+                                F.col("cutoff").cast("timestamp_ntz"), YEAR)
         self.made_of = VersionedTable(spark, f"{folder}/made_of")
 
     def exists(self) -> bool:
@@ -71,6 +72,8 @@ class StoredSnapshot:
     def refresh(self, loans: DataFrame, rule: str = "") -> list:
         """Bring the rows up to date; returns the month ends that were written.
 
+        ``loans`` are read once for every year to be written, so they should be stored: the rows, many
+        times as many as loans, then go from a task straight to its file, without shuffle or sort.
         ``rule`` is a mark of how rows are made; if it is another than before, all are made anew.
         """
         now = digests(loans).withColumn("rule", F.lit(rule))
@@ -86,9 +89,8 @@ class StoredSnapshot:
                 opened = [e for e in opened if first is not None and e >= first]
         if not opened:
             return []
-        parts = {str(e.year) for e in opened}
-        rows = credit.month_end_snapshot(loans, loans).filter(
-            F.year("cutoff").isin(sorted(map(int, parts))))
-        self.rows.write(rows, parts)
+        cutoffs = self.rows.spark.createDataFrame([(e,) for e in ends], f"{_DUE} DATE")
+        for year in sorted({e.year for e in opened}):
+            self.rows.write_part(credit.month_end_snapshot(loans, cutoffs, year=year), str(year))
         self.made_of.replace(now, keep=2)
         return opened

@@ -24,13 +24,11 @@ YEAR, MONTH, DAY = "yyyy", "yyyy-MM", "yyyy-MM-dd"
 
 class PartedTable:
     """``at`` is the time that decides about the part, a column or an expression over the row.
-    ``order`` sorts the rows inside a file, so that readers can skip by its statistics. Without a
-    schema the files say what they hold: enough to read, not to write."""
+    Without a schema the files say what they hold: enough to read, not to write."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str | None,
-                 at: Column, unit: str = MONTH, order: Iterable[str] = ()):
+                 at: Column, unit: str = MONTH):
         self.spark, self.path, self.at, self.unit = spark, path.rstrip("/"), at, unit
-        self.order = list(order)
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         self._files = spark._jvm.org.apache.hadoop.fs
         self._fs = self._files.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -73,10 +71,18 @@ class PartedTable:
         ``df`` may read the parts that it replaces: they change when all rows are written.
         """
         placed = df.select(*self.schema.names).withColumn(PART, self.part(self.at))
-        before = self._files_of(set(self.parts()))
         # A hint and no fixed number: a large month gets as many files as its size asks for.
-        (placed.hint("rebalance", PART).sortWithinPartitions(PART, *self.order)
-         .write.partitionBy(PART).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path))
+        return self._overwrite(placed.hint("rebalance", PART).sortWithinPartitions(PART), parts, required)
+
+    def write_part(self, df: DataFrame, part: str) -> bool:
+        """Replace one part by the rows of ``df``, all of which belong to it, as they come: nothing is
+        shuffled or sorted, and each task of ``df`` writes one file."""
+        return self._overwrite(df.select(*self.schema.names).withColumn(PART, F.lit(part)), {part})
+
+    def _overwrite(self, placed: DataFrame, parts: set[str], required: bool = False) -> bool:
+        before = self._files_of(set(self.parts()))
+        (placed.write.partitionBy(PART).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .parquet(self.path))
         after = self._files_of(set(self.parts()))
         some = any(files != before.get(n) for n, files in after.items())
         if required and not some:
