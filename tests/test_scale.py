@@ -2,15 +2,18 @@
 
 import datetime as dt
 import glob
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from vintora.params import SAMPLE as TERMS
+from vintora.operators.skew import in_ranges
 from vintora.plans import credit
 from vintora.plans.book import Book
 from vintora.plans.snapshots import StoredSnapshot
 from vintora.registry.core import Query, SnapshotQuery
+from vintora.session import _CLEANUP, freeing_shuffles
 from vintora.sources import load
 from vintora.sources.load import EmptyLoad, VersionedTable
 from vintora.sources.parts import PartedTable
@@ -141,3 +144,34 @@ def test_rows_of_a_loan_are_stored_together(spark, loans, tmp_path):
     one = credit.month_end_snapshot(mine, mine, year=2023)
     assert {r[0].year for r in one.select("cutoff").collect()} == {2023}
     assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in folders for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+
+
+@pytest.mark.parametrize("kind", ["version", "parts", "ranges"])
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path, kind):
+    rows = spark.range(0, 4000, 1, 4).selectExpr(
+        "id % 900 AS k", "DATE'2024-01-01' + CAST(id % 60 AS INT) AS at")
+    summed = rows.groupBy("k").agg(F.max("at").cast("timestamp_ntz").alias("at"))
+    before = shuffle_files(spark)
+    if kind == "version":
+        assert VersionedTable(spark, str(tmp_path / "t")).replace(summed) == 900
+    elif kind == "parts":
+        table = PartedTable(spark, str(tmp_path / "t"), summed.schema, F.col("at"))
+        assert table.replace(summed) == 900
+    else:
+        in_ranges(summed, ["k"])
+    until = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(_CLEANUP, None) is None
+
+
+def test_shuffle_setting_comes_back_after_a_failure(spark):
+    with pytest.raises(ZeroDivisionError):
+        freeing_shuffles(spark, lambda: 1 / 0)
+    assert spark.conf.get(_CLEANUP, None) is None
