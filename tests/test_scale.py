@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vintora.params import SAMPLE as TERMS
 from vintora.operators.skew import in_ranges
-from vintora.plans import credit
+from vintora.plans import credit, sales
 from vintora.plans.book import Book
 from vintora.plans.snapshots import StoredSnapshot
 from vintora.registry.core import Query, SnapshotQuery
@@ -151,7 +151,7 @@ def shuffle_files(spark):
     return {f for d in folders for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
 
 
-@pytest.mark.parametrize("kind", ["version", "parts", "ranges"])
+@pytest.mark.parametrize("kind", ["version", "parts", "ranges", "panel"])
 def test_a_write_leaves_no_shuffle_files(spark, tmp_path, kind):
     rows = spark.range(0, 4000, 1, 4).selectExpr(
         "id % 900 AS k", "DATE'2024-01-01' + CAST(id % 60 AS INT) AS at")
@@ -162,8 +162,14 @@ def test_a_write_leaves_no_shuffle_files(spark, tmp_path, kind):
     elif kind == "parts":
         table = PartedTable(spark, str(tmp_path / "t"), summed.schema, F.col("at"))
         assert table.replace(summed) == 900
-    else:
+    elif kind == "ranges":
         in_ranges(summed, ["k"])
+    else:
+        months = rows.selectExpr("CAST(k AS STRING) AS customer_id", "CAST(k AS STRING) AS sales_order_id",
+                                 "trunc(at, 'month') AS month", "1.0D AS amount", "1.0D AS pieces").distinct()
+        first = months.limit(0).selectExpr("customer_id", "month AS first_credit")
+        before = shuffle_files(spark)
+        sales.cohort_panel(months, first)
     until = time.time() + 10
     while (left := shuffle_files(spark) - before) and time.time() < until:
         time.sleep(0.2)
