@@ -2,6 +2,7 @@
 
 import datetime as dt
 import glob
+import threading
 import time
 
 import pytest
@@ -181,3 +182,28 @@ def test_shuffle_setting_comes_back_after_a_failure(spark):
     with pytest.raises(ZeroDivisionError):
         freeing_shuffles(spark, lambda: 1 / 0)
     assert spark.conf.get(_CLEANUP, None) is None
+
+
+def test_shuffle_setting_comes_back_after_overlapping_jobs(spark):
+    """Two streams write at the same time; the one that began first ends first."""
+    first_began, second_began, first_ended = (threading.Event() for _ in range(3))
+
+    def first():
+        first_began.set()
+        second_began.wait(20)
+
+    def second():
+        second_began.set()
+        first_ended.wait(20)
+        return spark.conf.get(_CLEANUP)
+
+    def later():
+        first_began.wait(20)
+        seen.append(freeing_shuffles(spark, second))
+    seen = []
+    thread = threading.Thread(target=later)
+    thread.start()
+    freeing_shuffles(spark, first)
+    first_ended.set()
+    thread.join()
+    assert seen == ["true"] and spark.conf.get(_CLEANUP, None) is None
